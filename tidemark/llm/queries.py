@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, oracles, substrings
+from tidemark.llm import decontaminate, oracles, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def _documents(digest: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": lambda spark, sf_dir: decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op8_simhash": _documents(simhash.digest),
         "op6_substring_dedup": _documents(substrings.digest),
     }
 
