@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, oracles, simhash, substrings
+from tidemark.llm import decontaminate, html_text, oracles, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": lambda spark, sf_dir: decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op8_simhash": _documents(simhash.digest),
+        "op10_html_text": lambda spark, sf_dir: html_text.digest(table(spark, sf_dir, "pages")),
         "op6_substring_dedup": _documents(substrings.digest),
     }
 
