@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, oracles, simhash, substrings
+from tidemark.llm import decontaminate, html_text, language, mixing, oracles, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,8 @@ def _documents(digest: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixing": _documents(mixing.digest),
+        "op9_language": _documents(language.digest),
         "op2_decontaminate": lambda spark, sf_dir: decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op8_simhash": _documents(simhash.digest),
         "op10_html_text": lambda spark, sf_dir: html_text.digest(table(spark, sf_dir, "pages")),

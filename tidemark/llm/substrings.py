@@ -33,7 +33,7 @@ U64 = np.uint64
 #: Words of the grams from which a window's anchor is chosen.
 GRAM = 16
 LAST = (1 << 63) - 1
-FLUSH = 1 << 20
+FLUSH = 3 << 19
 
 
 def _prepare(data: np.ndarray, offsets: np.ndarray, window: int):
@@ -77,8 +77,33 @@ def _by_doc(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> Iterator[tupl
             yield int(o[a]), int(u[a]), _encode(np.unique(p[a:b]))
 
 
-OUT = pa.schema([("bucket", pa.int32()), ("ord", pa.int64()), ("uid", pa.int64()), ("runs", pa.binary()), ("ha", pa.binary()), ("hb", pa.binary()), ("ords", pa.binary()), ("uids", pa.binary()), ("pos", pa.binary())])
-DDL = "bucket int, ord long, uid long, runs binary, ha binary, hb binary, ords binary, uids binary, pos binary"
+OUT = pa.schema([("bucket", pa.int32()), ("ord", pa.int64()), ("uid", pa.int32()), ("runs", pa.binary()), ("ha", pa.binary()), ("hb", pa.binary()), ("docs", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary())])
+DDL = "bucket int, ord long, uid int, runs binary, ha binary, hb binary, docs binary, doc binary, pos binary"
+
+
+def planes(x: np.ndarray) -> bytes:
+    """64-bit or 32-bit values as planes of 16 bits each, low to high: equal high parts compress away."""
+    parts = np.ascontiguousarray(x).view(np.uint16).reshape(len(x), -1)
+    return np.ascontiguousarray(parts.T).tobytes()
+
+
+def unplanes(raw: bytes, kind: type) -> np.ndarray:
+    n = np.dtype(kind).itemsize // 2
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint16).reshape(n, -1).T).view(kind).ravel()
+
+
+def _pack(ha: np.ndarray, hb: np.ndarray, ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[bytes, ...]:
+    """One bucket's entries, sorted by document; each document's key stands once."""
+    fresh = np.ones(len(ord_), bool)
+    fresh[1:] = (ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])
+    docs = planes(ord_[fresh]) + uid[fresh].tobytes()
+    return ha.tobytes(), hb.tobytes(), docs, planes((np.cumsum(fresh) - 1).astype(np.int32)), planes(pos)
+
+
+def _unpack(ha: bytes, hb: bytes, docs: bytes, doc: bytes, pos: bytes) -> tuple[np.ndarray, ...]:
+    n = len(docs) // 12
+    which = unplanes(doc, np.int32)
+    return np.frombuffer(ha, U64), np.frombuffer(hb, np.uint32), unplanes(docs[: 8 * n], np.int64)[which], np.frombuffer(docs[8 * n :], np.int32)[which], unplanes(pos, np.int32)
 
 
 def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
@@ -100,7 +125,7 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
             which, first = np.unique(bucket, return_index=True)
             for w, a, b in zip(which, first, np.append(first[1:], len(keep))):
                 i = keep[a:b]
-                rows.append((int(w), None, None, None, ha[i].tobytes(), hb[i].tobytes(), ord_[i].tobytes(), uid[i].tobytes(), pos[i].tobytes()))
+                rows.append((int(w), None, None, None, *_pack(ha[i], hb[i], ord_[i], uid[i], pos[i])))
             for k in range(0, len(rows), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 1000]), OUT)], schema=OUT)
 
@@ -137,34 +162,38 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
     return run
 
 
+def _pack_none() -> tuple[np.ndarray, ...]:
+    return tuple(np.zeros(0, t) for t in (U64, np.uint32, np.int64, np.int32, np.int32))
+
+
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact grouping of one partition's buckets."""
-    parts: list[list[bytes]] = [[], [], [], [], []]
+    parts: list[tuple[np.ndarray, ...]] = [_pack_none()]
     names = ["ord", "uid", "runs"]
     for batch in batches:
         done = np.asarray(K.column(batch, "runs").is_valid())
         if done.any():
             yield pa.RecordBatch.from_arrays([K.column(batch, c).filter(pa.array(done)) for c in names], names=names)
-        for part, c in zip(parts, ("ha", "hb", "ords", "uids", "pos")):
-            part += [x.as_py() for x in K.column(batch, c).filter(pa.array(~done))]
-    ha, hb, ord_, uid, pos = (np.frombuffer(b"".join(p), t) for p, t in zip(parts, (U64, np.uint32, np.int64, np.int64, np.int32)))
+        packed = (K.column(batch, c).filter(pa.array(~done)).to_pylist() for c in ("ha", "hb", "docs", "doc", "pos"))
+        parts += [_unpack(*x) for x in zip(*packed)]
+    ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*parts))
     order, later = _least(ha, hb, ord_, pos)
     gone = order[later]
     rows = list(_by_doc(ord_[gone], uid[gone], pos[gone]))
     for k in range(0, len(rows), 10_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 10_000]), (pa.int64(), pa.int64(), pa.binary()))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 10_000]), (pa.int64(), pa.int32(), pa.binary()))], names=names)
 
 
 def removed_words(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, text, and ``runs``: the runs of removed windows' starts (binary pieces), null where there are none."""
-    keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("uid"))
+    keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash("text").alias("uid"))
     chosen = S.build(docs.select("text"), "text", anchor_hashes(window), 6.2 * (window - min(GRAM, window) + 2) / 2, max_sketch_bytes)
-    buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = keyed.select("ord", "uid", "text")
     if chosen is None:
         listed = S.repeated_anchors(source.dropDuplicates(["ord", "uid"]), "text", ["ord", "uid"], anchor_hashes(window))
         source = source.join(listed, ["ord", "uid"])
-    rows = source.mapInArrow(_candidates(window, chosen, buckets), DDL).repartition("bucket").mapInArrow(_resolve, "ord long, uid long, runs binary")
+    rows = source.mapInArrow(_candidates(window, chosen, buckets), DDL).repartition("bucket").mapInArrow(_resolve, "ord long, uid int, runs binary")
     runs = rows.groupBy("ord", "uid").agg(F.collect_list("runs").alias("runs"))
     return keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
 
