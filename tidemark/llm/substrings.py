@@ -50,14 +50,6 @@ def anchor_hashes(window: int) -> S.Anchors:
     return run
 
 
-def _encode(first: np.ndarray) -> bytes:
-    """Runs of consecutive sorted window starts, as int32 pairs (first, one past the last)."""
-    cut = np.flatnonzero(np.diff(first) != 1) + 1
-    a = np.concatenate(([0], cut))
-    b = np.concatenate((cut, [len(first)]))
-    return np.stack([first[a], first[b - 1] + 1]).T.astype(np.int32).tobytes()
-
-
 def _least(ha: np.ndarray, hb: np.ndarray, ord_: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order of the entries by hash, ord, more; whether each, in that order, has a larger ord than its hash's least)."""
     order = np.lexsort((more, ord_, hb, ha))
@@ -68,21 +60,12 @@ def _least(ha: np.ndarray, hb: np.ndarray, ord_: np.ndarray, more: np.ndarray) -
     return order, o > o[first][np.cumsum(fresh) - 1]
 
 
-def _by_doc(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    order = np.lexsort((pos, uid, ord_))
-    o, u, p = ord_[order], uid[order], pos[order]
-    if len(o):
-        cut = np.flatnonzero((o[1:] != o[:-1]) | (u[1:] != u[:-1])) + 1
-        for a, b in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(o)]))):
-            yield int(o[a]), int(u[a]), _encode(np.unique(p[a:b]))
-
-
-OUT = pa.schema([("bucket", pa.int32()), ("ord", pa.int64()), ("uid", pa.int32()), ("runs", pa.binary()), ("ha", pa.binary()), ("hb", pa.binary()), ("docs", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary())])
-DDL = "bucket int, ord long, uid int, runs binary, ha binary, hb binary, docs binary, doc binary, pos binary"
+OUT = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("docs", pa.binary()), ("runs", pa.binary()), ("ha", pa.binary()), ("hb", pa.binary())])
+DDL = "bucket int, home int, docs binary, runs binary, ha binary, hb binary"
 
 
 def planes(x: np.ndarray) -> bytes:
-    """64-bit or 32-bit values as planes of 16 bits each, low to high: equal high parts compress away."""
+    """32-bit or 64-bit values as planes of 16 bits each, low to high: equal high parts compress away."""
     parts = np.ascontiguousarray(x).view(np.uint16).reshape(len(x), -1)
     return np.ascontiguousarray(parts.T).tobytes()
 
@@ -92,40 +75,63 @@ def unplanes(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint16).reshape(n, -1).T).view(kind).ravel()
 
 
-def _pack(ha: np.ndarray, hb: np.ndarray, ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[bytes, ...]:
-    """One bucket's entries, sorted by document; each document's key stands once."""
-    fresh = np.ones(len(ord_), bool)
-    fresh[1:] = (ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])
-    docs = planes(ord_[fresh]) + uid[fresh].tobytes()
-    return ha.tobytes(), hb.tobytes(), docs, planes((np.cumsum(fresh) - 1).astype(np.int32)), planes(pos)
+def pack(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes]:
+    """Positions sorted by document as one table of documents and one of runs (document, first, length)."""
+    doc = np.ones(len(ord_), bool)
+    doc[1:] = (ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])
+    run = doc.copy()
+    run[1:] |= pos[1:] != pos[:-1] + 1
+    first = np.flatnonzero(run)
+    table = np.stack([(np.cumsum(doc) - 1)[first], pos[first], np.diff(np.append(first, len(pos)))]).astype(np.int32)
+    return planes(ord_[doc]) + uid[doc].tobytes(), planes(table[0]) + planes(table[1]) + planes(table[2])
+
+
+def unpack_runs(docs: bytes, runs: bytes) -> tuple[np.ndarray, ...]:
+    """(ord, uid) of the documents, and the runs (document, first, length)."""
+    n, k = len(docs) // 12, len(runs) // 3
+    return unplanes(docs[: 8 * n], np.int64), np.frombuffer(docs[8 * n :], np.int32), *(unplanes(runs[i * k : (i + 1) * k], np.int32) for i in range(3))
+
+
+def unpack(docs: bytes, runs: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ord, uid and position, one entry per position."""
+    ord_, uid, doc, first, length = unpack_runs(docs, runs)
+    each = np.repeat(doc, length)
+    return ord_[each], uid[each], np.repeat(first - (np.cumsum(length) - length), length).astype(np.int32) + np.arange(len(each), dtype=np.int32)
+
+
+def homes(ord_: np.ndarray, uid: np.ndarray, n: int) -> np.ndarray:
+    """The bucket in which all that was found of a document meets."""
+    return (K.mix(ord_.view(U64) ^ (uid.astype(np.int64).view(U64) << U64(20))) >> U64(33)).astype(np.int64) % n
 
 
-def _unpack(ha: bytes, hb: bytes, docs: bytes, doc: bytes, pos: bytes) -> tuple[np.ndarray, ...]:
-    n = len(docs) // 12
-    which = unplanes(doc, np.int32)
-    return np.frombuffer(ha, U64), np.frombuffer(hb, np.uint32), unplanes(docs[: 8 * n], np.int64)[which], np.frombuffer(docs[8 * n :], np.int32)[which], unplanes(pos, np.int32)
+def sent_home(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray, n: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Removed window starts, packed per home bucket."""
+    home = homes(ord_, uid, n)
+    order = np.lexsort((pos, uid, ord_, home))
+    which, first = np.unique(home[order], return_index=True)
+    for w, a, b in zip(which, first, np.append(first[1:], len(order))):
+        i = order[a:b]
+        yield int(w), *pack(ord_[i], uid[i], pos[i])
 
 
-def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
+def _candidates(window: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*held))
+            ha, hb, ord_, uid, pos, bucket = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order, later = _least(ha, hb, ord_, pos)
             gone = order[later]
-            rows = [(int(u) % buckets, o, u, r, None, None, None, None, None) for o, u, r in _by_doc(ord_[gone], uid[gone], pos[gone])]
+            rows = [(int(bucket[0]), h, d, r, None, None) for h, d, r in sent_home(ord_[gone], uid[gone], pos[gone], n_homes)]
             keep = order[~later]
-            bucket = (ha[keep] >> U64(33)).astype(np.int64) % buckets
-            again = np.lexsort((pos[keep], uid[keep], ord_[keep], bucket))
-            keep, bucket = keep[again], bucket[again]
-            which, first = np.unique(bucket, return_index=True)
+            keep = keep[np.lexsort((pos[keep], uid[keep], ord_[keep], bucket[keep]))]
+            which, first = np.unique(bucket[keep], return_index=True)
             for w, a, b in zip(which, first, np.append(first[1:], len(keep))):
                 i = keep[a:b]
-                rows.append((int(w), None, None, None, *_pack(ha[i], hb[i], ord_[i], uid[i], pos[i])))
+                rows.append((int(w), None, *pack(ord_[i], uid[i], pos[i]), ha[i].tobytes(), hb[i].tobytes()))
             for k in range(0, len(rows), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 1000]), OUT)], schema=OUT)
 
@@ -139,20 +145,15 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
                 if not len(start):
                     continue
                 where, back = np.unique(least, return_inverse=True)
-                doc = np.searchsorted(at, where, "right") - 1
-                if chosen:
-                    hit = chosen.repeated(grams[where])
-                else:
-                    hit = np.zeros(len(where), bool)
-                    for x in np.unique(doc):
-                        own = np.array(listed[i + x] or [], dtype=np.int64).view(U64)
-                        hit[doc == x] = np.isin(grams[where[doc == x]], own)
-                first = start[hit[back]]
+                hit = estimated(chosen, listed, i, grams[where], np.searchsorted(at, where, "right") - 1)
+                some = hit[back]
+                first = start[some]
                 if not len(first):
                     continue
                 row = np.searchsorted(at, first, "right") - 1
                 ha, hb = (K.mix(K.range_hash(K.prefix_hash(h, b), first, first + window, b)) for b in (K.BASE_A, K.BASE_B))
-                held.append((ha, (hb >> U64(32)).astype(np.uint32), ord_[i + row], uid[i + row], (first - at[row]).astype(np.int32)))
+                bucket = ((grams[least[some]] >> U64(7)) % U64(buckets)).astype(np.int32)
+                held.append((ha, (hb >> U64(32)).astype(np.uint32), ord_[i + row], uid[i + row], (first - at[row]).astype(np.int32), bucket))
                 total += len(first)
                 if total > FLUSH:
                     yield from flush()
@@ -162,39 +163,70 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int):
     return run
 
 
-def _pack_none() -> tuple[np.ndarray, ...]:
-    return tuple(np.zeros(0, t) for t in (U64, np.uint32, np.int64, np.int32, np.int32))
+def estimated(chosen: S.Sketch | None, listed: list | None, base: int, grams: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which anchors are estimated (or, without a sketch, counted) to occur twice or more."""
+    if chosen:
+        return chosen.repeated(grams)
+    hit = np.zeros(len(grams), bool)
+    for x in np.unique(doc):
+        hit[doc == x] = np.isin(grams[doc == x], np.array(listed[base + x] or [], dtype=np.int64).view(U64))
+    return hit
+
+
+HOME = ["home", "docs", "runs"]
+
+
+def _resolve(n_homes: int):
+    """Exact grouping of one partition's buckets; what was decided before passes through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = [tuple(np.zeros(0, t) for t in (U64, np.uint32, np.int64, np.int32, np.int32))]
+        for batch in batches:
+            done = K.column(batch, "home").is_valid()
+            yield pa.RecordBatch.from_arrays([K.column(batch, c).filter(done) for c in HOME], names=HOME)
+            packed = (K.column(batch, c).filter(pa.array(~np.asarray(done))).to_pylist() for c in ("docs", "runs", "ha", "hb"))
+            parts += [(np.frombuffer(a, U64), np.frombuffer(b, np.uint32), *unpack(d, r)) for d, r, a, b in zip(*packed)]
+        ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
+        order, later = _least(ha, hb, ord_, pos)
+        gone = order[later]
+        rows = list(sent_home(ord_[gone], uid[gone], pos[gone], n_homes))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=HOME)
+
+    return run
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact grouping of one partition's buckets."""
-    parts: list[tuple[np.ndarray, ...]] = [_pack_none()]
-    names = ["ord", "uid", "runs"]
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document of what its home bucket holds: int32 pairs (first start, one past the last)."""
+    held: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
-        done = np.asarray(K.column(batch, "runs").is_valid())
-        if done.any():
-            yield pa.RecordBatch.from_arrays([K.column(batch, c).filter(pa.array(done)) for c in names], names=names)
-        packed = (K.column(batch, c).filter(pa.array(~done)).to_pylist() for c in ("ha", "hb", "docs", "doc", "pos"))
-        parts += [_unpack(*x) for x in zip(*packed)]
-    ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*parts))
-    order, later = _least(ha, hb, ord_, pos)
-    gone = order[later]
-    rows = list(_by_doc(ord_[gone], uid[gone], pos[gone]))
-    for k in range(0, len(rows), 10_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 10_000]), (pa.int64(), pa.int32(), pa.binary()))], names=names)
+        for docs, runs in zip(K.column(batch, "docs").to_pylist(), K.column(batch, "runs").to_pylist()):
+            ord_, uid, doc, first, length = unpack_runs(docs, runs)
+            held.append((ord_[doc], uid[doc], first, first + length))
+    if not held:
+        return
+    ord_, uid, first, last = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((first, uid, ord_))
+    ord_, uid, pairs = ord_[order], uid[order], np.stack([first, last], axis=1)[order].astype(np.int32)
+    cut = np.flatnonzero((ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])) + 1
+    at = np.concatenate(([0], cut))
+    for k in range(0, len(at), 10_000):
+        a, b = at[k : k + 10_000], np.append(cut, len(ord_))[k : k + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(ord_[a]), pa.array(uid[a]), pa.array([pairs[x:y].tobytes() for x, y in zip(a, b)], pa.binary())], names=["ord", "uid", "runs"])
 
 
 def removed_words(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int = 32 << 20) -> DataFrame:
-    """doc_id, text, and ``runs``: the runs of removed windows' starts (binary pieces), null where there are none."""
+    """doc_id, text, and ``runs``: int32 pairs (first, one past the last) of removed windows' starts, null where there are none."""
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash("text").alias("uid"))
     chosen = S.build(docs.select("text"), "text", anchor_hashes(window), 6.2 * (window - min(GRAM, window) + 2) / 2, max_sketch_bytes)
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = keyed.select("ord", "uid", "text")
     if chosen is None:
         listed = S.repeated_anchors(source.dropDuplicates(["ord", "uid"]), "text", ["ord", "uid"], anchor_hashes(window))
         source = source.join(listed, ["ord", "uid"])
-    rows = source.mapInArrow(_candidates(window, chosen, buckets), DDL).repartition("bucket").mapInArrow(_resolve, "ord long, uid int, runs binary")
-    runs = rows.groupBy("ord", "uid").agg(F.collect_list("runs").alias("runs"))
+    decided = source.mapInArrow(_candidates(window, chosen, 2 * n, n), DDL).repartition("bucket").mapInArrow(_resolve(n), "home int, docs binary, runs binary")
+    runs = decided.repartition("home").mapInArrow(gathered, "ord long, uid int, runs binary")
     return keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
 
 
@@ -210,7 +242,7 @@ def _apply(window: int):
                 for x in range(i, j):
                     n = int(at[x - i + 1] - at[x - i])
                     if pieces[x]:
-                        pairs = np.frombuffer(b"".join(pieces[x]), np.int32).reshape(-1, 2).astype(np.int64)
+                        pairs = np.frombuffer(pieces[x], np.int32).reshape(-1, 2).astype(np.int64)
                         keep[at[x - i] : at[x - i + 1]] = ~K.cover(pairs[:, 0], pairs[:, 1] + window - 1, n)
                     total.append(n)
                     gone.append(n - int(keep[at[x - i] : at[x - i + 1]].sum()))
