@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, language, mixing, oracles, simhash, substrings
+from tidemark.llm import decontaminate, html_text, language, line_dedup, mixing, oracles, outliers, quality, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +22,15 @@ def _documents(digest: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": _documents(mixing.digest),
-        "op9_language": _documents(language.digest),
         "op2_decontaminate": lambda spark, sf_dir: decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op3_quality": lambda spark, sf_dir: quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+        "op4_line_dedup": _documents(line_dedup.digest),
+        "op5_outliers": _documents(outliers.digest),
+        "op6_substring_dedup": _documents(substrings.digest),
+        "op7_suffix_dedup": _documents(suffixes.digest),
         "op8_simhash": _documents(simhash.digest),
+        "op9_language": _documents(language.digest),
         "op10_html_text": lambda spark, sf_dir: html_text.digest(table(spark, sf_dir, "pages")),
-        "op6_substring_dedup": _documents(substrings.digest),
     }
 
 
