@@ -40,6 +40,8 @@ RADIUS = 4
 #: The three blocks as bit masks, and the three pairs of blocks that serve as keys.
 BLOCKS = ((1 << 22) - 1, ((1 << 21) - 1) << 22, ((1 << 21) - 1) << 43)
 PAIRS = tuple(BLOCKS[a] | BLOCKS[b] for a, b in ((0, 1), (0, 2), (1, 2)))
+#: Least fingerprints for which a task of its own is worth it; keeps buckets times tasks in proportion to the input.
+TASK = 5000
 #: Groups up to this size are compared pair by pair; larger ones grow spanning trees.
 SMALL = 6
 
@@ -89,8 +91,8 @@ def _ball(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             everything = np.asarray(K.column(batch, "fp")).view(U64)
-            for k in range(0, len(everything), 4096):
-                fp = everything[k : k + 4096]
+            for k in range(0, len(everything), 1 << 14):
+                fp = everything[k : k + (1 << 14)]
                 for c, (m, flip) in enumerate(zip(PAIRS, flips)):
                     variant = ((fp & U64(m))[:, None] ^ flip[None, :]).ravel()
                     bucket = (K.mix(variant) >> U64(33)).astype(np.int64) % buckets * len(PAIRS) + c
@@ -174,7 +176,8 @@ def classes(prints: DataFrame) -> DataFrame:
     """(fp, root, component_id) for every distinct fingerprint of stored (doc_id, fp) rows; root is the component's least fingerprint."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = distinct.select("fp").repartition(n).mapInArrow(_ball(4 * n), "bucket int, fps binary, bits binary").repartition("bucket").mapInArrow(_verify, "u long, v long")
+    tasks = max(1, min(n, -(-distinct.count() // TASK)))
+    edges = distinct.select("fp").repartition(tasks).mapInArrow(_ball(n), "bucket int, fps binary, bits binary").repartition("bucket").mapInArrow(_verify, "u long, v long")
     linked = components(edges)
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
