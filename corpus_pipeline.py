@@ -13,6 +13,9 @@ takes of each document. Clean documents pass every stage; null columns pass thro
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,23 +24,43 @@ from tidemark.llm.durable import stored
 from tidemark.llm.queries import table
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+NEEDED = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def shielded(stage: Stage) -> Stage:
+    """The stage with all other columns under neutral names, so none can clash with one it adds."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = {c: f"_other_{k}" for k, c in enumerate(docs.columns) if c not in NEEDED}
+        back = {v: k for k, v in others.items()}
+        return stage(spark, docs.withColumnsRenamed(others), sf_dir).withColumnsRenamed(back).select(*docs.columns)
+
+    return run_stage
+
+
+@shielded
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language.identify(docs, language.fit(docs))
-    return found.where("accepted").select(*docs.columns)
+    return found.where("accepted")
 
 
+@shielded
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = line_dedup.dedup(docs).where((F.col("n_removed") == 0) | (F.col("n_lines") > F.col("n_removed")))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
+@shielded
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs).select(*docs.columns)
+    return simhash.keep_one(docs)
 
 
+@shielded
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return judged.where(~decontaminate.is_contaminated()).select(*docs.columns)
+    return judged.where(~decontaminate.is_contaminated())
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
