@@ -1,17 +1,14 @@
-"""Registry of the core queries: (spark, sf_dir) -> DataFrame, and the SQL that checks each."""
+"""All core queries: (spark, sf_dir) -> DataFrame, and the SQL that checks each."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+from tidemark.plans import attention, corpus, emergence, ingest, metrics, scalar, vectors  # noqa: F401 - they register their queries
+from tidemark.plans.registry import ORACLES, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
