@@ -1,3 +1,41 @@
 """DuckDB SQL of the operators that SQL can express, for tables named as in the test data."""
 
-SQL: dict[str, str] = {}
+#: op1: targets by one water level, documents laid end to end in hash order, whole passes plus a prefix of the blocks.
+MIXING = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w, 3 * source_size AS stop FROM s),
+o AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
+       coalesce(sum(stop) OVER (ORDER BY stop / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_, coalesce(sum(w) OVER (ORDER BY stop / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_w FROM w),
+l AS (SELECT max(CASE WHEN (total::DOUBLE - full_) / (all_w - full_w) <= stop::DOUBLE / w THEN (total::DOUBLE - full_) / (all_w - full_w) END) AS level FROM o),
+t AS (SELECT source, source_size, least(stop::DOUBLE, level * w) AS target, least(round(least(stop::DOUBLE, level * w))::BIGINT, stop) AS need FROM o, l),
+p AS (SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN need // t.source_size ELSE 0 END AS epochs, CASE WHEN t.source_size > 0 THEN need % t.source_size ELSE 0 END AS rest,
+       coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(start + size, rest) - start) AS BIGINT) AS taken FROM p
+"""
+
+#: op2: every item window compared with every document window of its length.
+DECONTAMINATE = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT item_id, least(13, len(w)) AS n, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS t FROM iw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS t FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))),
+hit AS (SELECT doc_id, i, n, item_id FROM dw JOIN win USING (n, t)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+#: op6: every 50-word window grouped by its words.
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+x AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+f AS (SELECT h, min(doc_id) AS first FROM x GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM x JOIN f USING (h) WHERE first < doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS}

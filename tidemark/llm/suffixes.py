@@ -1,8 +1,9 @@
 """Suffix-array dedup: bytes covered by a string of ``length`` bytes that starts anywhere else too.
 
 1. Every string of ``length`` bytes has an anchor (its minimal gram of 128 bytes; equal strings
-   have equal anchors). A count-min sketch of anchors (:mod:`tidemark.llm.sketch`) drops the
-   strings that are certainly unique.
+   have equal anchors), and holds the anchor with at least half of what is missing to ``length``
+   either before or after it. A count-min sketch (:mod:`tidemark.llm.sketch`) of anchors extended
+   to the left, and to the right, drops the strings that are certainly unique.
 2. The strings that share one occurrence of an anchor are consecutive; the piece of text that they
    span (at most 2 * length bytes) is sent to its anchor's bucket. Equal pieces within a task are
    settled there and sent once, so a passage that a third of all documents hold is sent once per
@@ -48,10 +49,25 @@ def _prepare(data: np.ndarray, offsets: np.ndarray, length: int):
     return values, *K.anchors(values, offsets, min(GRAM, length), length)
 
 
+def _extended(values: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Hashes of each anchor with the text before it and with the text after it, and whether its document has as much."""
+    gram = min(GRAM, length)
+    more = (length - gram) // 2
+    prefix = K.prefix_hash(values, K.BASE_A)
+    doc = np.searchsorted(offsets, at, "right") - 1
+    hashes, there = [], []
+    for first in (at - more, at):
+        last = first + gram + more
+        there.append((first >= offsets[doc]) & (last <= offsets[doc + 1]))
+        hashes.append(K.mix(K.range_hash(prefix, np.where(there[-1], first, 0), np.where(there[-1], last, 0), K.BASE_A)))
+    return hashes, there
+
+
 def anchor_hashes(length: int) -> S.Anchors:
     def run(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        _, _, least, grams = _prepare(data, offsets, length)
-        return grams[least[np.flatnonzero(np.diff(least, prepend=-1))]]
+        values, _, least, _ = _prepare(data, offsets, length)
+        hashes, there = _extended(values, offsets, least[np.flatnonzero(np.diff(least, prepend=-1))], length)
+        return np.concatenate([h[t] for h, t in zip(hashes, there)])
 
     return run
 
@@ -99,12 +115,12 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
             rows = [(int(w) % buckets, w, d, r, None, None, None) for w, d, r in _settled(keys[same, 0], keys[same, 1].astype(np.int32), meta[same, 2].astype(np.int32), meta[same, 1], n_homes)]
             keep, several = order[lead], times[lead] > 1
             bucket = ((hashes[keep, 0] >> U64(7)) % U64(buckets)).astype(np.int32)
-            by = np.argsort(bucket, kind="stable")
+            by = np.lexsort((hashes[keep, 0], bucket))  # pieces of one anchor side by side, so they compress well
             which, first = np.unique(bucket[by], return_index=True)
             for w, a, b in zip(which, first, np.append(first[1:], len(by))):
                 i = keep[by[a:b]]
                 numbers = b"".join(planes(x) for x in (*meta[i].T.astype(np.int32), several[by[a:b]].astype(np.int32), keys[i, 0], keys[i, 1].astype(np.int32)))
-                rows.append((int(w), None, None, None, hashes[i].tobytes(), numbers, b"".join([raw[x : x + y] for x, y in zip(at[i].tolist(), size[i].tolist())])))
+                rows.append((int(w), None, None, None, hashes[i].tobytes(), numbers, pa.compress(b"".join([raw[x : x + y] for x, y in zip(at[i].tolist(), size[i].tolist())]), codec="zstd", asbytes=True)))
             for k in range(0, len(rows), 500):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 500]), OUT)], schema=OUT)
 
@@ -122,11 +138,17 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
                     continue
                 count = np.diff(np.append(head, len(least)))
                 doc = np.searchsorted(o, start[head], "right") - 1
-                some = estimated(chosen, listed, i, grams[least[head]], doc)
-                head, count, doc = head[some], count[some], doc[some]
-                if not len(head):
+                anchor, first = least[head], start[head]
+                gram, more = min(GRAM, length), (length - min(GRAM, length)) // 2
+                wide, there = _extended(values, o, anchor, length)
+                before, after = (t & estimated(chosen, listed, i, h, doc) for h, t in zip(wide, there))
+                last = first + count  # one past the last start; strings that lack both extensions are unique
+                lo = np.where(before, first, np.maximum(first, anchor + gram + more - length))
+                hi = np.where(after, last, np.minimum(last, anchor - more + 1))
+                some = (before | after) & (lo < hi)
+                if not some.any():
                     continue
-                first = start[head]
+                head, doc, first, count = head[some], doc[some], lo[some], (hi - lo)[some]
                 ends = first + count + length - 1
                 hashes = np.stack([grams[least[head]], *(K.mix(K.range_hash(K.prefix_hash(values, b), first, ends, b) ^ count.astype(U64)) for b in (K.BASE_A, K.BASE_B))], axis=1)
                 meta = np.stack([least[head] - first, count, first - o[doc]], axis=1)
@@ -236,7 +258,7 @@ def _resolve(length: int, n_homes: int):
                 n = len(hashes)
                 ints = [unplanes(m[4 * n * k : 4 * n * (k + 1)], np.int32) for k in range(4)]
                 parts.append((hashes, np.stack(ints, axis=1), unplanes(m[16 * n : 24 * n], np.int64), unplanes(m[24 * n :], np.int32)))
-                blobs.append(raw)
+                blobs.append(pa.decompress(raw, decompressed_size=int(ints[1].sum()) + n * (length - 1), codec="zstd", asbytes=True))
         if not parts:
             return
         hashes, meta, ord_, uid = (np.concatenate([p[k] for p in parts]) for k in range(4))
@@ -304,7 +326,7 @@ def dedup(docs: DataFrame, *, length: int = 400, max_sketch_bytes: int = 32 << 2
     kind = dict(docs.dtypes)["doc_id"]
     text = F.col("text").cast("string")
     keyed = docs.select("doc_id", text.cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash(text).alias("uid"))
-    chosen = S.build(keyed.select("text"), "text", anchor_hashes(length), (length - min(GRAM, length) + 2) / 2, max_sketch_bytes)
+    chosen = S.build(keyed.select("text"), "text", anchor_hashes(length), (length - min(GRAM, length) + 2) / 4, max_sketch_bytes)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = keyed.select("ord", "uid", "text")
     if chosen is None:
