@@ -78,9 +78,10 @@ def _running(df: DataFrame, by: str, bucket: str, order: list, value: Column, na
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, share: float = 1.0, block: int = 1024) -> tuple[DataFrame, DataFrame]:
     """(documents, schedule).
 
-    documents: row, doc_id, source, size, source_size, target. schedule: slot, source, rank, epoch,
-    block, row, doc_id, start, words - the pieces of documents that each slot takes, where start is
-    the first word within the document.
+    documents: s, start, doc_id, source, size, source_size, target; s numbers the sources and start
+    is the document's place among the words of its source, so (s, start) names a document that has
+    words, also where rows repeat. schedule: slot, s, rank, epoch, block, start, doc_id, first, words
+    - the pieces of documents that each slot takes, where first is the first word within the document.
     """
     keyed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     sized = stored(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("size"), keyed.alias("k")), "sizes")
@@ -101,11 +102,10 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     sources = plan.select("s", F.col("source").alias("_source"), "source_size", "target")
     laid = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     bucket = F.shiftrightunsigned(F.conv(F.substring("k", 1, 8), 16, 10).cast("long"), 32 - bits)
-    row = F.xxhash64("doc_id", "size", "k")
-    laid = _running(laid.withColumn("bucket", bucket).withColumn("row", row), "s", "bucket", ["k", "doc_id", "size"], F.col("size"), "start")
-    laid = stored(laid.select("row", "doc_id", "source", "s", "size", "source_size", "target", "start"), "laid")
+    laid = _running(laid.withColumn("bucket", bucket), "s", "bucket", ["k", "doc_id", "size"], F.col("size"), "start")
+    laid = stored(laid.select("doc_id", "source", "s", "size", "source_size", "target", "start"), "laid")
     last = F.expr(f"(start + size - 1) div {block}")
-    pieces = laid.where("size > 0").select("row", "doc_id", "s", "start", "size", F.explode(F.sequence(F.expr(f"start div {block}"), last)).alias("block"))
+    pieces = laid.where("size > 0").select("doc_id", "s", "start", "size", F.explode(F.sequence(F.expr(f"start div {block}"), last)).alias("block"))
 
     # slots: points of the rotation looked up in cumulative targets
     spark = docs.sparkSession
@@ -130,13 +130,13 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
 
     lo = F.greatest(F.col("start"), F.col("block") * block)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("take"))
-    schedule = used.join(pieces, ["s", "block"]).select("slot", "s", "rank", "epoch", "block", "row", "doc_id", (lo - F.col("start")).alias("start"), (hi - lo).cast("long").alias("words")).where("words > 0")
+    schedule = used.join(pieces, ["s", "block"]).select("slot", "s", "rank", "epoch", "block", "start", "doc_id", (lo - F.col("start")).alias("first"), (hi - lo).cast("long").alias("words")).where("words > 0")
     return laid, schedule
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
     """The columns of query op1: what the mix takes of each document."""
     laid, schedule = mix(docs, **options)
-    taken = schedule.groupBy("row").agg(F.sum("words").alias("taken"))
-    sums = laid.join(taken, "row", "left")
+    taken = schedule.groupBy(F.col("s").alias("_s"), F.col("start").alias("_start")).agg(F.sum("words").alias("taken"))
+    sums = laid.join(taken, (F.col("s") == F.col("_s")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0), "left")
     return sums.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
