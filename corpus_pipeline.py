@@ -35,7 +35,8 @@ def shielded(stage: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         others = {c: f"_other_{k}" for k, c in enumerate(docs.columns) if c not in NEEDED}
         back = {v: k for k, v in others.items()}
-        return stage(spark, docs.withColumnsRenamed(others), sf_dir).withColumnsRenamed(back).select(*docs.columns)
+        out = stage(spark, docs.withColumnsRenamed(others), sf_dir)
+        return out.select(*(others.get(c, c) for c in docs.columns)).withColumnsRenamed(back)
 
     return run_stage
 
