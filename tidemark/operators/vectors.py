@@ -33,7 +33,7 @@ def centroids(vectors: DataFrame, group: str, vector: str) -> DataFrame:
 
 def nearest_to_centroid(vectors: DataFrame, group: str, order: str, vector: str, k: int = 15) -> DataFrame:
     """The k members of each group nearest to its centroid by cosine; ties keep the earlier row; a degenerate centroid takes the first k."""
-    rows = vectors.join(F.broadcast(centroids(vectors, group, vector)), group)
+    rows = vectors.join(centroids(vectors, group, vector), group)
     sim = F.when(F.col("degenerate"), F.lit(0.0)).otherwise(dot(unit(F.col(vector)), F.col("centroid")))
     rows = rows.withColumn("similarity", sim)
     w = W.partitionBy(group).orderBy(F.desc("similarity"), order)
@@ -68,10 +68,3 @@ def aligned(plan: DataFrame, vectors: DataFrame, key: str = "point_id") -> DataF
         raise ValueError(f"no vector for {lost[0][key]}")
     return plan.join(vectors, key).orderBy("idx")
 
-
-def pairwise_top(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """Exact nearest rows of a stated, small query set, by cosine."""
-    q = queries.select(F.col(key).alias("query"), unit(F.col(vector)).alias("_q"))
-    sims = rows.select(key, unit(F.col(vector)).alias("_v")).crossJoin(F.broadcast(q)).where(F.col(key) != F.col("query"))
-    sims = sims.select("query", key, dot(F.col("_q"), F.col("_v")).alias("similarity"))
-    return sims.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("similarity"), key))).where(F.col("rank") <= k)

@@ -38,11 +38,11 @@ def vec04_cached_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("point_id", F.size("vector").alias("n"))
 
 
-@query("vec06_similar_rows", """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), u AS (SELECT vec_id, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-12)) AS v FROM e)
- SELECT q.vec_id AS query, r.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, r.v) DESC, r.vec_id) AS rank FROM u q, u r WHERE q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id QUALIFY rank <= 5""")
-def vec06_similar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    return V.pairwise_top(rows.where("vec_id % 100 = 0"), rows, "vec_id", "embedding", 5).select("query", "vec_id", F.col("rank").cast("bigint").alias("rank"))
+@query("vec06_aligned_matrix", "SELECT 999999 - vec_id AS idx, vec_id AS point_id, round(embedding[1]::DOUBLE, 6) AS x FROM embeddings")
+def vec06_aligned_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"))
+    plan = rows.select("point_id", (F.lit(999999) - F.col("point_id")).alias("idx"))
+    return V.aligned(plan, rows).select("idx", "point_id", F.round(F.element_at("vector", 1).cast("double"), 6).alias("x"))
 
 
 @query("ml02_topic_keywords", """WITH t AS (SELECT lang AS topic, unnest(string_split(trim(regexp_replace(lower(text), '[^\\pL\\pN]+', ' ', 'g')), ' ')) AS term FROM documents), tf AS (SELECT topic, term, count(*) AS tf FROM t WHERE term <> '' GROUP BY ALL),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import attention, corpus, emergence, ingest, metrics, scalar, vectors  # noqa: F401 - they register their queries
+from tidemark.plans import attention, corpus, emergence, ingest, metrics, more, scalar, vectors  # noqa: F401 - they register their queries
 from tidemark.plans.registry import ORACLES, QUERIES, Query
 
 
