@@ -79,11 +79,14 @@ PAGE = '<html><head><title>T</title></head><body class="no-sidebar"><header><a>H
 TEXT = "Title & more\nFirst para, with bold text.\nSecond.\nOne item\nTwo\ncode here"
 
 
+WRAPPED = '<div id="page" class="site has-sidebar"><div class="header-fixed wrap"><article class="post"><h1>Head</h1><p>Body text, here.</p></article></div><div class="sidebar"><p>Side.</p></div><div class="related-posts"><article><p>Another article, with text.</p></article></div><ol id="comments"><li><article class="comment-body"><p>A comment, a long one, it goes on.</p></article></ol></div>'
+
+
 def test_html(spark):
-    rows = [(1, "u", PAGE), (2, "u", PAGE.replace("article", "div").replace("main>", "div>")), (3, None, None), (4, "u", ""), (5, "u", "plain &amp text"), (6, "u", "<p>a &lt; b<p>c<!-- x"), (7, "u", "<div><p>x</p><script>a<b"), (7, "u", "<div><p>x</p><script>a<b"), (8, "u", '<p a=">">y</p><p'), (9, "u", "<nav>only menu</nav>")]
+    rows = [(1, "u", PAGE), (2, "u", PAGE.replace("article", "div").replace("main>", "div>")), (3, None, None), (4, "u", ""), (5, "u", "plain &amp text"), (6, "u", "<p>a &lt; b<p>c<!-- x"), (7, "u", "<div><p>x</p><script>a<b"), (7, "u", "<div><p>x</p><script>a<b"), (8, "u", '<p a=">">y</p><p'), (9, "u", "<nav>only menu</nav>"), (10, "u", WRAPPED)]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string")
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.digest(pages).collect())
-    want = [(1, TEXT), (2, TEXT), (3, ""), (4, ""), (5, "plain & text"), (6, "a < b\nc"), (7, "x"), (7, "x"), (8, "y"), (9, "")]
+    want = [(1, TEXT), (2, TEXT), (3, ""), (4, ""), (5, "plain & text"), (6, "a < b\nc"), (7, "x"), (7, "x"), (8, "y"), (9, ""), (10, "Head\nBody text, here.")]
     assert got == sorted((i, t, len(t)) for i, t in want)
     clash = html_text.extract(pages.withColumn("text", F.lit("old")).withColumn("n_chars", F.lit(1)))
     assert clash.where("page_id = 7").first()["text"] == "x" and html_text.digest(pages.limit(0)).count() == 0

@@ -6,7 +6,8 @@ over the nodes in page order (three-node triangular kernel, so a short paragraph
 counts with them) and fused by their product. Paths whose fused ratio reaches ``THRESHOLD`` times
 the page's mass-weighted mean are content. Elements that by their tag or their class or id words
 are menus, headers, footers, sidebars, notices, adverts, forms or comments have ratio zero, and so
-has all inside them. The content node is the smallest container that holds the content paths' mass
+has all inside them (a name alone does not bind an article or main element inside, nor a page
+without one of which nothing would be left). The content node is the smallest container that holds the content paths' mass
 (never smaller than the article or main element around it); its blocks outside zero-ratio elements
 are the text, so headings and short paragraphs of the article stay.
 
@@ -44,29 +45,37 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 CONTAINER = frozenset("html body div section article main table tbody tr td center".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Words of class, id and role attributes that mark what is not article text.
-ZERO_WORDS = frozenset("ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead header footer foot copyright cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations widget comment comments commentlist disqus respond reply replies pagination pager skip contentinfo complementary".split())
-EXEMPT = frozenset("html body article main".split())
+ZERO_WORDS = frozenset("ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead header footer foot copyright cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login search share sharing social widget pagination pager skip contentinfo complementary".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Words for lists of other articles and for comments: an article element inside is not the page's article.
+OTHERS = COMMENT_WORDS | frozenset("related recommended recommendations".split())
+STATED = re.compile(r"\b(?:has|no|with|without|is|not)-[a-z0-9]+")
 THRESHOLD = 0.25
 
 
 class Element:
     __slots__ = ("tag", "up", "zero", "key", "mass")
 
-    def __init__(self, tag: str, up: Element | None, zero: bool, key: str):
+    def __init__(self, tag: str, up: Element | None, zero: int, key: str):
         self.tag, self.up, self.zero, self.key, self.mass = tag, up, zero, key, 0.0
 
 
-def _zero(tag: str, attributes: str) -> bool:
+def _zero(tag: str, attributes: str) -> int:
+    """2: outside the article for certain; 1: by its name only, as a wrapper around everything may be called; 0: not."""
     if tag in ZERO_TAGS:
-        return True
-    if tag in EXEMPT or not attributes:
-        return False
-    return any(w in ZERO_WORDS for m in NAMED.finditer(attributes) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower()))
+        return 2
+    if not attributes or tag in ("html", "body", "main"):
+        return 0
+    names = [STATED.sub("", (m[1] or m[2] or m[3] or "").lower()) for m in NAMED.finditer(attributes)]
+    if tag == "article":
+        return 2 * any(w in COMMENT_WORDS or w == "comment-body" for n in names for w in n.split())
+    words = {w for n in names for w in WORD.findall(n)}
+    return 2 if words & OTHERS else int(bool(words & ZERO_WORDS))
 
 
 def parse(page: str) -> list[tuple[Element, str]]:
     """The blocks of a page in order: the element they stand in, and their raw text."""
-    root = Element("", None, False, "")
+    root = Element("", None, 0, "")
     at, blocks, text, home, blank = root, [], [], root, True
     pos, end = 0, len(page)
 
@@ -124,7 +133,8 @@ def parse(page: str) -> list[tuple[Element, str]]:
                 cut = x
             if cut is not None:
                 at = cut.up
-        at = Element(tag, at, at.zero or _zero(tag, attributes), f"{at.key}/{tag}" if tag in BLOCK else at.key)
+        outer = 0 if at.zero == 1 and tag in ("article", "main") else at.zero
+        at = Element(tag, at, max(outer, _zero(tag, attributes)), f"{at.key}/{tag}" if tag in BLOCK else at.key)
     close()
     return blocks
 
@@ -135,6 +145,10 @@ def main_text(page: str | None) -> str:
     blocks = [(x, s) for x, raw in parse(page) if (s := SPACE.sub(" ", entities.unescape(raw)).strip())]
     if not blocks:
         return ""
+    if all(x.zero for x, _ in blocks) and not re.search("<(?:article|main)[ >]", page, re.IGNORECASE):
+        for x, _ in blocks:  # a page whose every block stands in a wrapper with such a name
+            if x.zero == 1:
+                x.zero = 0
     totals: dict[str, list[float]] = {}
     for x, s in blocks:
         t = totals.setdefault(x.key, [0.0, 0.0, 0.0])
