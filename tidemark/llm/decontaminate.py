@@ -225,19 +225,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     added = ("n_words", "n_hit", "hit_spans", "hit_items")
     out = docs.drop(*(c for c in added if c != text))
     schema = T.StructType([*out.schema.fields, T.StructField("_tm_words", T.LongType()), T.StructField("_tm_spans", T.BinaryType()), T.StructField("_tm_items", T.ArrayType(T.StringType()))])
-    state, passes = out, 0
+    state, match = out, None
     for items in _item_blocks(benchmark, item_id, item_text, block_bytes):
         index = Index(items, window)
-        counted = docs.select(F.col(text).alias("text")).mapInArrow(_count(index, "text"), "gram int, hash long, n long").groupBy("gram", "hash").agg(F.sum("n").alias("n"))
+        counted = docs.select(F.col(text).alias("text")).mapInArrow(K.tidy(_count(index, "text")), "gram int, hash long, n long").groupBy("gram", "hash").agg(F.sum("n").alias("n"))
         index.choose({(r["gram"], r["hash"] & ((1 << 64) - 1)): r["n"] for r in counted.toLocalIterator()})
-        if passes:
-            state = stored(state, "decontaminate")
-        state = state.mapInArrow(_match(index, text), schema)
-        passes += 1
-    if not passes:
-        state = out.mapInArrow(_match(Index([], window), text), schema)
+        if match:
+            state = stored(state.mapInArrow(K.tidy(match), schema), "decontaminate")
+        match = _match(index, text)
+    last = match or _match(Index([], window), text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _finish(last(batches))
+
     done = T.StructType([*out.schema.fields, T.StructField("_tm_n_words", T.LongType()), T.StructField("_tm_n_hit", T.LongType()), T.StructField("_tm_hit_spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("_tm_hit_items", T.ArrayType(T.StringType()))])
-    result = state.mapInArrow(_finish, done)
+    result = state.mapInArrow(K.tidy(run), done)
     return result.withColumnsRenamed({f"_tm_{c}": c for c in added})
 
 

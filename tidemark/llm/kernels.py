@@ -7,12 +7,13 @@ for a word, a line or a window. A block holds whole documents only; a document l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 U64 = np.uint64
 
 #: Odd multipliers of the polynomial hashes (arithmetic modulo 2**64).
@@ -35,6 +36,23 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, giving free memory back to the system when a task ends: workers outlive tasks and share an executor."""
+
+    def tidied(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = x ^ (x >> U64(30))

@@ -81,7 +81,7 @@ def _print(text: str, shingle: int):
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id, uid (a hash of the text) and ``fp`` (the fingerprint's bits as a long)."""
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text")).mapInArrow(_print("text", shingle), f"doc_id {kind}, uid long, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text")).mapInArrow(K.tidy(_print("text", shingle)), f"doc_id {kind}, uid long, fp long")
 
 
 def _ball(buckets: int):
@@ -177,7 +177,7 @@ def classes(prints: DataFrame) -> DataFrame:
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(n, -(-distinct.count() // TASK)))
-    edges = distinct.select("fp").repartition(tasks).mapInArrow(_ball(n), "bucket int, fps binary, bits binary").repartition("bucket").mapInArrow(_verify, "u long, v long")
+    edges = distinct.select("fp").repartition(tasks).mapInArrow(K.tidy(_ball(n)), "bucket int, fps binary, bits binary").repartition("bucket").mapInArrow(K.tidy(_verify), "u long, v long")
     linked = components(edges)
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))

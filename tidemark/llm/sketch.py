@@ -112,10 +112,10 @@ def build(docs: DataFrame, text: str, anchors: Anchors, gap: float, max_bytes: i
     if slices * SLICE // 8 > max_bytes:
         return None
     schema = "slice int, cells binary"
-    part = docs.select(text).mapInArrow(_partials(text, anchors, slices), schema)
+    part = docs.select(text).mapInArrow(K.tidy(_partials(text, anchors, slices)), schema)
     n = max(1, min(slices, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    part = part.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("slice", "salt").select("slice", "cells").mapInArrow(_merge(False), schema)
-    merged = part.repartition(n, "slice").mapInArrow(_merge(True), schema)
+    part = part.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("slice", "salt").select("slice", "cells").mapInArrow(K.tidy(_merge(False)), schema)
+    merged = part.repartition(n, "slice").mapInArrow(K.tidy(_merge(True)), schema)
     bits = np.zeros(slices * SLICE // 8, np.uint8)
     for row in merged.toLocalIterator():
         bits[row["slice"] * SLICE // 8 : (row["slice"] + 1) * SLICE // 8] = np.frombuffer(row["cells"], np.uint8)
@@ -134,6 +134,6 @@ def repeated_anchors(docs: DataFrame, text: str, key: list[str], anchors: Anchor
             yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate([h for h, _ in own] or [np.zeros(0, U64)]).view(np.int64)), pa.array(np.concatenate([n for _, n in own] or [np.zeros(0, np.int64)]))], names=[*key, "h", "n"])
 
     kinds = dict(docs.dtypes)
-    rows = stored(docs.select(*key, text).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", h long, n long"), "anchors")
+    rows = stored(docs.select(*key, text).mapInArrow(K.tidy(run), ", ".join(f"{k} {kinds[k]}" for k in key) + ", h long, n long"), "anchors")
     twice = stored(rows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "twice")
     return rows.join(twice, "h", "left_semi").groupBy(*key).agg(F.collect_list("h").alias("anchors"))

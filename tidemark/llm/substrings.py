@@ -33,7 +33,7 @@ U64 = np.uint64
 #: Words of the grams from which a window's anchor is chosen.
 GRAM = 16
 LAST = (1 << 63) - 1
-FLUSH = 3 << 19
+FLUSH = 1 << 20
 
 
 def _prepare(data: np.ndarray, offsets: np.ndarray, window: int):
@@ -225,8 +225,8 @@ def removed_words(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int =
     if chosen is None:
         listed = S.repeated_anchors(source.dropDuplicates(["ord", "uid"]), "text", ["ord", "uid"], anchor_hashes(window))
         source = source.join(listed, ["ord", "uid"])
-    decided = source.mapInArrow(_candidates(window, chosen, 2 * n, n), DDL).repartition("bucket").mapInArrow(_resolve(n), "home int, docs binary, runs binary")
-    runs = decided.repartition("home").mapInArrow(gathered, "ord long, uid int, runs binary")
+    decided = source.mapInArrow(K.tidy(_candidates(window, chosen, 2 * n, n)), DDL).repartition("bucket").mapInArrow(K.tidy(_resolve(n)), "home int, docs binary, runs binary")
+    runs = decided.repartition("home").mapInArrow(K.tidy(gathered), "ord long, uid int, runs binary")
     return keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
 
 
@@ -273,7 +273,7 @@ def joined(d: np.ndarray, o: np.ndarray, starts: np.ndarray, ends: np.ndarray, a
 def dedup(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, n_words, n_removed and ``text`` (the kept words joined by one space)."""
     kind = dict(docs.dtypes)["doc_id"]
-    out = removed_words(docs, window=window, max_sketch_bytes=max_sketch_bytes).mapInArrow(_apply(window), f"doc_id {kind}, n_words long, n_removed long, kept binary")
+    out = removed_words(docs, window=window, max_sketch_bytes=max_sketch_bytes).mapInArrow(K.tidy(_apply(window)), f"doc_id {kind}, n_words long, n_removed long, kept binary")
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("text"))
 
 

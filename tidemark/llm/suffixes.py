@@ -41,7 +41,7 @@ U64 = np.uint64
 #: Bytes of the grams from which anchors are chosen.
 GRAM = 128
 #: Bytes of pieces that a task gathers before it settles what it has.
-FLUSH = 12 << 20
+FLUSH = 8 << 20
 
 
 def _prepare(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -332,10 +332,10 @@ def dedup(docs: DataFrame, *, length: int = 400, max_sketch_bytes: int = 32 << 2
     if chosen is None:
         listed = S.repeated_anchors(source, "text", ["ord", "uid"], anchor_hashes(length))
         source = source.join(listed, ["ord", "uid"])
-    decided = source.mapInArrow(_pieces(length, chosen, 2 * n, n), DDL).repartition("bucket").mapInArrow(_resolve(length, n), "home int, docs binary, runs binary")
-    runs = decided.repartition("home").mapInArrow(gathered, "ord long, uid int, runs binary")
+    decided = source.mapInArrow(K.tidy(_pieces(length, chosen, 2 * n, n)), DDL).repartition("bucket").mapInArrow(K.tidy(_resolve(length, n)), "home int, docs binary, runs binary")
+    runs = decided.repartition("home").mapInArrow(K.tidy(gathered), "ord long, uid int, runs binary")
     joined = keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(_apply(length), f"doc_id {kind}, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
+    return joined.mapInArrow(K.tidy(_apply(length)), f"doc_id {kind}, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
