@@ -6,7 +6,8 @@ writes every stage's result to shared storage before the next one reads it.
 What each stage decides: language ID drops texts that are null, have no letter or fit none of the
 learned languages; line dedup deletes aligned common lines from the later document and drops
 documents of which no line is left (``n_chars`` is counted again); near-dedup keeps the smallest
-doc_id of each component of five-word SimHash fingerprints; decontamination drops documents of
+doc_id of each component of texts whose sets of five-word shingles have a Jaccard similarity of
+0.8 or more (its name stays, SimHash itself is query op8); decontamination drops documents of
 which at least a twentieth of the words lie in benchmark windows; mixing returns what the mix
 takes of each document. Clean documents pass every stage; null columns pass through.
 """
@@ -19,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, line_dedup, mixing, simhash
+from tidemark.llm import decontaminate, language, line_dedup, mixing, similar
 from tidemark.llm.durable import stored
 from tidemark.llm.queries import table
 
@@ -55,7 +56,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shielded
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return similar.keep_one(docs)
 
 
 @shielded

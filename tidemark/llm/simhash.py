@@ -195,7 +195,12 @@ def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
 
     Repeated rows of the kept document are reduced to one row.
     """
-    found = near_duplicates(docs, shingle).withColumn("key", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid"))
+    return one_of_each(docs, near_duplicates(docs, shingle))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The least (doc_id, text hash) of each root among found's rows of doc_id, uid and root."""
+    found = found.withColumn("key", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid"))
     counted = found.groupBy("root", "key").agg(F.count("*").alias("n"))
     keep = stored(counted.groupBy("root").agg(F.min(F.struct("key", "n")).alias("k")).select("k.key.doc_id", "k.key.uid", "k.n"), "keepers")
     keyed = docs.withColumn("_tm_uid", F.xxhash64("text"))
