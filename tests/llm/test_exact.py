@@ -205,3 +205,10 @@ def test_schedule_is_spread(docs):
     share = {s: slots.count(s) / len(slots) for s in set(slots)}
     for n in (50, 100, len(slots)):  # every prefix of the schedule is near the shares
         assert all(abs(slots[:n].count(s) - n * share[s]) <= 6 for s in share)
+
+
+def test_line_dedup_deletes_short_shared_lines(spark):
+    texts = ["A short line here.\nOnly the first has this.", "Only the second has that.\nA short line here.\nIts own end.", "Word\nAnother own line.", "Third own line.\nWord"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    kept = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup(docs).collect()}
+    assert kept == {0: (texts[0], 0), 1: ("Only the second has that.\nIts own end.", 1), 2: (texts[2], 0), 3: ("Third own line.", 1)}

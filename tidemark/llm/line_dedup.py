@@ -10,8 +10,8 @@ consecutive shared lines the rarest line names the run's partner (ties: the earl
 document is aligned with that partner; shared lines that the alignment leaves uncovered name their
 own first holders in a second round, so no shared line is ever skipped for being common. Alignment:
 patience diff (unique common lines, longest increasing run, recursion between them, blocks grown at
-both ends). Aligned common blocks of at least ``min_words`` words are deleted from the later
-document; deletions of all pairs of a document are united.
+both ends). Aligned common blocks of at least ``min_words`` = 1 words, so all of them, are deleted
+from the later document; deletions of all pairs of a document are united.
 
 What crosses the network are line hashes, never texts, until the final join of deletions.
 
@@ -38,7 +38,7 @@ from tidemark.llm.durable import stored
 
 U64 = np.uint64
 LAST = (1 << 63) - 1
-MIN_WORDS = 10
+MIN_WORDS = 1
 NEWLINE = np.arange(256) == 10
 
 
