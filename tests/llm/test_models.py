@@ -92,6 +92,14 @@ def test_html(spark):
     assert clash.where("page_id = 7").first()["text"] == "x" and html_text.digest(pages.limit(0)).count() == 0
 
 
+def test_html_without_an_article_keeps_its_tail():
+    part = "<p>A paragraph of the text, with commas, and some more words.</p>"
+    said = "A paragraph of the text, with commas, and some more words."
+    for tail in ("<div class=part2><p>The last part, also said, in a div.</p></div>", "<section><p>The last part, also said, in a div.</p></section>"):
+        page = f"<body><div class=menu><a>Home</a></div><div class=content><div class=body>{part * 12}</div>{tail}</div></body>"
+        assert html_text.main_text(page) == "\n".join([said] * 12 + ["The last part, also said, in a div."])
+
+
 def test_html_of_test_data(spark):
     import html
     import re

@@ -7,9 +7,10 @@ counts with them) and fused by their product. Paths whose fused ratio reaches ``
 the page's mass-weighted mean are content. Elements that by their tag or their class or id words
 are menus, headers, footers, sidebars, notices, adverts, forms or comments have ratio zero, and so
 has all inside them (a name alone does not bind an article or main element inside, nor a page
-without one of which nothing would be left). The content node is the smallest container that holds the content paths' mass
-(never smaller than the article or main element around it); its blocks outside zero-ratio elements
-are the text, so headings and short paragraphs of the article stay.
+without one of which nothing would be left). The content node is the article or main element that
+holds at least ``STATED_SHARE`` of the content paths' mass, as the page itself states where its
+article ends; without one, it is the smallest container that holds all blocks on content paths. Its
+blocks outside zero-ratio elements are the text, so headings and short paragraphs of the article stay.
 
 Inside a block white space is one space, ``br`` included; blocks are joined by one newline.
 Character references are decoded as HTML does, also unfinished ones that HTML accepts.
@@ -51,6 +52,7 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply rep
 OTHERS = COMMENT_WORDS | frozenset("related recommended recommendations".split())
 STATED = re.compile(r"\b(?:has|no|with|without|is|not)-[a-z0-9]+")
 THRESHOLD = 0.25
+STATED_SHARE = 0.9
 
 
 class Element:
@@ -192,29 +194,27 @@ def main_text(page: str | None) -> str:
 
 
 def _content_node(blocks: list[tuple[Element, str]], total: float) -> Element:
-    """The smallest container with all but a tenth of the content's mass; an article or main element wins over what it holds."""
-    best, chains = None, {}
+    """The article (or else main) element with STATED_SHARE of the content's mass; without one the smallest container with all of it."""
+    best, stated, seen = None, None, set()
     for x, _ in blocks:
+        if id(x) in seen:
+            continue
+        seen.add(id(x))
         depth, y = [], x
         while y is not None:
             depth.append(y)
             y = y.up
-        chains[id(x)] = depth[::-1]
-    for chain in chains.values():
-        for k, y in enumerate(chain):
-            if y.mass < 0.9 * total or y.tag and y.tag not in CONTAINER:
+        for k, y in enumerate(reversed(depth)):
+            if y.mass < STATED_SHARE * total or y.tag and y.tag not in CONTAINER:
                 break
-            if best is None or k > best[0]:
+            if y.mass >= total and (best is None or k > best[0]):
                 best = (k, y)
             if y.tag in ("article", "main"):
-                best = (k, y)
+                stated = (k, y) if stated is None or k > stated[0] else stated
                 if y.tag == "article":
                     break
     assert best is not None
-    y = best[1]
-    while y is not None and y.tag not in ("article", "main"):
-        y = y.up
-    return y or best[1]
+    return stated[1] if stated else best[1]
 
 
 def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
