@@ -75,6 +75,28 @@ def test_outliers_reject_junk_and_keep_clean(spark, docs):
     assert kept[0] < 0.1 and kept[1] > 0.97
 
 
+def test_outliers_reject_repetition_alone(spark):
+    """One planted text for each of the two shares, in a source where nobody repeats."""
+    import itertools
+    import random
+
+    rng = random.Random(2)
+    made = iter(dict.fromkeys("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(40_000)))
+    words = lambda n: list(itertools.islice(made, n))
+    text = lambda w: "\n".join(" ".join(w[k : k + 10]) for k in range(0, len(w), 10))
+    few = words(6)
+    walk, seen = few[:1] * 2, set()
+    while len(walk) < 60:  # lines of one word, no three of them twice in a row
+        walk.append(next(w for w in reversed(few) if (*walk[-2:], w) not in seen))
+        seen.add(tuple(walk[-3:]))
+    again = words(24)
+    lines, repeats = "\n".join([*walk, " ".join(words(100))]), text([*words(30), *again, *words(21), *again, *words(1)])
+    rows = [(k, text(words(100)), "en", "a") for k in range(120)] + [(1000, lines, "en", "a"), (1001, repeats, "en", "a")]
+    found = {r["doc_id"]: r for r in outliers.judge(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")).collect()}
+    assert (found[1000]["n_repeat_words"], found[1001]["n_dup_lines"]) == (0, 0) and not any(r["base_failed"] for r in found.values())
+    assert {k for k, r in found.items() if not r["kept"]} == {1000, 1001}
+
+
 PAGE = '<html><head><title>T</title></head><body class="no-sidebar"><header><a>Home</a></header><div class="cookie-notice">We use cookies.</div><div id="wrap"><main><article class="post"><h1>Title &amp; more</h1><p>First   para, with <b>bold</b> text.<p>Second.<ul><li>One item<li>Two</ul><aside>Side.</aside><div class="ad-box">Buy.</div><pre>code  here</pre><form><input value="x">Subscribe</form></article><section id="comments"><p>I liked it, really, a very long comment here, it goes on, and on.</p></section></main><aside class="sidebar"><p>Links</p></aside></div><footer>(c)</footer></body></html>'
 TEXT = "Title & more\nFirst para, with bold text.\nSecond.\nOne item\nTwo\ncode here"
 

@@ -5,7 +5,7 @@ Base statistics of each whole text are counted exactly; four of them, transforme
 concentration steps: from the coordinate medians and median deviations, the ``h`` share of rows
 nearest by Mahalanobis distance gives the next mean and covariance, ``steps`` times; the final
 covariance is scaled so that the median distance is that of a chi-square with four degrees.
-Documents beyond ``cut`` are rejected.
+Documents beyond ``cut``, the chi-square's 99.9 % quantile, are rejected.
 
 Everything a group contributes is a sum or a histogram: medians and the h share are read off
 counts per bin (so ties fall together and reruns agree), means and covariances are sums that
@@ -33,10 +33,13 @@ from tidemark.llm.durable import stored
 WHITE = "\t\n\x0b\f\r "
 VECTOR = ("word_size", "symbol_share", "same_line_share", "repeat_share")
 P = len(VECTOR)
-#: Least standard deviations. A repeated opening line makes up much of a short text, so the two shares of repetition vary freely.
-FLOOR = (0.05, 0.05, 0.25, 0.25)
+#: Least standard deviations. A repeated opening line makes up much of a short text, so the two shares of repetition
+#: vary more freely; with CUT, two thirds of the lines or a third of the words still reject alone where nobody repeats.
+FLOOR = (0.05, 0.05, 0.2, 0.2)
 #: Median of the chi-square distribution with four degrees of freedom.
 CHI2_MEDIAN = 3.3567
+#: Its 99.9 % quantile: the greatest squared distance that is kept.
+CUT = 18.4668
 #: Bins per unit of a statistic, and of the logarithm of a squared distance.
 GRID, DISTANCE_GRID = 32, 16
 
@@ -154,7 +157,7 @@ def estimates(rows: DataFrame, *, h: float = 0.75, steps: int = 4, floor: tuple[
     return params.join(scale.select("g", (F.exp("half") / CHI2_MEDIAN).alias("scale")), "g")
 
 
-def judge(docs: DataFrame, *, least: int = 50, cut: float = 60.0, h: float = 0.75, steps: int = 4, floor: tuple[float, ...] = FLOOR) -> DataFrame:
+def judge(docs: DataFrame, *, least: int = 50, cut: float = CUT, h: float = 0.75, steps: int = 4, floor: tuple[float, ...] = FLOOR) -> DataFrame:
     """The rows of :func:`statistics` with ``distance`` (squared, robust; null without a verdict) and ``kept``."""
     stats = stored(statistics(docs), "statistics")
     x = stats.select("*", *(v.alias(f"x{k}") for k, v in enumerate(transformed())))
