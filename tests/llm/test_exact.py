@@ -69,20 +69,36 @@ def test_decontaminate(spark, docs, rows, empty):
     assert {"score", "hit_items", "n_hit"} <= set(wide.columns) and wide.count() == len(rows)
 
 
-@pytest.mark.parametrize("sketch", [1 << 25, 0])
-def test_substrings(docs, rows, empty, sketch):
+def test_substrings(docs, rows, empty):
     for window in (50, 5):
-        same(substrings.dedup(docs, window=window, max_sketch_bytes=sketch).select("doc_id", "n_words", "n_removed", F.sha2("text", 256)), brute.substrings([r[:2] for r in rows], window))
+        same(substrings.dedup(docs, window=window).select("doc_id", "n_words", "n_removed", F.sha2("text", 256)), brute.substrings([r[:2] for r in rows], window))
     assert substrings.digest(empty).count() == 0
 
 
-@pytest.mark.parametrize("sketch", [1 << 25, 0])
-def test_suffixes(docs, rows, empty, sketch):
+def test_suffixes(docs, rows, empty):
     for length in (400, 30):
-        same(suffixes.dedup(docs, length=length, max_sketch_bytes=sketch).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)), brute.suffixes([r[:2] for r in rows], length))
+        same(suffixes.dedup(docs, length=length).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)), brute.suffixes([r[:2] for r in rows], length))
     assert suffixes.digest(empty).count() == 0
 
 
+def test_sketch_of_many_slices(docs, rows, monkeypatch):
+    """Small slices and buckets: many of each, as a large input has them."""
+    from tidemark.llm import packed, sketch
+
+    build = sketch.build
+    monkeypatch.setattr(sketch, "build", lambda texts, anchors, gap: build(texts, anchors, gap / 4000))
+    monkeypatch.setattr(packed, "BUCKET_BYTES", 500)
+    same(substrings.dedup(docs, window=5).select("doc_id", "n_words", "n_removed", F.sha2("text", 256)), brute.substrings([r[:2] for r in rows], 5))
+    same(suffixes.dedup(docs, length=30).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)), brute.suffixes([r[:2] for r in rows], 30))
+
+
+def test_ids_are_numbers(spark):
+    named = spark.createDataFrame([("a", "b")], "doc_id string, text string")
+    for refuse in (substrings.dedup, suffixes.dedup, line_dedup.dedup):
+        with pytest.raises(TypeError):
+            refuse(named)
+
+
 def test_suffix_sort():
     from tidemark.llm.suffix_sort import common_prefixes, suffix_array
 

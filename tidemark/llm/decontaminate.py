@@ -228,10 +228,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     state, match = out, None
     for items in _item_blocks(benchmark, item_id, item_text, block_bytes):
         index = Index(items, window)
-        counted = docs.select(F.col(text).alias("text")).mapInArrow(K.tidy(_count(index, "text")), "gram int, hash long, n long").groupBy("gram", "hash").agg(F.sum("n").alias("n"))
+        counted = docs.select(F.col(text).alias("text")).transform(K.mapped, _count(index, "text"), "gram int, hash long, n long").groupBy("gram", "hash").agg(F.sum("n").alias("n"))
         index.choose({(r["gram"], r["hash"] & ((1 << 64) - 1)): r["n"] for r in counted.toLocalIterator()})
         if match:
-            state = stored(state.mapInArrow(K.tidy(match), schema), "decontaminate")
+            state = stored(state.transform(K.mapped, match, schema), "decontaminate")
         match = _match(index, text)
     last = match or _match(Index([], window), text)
 
@@ -239,7 +239,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
         return _finish(last(batches))
 
     done = T.StructType([*out.schema.fields, T.StructField("_tm_n_words", T.LongType()), T.StructField("_tm_n_hit", T.LongType()), T.StructField("_tm_hit_spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("_tm_hit_items", T.ArrayType(T.StringType()))])
-    result = state.mapInArrow(K.tidy(run), done)
+    result = state.transform(K.mapped, run, done)
     return result.withColumnsRenamed({f"_tm_{c}": c for c in added})
 
 

@@ -230,7 +230,7 @@ def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
             arrays |= {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
-    return out.mapInArrow(K.tidy(run), schema)
+    return out.transform(K.mapped, run, schema)
 
 
 def digest(pages: DataFrame) -> DataFrame:

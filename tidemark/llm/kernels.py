@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 1 << 18
 U64 = np.uint64
@@ -37,6 +39,35 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 Batches = Iterator[pa.RecordBatch]
+#: Most bytes of rows that Spark hands to Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) in batches bounded by bytes.
+
+    Spark takes the bound from the session when the plan is run, so a larger one is lowered there and stays so.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if (have := df.sparkSession.conf.get(name, None)) is not None and int(have.rstrip("b")) > BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(tidy(run), schema)
+
+
+def by_key(batches: Batches, name: str) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each key, where the rows come sorted by key; one key is held at a time."""
+    key, held = None, []
+    for batch in batches:
+        keys = np.asarray(column(batch, name))
+        cut = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
+        for a, b in zip(cut.tolist(), cut[1:].tolist()):
+            if held and keys[a] != key:
+                yield int(key), pa.Table.from_batches(held)
+                held = []
+            key = keys[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield int(key), pa.Table.from_batches(held)
 
 
 def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
@@ -145,9 +176,9 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np
     return starts, np.flatnonzero(inside & last) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    p = prefix_hash(data.astype(U64) + U64(1), BASE_BYTES)
-    return mix(range_hash(p, starts, ends, BASE_BYTES) ^ ((ends - starts).astype(U64) << U64(48)))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE_BYTES) -> np.ndarray:
+    p = prefix_hash(data.astype(U64) + U64(1), base)
+    return mix(range_hash(p, starts, ends, base) ^ ((ends - starts).astype(U64) << U64(48)))
 
 
 def whole(offsets: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -171,7 +202,7 @@ def anchors(values: np.ndarray, offsets: np.ndarray, gram: int, width: int) -> t
     grams = mix(rolling_hash(values, gram, BASE_A))
     if len(values) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), grams
-    bits = U64(max(1, (len(grams) - 1).bit_length()))
+    bits = U64(max(24, (len(grams) - 1).bit_length()))  # as many for every block, so that equal windows choose alike
     keyed = (grams & ~((U64(1) << bits) - U64(1))) | np.arange(len(grams), dtype=U64)
     least = sliding_min(keyed, width - gram + 1) & ((U64(1) << bits) - U64(1))
     at = np.flatnonzero(whole(offsets, len(values), width))
@@ -192,5 +223,5 @@ def cover(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(d[:-1]) > 0
 
 
-def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -233,7 +233,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             columns += [pa.array(np.concatenate([f[k] for f in found] or [np.zeros(0, t)]).astype(t)) for k, t in ((1, np.float64), (2, bool))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    out = keep.mapInArrow(K.tidy(run), schema)
+    out = keep.transform(K.mapped, run, schema)
     return out.drop(*(c for c in added if c == text)).withColumnsRenamed(dict(zip(("_tm_lang", "_tm_score", "_tm_ok"), added)))
 
 

@@ -35,9 +35,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm import kernels as K
 from tidemark.llm.durable import stored
+from tidemark.llm.packed import order_of
 
 U64 = np.uint64
-LAST = (1 << 63) - 1
 MIN_WORDS = 1
 NEWLINE = np.arange(256) == 10
 
@@ -180,8 +180,8 @@ def _links(first_round: bool):
 
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """ord, uid and ``gone`` (pieces of line positions) of the documents that lose a line."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
-    lines = stored(keyed.mapInArrow(K.tidy(_lines), "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines")
+    keyed = docs.select(order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
+    lines = stored(keyed.transform(K.mapped, _lines, "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines")
     # one row per (document, distinct line), then what is known of each line that has several holders
     held = lines.select("ord", "uid", F.explode(F.array_distinct("h")).alias("h"))
     shared = held.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("ord", "uid")).alias("first"), F.max(F.struct("ord", "uid")).alias("final"))
@@ -195,12 +195,12 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
         links = stored(links, "pairs")
         later = links.join(lines, ["ord", "uid"])
         earlier = lines.select(F.col("ord").alias("bo"), F.col("uid").alias("bu"), F.col("h").alias("b"))
-        cut = later.join(earlier, ["bo", "bu"]).select("ord", "uid", "h", "n", "b").mapInArrow(K.tidy(_align(min_words)), "ord long, uid long, gone binary")
+        cut = later.join(earlier, ["bo", "bu"]).select("ord", "uid", "h", "n", "b").transform(K.mapped, _align(min_words), "ord long, uid long, gone binary")
         return cut.groupBy("ord", "uid").agg(F.collect_list("gone").alias("gone"))
 
     none = F.lit(None).cast("array<binary>")
-    first = stored(aligned(found.withColumn("gone", none).mapInArrow(K.tidy(_links(True)), pair)), "gone")
-    left = found.join(first, ["ord", "uid"], "left").mapInArrow(K.tidy(_links(False)), pair)
+    first = stored(aligned(found.withColumn("gone", none).transform(K.mapped, _links(True), pair)), "gone")
+    left = found.join(first, ["ord", "uid"], "left").transform(K.mapped, _links(False), pair)
     both = first.unionByName(aligned(left))
     return both.groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
@@ -208,7 +208,7 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the kept text in ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
     keep = docs.drop("n_lines", "n_removed")
-    keyed = keep.withColumn("_tm_ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_tm_uid", F.xxhash64("text"))
+    keyed = keep.withColumn("_tm_ord", order_of(docs)).withColumn("_tm_uid", F.xxhash64("text"))
     gone = deletions(docs, min_words=min_words).withColumnsRenamed({"ord": "_tm_ord", "uid": "_tm_uid", "gone": "_tm_gone"})
     joined = keyed.join(gone.hint("shuffle_hash"), ["_tm_ord", "_tm_uid"], "left").select(*keep.columns, "_tm_gone")
     schema = T.StructType([*keep.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
@@ -241,7 +241,7 @@ def dedup(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
             arrays["text"] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*arrays.values(), pa.array(total, pa.int64()), pa.array(lost, pa.int64())], names=[*arrays, "n_lines", "n_removed"])
 
-    return joined.mapInArrow(K.tidy(run), schema)
+    return joined.transform(K.mapped, run, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

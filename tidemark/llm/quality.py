@@ -109,7 +109,7 @@ def featurise(docs: DataFrame, *, text: str = "text") -> DataFrame:
             arrays["features"] = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * P), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
-    return keep.mapInArrow(K.tidy(run), schema)
+    return keep.transform(K.mapped, run, schema)
 
 
 class Discriminant:
@@ -158,7 +158,7 @@ def fit(vectors_: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", label
                 held[k] += np.concatenate(([len(own)], own.sum(axis=0), (own.T @ own).ravel()))
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([held[0].tolist(), held[1].tolist()], pa.list_(pa.float64()))], names=["y", "s"])
 
-    parts = rows.mapInArrow(K.tidy(sums), "y int, s array<double>")
+    parts = rows.transform(K.mapped, sums, "y int, s array<double>")
     flat = parts.select("y", F.posexplode("s")).groupBy("y", "pos").agg(F.sum("col").alias("v"))
     totals = {k: np.zeros(1 + P + P * P) for k in (0, 1)}
     for r in flat.collect():  # two classes of 1 + P + P * P sums
@@ -177,7 +177,7 @@ def score(vectors_: DataFrame, model: Discriminant) -> DataFrame:
             arrays = {k: c for k, c in zip(batch.schema.names, batch.columns) if k != "features"}
             yield pa.RecordBatch.from_arrays([*arrays.values(), pa.array(model.score(x))], names=[*arrays, "score"])
 
-    return keep.mapInArrow(K.tidy(run), schema)
+    return keep.transform(K.mapped, run, schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

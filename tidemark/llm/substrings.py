@@ -2,19 +2,21 @@
 
 A window is ``window`` consecutive words of one document. A word is removed when some window that
 covers it has the same words as a window of a document with a smaller doc_id; windows are judged
-on the input. Two windows are the same when two polynomial hashes over 64-bit word hashes agree
-(96 bits kept).
+on the input. Two windows are the same when two polynomial hashes over independent 64-bit word
+hashes agree in 96 bits: among 10**13 windows a false match is expected with probability 1e-3.
 
-1. Partition sketches of window anchors are merged (see :mod:`tidemark.llm.sketch`); their
-   estimates are never below the true counts.
+1. Partition sketches of window anchors are merged (see :mod:`tidemark.llm.sketch`), at every size
+   of the input; their estimates are never below the true counts.
 2. Only windows estimated to repeat are grouped exactly. A task first groups its own: of equal
    windows only those of its smallest doc_id are shuffled, the others are already decided, so a
-   window that a third of all documents share is sent once per task.
+   window that a third of all documents share is sent once per task. Buckets of windows grow in
+   number with the input, and a task holds one at a time.
 3. Decisions come back as runs of window starts per document and meet the texts in one join.
 
 Defined cases: null or empty text has no words; a null doc_id counts as larger than any other, and
 equal doc_ids never remove each other; repeated rows get equal results; fewer words than a window:
-nothing is removed; extra columns are ignored. Empty table: empty result.
+nothing is removed; a doc_id of another than an integer type is refused with a TypeError; extra
+columns are ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -23,29 +25,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernels as K
 from tidemark.llm import sketch as S
+from tidemark.llm.packed import SENT, buckets, gathered, order_of, pack, sent_home, unpack
 
 U64 = np.uint64
 #: Words of the grams from which a window's anchor is chosen.
 GRAM = 16
-LAST = (1 << 63) - 1
-FLUSH = 1 << 20
+#: Windows that a task holds before it settles what it has.
+FLUSH = 1 << 19
 
 
 def _prepare(data: np.ndarray, offsets: np.ndarray, window: int):
     starts, ends, at = K.words(data, offsets, K.NOT_SPACE)
     h = K.word_hashes(data, starts, ends)
-    return h, at, *K.anchors(h, at, min(GRAM, window), window)
+    return starts, ends, h, at, *K.anchors(h, at, min(GRAM, window), window)
 
 
 def anchor_hashes(window: int) -> S.Anchors:
-    def run(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        _, _, _, least, grams = _prepare(data, offsets, window)
-        return grams[np.unique(least)]
+    def run(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        _, _, _, at, _, least, grams = _prepare(data, offsets, window)
+        where = np.unique(least)
+        doc = np.searchsorted(at, where, "right") - 1
+        return grams[where], doc, np.arange(len(where)) - np.searchsorted(doc, doc)
 
     return run
 
@@ -64,57 +70,9 @@ OUT = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("docs", pa.binar
 DDL = "bucket int, home int, docs binary, runs binary, ha binary, hb binary"
 
 
-def planes(x: np.ndarray) -> bytes:
-    """32-bit or 64-bit values as planes of 16 bits each, low to high: equal high parts compress away."""
-    parts = np.ascontiguousarray(x).view(np.uint16).reshape(len(x), -1)
-    return np.ascontiguousarray(parts.T).tobytes()
+def _candidates(window: int, buckets: int):
+    """Windows whose anchors may repeat, dealt to buckets by anchor; of a task's equal windows only those of the least doc_id."""
 
-
-def unplanes(raw: bytes, kind: type) -> np.ndarray:
-    n = np.dtype(kind).itemsize // 2
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint16).reshape(n, -1).T).view(kind).ravel()
-
-
-def pack(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes]:
-    """Positions sorted by document as one table of documents and one of runs (document, first, length)."""
-    doc = np.ones(len(ord_), bool)
-    doc[1:] = (ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])
-    run = doc.copy()
-    run[1:] |= pos[1:] != pos[:-1] + 1
-    first = np.flatnonzero(run)
-    table = np.stack([(np.cumsum(doc) - 1)[first], pos[first], np.diff(np.append(first, len(pos)))]).astype(np.int32)
-    return planes(ord_[doc]) + uid[doc].tobytes(), planes(table[0]) + planes(table[1]) + planes(table[2])
-
-
-def unpack_runs(docs: bytes, runs: bytes) -> tuple[np.ndarray, ...]:
-    """(ord, uid) of the documents, and the runs (document, first, length)."""
-    n, k = len(docs) // 12, len(runs) // 3
-    return unplanes(docs[: 8 * n], np.int64), np.frombuffer(docs[8 * n :], np.int32), *(unplanes(runs[i * k : (i + 1) * k], np.int32) for i in range(3))
-
-
-def unpack(docs: bytes, runs: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ord, uid and position, one entry per position."""
-    ord_, uid, doc, first, length = unpack_runs(docs, runs)
-    each = np.repeat(doc, length)
-    return ord_[each], uid[each], np.repeat(first - (np.cumsum(length) - length), length).astype(np.int32) + np.arange(len(each), dtype=np.int32)
-
-
-def homes(ord_: np.ndarray, uid: np.ndarray, n: int) -> np.ndarray:
-    """The bucket in which all that was found of a document meets."""
-    return (K.mix(ord_.view(U64) ^ (uid.astype(np.int64).view(U64) << U64(20))) >> U64(33)).astype(np.int64) % n
-
-
-def sent_home(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray, n: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Removed window starts, packed per home bucket."""
-    home = homes(ord_, uid, n)
-    order = np.lexsort((pos, uid, ord_, home))
-    which, first = np.unique(home[order], return_index=True)
-    for w, a, b in zip(which, first, np.append(first[1:], len(order))):
-        i = order[a:b]
-        yield int(w), *pack(ord_[i], uid[i], pos[i])
-
-
-def _candidates(window: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
@@ -125,33 +83,34 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int, n_homes: int
             held.clear()
             order, later = _least(ha, hb, ord_, pos)
             gone = order[later]
-            rows = [(int(bucket[0]), h, d, r, None, None) for h, d, r in sent_home(ord_[gone], uid[gone], pos[gone], n_homes)]
+            rows = [(h % buckets, h, d, r, None, None) for h, d, r in sent_home(ord_[gone], uid[gone], pos[gone], buckets)]
             keep = order[~later]
             keep = keep[np.lexsort((pos[keep], uid[keep], ord_[keep], bucket[keep]))]
             which, first = np.unique(bucket[keep], return_index=True)
             for w, a, b in zip(which, first, np.append(first[1:], len(keep))):
                 i = keep[a:b]
                 rows.append((int(w), None, *pack(ord_[i], uid[i], pos[i]), ha[i].tobytes(), hb[i].tobytes()))
-            for k in range(0, len(rows), 1000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 1000]), OUT)], schema=OUT)
+            for k in range(0, len(rows), 500):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 500]), OUT)], schema=OUT)
 
         total = 0
         for batch in batches:
             data, offsets, _ = K.buffers(K.column(batch, "text"))
             ord_, uid = (np.asarray(K.column(batch, c)) for c in ("ord", "uid"))
-            listed = None if chosen else K.column(batch, "anchors").to_pylist()
+            hits = K.column(batch, "hits").to_pylist()
             for i, j, d, o in K.blocks(data, offsets):
-                h, at, start, least, grams = _prepare(d, o, window)
+                starts, ends, h, at, start, least, grams = _prepare(d, o, window)
                 if not len(start):
                     continue
                 where, back = np.unique(least, return_inverse=True)
-                hit = estimated(chosen, listed, i, grams[where], np.searchsorted(at, where, "right") - 1)
-                some = hit[back]
+                some = S.covered(hits[i:j], np.diff(np.searchsorted(where, at)))[back]
                 first = start[some]
                 if not len(first):
                     continue
                 row = np.searchsorted(at, first, "right") - 1
-                ha, hb = (K.mix(K.range_hash(K.prefix_hash(h, b), first, first + window, b)) for b in (K.BASE_A, K.BASE_B))
+                ha = K.mix(K.range_hash(K.prefix_hash(h, K.BASE_A), first, first + window, K.BASE_A))
+                other = K.word_hashes(d, starts, ends, K.BASE_B)
+                hb = K.mix(K.range_hash(K.prefix_hash(other, K.BASE_B), first, first + window, K.BASE_B))
                 bucket = ((grams[least[some]] >> U64(7)) % U64(buckets)).astype(np.int32)
                 held.append((ha, (hb >> U64(32)).astype(np.uint32), ord_[i + row], uid[i + row], (first - at[row]).astype(np.int32), bucket))
                 total += len(first)
@@ -163,71 +122,37 @@ def _candidates(window: int, chosen: S.Sketch | None, buckets: int, n_homes: int
     return run
 
 
-def estimated(chosen: S.Sketch | None, listed: list | None, base: int, grams: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which anchors are estimated (or, without a sketch, counted) to occur twice or more."""
-    if chosen:
-        return chosen.repeated(grams)
-    hit = np.zeros(len(grams), bool)
-    for x in np.unique(doc):
-        hit[doc == x] = np.isin(grams[doc == x], np.array(listed[base + x] or [], dtype=np.int64).view(U64))
-    return hit
-
-
-HOME = ["home", "docs", "runs"]
-
-
-def _resolve(n_homes: int):
-    """Exact grouping of one partition's buckets; what was decided before passes through."""
+def _resolve(buckets: int):
+    """Exact grouping of each bucket; what was decided before passes through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, ...]] = [tuple(np.zeros(0, t) for t in (U64, np.uint32, np.int64, np.int32, np.int32))]
-        for batch in batches:
-            done = K.column(batch, "home").is_valid()
-            yield pa.RecordBatch.from_arrays([K.column(batch, c).filter(done) for c in HOME], names=HOME)
-            packed = (K.column(batch, c).filter(pa.array(~np.asarray(done))).to_pylist() for c in ("docs", "runs", "ha", "hb"))
-            parts += [(np.frombuffer(a, U64), np.frombuffer(b, np.uint32), *unpack(d, r)) for d, r, a, b in zip(*packed)]
-        ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*parts))
-        parts.clear()
-        order, later = _least(ha, hb, ord_, pos)
-        gone = order[later]
-        rows = list(sent_home(ord_[gone], uid[gone], pos[gone], n_homes))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=HOME)
+        for _, rows in K.by_key(batches, "bucket"):
+            done = K.column(rows, "home").is_valid()
+            yield from rows.select(SENT.names).filter(done).to_batches()
+            rows = rows.filter(pa.compute.invert(done))
+            packed = (K.column(rows, c).to_pylist() for c in ("docs", "runs", "ha", "hb"))
+            parts = [(np.frombuffer(a, U64), np.frombuffer(b, np.uint32), *unpack(d, r)) for d, r, a, b in zip(*packed)]
+            if not parts:
+                continue
+            ha, hb, ord_, uid, pos = (np.concatenate(x) for x in zip(*parts))
+            order, later = _least(ha, hb, ord_, pos)
+            gone = order[later]
+            found = list(sent_home(ord_[gone], uid[gone], pos[gone], buckets))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), SENT)], schema=SENT)
 
     return run
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document of what its home bucket holds: int32 pairs (first start, one past the last)."""
-    held: list[tuple[np.ndarray, ...]] = []
-    for batch in batches:
-        for docs, runs in zip(K.column(batch, "docs").to_pylist(), K.column(batch, "runs").to_pylist()):
-            ord_, uid, doc, first, length = unpack_runs(docs, runs)
-            held.append((ord_[doc], uid[doc], first, first + length))
-    if not held:
-        return
-    ord_, uid, first, last = (np.concatenate(x) for x in zip(*held))
-    order = np.lexsort((first, uid, ord_))
-    ord_, uid, pairs = ord_[order], uid[order], np.stack([first, last], axis=1)[order].astype(np.int32)
-    cut = np.flatnonzero((ord_[1:] != ord_[:-1]) | (uid[1:] != uid[:-1])) + 1
-    at = np.concatenate(([0], cut))
-    for k in range(0, len(at), 10_000):
-        a, b = at[k : k + 10_000], np.append(cut, len(ord_))[k : k + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(ord_[a]), pa.array(uid[a]), pa.array([pairs[x:y].tobytes() for x, y in zip(a, b)], pa.binary())], names=["ord", "uid", "runs"])
-
-
-def removed_words(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int = 32 << 20) -> DataFrame:
+def removed_words(docs: DataFrame, *, window: int = 50) -> DataFrame:
     """doc_id, text, and ``runs``: int32 pairs (first, one past the last) of removed windows' starts, null where there are none."""
-    keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash("text").alias("uid"))
-    chosen = S.build(docs.select("text"), "text", anchor_hashes(window), 6.2 * (window - min(GRAM, window) + 2) / 2, max_sketch_bytes)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    source = keyed.select("ord", "uid", "text")
-    if chosen is None:
-        listed = S.repeated_anchors(source.dropDuplicates(["ord", "uid"]), "text", ["ord", "uid"], anchor_hashes(window))
-        source = source.join(listed, ["ord", "uid"])
-    decided = source.mapInArrow(K.tidy(_candidates(window, chosen, 2 * n, n)), DDL).repartition("bucket").mapInArrow(K.tidy(_resolve(n)), "home int, docs binary, runs binary")
-    runs = decided.repartition("home").mapInArrow(K.tidy(gathered), "ord long, uid int, runs binary")
-    return keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
+    keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"))
+    gap = 6.2 * (window - min(GRAM, window) + 2) / 2
+    n = buckets(keyed)
+    hits = S.repeated(keyed, S.build(keyed.select("text"), anchor_hashes(window), gap), anchor_hashes(window), n)
+    source = keyed.join(hits.hint("shuffle_hash"), ["ord", "uid"])
+    decided = source.transform(K.mapped, _candidates(window, n), DDL).repartition("bucket").sortWithinPartitions("bucket").transform(K.mapped, _resolve(n), "home int, docs binary, runs binary")
+    return keyed.join(gathered(decided).hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
 
 
 def _apply(window: int):
@@ -270,10 +195,10 @@ def joined(d: np.ndarray, o: np.ndarray, starts: np.ndarray, ends: np.ndarray, a
     return [raw[total[k] : total[k + 1]] for k in range(len(o) - 1)]
 
 
-def dedup(docs: DataFrame, *, window: int = 50, max_sketch_bytes: int = 32 << 20) -> DataFrame:
+def dedup(docs: DataFrame, *, window: int = 50) -> DataFrame:
     """doc_id, n_words, n_removed and ``text`` (the kept words joined by one space)."""
     kind = dict(docs.dtypes)["doc_id"]
-    out = removed_words(docs, window=window, max_sketch_bytes=max_sketch_bytes).mapInArrow(K.tidy(_apply(window)), f"doc_id {kind}, n_words long, n_removed long, kept binary")
+    out = removed_words(docs, window=window).transform(K.mapped, _apply(window), f"doc_id {kind}, n_words long, n_removed long, kept binary")
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("text"))
 
 

@@ -20,7 +20,8 @@ for, and only pieces of a shared anchor can match at all.
 
 Defined cases: null text is empty; texts are UTF-8 bytes and matches never cross rows; rows that
 repeat doc_id and text are different rows and remove each other (if long enough); null doc_ids are
-allowed; extra columns are ignored; empty table: empty result.
+allowed; a doc_id of another than an integer type is refused with a TypeError; extra columns are
+ignored; empty table: empty result.
 """
 
 from __future__ import annotations
@@ -29,19 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernels as K
 from tidemark.llm import sketch as S
-from tidemark.llm.substrings import LAST, estimated, gathered, planes, sent_home, unplanes
+from tidemark.llm.packed import SENT, buckets, gathered, order_of, planes, sent_home, unplanes
 from tidemark.llm.suffix_sort import common_prefixes, suffix_array
 
 U64 = np.uint64
 #: Bytes of the grams from which anchors are chosen.
 GRAM = 128
 #: Bytes of pieces that a task gathers before it settles what it has.
-FLUSH = 8 << 20
+FLUSH = 6 << 20
 
 
 def _prepare(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -64,10 +66,16 @@ def _extended(values: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: i
 
 
 def anchor_hashes(length: int) -> S.Anchors:
-    def run(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        values, _, least, _ = _prepare(data, offsets, length)
-        hashes, there = _extended(values, offsets, least[np.flatnonzero(np.diff(least, prepend=-1))], length)
-        return np.concatenate([h[t] for h, t in zip(hashes, there)])
+    """Anchors extended to the left have even numbers in their document, those extended to the right odd ones."""
+
+    def run(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, start, least, _ = _prepare(data, offsets, length)
+        head = np.flatnonzero(np.diff(least, prepend=-1))
+        hashes, there = _extended(values, offsets, least[head], length)
+        doc = np.searchsorted(offsets, start[head], "right") - 1
+        nth = np.arange(len(head)) - np.searchsorted(doc, doc)
+        h, doc, nth, ok = (np.stack(x, axis=1).ravel() for x in (hashes, (doc, doc), (2 * nth, 2 * nth + 1), there))
+        return h[ok], doc[ok], nth[ok]
 
     return run
 
@@ -77,9 +85,9 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(count) - count), count).astype(np.int32) + np.arange(int(count.sum()), dtype=np.int32)
 
 
-def _settled(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray, count: np.ndarray, n_homes: int) -> Iterator[tuple[int, bytes, bytes]]:
+def _settled(ord_: np.ndarray, uid: np.ndarray, pos: np.ndarray, count: np.ndarray, homes: int) -> Iterator[tuple[int, bytes, bytes]]:
     if len(ord_):
-        yield from sent_home(np.repeat(ord_, count), np.repeat(uid, count), _spread(pos, count), n_homes)
+        yield from sent_home(np.repeat(ord_, count), np.repeat(uid, count), _spread(pos, count), homes)
 
 
 OUT = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("docs", pa.binary()), ("runs", pa.binary()), ("hashes", pa.binary()), ("meta", pa.binary()), ("bytes", pa.binary())])
@@ -95,7 +103,7 @@ def _equal(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(fresh) - 1
 
 
-def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
+def _pieces(length: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]] = []
 
@@ -112,14 +120,14 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
             lead = np.ones(len(order), bool)
             lead[1:] = group[1:] != group[:-1]
             same = order[times > 1]
-            rows = [(int(w) % buckets, w, d, r, None, None, None) for w, d, r in _settled(keys[same, 0], keys[same, 1].astype(np.int32), meta[same, 2].astype(np.int32), meta[same, 1], n_homes)]
+            rows = [(w, w, d, r, None, None, None) for w, d, r in _settled(keys[same, 0], keys[same, 1], meta[same, 2].astype(np.int32), meta[same, 1], buckets)]
             keep, several = order[lead], times[lead] > 1
             bucket = ((hashes[keep, 0] >> U64(7)) % U64(buckets)).astype(np.int32)
             by = np.lexsort((hashes[keep, 0], bucket))  # pieces of one anchor side by side, so they compress well
             which, first = np.unique(bucket[by], return_index=True)
             for w, a, b in zip(which, first, np.append(first[1:], len(by))):
                 i = keep[by[a:b]]
-                numbers = b"".join(planes(x) for x in (*meta[i].T.astype(np.int32), several[by[a:b]].astype(np.int32), keys[i, 0], keys[i, 1].astype(np.int32)))
+                numbers = b"".join(planes(x) for x in (*meta[i].T.astype(np.int32), several[by[a:b]].astype(np.int32), keys[i, 0], keys[i, 1]))
                 rows.append((int(w), None, None, None, hashes[i].tobytes(), numbers, pa.compress(b"".join([raw[x : x + y] for x, y in zip(at[i].tolist(), size[i].tolist())]), codec="zstd", asbytes=True)))
             for k in range(0, len(rows), 500):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 500]), OUT)], schema=OUT)
@@ -128,7 +136,7 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
         for batch in batches:
             data, offsets, _ = K.buffers(K.column(batch, "text"))
             ord_, uid = (np.asarray(K.column(batch, c)) for c in ("ord", "uid"))
-            listed = None if chosen else K.column(batch, "anchors").to_pylist()
+            hits = K.column(batch, "hits").to_pylist()
             for i, j, d, o in K.blocks(data, offsets):
                 if len(d) < length:
                     continue
@@ -140,8 +148,10 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
                 doc = np.searchsorted(o, start[head], "right") - 1
                 anchor, first = least[head], start[head]
                 gram, more = min(GRAM, length), (length - min(GRAM, length)) // 2
-                wide, there = _extended(values, o, anchor, length)
-                before, after = (t & estimated(chosen, listed, i, h, doc) for h, t in zip(wide, there))
+                _, there = _extended(values, o, anchor, length)
+                number = np.searchsorted(doc, np.arange(j - i + 1))
+                maybe = S.covered(hits[i:j], 2 * np.diff(number)).reshape(-1, 2)
+                before, after = there[0] & maybe[:, 0], there[1] & maybe[:, 1]
                 last = first + count  # one past the last start; strings that lack both extensions are unique
                 lo = np.where(before, first, np.maximum(first, anchor + gram + more - length))
                 hi = np.where(after, last, np.minimum(last, anchor - more + 1))
@@ -152,7 +162,7 @@ def _pieces(length: int, chosen: S.Sketch | None, buckets: int, n_homes: int):
                 ends = first + count + length - 1
                 hashes = np.stack([grams[least[head]], *(K.mix(K.range_hash(K.prefix_hash(values, b), first, ends, b) ^ count.astype(U64)) for b in (K.BASE_A, K.BASE_B))], axis=1)
                 meta = np.stack([least[head] - first, count, first - o[doc]], axis=1)
-                keys = np.stack([ord_[i + doc], uid[i + doc].astype(np.int64)], axis=1)
+                keys = np.stack([ord_[i + doc], uid[i + doc]], axis=1)
                 raw = d.tobytes()
                 held.append((hashes, meta, keys, b"".join([raw[x:y] for x, y in zip(first.tolist(), ends.tolist())])))
                 total += len(held[-1][3])
@@ -244,60 +254,61 @@ def repeats(pieces: list[tuple[bytes, int]], length: int) -> list[list[tuple[int
     return found
 
 
-def _resolve(length: int, n_homes: int):
-    names = ["home", "docs", "runs"]
+def _resolve(length: int, buckets: int):
+    """Settles the pieces of each bucket; what was settled before passes through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, blobs = [], []
-        for batch in batches:
-            done = K.column(batch, "home").is_valid()
-            yield pa.RecordBatch.from_arrays([K.column(batch, c).filter(done) for c in names], names=names)
-            fresh = pa.array(~np.asarray(done))
-            for h, m, raw in zip(*(K.column(batch, c).filter(fresh).to_pylist() for c in ("hashes", "meta", "bytes"))):
-                hashes = np.frombuffer(h, U64).reshape(-1, 3)
-                n = len(hashes)
-                ints = [unplanes(m[4 * n * k : 4 * n * (k + 1)], np.int32) for k in range(4)]
-                parts.append((hashes, np.stack(ints, axis=1), unplanes(m[16 * n : 24 * n], np.int64), unplanes(m[24 * n :], np.int32)))
-                blobs.append(pa.decompress(raw, decompressed_size=int(ints[1].sum()) + n * (length - 1), codec="zstd", asbytes=True))
-        if not parts:
-            return
-        hashes, meta, ord_, uid = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        parts.clear()
-        size = meta[:, 1].astype(np.int64) + length - 1
-        at = np.cumsum(size) - size
-        raw = b"".join(blobs)
-        blobs.clear()
-        order, group = _equal(hashes)
-        times = np.bincount(group, 1 + meta[order, 3])[group]
-        lead = np.ones(len(order), bool)
-        lead[1:] = group[1:] != group[:-1]
-        # whole pieces that occur twice or more
-        gone = order[(times > 1) & (meta[order, 3] == 0)]
-        rows = list(_settled(ord_[gone], uid[gone], meta[gone, 2], meta[gone, 1], n_homes))
-        # anchors with different pieces of which some occur once
-        reps, once = order[lead], times[lead] < 2
-        anchor = hashes[reps, 0]
-        cut = np.flatnonzero(np.diff(anchor.view(np.int64), prepend=0) != 0) if len(anchor) else np.zeros(0, np.int64)
-        cut = np.union1d(cut, [0]) if len(anchor) else cut
-        several = np.diff(np.append(cut, len(anchor)))
-        open_ = np.logical_or.reduceat(once, cut) & (several > 1) if len(cut) else np.zeros(0, bool)
-        hits: list[tuple[int, int, int]] = []
-        for a, n in zip(cut[open_].tolist(), several[open_].tolist()):
-            own = reps[a : a + n]
-            pieces = [(raw[at[x] : at[x] + size[x]], int(meta[x, 0])) for x in own]
-            for k, ranges in enumerate(repeats(pieces, length)):
-                if once[a + k]:
-                    x = int(own[k])
-                    hits += [(x, max(lo, 0), min(hi, int(meta[x, 1]))) for lo, hi in ranges if min(hi, int(meta[x, 1])) > max(lo, 0)]
-        if hits:
-            x, lo, hi = (np.array(c) for c in zip(*hits))
-            rows += list(_settled(ord_[x], uid[x], (meta[x, 2] + lo).astype(np.int32), hi - lo, n_homes))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=names)
+        for _, rows in K.by_key(batches, "bucket"):
+            done = K.column(rows, "home").is_valid()
+            yield from rows.select(SENT.names).filter(done).to_batches()
+            found = _bucket(rows.filter(pa.compute.invert(done)), length, buckets)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), SENT)], schema=SENT)
 
     return run
 
 
+def _bucket(rows: pa.Table, length: int, homes: int) -> list[tuple[int, bytes, bytes]]:
+    parts, blobs = [], []
+    for h, m, raw in zip(*(K.column(rows, c).to_pylist() for c in ("hashes", "meta", "bytes"))):
+        hashes = np.frombuffer(h, U64).reshape(-1, 3)
+        n = len(hashes)
+        ints = [unplanes(m[4 * n * k : 4 * n * (k + 1)], np.int32) for k in range(4)]
+        parts.append((hashes, np.stack(ints, axis=1), unplanes(m[16 * n : 24 * n], np.int64), unplanes(m[24 * n :], np.int64)))
+        blobs.append(pa.decompress(raw, decompressed_size=int(ints[1].sum()) + n * (length - 1), codec="zstd", asbytes=True))
+    if not parts:
+        return []
+    hashes, meta, ord_, uid = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    size = meta[:, 1].astype(np.int64) + length - 1
+    at = np.cumsum(size) - size
+    raw = b"".join(blobs)
+    order, group = _equal(hashes)
+    times = np.bincount(group, 1 + meta[order, 3])[group]
+    lead = np.ones(len(order), bool)
+    lead[1:] = group[1:] != group[:-1]
+    # whole pieces that occur twice or more
+    gone = order[(times > 1) & (meta[order, 3] == 0)]
+    out = list(_settled(ord_[gone], uid[gone], meta[gone, 2], meta[gone, 1], homes))
+    # anchors with different pieces of which some occur once
+    reps, once = order[lead], times[lead] < 2
+    anchor = hashes[reps, 0]
+    cut = np.union1d(np.flatnonzero(np.diff(anchor.view(np.int64), prepend=0) != 0), [0])
+    several = np.diff(np.append(cut, len(anchor)))
+    open_ = np.logical_or.reduceat(once, cut) & (several > 1)
+    hits: list[tuple[int, int, int]] = []
+    for a, n in zip(cut[open_].tolist(), several[open_].tolist()):
+        own = reps[a : a + n]
+        pieces = [(raw[at[x] : at[x] + size[x]], int(meta[x, 0])) for x in own]
+        for k, ranges in enumerate(repeats(pieces, length)):
+            if once[a + k]:
+                x = int(own[k])
+                hits += [(x, max(lo, 0), min(hi, int(meta[x, 1]))) for lo, hi in ranges if min(hi, int(meta[x, 1])) > max(lo, 0)]
+    if hits:
+        x, lo, hi = (np.array(c) for c in zip(*hits))
+        out += list(_settled(ord_[x], uid[x], (meta[x, 2] + lo).astype(np.int32), hi - lo, homes))
+    return out
+
+
 def _apply(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,21 +332,18 @@ def _apply(length: int):
     return run
 
 
-def dedup(docs: DataFrame, *, length: int = 400, max_sketch_bytes: int = 32 << 20) -> DataFrame:
+def dedup(docs: DataFrame, *, length: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, ``spans`` (removed byte ranges) and ``kept`` (the remaining bytes)."""
     kind = dict(docs.dtypes)["doc_id"]
     text = F.col("text").cast("string")
-    keyed = docs.select("doc_id", text.cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash(text).alias("uid"))
-    chosen = S.build(keyed.select("text"), "text", anchor_hashes(length), (length - min(GRAM, length) + 2) / 4, max_sketch_bytes)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    source = keyed.select("ord", "uid", "text")
-    if chosen is None:
-        listed = S.repeated_anchors(source, "text", ["ord", "uid"], anchor_hashes(length))
-        source = source.join(listed, ["ord", "uid"])
-    decided = source.mapInArrow(K.tidy(_pieces(length, chosen, 2 * n, n)), DDL).repartition("bucket").mapInArrow(K.tidy(_resolve(length, n)), "home int, docs binary, runs binary")
-    runs = decided.repartition("home").mapInArrow(K.tidy(gathered), "ord long, uid int, runs binary")
-    joined = keyed.join(runs.hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(K.tidy(_apply(length)), f"doc_id {kind}, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
+    keyed = docs.select("doc_id", text.cast("binary").alias("text"), order_of(docs).alias("ord"), F.xxhash64(text).alias("uid"))
+    n = buckets(keyed)
+    sketch = S.build(keyed.select("text"), anchor_hashes(length), (length - min(GRAM, length) + 2) / 4)
+    hits = S.repeated(keyed, sketch, anchor_hashes(length), n)
+    source = keyed.join(hits.hint("shuffle_hash"), ["ord", "uid"])
+    decided = source.transform(K.mapped, _pieces(length, n), DDL).repartition("bucket").sortWithinPartitions("bucket").transform(K.mapped, _resolve(length, n), "home int, docs binary, runs binary")
+    joined = keyed.join(gathered(decided).hint("shuffle_hash"), ["ord", "uid"], "left").select("doc_id", "text", "runs")
+    return joined.transform(K.mapped, _apply(length), f"doc_id {kind}, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
