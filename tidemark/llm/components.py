@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.durable import stored
 
+#: Edges in a file of a round.
+FILE = 500_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One large-star or small-star step over (u, v)."""
@@ -24,8 +27,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     edges: columns u and v of one orderable type, no nulls, either direction, repeats allowed.
     Alternates large-star and small-star (Kiveris et al., "Connected components in MapReduce and
-    beyond") until nothing changes; each round is written to shared storage. Self-loops are kept
-    as isolated nodes only if the node has no other edge.
+    beyond") until nothing changes; each round is written to shared storage, in as many files as its
+    edges are worth. Self-loops are kept as isolated nodes only if the node has no other edge.
     """
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
@@ -34,7 +37,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if state == before:
             break
         before = state
-        now = stored(_star(_star(now, True), False), "edges")
+        now = stored(_star(_star(now, True), False).coalesce(1 + state["n"] // FILE), "edges")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -42,6 +42,8 @@ BLOCKS = ((1 << 22) - 1, ((1 << 21) - 1) << 22, ((1 << 21) - 1) << 43)
 PAIRS = tuple(BLOCKS[a] | BLOCKS[b] for a, b in ((0, 1), (0, 2), (1, 2)))
 #: Least fingerprints for which a task of its own is worth it; keeps buckets times tasks in proportion to the input.
 TASK = 5000
+#: Variants in a bucket, about.
+BUCKET = 1 << 18
 #: Groups up to this size are compared pair by pair; larger ones grow spanning trees.
 SMALL = 6
 
@@ -81,7 +83,7 @@ def _print(text: str, shingle: int):
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id, uid (a hash of the text) and ``fp`` (the fingerprint's bits as a long)."""
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text")).mapInArrow(K.tidy(_print("text", shingle)), f"doc_id {kind}, uid long, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text")).transform(K.mapped, _print("text", shingle), f"doc_id {kind}, uid long, fp long")
 
 
 def _ball(buckets: int):
@@ -139,18 +141,25 @@ def _trees(own: np.ndarray, forest: Forest) -> None:
             front, left = np.concatenate((front, left[near])), left[~near]
 
 
+#: Linked fingerprints that a task's forest holds at most before it is sent.
+FOREST = 200_000
+
+
+def _edges(forest: Forest) -> Iterator[pa.RecordBatch]:
+    nodes = [x for x in forest.up if forest.find(x) != x]
+    for k in range(0, len(nodes), 50_000):
+        part = nodes[k : k + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(part, dtype=U64).view(np.int64)), pa.array(np.array([forest.find(x) for x in part], dtype=U64).view(np.int64))], names=["u", "v"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[tuple[bytes, bytes]]] = {}
-    for batch in batches:
-        for b, f, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            held.setdefault(b, []).append((f, x))
+    """Rows sorted by bucket; a task holds one bucket at a time and a forest of bounded size."""
     forest = Forest()
     flips = [np.array([0, *(1 << b for b in range(64) if m >> b & 1)], dtype=U64) for m in PAIRS]
-    for b in list(held):
-        rows = held.pop(b)
+    for b, rows in K.by_key(batches, "bucket"):
         c = b % len(PAIRS)
-        fp = np.frombuffer(b"".join(r[0] for r in rows), U64)
-        variant = (fp & U64(PAIRS[c])) ^ flips[c][np.frombuffer(b"".join(r[1] for r in rows), np.uint8)]
+        fp = np.frombuffer(b"".join(K.column(rows, "fps").to_pylist()), U64)
+        variant = (fp & U64(PAIRS[c])) ^ flips[c][np.frombuffer(b"".join(K.column(rows, "bits").to_pylist()), np.uint8)]
         order = np.argsort(variant, kind="stable")
         v, fp = variant[order], fp[order]
         fresh = np.ones(len(v), bool)
@@ -166,19 +175,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 forest.join(x, y)
         for f, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist()):
             _trees(fp[f : f + n], forest)
-    nodes = [x for x in forest.up if forest.find(x) != x]
-    for k in range(0, len(nodes), 50_000):
-        part = nodes[k : k + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(part, dtype=U64).view(np.int64)), pa.array(np.array([forest.find(x) for x in part], dtype=U64).view(np.int64))], names=["u", "v"])
+        if len(forest.up) > FOREST:
+            yield from _edges(forest)
+            forest = Forest()
+    yield from _edges(forest)
+
+
+def links(prints: DataFrame) -> DataFrame:
+    """(u, v): forests over the linked values of stored rows of different ``fp``."""
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = prints.count()
+    tasks, per_pair = max(1, min(n, -(-count // TASK))), max(n, -(-count * 44 // BUCKET))
+    balls = prints.select("fp").repartition(tasks).transform(K.mapped, _ball(per_pair), "bucket int, fps binary, bits binary")
+    return balls.repartition("bucket").sortWithinPartitions("bucket").transform(K.mapped, _verify, "u long, v long")
 
 
 def classes(prints: DataFrame) -> DataFrame:
     """(fp, root, component_id) for every distinct fingerprint of stored (doc_id, fp) rows; root is the component's least fingerprint."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(n, -(-distinct.count() // TASK)))
-    edges = distinct.select("fp").repartition(tasks).mapInArrow(K.tidy(_ball(n)), "bucket int, fps binary, bits binary").repartition("bucket").mapInArrow(K.tidy(_verify), "u long, v long")
-    linked = components(edges)
+    linked = components(links(distinct))
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return stored(named.join(least, "root").select("fp", "root", "component_id"), "classes")
