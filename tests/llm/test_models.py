@@ -122,6 +122,27 @@ def test_html_without_an_article_keeps_its_tail():
         assert html_text.main_text(page) == "\n".join([said] * 12 + ["The last part, also said, in a div."])
 
 
+def test_html_threshold_decides():
+    """Without any telling tag or name: paths of text stay, short ones and links go; no threshold keeps all, a large one nothing."""
+    part = "<p>A paragraph of the text, with commas, that goes on for a while, as they do.</p>"
+    said = "A paragraph of the text, with commas, that goes on for a while, as they do."
+    page = f"<div><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></div><div><span>Log in</span></div><div><h2>Title</h2>{part * 6}<p>Short.</p></div><div><div>All rights reserved</div></div>"
+    assert html_text.main_text(page) == "\n".join(["Title", *[said] * 6, "Short."])
+    assert html_text.main_text(page, 0) == "\n".join(["Home", "News", "Log in", "Title", *[said] * 6, "Short.", "All rights reserved"])
+    assert html_text.main_text(page, 1e9) == "" and html_text.main_text(PAGE, 1e9) == "" and html_text.main_text(PAGE, 0) != TEXT
+
+
+def test_html_deep_nesting_takes_linear_time():
+    import time
+
+    n = 100_000
+    began = time.time()
+    assert html_text.main_text("<div>x" * n).count("x") == n
+    assert html_text.main_text("<b>" * n + "<p>y" * n) == "\n".join("y" * n)
+    assert html_text.main_text("<i>" * n + "</u>" * n + "z") == "z"
+    assert time.time() - began < 30
+
+
 def test_html_of_test_data(spark):
     import html
     import re

@@ -1,23 +1,28 @@
 """Main text of web pages by tag-path ratios.
 
-Each text node belongs to the path of open elements from the root to it. Per page and path, text
-length and punctuation are summed and divided by the number of nodes; the two ratios are smoothed
-over the nodes in page order (three-node triangular kernel, so a short paragraph between long ones
-counts with them) and fused by their product. Paths whose fused ratio reaches ``THRESHOLD`` times
-the page's mass-weighted mean are content. Elements that by their tag or their class or id words
-are menus, headers, footers, sidebars, notices, adverts, forms or comments have ratio zero, and so
-has all inside them (a name alone does not bind an article or main element inside, nor a page
-without one of which nothing would be left). The content node is the article or main element that
-holds at least ``STATED_SHARE`` of the content paths' mass, as the page itself states where its
-article ends; without one, it is the smallest container that holds all blocks on content paths. Its
-blocks outside zero-ratio elements are the text, so headings and short paragraphs of the article stay.
+Each text node belongs to the path of open block elements from the root to it. Per page and path,
+text length and punctuation are summed and divided by the number of nodes; the two ratios are
+smoothed over the nodes in page order (three-node triangular kernel, so a short paragraph between
+long ones counts with them) and fused by their product, times the share of text outside links and
+times a prior: 0 inside elements that by their tag are menus, headers, footers, sidebars or forms or
+by their name are comments or lists of other articles, 0.005 inside elements that by their class or
+id words may be notices, adverts and the like (a wrapper around everything may be called so; an
+article or main element inside is free of it), else 1. Paths whose fused ratio reaches ``THRESHOLD``
+times the page's mean, weighted by text, are content; nothing else starts a text.
+
+The content node is the article (or else main) element that holds at least ``STATED_SHARE`` of the
+text on content paths, as the page itself states where its article ends; all its blocks outside
+marked elements are kept. Without one it is the smallest container that holds all blocks on content
+paths; these are kept, and headings, list items and the like that stand in the same container as
+one of them and are not mostly links.
 
 Inside a block white space is one space, ``br`` included; blocks are joined by one newline.
 Character references are decoded as HTML does, also unfinished ones that HTML accepts.
 
 Defined cases: null or empty html gives an empty text; unclosed elements, comments and tags run to
 the page's end; a page without tags is one block; repeated rows are treated alike; extra columns
-pass through unless they are named as an added one. Memory: one Arrow batch.
+pass through, ``text`` and ``n_chars`` are replaced; names that begin with ``_tm_`` are reserved;
+empty table: empty result. Time is linear in the page, whatever its nesting; memory: one Arrow batch.
 """
 
 from __future__ import annotations
@@ -44,25 +49,55 @@ RAW = frozenset("script style noscript template textarea iframe svg math object
 ZERO_TAGS = frozenset("head nav header footer aside form button select option menu dialog label fieldset".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre section select summary table tbody td tfoot th thead tr ul button".split())
 CONTAINER = frozenset("html body div section article main table tbody tr td center".split())
-CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LISTS = frozenset("ul ol dl blockquote nav header footer aside form figure".split())
+CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+ENDED = frozenset("p h li dt dd tr td th option".split())
+HEADING = re.compile("h[1-6]")
+BESIDE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption td th summary b strong i em span a code small sub sup u".split())
 # Words of class, id and role attributes that mark what is not article text.
 ZERO_WORDS = frozenset("ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead header footer foot copyright cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login search share sharing social widget pagination pager skip contentinfo complementary".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 #: Words for lists of other articles and for comments: an article element inside is not the page's article.
 OTHERS = COMMENT_WORDS | frozenset("related recommended recommendations".split())
 STATED = re.compile(r"\b(?:has|no|with|without|is|not)-[a-z0-9]+")
-THRESHOLD = 0.25
+#: Content paths reach this share of the page's mean of the fused ratio.
+THRESHOLD = 0.5
+#: Share of the content paths' text that an article or main element must hold to be the content node.
 STATED_SHARE = 0.9
+#: What the fused ratio of a block is multiplied by: plain, in an element of a doubtful name, in one that is outside the article for certain.
+PRIOR = (1.0, 0.005, 0.0)
+
 
+class Page:
+    """The elements of a page in order of their start, as parallel lists, and its blocks of text."""
 
-class Element:
-    __slots__ = ("tag", "up", "zero", "key", "mass")
+    def __init__(self) -> None:
+        self.tag, self.up, self.mark, self.path, self.depth = [""], [-1], [0], [0], [0]
+        self.paths: dict[tuple[int, str], int] = {}
+        #: Per element, the outermost open element of each kind that a new block can end, within the nearest container.
+        self.ends: list[dict[str, int]] = [{}]
+        #: (element, raw pieces of text, characters inside links)
+        self.blocks: list[tuple[int, list[str], int]] = []
 
-    def __init__(self, tag: str, up: Element | None, zero: int, key: str):
-        self.tag, self.up, self.zero, self.key, self.mass = tag, up, zero, key, 0.0
+    def add(self, tag: str, up: int, mark: int) -> int:
+        i = len(self.tag)
+        self.tag.append(tag)
+        self.up.append(up)
+        self.mark.append(mark)
+        self.depth.append(self.depth[up] + 1)
+        own = self.path[up]
+        self.path.append(self.paths.setdefault((own, tag), len(self.paths) + 1) if tag in BLOCK else own)
+        kind = "h" if HEADING.fullmatch(tag) else tag
+        if tag in CONTAINER or tag in LISTS:
+            self.ends.append({tag: i} if kind in ENDED else {})
+        elif kind in ENDED and kind not in self.ends[up]:
+            self.ends.append(self.ends[up] | {kind: i})
+        else:
+            self.ends.append(self.ends[up])
+        return i
 
 
-def _zero(tag: str, attributes: str) -> int:
+def _mark(tag: str, attributes: str) -> int:
     """2: outside the article for certain; 1: by its name only, as a wrapper around everything may be called; 0: not."""
     if tag in ZERO_TAGS:
         return 2
@@ -75,31 +110,43 @@ def _zero(tag: str, attributes: str) -> int:
     return 2 if words & OTHERS else int(bool(words & ZERO_WORDS))
 
 
-def parse(page: str) -> list[tuple[Element, str]]:
-    """The blocks of a page in order: the element they stand in, and their raw text."""
-    root = Element("", None, 0, "")
-    at, blocks, text, home, blank = root, [], [], root, True
-    pos, end = 0, len(page)
+def parse(html: str) -> Page:
+    """One pass over the tags; every element is opened and closed once, however deep they nest."""
+    page = Page()
+    at, home, text, blank, linked = 0, 0, [], True, 0
+    opened: dict[str, int] = {}
+    pos, end = 0, len(html)
 
     def close() -> None:
-        nonlocal text, blank
+        nonlocal text, blank, linked
         if not blank:
-            blocks.append((home, "".join(text)))
-        text, blank = [], True
+            page.blocks.append((home, text, linked))
+        text, blank, linked = [], True, 0
 
     def put(raw: str) -> None:
-        nonlocal home, blank
+        nonlocal home, blank, linked
         if raw:
-            if blank and not raw.isspace():
-                home, blank = at, False
+            if not raw.isspace():
+                if blank:
+                    home, blank = at, False
+                linked += len(raw) * bool(opened.get("a"))
             text.append(raw)
 
+    def leave(upto: int) -> None:
+        """Closes all open elements down to and with upto."""
+        nonlocal at
+        while True:
+            own, at = at, page.up[at]
+            opened[page.tag[own]] -= 1
+            if own == upto:
+                return
+
     while pos < end:
-        m = TOKEN.search(page, pos)
+        m = TOKEN.search(html, pos)
         if m is None:
-            put(page[pos:])
+            put(html[pos:])
             break
-        put(page[pos : m.start()])
+        put(html[pos : m.start()])
         pos = m.end()
         name = m[2] or m[5]
         if name is None:
@@ -110,111 +157,106 @@ def parse(page: str) -> list[tuple[Element, str]]:
             continue
         if tag in RAW and not closing:
             if not attributes.endswith("/") or tag not in ("svg", "math"):
-                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|$)", re.IGNORECASE).search(page, pos)
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|$)", re.IGNORECASE).search(html, pos)
                 pos = stop.end() if stop else end
             continue
         if tag in BLOCK:
             close()
         if closing:
-            x = at
-            while x is not None and x.tag != tag:
-                x = x.up
-            if x is not None and x.up is not None and x.tag == tag:
-                at = x.up
+            if opened.get(tag):
+                x = at
+                while page.tag[x] != tag:
+                    x = page.up[x]
+                leave(x)
             continue
         if tag in VOID:
             continue
-        if tag in BLOCK:  # a paragraph ends where any block begins; list and table parts end at their like
-            ends = CLOSED_BY.get(tag, set())
-            x, cut = at, None
-            while x is not None and x.tag not in CONTAINER and x.tag not in ("ul", "ol", "dl", "blockquote", "nav", "header", "footer", "aside", "form", "figure"):
-                if x.tag == "p" or x.tag in ends or x.tag[:1] == "h" and x.tag[1:].isdigit() and tag[:1] == "h" and tag[1:].isdigit():
-                    cut = x
-                x = x.up
-            if x is not None and x.tag in ends:
-                cut = x
+        if tag in BLOCK:  # a paragraph ends where any block begins; headings, list and table parts end at their like
+            kinds = ("p", "h") if HEADING.fullmatch(tag) else ("p", *CLOSED_BY.get(tag, ()))
+            cut = min((x for k in kinds if (x := page.ends[at].get(k)) is not None), default=None)
             if cut is not None:
-                at = cut.up
-        outer = 0 if at.zero == 1 and tag in ("article", "main") else at.zero
-        at = Element(tag, at, max(outer, _zero(tag, attributes)), f"{at.key}/{tag}" if tag in BLOCK else at.key)
+                leave(cut)
+        outer = 0 if page.mark[at] == 1 and tag in ("article", "main") else page.mark[at]
+        at = page.add(tag, at, max(outer, _mark(tag, attributes)))
+        opened[tag] = opened.get(tag, 0) + 1
     close()
-    return blocks
+    return page
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    blocks = [(x, s) for x, raw in parse(page) if (s := SPACE.sub(" ", entities.unescape(raw)).strip())]
-    if not blocks:
+def _smooth(v: list[float]) -> list[float]:
+    return [(a + 2 * b + c) / 4 for a, b, c in zip([v[0], *v], v, [*v[1:], v[-1]])]
+
+
+def content_paths(page: Page, blocks: list[tuple[int, str, float]], threshold: float) -> set[int]:
+    """Paths whose fused ratio reaches threshold times the page's mean; blocks: element, text, share outside links."""
+    length: dict[int, float] = {}
+    points: dict[int, float] = {}
+    nodes: dict[int, int] = {}
+    for x, s, _ in blocks:
+        p = page.path[x]
+        length[p] = length.get(p, 0.0) + len(s)
+        points[p] = points.get(p, 0.0) + sum(map(s.count, ".,;:!?"))
+        nodes[p] = nodes.get(p, 0) + 1
+    own = [page.path[x] for x, _, _ in blocks]
+    lengths, marks = (_smooth([t[p] / nodes[p] for p in own]) for t in (length, points))
+    weight = [PRIOR[page.mark[x]] * free for x, _, free in blocks]
+    ratio = [a * (1 + b) * w for a, b, w in zip(lengths, marks, weight)]
+    mass = [len(s) * w for (_, s, _), w in zip(blocks, weight)]
+    mean = sum(r * m for r, m in zip(ratio, mass)) / (sum(mass) or 1.0)
+    total: dict[int, float] = {}
+    for r, p in zip(ratio, own):
+        total[p] = total.get(p, 0.0) + r
+    return {p for p, r in total.items() if r / nodes[p] >= threshold * mean and (mean or not threshold)}
+
+
+def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
+    if not html:
         return ""
-    if all(x.zero for x, _ in blocks) and not re.search("<(?:article|main)[ >]", page, re.IGNORECASE):
-        for x, _ in blocks:  # a page whose every block stands in a wrapper with such a name
-            if x.zero == 1:
-                x.zero = 0
-    totals: dict[str, list[float]] = {}
-    for x, s in blocks:
-        t = totals.setdefault(x.key, [0.0, 0.0, 0.0])
-        t[0] += len(s) * (not x.zero)
-        t[1] += sum(map(s.count, ".,;:!?")) * (not x.zero)
-        t[2] += 1
-    length = [totals[x.key][0] / totals[x.key][2] * (not x.zero) for x, _ in blocks]
-    points = [totals[x.key][1] / totals[x.key][2] * (not x.zero) for x, _ in blocks]
-
-    def smooth(v: list[float]) -> list[float]:
-        return [(a + 2 * b + c) / 4 for a, b, c in zip([v[0], *v], v, [*v[1:], v[-1]])]
-
-    ratio = [a * (1 + b) for a, b in zip(smooth(length), smooth(points))]
-    mass = sum(len(s) for (x, s) in blocks if not x.zero)
-    if not mass:
+    page = parse(html)
+    blocks = []
+    for x, raw, linked in page.blocks:
+        own = "".join(raw)
+        if s := SPACE.sub(" ", entities.unescape(own)).strip():
+            blocks.append((x, s, 1 - min(1.0, linked / max(len(own.strip()), 1))))
+    content = content_paths(page, blocks, threshold) if blocks else set()
+    chosen = [page.path[x] in content and (PRIOR[page.mark[x]] > 0 or not threshold) for x, _, _ in blocks]
+    if not any(chosen):
         return ""
-    mean = sum(r * len(s) for r, (x, s) in zip(ratio, blocks) if not x.zero) / mass
-    by_path: dict[str, list[float]] = {}
-    for r, (x, _) in zip(ratio, blocks):
-        by_path.setdefault(x.key, []).append(r)
-    content = {k for k, v in by_path.items() if sum(v) / len(v) >= THRESHOLD * mean}
-    total = 0.0
-    for x, s in blocks:
-        if x.key in content and not x.zero:
-            total += len(s)
-            y: Element | None = x
-            while y is not None:
-                y.mass += len(s)
-                y = y.up
-    root = _content_node(blocks, total)
-    out = []
-    for x, s in blocks:
-        if x.zero:
-            continue
-        y = x
-        while y is not None and y is not root:
-            y = y.up
-        if y is not None:
-            out.append(s)
-    return "\n".join(out)
-
-
-def _content_node(blocks: list[tuple[Element, str]], total: float) -> Element:
-    """The article (or else main) element with STATED_SHARE of the content's mass; without one the smallest container with all of it."""
-    best, stated, seen = None, None, set()
-    for x, _ in blocks:
-        if id(x) in seen:
-            continue
-        seen.add(id(x))
-        depth, y = [], x
-        while y is not None:
-            depth.append(y)
-            y = y.up
-        for k, y in enumerate(reversed(depth)):
-            if y.mass < STATED_SHARE * total or y.tag and y.tag not in CONTAINER:
-                break
-            if y.mass >= total and (best is None or k > best[0]):
-                best = (k, y)
-            if y.tag in ("article", "main"):
-                stated = (k, y) if stated is None or k > stated[0] else stated
-                if y.tag == "article":
-                    break
-    assert best is not None
-    return stated[1] if stated else best[1]
+    held = [0] * len(page.tag)
+    near = list(range(len(page.tag)))  # the nearest container of each element
+    for x in range(1, len(near)):
+        if page.tag[x] not in CONTAINER:
+            near[x] = near[page.up[x]]
+    homes = set()
+    for (x, s, _), c in zip(blocks, chosen):
+        if c:
+            held[x] += len(s)
+            homes.add(near[x])
+    total = sum(held)
+    for x in range(len(held) - 1, 0, -1):
+        held[page.up[x]] += held[x]
+    root, stated = _content_node(page, held, total)
+    inside = [False] * len(held)
+    inside[root] = True
+    for x in range(root + 1, len(inside)):
+        inside[x] = inside[page.up[x]]
+
+    def kept(x: int, free: float, c: bool) -> bool:
+        """On a content path; or unmarked, and part of the stated article or a heading, list or the like beside content."""
+        return c or page.mark[x] == 0 and (stated or free > 0.5 and page.tag[x] in BESIDE and near[x] in homes)
+
+    return "\n".join(s for (x, s, free), c in zip(blocks, chosen) if inside[x] and kept(x, free, c))
+
+
+def _content_node(page: Page, held: list[int], total: int) -> tuple[int, bool]:
+    """The outermost article (or else the innermost main) with STATED_SHARE of the content; without one the innermost container with all of it."""
+    whole = max((x for x in range(len(held)) if held[x] >= total and (x == 0 or page.tag[x] in CONTAINER)), key=page.depth.__getitem__)
+    large = [x for x in range(len(held)) if held[x] >= STATED_SHARE * total]
+    articles = [x for x in large if page.tag[x] == "article"]
+    if articles:
+        return min(articles, key=page.depth.__getitem__), True
+    mains = [x for x in large if page.tag[x] == "main"]
+    return (max(mains, key=page.depth.__getitem__), True) if mains else (whole, False)
 
 
 def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
