@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
@@ -112,6 +113,61 @@ def base_statistics(t):
     return (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(again))
 
 
+def outliers(rows, floor, grid=32, distance_grid=16, h=0.75, own=50.0, chi2_median=3.3567):
+    """rows: (lang, source, vector). The squared distance of each, by plain NumPy over boxes of equal vectors."""
+    names = [((a, b), (a,), ()) for a, b, _ in rows]
+    groups = defaultdict(list)
+    for k, g in enumerate(names):
+        for x in g:
+            groups[x].append(k)
+
+    def quantile(bins, n, q):
+        order = np.argsort(bins, kind="stable")
+        upto = np.cumsum(n[order])
+        return bins[order][np.flatnonzero(upto >= upto[-1] * q)[0]]
+
+    def distances(x, m, v):
+        return np.maximum(((x - m) @ np.linalg.inv(v) * (x - m)).sum(axis=1), 1e-6)
+
+    def least(own_rows):
+        x = np.array([rows[k][2] for k in own_rows])
+        box, back = np.unique(np.floor(x * grid), axis=0, return_inverse=True)
+        back = back.ravel()
+        n = np.bincount(back)
+        mean = np.array([x[back == b].mean(axis=0) for b in range(len(box))])
+
+        def estimate(some):
+            part = x[some[back]]
+            return part.mean(axis=0), np.cov(part.T, bias=True) + np.diag(np.square(floor))
+
+        m = np.array([(quantile(box[:, k], n, 0.5) + 0.5) / grid for k in range(x.shape[1])])
+        s = np.array([(quantile(np.floor(np.abs(mean[:, k] - m[k]) * grid), n, 0.5) + 0.5) / grid for k in range(x.shape[1])])
+        starts = [(m, np.diag(np.maximum(1.4826 * s, floor) ** 2)), estimate(np.ones(len(box), bool))]
+        starts += [estimate(some) for r in (0, 1) if (some := box.sum(axis=1) % 2 == r).any()]
+        found = []
+        for k, (m, v) in enumerate(starts):
+            for _ in range(30):
+                at = np.floor(np.log(distances(mean, m, v)) * distance_grid)
+                old = np.linalg.slogdet(v)[1]
+                m, v = estimate(at <= quantile(at, n, h))
+                if abs(np.linalg.slogdet(v)[1] - old) <= 1e-12:
+                    break
+            found.append((round(np.linalg.slogdet(v)[1], 9), k, m, v))
+        _, _, m, v = min(found, key=lambda f: f[:2])
+        half = quantile(np.floor(np.log(distances(mean, m, v)) * distance_grid), n, 0.5)
+        return len(x), m, v * max(1.0, np.exp((half + 0.5) / distance_grid) / chi2_median)
+
+    levels = {g: least(own_rows) for g, own_rows in groups.items()}
+
+    def shrunk(g):
+        n, m, v = levels[g]
+        _, m2, v2 = levels[()] if len(g) < 2 else shrunk(g[:1])
+        share = own / (n + own)
+        return n, m + share * (m2 - m), v + share * (v2 - v)
+
+    return [distances(np.array([x]), *shrunk((a, b))[1:])[0] for a, b, x in rows]
+
+
 def mixing(docs, weights=(1, 2, 3), epochs=3):
     """docs: (doc_id, text, source). (target by source, {(doc_id, size): taken}) by refilling until no source is above its stop."""
     size = Counter()

@@ -75,6 +75,19 @@ def test_outliers_reject_junk_and_keep_clean(spark, docs):
     assert kept[0] < 0.1 and kept[1] > 0.97
 
 
+def test_outliers_against_brute_force(spark, docs):
+    """Nulls, one-row groups, constant columns, ties and repeated rows included."""
+    some = docs.where("doc_id % 3 = 0").unionByName(spark.createDataFrame(ODD, KIND)).unionByName(docs.where("doc_id < 3").withColumn("source", F.lit("alone")))
+    some = some.unionByName(docs.where("doc_id = 3").withColumn("lang", F.lit(None).cast("string"))).unionByName(docs.where("doc_id = 6"))
+    rows = outliers.judge(some).select("*", *(v.alias(f"x{k}") for k, v in enumerate(outliers.transformed()))).collect()
+    judged = [r for r in rows if not r["base_failed"]]
+    want = brute.outliers([(r["lang"], r["source"], [r[f"x{k}"] for k in range(4)]) for r in judged], outliers.FLOOR)
+    assert len(judged) > 250 and max(abs(r["distance"] - d) / max(d, 1e-3) for r, d in zip(judged, want)) < 1e-6
+    assert all(r["kept"] == (d <= outliers.CUT) for r, d in zip(judged, want)) and not any(r["kept"] for r in rows if r["base_failed"])
+    constant = spark.createDataFrame([(k, " ".join(f"word{j}" for j in range(60)), "en", "a", 0) for k in range(5)], KIND)
+    assert {r["kept"] for r in outliers.digest(constant).collect()} == {True}
+
+
 def test_outliers_reject_repetition_alone(spark):
     """One planted text for each of the two shares, in a source where nobody repeats."""
     import itertools

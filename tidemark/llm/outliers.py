@@ -1,23 +1,28 @@
 """Quality rules: robust multivariate outliers per language and source (DataFrame functions only).
 
 Base statistics of each whole text are counted exactly; four of them, transformed, form a vector
-(:data:`VECTOR`). For every (lang, source) a minimum-covariance-determinant estimate is taken by
-concentration steps: from the coordinate medians and median deviations, the ``h`` share of rows
-nearest by Mahalanobis distance gives the next mean and covariance, ``steps`` times; the final
-covariance is scaled so that the median distance is that of a chi-square with four degrees.
-Documents beyond ``cut``, the chi-square's 99.9 % quantile, are rejected.
-
-Everything a group contributes is a sum or a histogram: medians and the h share are read off
-counts per bin (so ties fall together and reruns agree), means and covariances are sums that
-partitions add up first. A hot source is never gathered. Rows that fail the base rules are judged
-by them alone and do not shape the estimates. Groups of fewer than ``least`` rows are pooled by
-language, and those again over all languages; what is still fewer gets no verdict beyond the base
-rules. A floor on standard deviations (``floor``, in transformed units) keeps constant statistics
-harmless.
+(:data:`VECTOR`). For every (lang, source), every lang and all rows together a minimum-covariance-
+determinant estimate is taken. Its ``STARTS`` starts are the coordinate medians with median
+deviations, the mean and covariance of all rows, and those of two halves of the cells (below; by the
+parity of their indices' sum). Each
+is concentrated - the ``h`` share of rows nearest by Mahalanobis distance gives the next mean and
+covariance - until no determinant changes; the least determinant wins, and its covariance is scaled
+so that the median distance is at most that of a chi-square with four degrees.
+
+A group's estimate is shrunk towards that of its language, and that towards all rows', with the
+weight of ``own`` rows: mean and covariance are weighted by rows against ``own``. So each document is
+judged by its own language and source, however few rows they have. Documents beyond ``cut``, the
+chi-square's 99.9 % quantile, are rejected.
+
+All rows are reduced to cells in one pass that adds up within partitions first: per group and per
+box of 1 / ``GRID`` units, the number of rows and the sums of their vectors and products. What
+follows works on cells, so no group's rows are gathered, reruns agree and ties fall together. Rows
+that fail the base rules are judged by them alone and do not shape the estimates. A floor on
+standard deviations (``floor``, in transformed units) keeps constant statistics harmless.
 
 Defined cases: null text counts as empty and fails the base rules (under 50 words); null lang or
-source form their own groups; repeated rows are judged alike; extra columns are ignored; empty
-table: empty result.
+source form their own groups; repeated rows are judged alike; extra columns are ignored; without a
+row that passes the base rules nothing is kept; empty table: empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +47,11 @@ CHI2_MEDIAN = 3.3567
 CUT = 18.4668
 #: Bins per unit of a statistic, and of the logarithm of a squared distance.
 GRID, DISTANCE_GRID = 32, 16
+STARTS = 4
+PAIRS = tuple((i, j) for i in range(P) for j in range(i + 1))
+#: Columns of a cell that add up, and of an estimate.
+SUMS = ("n", *(f"t{i}" for i in range(P)), *(f"c{i}{j}" for i, j in PAIRS))
+ESTIMATE = (*(f"m{i}" for i in range(P)), *(f"v{i}{j}" for i, j in PAIRS))
 
 
 def let(value: Column, body) -> Column:
@@ -91,89 +101,120 @@ def transformed() -> list[Column]:
     ]
 
 
-def _quantile(df: DataFrame, keys: list[str], value: Column, grid: int, q: float, name: str) -> DataFrame:
-    """keys and the centre of the lowest bin at which at least the q share of a key's rows is reached."""
-    counts = df.groupBy(*keys, F.floor(value * grid).alias("bin")).agg(F.count("*").alias("n"))
+def levels() -> list[Column]:
+    """The group of a row as JSON: of language and source, of language, of all."""
+    own = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    return [own("lang", "source"), own("lang"), F.lit("all")]
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """Per group of every level and box: b0..3, n, t0..3 (sums), c00..c33 (sums of products); rows: lang, source, x0..3."""
+    boxes = [F.floor(F.col(f"x{k}") * GRID).cast("int").alias(f"b{k}") for k in range(P)]
+    sums = [F.sum(f"x{i}").alias(f"t{i}") for i in range(P)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i, j in PAIRS]
+    fine = rows.groupBy("lang", "source", *boxes).agg(F.count("*").alias("n"), *sums)
+    return fine.withColumn("g", F.explode(F.array(*levels()))).groupBy("g", *(f"b{k}" for k in range(P))).agg(*(F.sum(c).alias(c) for c in SUMS))
+
+
+def _quantile(df: DataFrame, keys: list[str], bin_: Column, q: float) -> DataFrame:
+    """keys and ``bin``, the lowest at which at least the q share of a key's n is reached."""
+    counts = df.groupBy(*keys, bin_.alias("bin")).agg(F.sum("n").alias("n"))
     order = W.partitionBy(*keys).orderBy("bin")
     run = counts.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
-    return run.where(F.col("upto") >= F.col("all") * q).groupBy(*keys).agg(((F.min("bin") + 0.5) / grid).alias(name))
+    return run.where(F.col("upto") >= F.col("all") * q).groupBy(*keys).agg(F.min("bin").alias("bin"))
 
 
-def _medians(df: DataFrame, values: list[Column], prefix: str) -> DataFrame:
-    """g and the coordinate medians {prefix}0..3, from one histogram of all coordinates."""
-    long = df.select("g", F.posexplode(F.array(*values)).alias("i", "v"))
-    found = _quantile(long, ["g", "i"], F.col("v"), GRID, 0.5, "m")
-    return found.groupBy("g").agg(*(F.max(F.when(F.col("i") == k, F.col("m"))).alias(f"{prefix}{k}") for k in range(P)))
+def _medians(df: DataFrame, values: list[Column], name: str) -> DataFrame:
+    """g and the coordinate medians {name}0..3, bin centres of values that are already scaled to bins."""
+    long = df.select("g", "n", F.posexplode(F.array(*values)).alias("i", "v"))
+    found = _quantile(long, ["g", "i"], F.floor("v"), 0.5)
+    return found.groupBy("g").agg(*(F.max(F.when(F.col("i") == k, (F.col("bin") + 0.5) / GRID)).alias(f"{name}{k}") for k in range(P)))
 
 
-def _cholesky(cov: list[list[Column]]) -> list[tuple[str, Column]]:
-    """Named columns l{i}{j} of the factor, each from the ones before it."""
-    out = []
-    for i in range(P):
-        for j in range(i + 1):
-            s = cov[i][j]
-            for k in range(j):
-                s = s - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            out.append((f"l{i}{j}", F.sqrt(F.greatest(s, F.lit(1e-9))) if i == j else s / F.col(f"l{j}{j}")))
-    return out
+def _factor(params: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, m0..3 and v00..v33 with the Cholesky factor l00..l33 and ``det``, the logarithm of the determinant."""
+    for i, j in PAIRS:
+        s = F.col(f"v{i}{j}")
+        for k in range(j):
+            s = s - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(s, F.lit(1e-9))) if i == j else s / F.col(f"l{j}{j}"))
+    det = reduce(lambda a, b: a + b, (2 * F.log(f"l{i}{i}") for i in range(P)))
+    return params.select(*keys, *(f"m{k}" for k in range(P)), *(f"v{i}{j}" for i, j in PAIRS), *(f"l{i}{j}" for i, j in PAIRS), det.alias("det"))
 
 
-def _factor(params: DataFrame, cov: list[list[Column]]) -> DataFrame:
-    for name, value in _cholesky(cov):
-        params = params.withColumn(name, value)
-    return params.select("g", *(f"m{k}" for k in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)))
+def _estimated(df: DataFrame, keys: list[str], floor: tuple[float, ...]) -> DataFrame:
+    """The mean and covariance, with the floor, of the rows that df's cells stand for."""
+    sums = df.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in SUMS))
+    means = sums.select("*", *((F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(P)))
+    return means.select(*keys, *(f"m{i}" for i in range(P)), *((F.col(f"c{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}") + F.lit(floor[i] ** 2 if i == j else 0.0)).alias(f"v{i}{j}") for i, j in PAIRS))
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """rows with d2, the squared Mahalanobis distance by the cached factor of their group."""
-    joined = rows.join(params, "g")
+def _distance(point: list[Column]) -> list[tuple[str, Column]]:
+    """Named columns y0..3 and d2, the squared Mahalanobis distance of a point by the factor and mean in the row."""
+    out = []
     for i in range(P):
-        s = F.col(f"x{i}") - F.col(f"m{i}")
+        s = point[i] - F.col(f"m{i}")
         for k in range(i):
             s = s - F.col(f"l{i}{k}") * F.col(f"y{k}")
-        joined = joined.withColumn(f"y{i}", s / F.col(f"l{i}{i}"))
-    d2 = reduce(lambda a, b: a + b, (F.col(f"y{i}") * F.col(f"y{i}") for i in range(P)))
-    return joined.select(*rows.columns, F.greatest(d2, F.lit(1e-6)).alias("d2"))
-
-
-def estimates(rows: DataFrame, *, h: float = 0.75, steps: int = 4, floor: tuple[float, ...] = FLOOR) -> DataFrame:
-    """Per group g: mean m0..3, Cholesky factor l00..l33 and the scale of its distances; rows: g, x0..3."""
-    xs = [F.col(f"x{k}") for k in range(P)]
-    centre = stored(_medians(rows, xs, "m"), "medians")
-    off = rows.join(centre, "g")
-    spread = _medians(off, [F.abs(x - F.col(f"m{k}")) for k, x in enumerate(xs)], "s")
-    start = centre.join(spread, "g")
-    zero = F.lit(0.0)
-    params = stored(_factor(start, [[F.pow(F.greatest(1.4826 * F.col(f"s{i}"), F.lit(floor[i])), F.lit(2.0)) if i == j else zero for j in range(P)] for i in range(P)]), "estimates")
+        out.append((f"y{i}", s / F.col(f"l{i}{i}")))
+    return [*out, ("d2", F.greatest(reduce(lambda a, b: a + b, (F.col(f"y{i}") * F.col(f"y{i}") for i in range(P))), F.lit(1e-6)))]
+
+
+def _far(df: DataFrame, point: list[Column]) -> DataFrame:
+    for name, value in _distance(point):
+        df = df.withColumn(name, value)
+    return df.drop(*(f"y{i}" for i in range(P)))
+
+
+def robust(table: DataFrame, *, h: float = 0.75, steps: int = 30, floor: tuple[float, ...] = FLOOR) -> DataFrame:
+    """Per group g of stored cells: rows, m0..3 and v00..v33 of the least determinant, scaled."""
+    means = [F.col(f"t{k}") / F.col("n") for k in range(P)]
+    centre = _medians(table, [F.col(f"b{k}") for k in range(P)], "m")
+    spread = _medians(table.join(centre, "g"), [F.abs(means[k] - F.col(f"m{k}")) * GRID for k in range(P)], "s")
+    medians = centre.join(spread, "g").select("g", F.lit(0).alias("start"), *(f"m{k}" for k in range(P)), *((F.pow(F.greatest(1.4826 * F.col(f"s{i}"), F.lit(floor[i])), F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i, j in PAIRS))
+    # the mean of all rows and of two halves of the cells
+    half = 2 + F.pmod(reduce(lambda a, b: a + b, (F.col(f"b{k}") for k in range(P))), F.lit(2))
+    others = _estimated(table.withColumn("start", F.explode(F.array(F.lit(1), half))), ["g", "start"], floor)
+    keys = ["g", "start"]
+    now = _factor(medians.unionByName(others), keys)
+    files = 1 + table.select("g").distinct().count() * STARTS // 100_000
+    now = stored(now.coalesce(files), "starts")
+    point = F.floor(F.log("d2") * DISTANCE_GRID)
     for _ in range(steps):
-        near = _distance(rows, params)
-        bound = stored(_quantile(near, ["g"], F.log("d2"), DISTANCE_GRID, h, "bound"), "bounds")
-        kept = near.join(bound, "g").where(F.floor(F.log("d2") * DISTANCE_GRID) <= F.floor(F.col("bound") * DISTANCE_GRID))
-        sums = kept.groupBy("g").agg(F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"t{i}") for i in range(P)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
-        means = sums.select("*", *((F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(P)))
-        cov = [[F.col(f"c{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}") + (F.lit(floor[i] ** 2) if i == j else zero) for j in range(i + 1)] for i in range(P)]
-        params = stored(_factor(means, cov), "estimates")
-    scale = _quantile(_distance(rows, params), ["g"], F.log("d2"), DISTANCE_GRID, 0.5, "half")
-    return params.join(scale.select("g", (F.exp("half") / CHI2_MEDIAN).alias("scale")), "g")
-
-
-def judge(docs: DataFrame, *, least: int = 50, cut: float = CUT, h: float = 0.75, steps: int = 4, floor: tuple[float, ...] = FLOOR) -> DataFrame:
+        near = _far(table.join(now, "g"), means).withColumn("at", point)
+        bound = _quantile(near, keys, F.col("at"), h)
+        kept = near.select(*keys, *SUMS, "at").join(bound, keys).where("at <= bin")
+        after = stored(_factor(_estimated(kept, keys, floor), keys).coalesce(files), "estimates")
+        moved = after.join(now.select(*keys, F.col("det").alias("old")), keys).where(F.abs(F.col("det") - F.col("old")) > 1e-9)
+        settled, now = moved.isEmpty(), after
+        if settled:
+            break
+    best = now.groupBy("g").agg(F.min(F.struct("det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
+    best = stored(now.join(best, keys).coalesce(files), "least")
+    half_way = _quantile(_far(table.join(best, "g"), means), ["g"], point, 0.5)
+    scale = half_way.select("g", F.greatest(F.exp((F.col("bin") + 0.5) / DISTANCE_GRID) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
+    rows = table.groupBy("g").agg(F.sum("n").alias("rows"))
+    return best.join(scale, "g").join(rows, "g").select("g", "rows", *(f"m{k}" for k in range(P)), *((F.col(f"v{i}{j}") * F.col("scale")).alias(f"v{i}{j}") for i, j in PAIRS))
+
+
+def _shrunk(fine: DataFrame, coarse: DataFrame, up: str, own: float) -> DataFrame:
+    """fine's estimates with ``own`` rows' weight of the coarse group named in column up."""
+    other = coarse.select(F.col("g").alias("_up"), *(F.col(c).alias(f"_{c}") for c in ESTIMATE))
+    share = F.lit(own) / (F.col("rows") + own)
+    return fine.join(other, F.col(up) == F.col("_up")).select("g", "rows", *(c for c in fine.columns if c in ("up", "top")), *((F.col(c) + share * (F.col(f"_{c}") - F.col(c))).alias(c) for c in ESTIMATE))
+
+
+def judge(docs: DataFrame, *, own: float = 50.0, cut: float = CUT, h: float = 0.75, steps: int = 30, floor: tuple[float, ...] = FLOOR) -> DataFrame:
     """The rows of :func:`statistics` with ``distance`` (squared, robust; null without a verdict) and ``kept``."""
     stats = stored(statistics(docs), "statistics")
     x = stats.select("*", *(v.alias(f"x{k}") for k, v in enumerate(transformed())))
-    fine = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
-    coarse = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
-    used = x.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
-    used = used.withColumn("small", F.col("n") < least)
-    pool = used.withColumn("pool", F.sum(F.when(F.col("small"), F.col("n")).otherwise(0)).over(W.partitionBy("lang")))
-    groups = stored(pool.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.when(~F.col("small"), fine).when(F.col("pool") >= least, coarse).otherwise("all").alias("g"), "n"), "groups")
-    enough = groups.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("g")
-    named = x.join(groups.join(enough, "g", "left_semi").drop("n"), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
-    named = stored(named, "grouped")
-    params = stored(estimates(named.where("not base_failed and g is not null").select("g", *(f"x{k}" for k in range(P))), h=h, steps=steps, floor=floor), "robust")
-    judged = named.where("not base_failed and g is not null")
-    far = _distance(judged, params.drop("scale")).join(params.select("g", "scale"), "g").withColumn("distance", F.col("d2") / F.greatest("scale", F.lit(1.0)))
-    rest = named.where("base_failed or g is null").withColumn("distance", F.lit(None).cast("double"))
+    judged = x.where("not base_failed")
+    found = stored(robust(stored(cells(judged), "cells"), h=h, steps=steps, floor=floor), "robust")
+    names = [c.alias(n) for c, n in zip(levels(), ("g", "up", "top"))]
+    groups = judged.select("lang", "source").distinct().select(*names)
+    middle = _shrunk(found.join(groups.select(F.col("up").alias("g"), "top").distinct(), "g"), found, "top", own)
+    final = stored(_factor(_shrunk(found.join(groups.select("g", "up"), "g"), middle, "up", own), ["g"]), "shrunk")
+    far = _far(judged.withColumn("g", levels()[0]).join(final, "g"), [F.col(f"x{k}") for k in range(P)]).withColumn("distance", F.col("d2"))
+    rest = x.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
     columns = [*stats.columns, "distance"]
     every = far.select(*columns).unionByName(rest.select(*columns))
     return every.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut))
