@@ -200,26 +200,56 @@ def lines_of(t):
     return [tuple(w) for x in (t or "").split("\n") if (w := SPACE.findall(x))]
 
 
-def line_dedup(docs, min_words, patience):
-    """docs: (doc_id, text). Kept text and number of deleted lines of each, by the operator's definition."""
+def patience(a, b, lo=0, hi=None, lo2=0, hi2=None):
+    """Places of a that patience diff aligns with b, by recursion."""
+    hi, hi2 = len(a) if hi is None else hi, len(b) if hi2 is None else hi2
+    if lo >= hi or lo2 >= hi2:
+        return set()
+    if a[lo] == b[lo2]:
+        return {lo} | patience(a, b, lo + 1, hi, lo2 + 1, hi2)
+    if a[hi - 1] == b[hi2 - 1]:
+        return {hi - 1} | patience(a, b, lo, hi - 1, lo2, hi2 - 1)
+    own, other = a[lo:hi], b[lo2:hi2]
+    pairs = [(lo + i, lo2 + other.index(x)) for i, x in enumerate(own) if own.count(x) == 1 and other.count(x) == 1]
+    size, back = [], []
+    for k, (_, j) in enumerate(pairs):
+        size.append(1 + max((size[x] for x in range(k) if pairs[x][1] < j), default=0))
+        back.append(max((x for x in range(k) if size[x] == size[k] - 1 and pairs[x][1] < j), default=-1))
+    chain, k = [], max((k for k in range(len(pairs)) if size[k] == max(size)), default=-1)
+    while k >= 0:
+        chain.append(pairs[k])
+        k = back[k]
+    if not pairs:
+        chain = [(lo + i, lo2 + other.index(x)) for i, x in enumerate(own) if x in other][:1]
+    if not chain:
+        return set()
+    edges = [(lo - 1, lo2 - 1), *reversed(chain), (hi, hi2)]
+    return {i for i, _ in chain}.union(*(patience(a, b, i + 1, i2, j + 1, j2) for (i, j), (i2, j2) in zip(edges, edges[1:])))
+
+
+def line_dedup(docs, every_pair=False):
+    """docs: (doc_id, text). Kept text, lines and deleted lines of each, by the operator's definition; or aligned with every earlier document."""
     rows = {(key(d), t or ""): lines_of(t) for d, t in docs}
-    known, number = {}, {}
+    known, pairs = {}, {}
     order = sorted(rows, key=lambda r: (r[0], xx(r[1])))
     for r in order:
         for x in set(rows[r]):
             known.setdefault(x, []).append(r)
+        for x in set(zip(rows[r], rows[r][1:])):
+            pairs.setdefault(x, r)
+    place = {r: k for k, r in enumerate(order)}
     gone = {r: set() for r in rows}
-    for r in rows:
-        number[r] = [hash_line(x) for x in rows[r]]
     for r in order:
-        shared = [(p, known[x]) for p, x in enumerate(rows[r]) if known[x][0] != r]
+        own = rows[r]
+        shared = [(p, known[x]) for p, x in enumerate(own) if known[x][0] != r]
 
         def align(partners):
             for b in partners:
-                for s, _, k in patience(number[r], number[b]):
-                    if sum(len(rows[r][i]) for i in range(s, s + k)) >= min_words:
-                        gone[r] |= set(range(s, s + k))
+                gone[r].update(patience(own, rows[b]))
 
+        if every_pair:
+            align({b for _, held in shared for b in held if place[b] < place[r]})
+            continue
         partners, run = set(), []
         for p, held in [*shared, (1 << 60, None)]:
             if run and p != run[-1][0] + 1:
@@ -228,6 +258,8 @@ def line_dedup(docs, min_words, patience):
             run.append((p, held))
         align(partners)
         align({held[0] for p, held in shared if p not in gone[r]})
+        left = [p for p, _ in shared if p not in gone[r]]
+        align({b for p in left for x in (p - 1, p) if 0 <= x < len(own) - 1 and place[b := pairs[own[x], own[x + 1]]] < place[r]})
     out = []
     for d, t in docs:
         cut, k, kept = gone[key(d), t or ""], -1, []
@@ -242,7 +274,3 @@ def line_dedup(docs, min_words, patience):
 def xx(t):
     h = xxhash.xxh64_intdigest(t.encode(), 42)
     return h - (1 << 64) if h >> 63 else h
-
-
-def hash_line(x):
-    return hash(x)

@@ -176,12 +176,34 @@ def test_components(spark):
 
 
 def test_line_dedup(docs, rows, empty):
-    want = brute.line_dedup([r[:2] for r in rows], 10, line_dedup.patience)
+    want = brute.line_dedup([r[:2] for r in rows])
     same(line_dedup.dedup(docs.select("doc_id", "text")), want)
     assert line_dedup.dedup(docs).columns == [c for c in docs.columns] + ["n_lines", "n_removed"]
     assert line_dedup.digest(empty).count() == 0
 
 
+def test_line_dedup_in_other_orders(spark):
+    """Lines that cross in their first holder: pairs of neighbours find the document that holds them in order."""
+    lines = [f"line number {k} of all" for k in range(9)]
+    rng = random.Random(4)
+    texts = ["\n".join((lines[1], lines[0])), "\n".join((lines[0], lines[1])), "\n".join((lines[0], lines[1], "end")), *("\n".join(rng.sample(lines, rng.randint(1, 8))) for _ in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    want = brute.line_dedup(list(enumerate(texts)))
+    same(line_dedup.dedup(docs).select("doc_id", "text", "n_lines", "n_removed"), want)
+    assert want[2][3] == 2
+    # four documents: two earlier ones hold a line each, the last holds both
+    four = [(0, "x a b c\nown"), (1, "y a b c\nhere"), (2, "x a b c\ny a b c"), (3, "x a b c\ny a b c")]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup(spark.createDataFrame(four, "doc_id int, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2} and [x[3] for x in brute.line_dedup(four, True)] == [0, 0, 2, 2]
+
+
+def test_patience_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(3000):
+        a, b = ([rng.randint(0, k) for _ in range(rng.randint(0, 9))] for k in (rng.choice([1, 3, 12]),) * 2)
+        assert {i for s, _, n in line_dedup.patience(a, b) for i in range(s, s + n)} == brute.patience(a, b)
+
+
 def test_patience():
     assert line_dedup.patience([1, 2, 3, 9, 4], [1, 2, 3, 8, 4]) == [(0, 0, 3), (4, 4, 1)]
     assert line_dedup.patience([5, 1, 2], [1, 2, 6]) == [(1, 0, 2)]

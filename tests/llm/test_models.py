@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
-from tidemark.llm import html_text, language, line_dedup, outliers, quality
+from tidemark.llm import html_text, language, outliers, quality
 from tidemark.llm.queries import oracle_sql, queries
 
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
@@ -194,7 +194,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
             want.append(r["doc_id"])
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(want) and len(want) > 190
     rows = [(r["doc_id"], r["text"]) for r in one.collect()]
-    lines = [x for x in brute.line_dedup(rows, line_dedup.MIN_WORDS, line_dedup.patience) if not x[3] or x[2] > x[3]]
+    lines = [x for x in brute.line_dedup(rows) if not x[3] or x[2] > x[3]]
     two = steps["line_dedup"](spark, one, SMALL)
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in two.collect()) == sorted((d, t, len(t)) for d, t, _, _ in lines)
     rows = [(d, t) for d, t, _, _ in lines]

@@ -8,7 +8,9 @@ million documents makes a million pairs, not their square.
 A shared line's rarity is the number of documents that hold it. Within every maximal run of
 consecutive shared lines the rarest line names the run's partner (ties: the earlier line), and the
 document is aligned with that partner; shared lines that the alignment leaves uncovered name their
-own first holders in a second round, so no shared line is ever skipped for being common. Alignment:
+own first holders in a second round, so no shared line is ever skipped for being common. What is
+still uncovered stands in another order than there: in a third round the two pairs of neighbouring
+lines that it is part of name the first holders of these pairs. Alignment:
 patience diff (unique common lines, longest increasing run, recursion between them, blocks grown at
 both ends). Aligned common blocks of at least ``min_words`` = 1 words, so all of them, are deleted
 from the later document; deletions of all pairs of a document are united.
@@ -178,6 +180,23 @@ def _links(first_round: bool):
     return run
 
 
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shared lines of each document that no alignment has covered."""
+    for batch in batches:
+        left = []
+        for found, gone in zip(*(K.column(batch, c).to_pylist() for c in ("found", "gone"))):
+            covered = {int(x) for g in gone or [] for x in np.frombuffer(g, np.int32)}
+            left.append(sorted({x["p"] for x in found} - covered))
+        some = pa.array([bool(x) for x in left], pa.bool_())
+        columns = [K.column(batch, "ord"), K.column(batch, "uid"), pa.array(left, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], names=["ord", "uid", "open"])
+
+
+def _neighbours() -> "F.Column":
+    """A key for each line and its next."""
+    return F.zip_with(F.slice("h", 1, F.size("h") - 1), F.slice("h", 2, F.size("h") - 1), lambda a, b: F.xxhash64(a, b))
+
+
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """ord, uid and ``gone`` (pieces of line positions) of the documents that lose a line."""
     keyed = docs.select(order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
@@ -201,8 +220,17 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     none = F.lit(None).cast("array<binary>")
     first = stored(aligned(found.withColumn("gone", none).transform(K.mapped, _links(True), pair)), "gone")
     left = found.join(first, ["ord", "uid"], "left").transform(K.mapped, _links(False), pair)
-    both = first.unionByName(aligned(left))
-    return both.groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    both = stored(first.unionByName(aligned(left)).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
+    open_ = stored(found.join(both, ["ord", "uid"], "left").transform(K.mapped, _open, "ord long, uid long, open array<int>"), "open")
+    if open_.isEmpty():
+        return both
+    # neighbours of what is uncovered, and the first holders of such pairs of lines
+    at = open_.join(lines.where(F.size("h") > 1).select("ord", "uid", _neighbours().alias("k")), ["ord", "uid"]).select("ord", "uid", "k", F.explode("open").alias("p"))
+    keys = stored(at.select("ord", "uid", F.explode(F.array(F.get("k", F.col("p") - 1), F.get("k", F.col("p")))).alias("k")).where("k is not null").distinct(), "keys")
+    pairs = lines.where(F.size("h") > 1).select("ord", "uid", F.explode(_neighbours()).alias("k")).join(keys.select("k").distinct(), "k", "left_semi")
+    holders = pairs.groupBy("k").agg(F.min(F.struct("ord", "uid")).alias("first")).select("k", F.col("first.ord").alias("bo"), F.col("first.uid").alias("bu"))
+    third = aligned(keys.join(holders, "k").where("bo < ord or (bo = ord and bu < uid)").select("ord", "uid", "bo", "bu").distinct())
+    return both.unionByName(third).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
 
 def dedup(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
