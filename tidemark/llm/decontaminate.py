@@ -4,22 +4,26 @@ A window is ``window`` consecutive words of a benchmark item (an item of fewer w
 none, is one window). A window is contained in a document when its words occur there in a row.
 
 1. Each window is a set of word shingles. One pass over all documents counts every benchmark
-   shingle in the whole corpus; the counts of partitions are summed by a shuffle.
+   shingle in the whole corpus; tasks add up first, a shuffle sums the counts of partitions.
 2. Shingles are ordered by rarity (count, then hash). Containment demands every shingle, so the
-   necessary prefix of a window is its single rarest one.
-3. Document shingles are joined with the prefixes. The shingle's offset in the window gives the
-   only possible start (positional bound); the window must fit in the document (length bound).
-4. Survivors are verified: first by the hash of the item-sized window, then byte for byte.
-
-The benchmark is read in blocks of at most ``block_bytes`` bytes of text, so what goes to the
-executors is bounded whatever the benchmark's size; documents are scanned once per block and
-nothing of them is shuffled. Memory per task: one Arrow batch and one block's index.
+   necessary prefix of a window is its single rarest one; a window with a shingle that no document
+   holds is dropped.
+3. A second pass joins document shingles with the prefixes by a shuffle. The shingle's offset in the
+   window gives the only possible start (positional bound); the window must fit in the document
+   (length bound).
+4. Survivors are verified byte for byte over the window, from the words around the shingle that come
+   with it. What is found meets the documents by the hash of their text.
+
+The benchmark is never collected: documents are scanned as often for a large one as for a small
+one. Before a shuffle, bitmaps of at most ``1 << MAX_BITS`` bits sieve document shingles; where they
+are too small for a large benchmark, more passes them, and the joins decide.
 
 Defined cases: a null or wordless document has no words and is never contaminated; a null or
-wordless item has no windows; repeated documents are judged one by one; repeated items count one
-by one under their own ids, and a repeated item_id counts once; null item_ids are left out of the
-id list but their windows hit. Extra columns pass through, and names that begin with ``_tm_`` are
-reserved. An empty table gives an empty result; an empty benchmark hits nothing.
+wordless item has no windows; repeated documents are judged alike; repeated items count one by one
+under their own ids, and a repeated item_id counts once; null item_ids are left out of the id list
+but their windows hit. Extra columns pass through; a column that has the name of an added one is
+replaced, and names that begin with ``_tm_`` are reserved. An empty table gives an empty result; an
+empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,208 +43,194 @@ from tidemark.llm.durable import stored
 U64 = np.uint64
 #: Words in the shingles that are counted and joined; shorter windows use their whole length.
 SHINGLE = 3
+#: Logarithm of the most bits in a sieve: 4 MB.
+MAX_BITS = 25
+#: Different shingles that a task adds up before it sends their counts.
+FLUSH = 1 << 19
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends, at = K.words(data, offsets, K.ALNUM)
+    return starts, ends, at, K.word_hashes(data, starts, ends)
+
+
+def _grams(h: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of its first word, hash) of every shingle of ``size`` words inside a document."""
+    if len(h) < size:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    ok = np.flatnonzero(K.whole(at, len(h), size))
+    return ok, K.mix(K.rolling_hash(h, size, K.BASE_A)[ok] ^ U64(size))
 
 
-class Index:
-    """The windows of one block of items. Arrays are sorted by hash for binary search."""
-
-    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
-        self.ids = sorted({i for i, _ in items if i is not None})
-        number = {x: k for k, x in enumerate(self.ids)}
-        raw = b"".join(t for _, t in items)
-        offsets = np.concatenate(([0], np.cumsum([len(t) for _, t in items]))).astype(np.int64)
-        data = K.LOWER[np.frombuffer(raw, np.uint8)]
-        starts, ends, at = K.words(data, offsets, K.ALNUM)
-        hashes = K.word_hashes(data, starts, ends)
-        self.texts: list[bytes] = []
-        self.owners: list[set[int]] = []
-        self.lengths: list[int] = []
-        spans: list[tuple[int, int]] = []
-        known: dict[bytes, int] = {}
-        for k, (item, _) in enumerate(items):
-            n = int(at[k + 1] - at[k])
-            size = min(window, n)
-            for i in range(int(at[k]), int(at[k + 1]) - size + 1) if n else ():
-                text = b" ".join(data[starts[j] : ends[j]].tobytes() for j in range(i, i + size))
-                if (w := known.setdefault(text, len(self.texts))) == len(self.texts):
-                    self.texts.append(text)
-                    self.owners.append(set())
-                    self.lengths.append(size)
-                    spans.append((i, i + size))
-                if item is not None:
-                    self.owners[w].add(number[item])
-        self.hashes = hashes
-        self.spans = spans
-        self.size = np.array(self.lengths, dtype=np.int64)
-        self.gram = np.minimum(self.size, SHINGLE)
-        prefix = K.prefix_hash(hashes, K.BASE_A)
-        lo, hi = (np.array([s[k] for s in spans], dtype=np.int64) for k in (0, 1))
-        self.window_hash = K.mix(K.range_hash(prefix, lo, hi, K.BASE_A)) if spans else np.zeros(0, U64)
-        grams = [(g, K.mix(K.range_hash(prefix, s, s + g, K.BASE_A))) for g in range(1, SHINGLE + 1) for s in [np.arange(max(0, len(hashes) - g + 1))]]
-        self._grams = dict(grams)
-        self.shingles = {g: np.unique(np.concatenate([self._grams[g][a : b - g + 1] for (a, b), n in zip(spans, self.gram) if n == g] or [np.zeros(0, U64)])) for g in self._grams}
-        self.prefixes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-    def choose(self, counts: dict[tuple[int, int], int]) -> None:
-        """Fix each window's prefix: its rarest shingle in the corpus, with the offset in the window."""
-        chosen: dict[int, list[tuple[int, int, int]]] = {}
-        for w, (a, b) in enumerate(self.spans):
-            g = int(self.gram[w])
-            own = [int(x) for x in self._grams[g][a : b - g + 1]]
-            offset = min(range(len(own)), key=lambda k: (counts.get((g, own[k]), 0), own[k], k))
-            if (g, own[offset]) in counts:  # else no document holds it
-                chosen.setdefault(g, []).append((own[offset], offset, w))
-        for g, rows in chosen.items():
-            rows.sort()
-            self.prefixes[g] = (np.array([r[0] for r in rows], dtype=U64), np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64))
-        del self._grams, self.hashes, self.spans
-
-
-def _lookup(table: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Positions of the queries that are in the sorted table; a bitmap of low bits goes first."""
-    if not len(table):
-        return np.zeros(0, np.int64)
-    seen = np.zeros(1 << 16, dtype=bool)
-    seen[(table & U64(0xFFFF)).astype(np.int64)] = True
-    maybe = np.flatnonzero(seen[(queries & U64(0xFFFF)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(table, queries[maybe]), len(table) - 1)
-    return maybe[table[at] == queries[maybe]]
-
-
-def _count(index: Index, text: str):
+def _windows(window: int):
+    """Item, size, hash, words and shingles of every window of the items."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {g: np.zeros(len(t), np.int64) for g, t in index.shingles.items()}
         for batch in batches:
-            data, offsets, _ = K.buffers(K.column(batch, text))
-            for _, _, d, o in K.blocks(K.LOWER[data], offsets):
-                starts, ends, at = K.words(d, o, K.ALNUM)
-                h = K.word_hashes(d, starts, ends)
-                for g, table in index.shingles.items():
-                    if len(table) and len(h) >= g:
-                        grams = K.mix(K.rolling_hash(h, g, K.BASE_A))
-                        grams = grams[K.whole(at, len(h), g)]
-                        hit = _lookup(table, grams)
-                        total[g] += np.bincount(np.searchsorted(table, grams[hit]), minlength=len(table))
-        for g, n in total.items():
-            at = np.flatnonzero(n)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), g, np.int32)), pa.array(index.shingles[g][at].view(np.int64)), pa.array(n[at])], names=["gram", "hash", "n"])
+            data, offsets, _ = K.buffers(K.column(batch, "t"))
+            for i, j, d, o in K.blocks(K.LOWER[data], offsets):
+                starts, ends, at, h = _words(d, o)
+                raw = d.tobytes()
+                words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+                gram = {n: _grams(h, at, n) for n in range(1, SHINGLE + 1)}
+                rows = []
+                for x in range(j - i):
+                    first, n = int(at[x]), int(at[x + 1] - at[x])
+                    size = min(window, n)
+                    for k in range(first, first + n - size + 1) if n else ():
+                        g = min(size, SHINGLE)
+                        place, own = gram[g]
+                        lo = int(np.searchsorted(place, k))
+                        rows.append((i + x, size, b" ".join(words[k : k + size]), own[lo : lo + size - g + 1].view(np.int64).tolist()))
+                for k in range(0, len(rows), 2000):
+                    at_, size, text, grams = zip(*rows[k : k + 2000])
+                    yield pa.RecordBatch.from_arrays([K.column(batch, "item").take(pa.array(at_)), pa.array(size, pa.int32()), pa.array(text, pa.binary()), pa.array(grams, pa.list_(pa.int64()))], names=["item", "size", "words", "grams"])
 
     return run
 
 
-def _match(index: Index, text: str):
-    """Adds hits and items to each document; before it, earlier blocks may have done so."""
-    ids = index.ids
-    widths = sorted(set(index.lengths))
+def _sieve(grams: DataFrame) -> Broadcast:
+    """A bitmap of the values of the only column, of bounded size."""
+    bits = min(MAX_BITS, max(16, (grams.count() * 16).bit_length()))
+    name = F.col(grams.columns[0])
+    low = name.bitwiseAND((1 << bits) - 1)
+    marks = grams.groupBy(F.shiftright(low, 3).cast("int").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1, cast({grams.columns[0]} & 7 as int))")).alias("mark")).toArrow()
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    out[np.asarray(marks.column("at"))] = np.asarray(marks.column("mark")).astype(np.uint8)
+    return grams.sparkSession.sparkContext.broadcast(out)
+
+
+def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    low = (h & U64(len(bits) * 8 - 1)).astype(np.int64)
+    return np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
 
+
+def _count(sizes: list[int], sieve: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            h, n = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            gram, at = np.unique(h, return_inverse=True)
+            for k in range(0, len(gram), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(gram[k : k + 100_000].view(np.int64)), pa.array(np.bincount(at, n)[k : k + 100_000].astype(np.int64))], names=["gram", "n"])
+
+        total = 0
         for batch in batches:
-            data, offsets, _ = K.buffers(K.column(batch, text))
-            counts: list[int] = []
-            spans: list[bytes] = []
-            items: list[list[str]] = []
+            data, offsets, _ = K.buffers(batch.column(0))
             for _, _, d, o in K.blocks(K.LOWER[data], offsets):
-                starts, ends, at = K.words(d, o, K.ALNUM)
-                h = K.word_hashes(d, starts, ends)
-                found: dict[int, tuple[list[int], set[int]]] = {}
-                prefix = K.prefix_hash(h, K.BASE_A)
-                for g, (table, shift, which) in index.prefixes.items():
-                    if len(h) < g:
-                        continue
-                    grams = K.mix(K.rolling_hash(h, g, K.BASE_A))
-                    hit = _lookup(table, grams)
-                    lo, hi = np.searchsorted(table, grams[hit], "left"), np.searchsorted(table, grams[hit], "right")
-                    row = np.repeat(lo, hi - lo) + np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
-                    pos = np.repeat(hit, hi - lo)
-                    first, w = pos - shift[row], which[row]
-                    doc = np.searchsorted(at, pos, "right") - 1
-                    fits = (first >= at[doc]) & (first + index.size[w] <= at[doc + 1])
-                    first, w, doc = first[fits], w[fits], doc[fits]
-                    same = K.mix(K.range_hash(prefix, first, first + index.size[w], K.BASE_A)) == index.window_hash[w]
-                    for f, k, x in zip(first[same].tolist(), w[same].tolist(), doc[same].tolist()):
-                        n = index.lengths[k]
-                        if b" ".join(d[starts[j] : ends[j]].tobytes() for j in range(f, f + n)) == index.texts[k]:
-                            own = found.setdefault(x, ([], set()))
-                            own[0].append((f - int(at[x])) * len(widths) + widths.index(n))
-                            own[1].update(index.owners[k])
-                for x in range(len(o) - 1):
-                    counts.append(int(at[x + 1] - at[x]))
-                    own = found.get(x)
-                    if own is None:
-                        spans.append(b"")
-                        items.append([])
-                    else:
-                        code = np.unique(np.array(own[0], dtype=np.int64))
-                        first = code // len(widths)
-                        mask = K.cover(first, first + np.array(widths, dtype=np.int64)[code % len(widths)], counts[-1])
-                        spans.append(np.stack(K.runs(mask)).astype(np.int64).T.tobytes())
-                        items.append(sorted(ids[k] for k in own[1]))
-            arrays = dict(zip(batch.schema.names, batch.columns))
-            if "_tm_spans" in arrays:
-                spans = [a + b for a, b in zip(_bytes(arrays.pop("_tm_spans")), spans)]
-                items = [sorted({*a, *b}) for a, b in zip(arrays.pop("_tm_items").to_pylist(), items)]
-                arrays.pop("_tm_words")
-            arrays |= {"_tm_words": pa.array(counts, pa.int64()), "_tm_spans": pa.array(spans, pa.binary()), "_tm_items": pa.array(items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+                _, _, at, h = _words(d, o)
+                for size in sizes:
+                    grams = _grams(h, at, size)[1]
+                    held.append(np.unique(grams[_passes(sieve.value, grams)], return_counts=True))
+                    total += len(held[-1][0])
+            if total > FLUSH:
+                yield from flush()
+                total = 0
+        if held:
+            yield from flush()
 
     return run
 
 
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [x or b"" for x in column.to_pylist()]
+MET = "gram long, uid long, pos int, before int, around binary"
+
+
+def _met(sizes: list[int], sieve: Broadcast, window: int):
+    """Document shingles that may be prefixes, with the words around them; documents with the same text of a batch once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets, _ = K.buffers(K.column(batch, "t"))
+            uid = np.asarray(K.column(batch, "uid"))
+            lead = np.zeros(len(uid), bool)
+            lead[np.unique(uid, return_index=True)[1]] = True
+            for i, _, d, o in K.blocks(K.LOWER[data], offsets):
+                starts, ends, at, h = _words(d, o)
+                rows = []
+                for size in sizes:
+                    place, grams = _grams(h, at, size)
+                    hit = _passes(sieve.value, grams)
+                    doc = np.searchsorted(at, place[hit], "right") - 1
+                    for p, g, x in zip(place[hit].tolist(), grams[hit].view(np.int64).tolist(), doc.tolist()):
+                        if lead[i + x]:
+                            lo, hi = max(int(at[x]), p - window + 1), min(int(at[x + 1]), p + size + window - 1)
+                            rows.append((g, uid[i + x], p - int(at[x]), p - lo, b" ".join(d[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist()))))
+                for k in range(0, len(rows), 5000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 5000]), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["gram", "uid", "pos", "before", "around"])
+
+    return run
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of shingles met with a prefix, those around which the whole window stands: where it starts."""
     for batch in batches:
-        arrays = dict(zip(batch.schema.names, batch.columns))
-        counts, spans, items = arrays.pop("_tm_words").to_pylist(), _bytes(arrays.pop("_tm_spans")), arrays.pop("_tm_items").to_pylist()
-        hits, merged = [], []
-        for n, raw in zip(counts, spans):
-            pairs = np.frombuffer(raw, np.int64).reshape(-1, 2)
-            mask = K.cover(pairs[:, 0], pairs[:, 1], n) if len(pairs) else np.zeros(n, bool)
-            hits.append(int(mask.sum()))
-            merged.append(np.stack(K.runs(mask)).T.tolist() if len(pairs) else [])
-        arrays |= {"_tm_n_words": pa.array(counts, pa.int64()), "_tm_n_hit": pa.array(hits, pa.int64()), "_tm_hit_spans": pa.array(merged, pa.list_(pa.list_(pa.int64()))), "_tm_hit_items": pa.array(items, pa.list_(pa.string()))}
-        yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
-
-
-def _item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    own: list[tuple[str | None, bytes]] = []
-    size = 0
-    for row in benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null").toLocalIterator():
-        own.append((row["i"], bytes(row["t"])))
-        size += len(row["t"])
-        if size >= block_bytes:
-            yield own
-            own, size = [], 0
-    if own:
-        yield own
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, block_bytes: int = 2 << 20) -> DataFrame:
-    """docs with ``n_words``, ``n_hit``, ``hit_spans`` (word ranges), ``hit_items`` (sorted id strings).
-
-    A column of docs that has one of these names is replaced.
-    """
-    added = ("n_words", "n_hit", "hit_spans", "hit_items")
-    out = docs.drop(*(c for c in added if c != text))
-    schema = T.StructType([*out.schema.fields, T.StructField("_tm_words", T.LongType()), T.StructField("_tm_spans", T.BinaryType()), T.StructField("_tm_items", T.ArrayType(T.StringType()))])
-    state, match = out, None
-    for items in _item_blocks(benchmark, item_id, item_text, block_bytes):
-        index = Index(items, window)
-        counted = docs.select(F.col(text).alias("text")).transform(K.mapped, _count(index, "text"), "gram int, hash long, n long").groupBy("gram", "hash").agg(F.sum("n").alias("n"))
-        index.choose({(r["gram"], r["hash"] & ((1 << 64) - 1)): r["n"] for r in counted.toLocalIterator()})
-        if match:
-            state = stored(state.transform(K.mapped, match, schema), "decontaminate")
-        match = _match(index, text)
-    last = match or _match(Index([], window), text)
+        ok, first = [], []
+        for pos, before, around, offset, size, words in zip(*(K.column(batch, c).to_pylist() for c in ("pos", "before", "around", "offset", "size", "words"))):
+            at = before - offset
+            first.append(pos - offset)
+            ok.append(at >= 0 and b" ".join(around.split(b" ")[at : at + size]) == words)
+        some = pa.array(ok, pa.bool_())
+        columns = [K.column(batch, "uid"), pa.array(first, pa.int32()), K.column(batch, "size"), K.column(batch, "w")]
+        yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], names=["uid", "first", "size", "w"])
+
+
+def _finish(text: str):
+    """Counts words and united spans of each document; ``_tm_found`` has its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _finish(last(batches))
+        for batch in batches:
+            arrays = dict(zip(batch.schema.names, batch.columns))
+            found = arrays.pop("_tm_found").to_pylist()
+            items = arrays.pop("_tm_items").to_pylist()
+            data, offsets, _ = K.buffers(arrays[text])
+            counts = [int(n) for _, _, d, o in K.blocks(K.LOWER[data], offsets) for n in np.diff(K.words(d, o, K.ALNUM)[2])]
+            hits, spans = [], []
+            for n, own in zip(counts, found):
+                mask = np.zeros(n, bool)
+                if own:
+                    first, size = (np.array([x[c] for x in own], np.int64) for c in ("first", "size"))
+                    mask = K.cover(first, first + size, n)
+                hits.append(int(mask.sum()))
+                spans.append(np.stack(K.runs(mask)).T.tolist())
+            arrays |= {"_tm_n_words": pa.array(counts, pa.int64()), "_tm_n_hit": pa.array(hits, pa.int64()), "_tm_hit_spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "_tm_hit_items": pa.array([sorted(x or []) for x in items], pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+
+    return run
+
+
+def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+    """(uid, first, size, w) for every window that stands in a document; docs: uid, t; windows: w, size, words, grams."""
+    flat = windows.select("w", "size", F.posexplode("grams").alias("offset", "gram"))
+    grams = stored(flat.select("gram").distinct(), "grams")
+    sizes = sorted({min(r["size"], SHINGLE) for r in windows.select("size").distinct().collect()})  # at most ``window`` rows
+    counted = docs.select("t").transform(K.mapped, _count(sizes, _sieve(grams)), "gram long, n long")
+    counts = stored(counted.join(grams, "gram", "left_semi").groupBy("gram").agg(F.sum("n").alias("n")), "counts")
+    rated = flat.join(counts, "gram", "left").groupBy("w").agg(F.min(F.coalesce("n", F.lit(0))).alias("least"), F.min(F.struct("n", "gram", "offset")).alias("p"))
+    prefixes = rated.where("least > 0").select("w", F.col("p.gram").alias("gram"), F.col("p.offset").alias("offset"))
+    prefixes = stored(prefixes.join(windows.select("w", "size", "words"), "w"), "prefixes")
+    met = docs.transform(K.mapped, _met(sizes, _sieve(prefixes.select("gram").distinct()), window), MET)
+    both = met.join(prefixes, "gram").select("uid", "pos", "before", "around", "offset", "size", "words", "w")
+    return both.transform(K.mapped, _verify, "uid long, first int, size int, w long")
 
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13) -> DataFrame:
+    """docs with ``n_words``, ``n_hit``, ``hit_spans`` (word ranges), ``hit_items`` (sorted id strings)."""
+    added = ("n_words", "n_hit", "hit_spans", "hit_items")
+    out = docs.drop(*(c for c in added if c != text))
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("t"))
+    parts = items.transform(K.mapped, _windows(window), "item string, size int, words binary, grams array<long>")
+    parts = stored(parts.withColumn("w", F.xxhash64("words")).distinct(), "windows")
+    windows = stored(parts.select("w", "size", "words", "grams").dropDuplicates(["words"]), "distinct")
+    plain = F.col(text).cast("string")
+    found = stored(occurrences(docs.select(F.xxhash64(plain).alias("uid"), plain.alias("t")), windows, window).distinct(), "occurrences")
+    spans = found.groupBy("uid").agg(F.collect_set(F.struct("first", "size")).alias("_tm_found"))
+    named = found.select("uid", "w").distinct().join(parts.where("item is not null").select("w", "item").distinct(), "w").groupBy("uid").agg(F.collect_set("item").alias("_tm_items"))
+    hits = stored(spans.join(named, "uid", "left").withColumnRenamed("uid", "_tm_uid"), "hits")
+    joined = out.withColumn("_tm_uid", F.xxhash64(plain)).join(hits, "_tm_uid", "left").drop("_tm_uid")
     done = T.StructType([*out.schema.fields, T.StructField("_tm_n_words", T.LongType()), T.StructField("_tm_n_hit", T.LongType()), T.StructField("_tm_hit_spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("_tm_hit_items", T.ArrayType(T.StringType()))])
-    result = state.transform(K.mapped, run, done)
+    result = joined.transform(K.mapped, _finish(text), done)
     return result.withColumnsRenamed({f"_tm_{c}": c for c in added})
 
 
@@ -255,4 +246,3 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated"),
     )
-
