@@ -227,15 +227,25 @@ def patience(a, b, lo=0, hi=None, lo2=0, hi2=None):
     return {i for i, _ in chain}.union(*(patience(a, b, i + 1, i2, j + 1, j2) for (i, j), (i2, j2) in zip(edges, edges[1:])))
 
 
+def around(own):
+    """Neighbouring lines, ends included, then each line with the number of its occurrence."""
+    ends = ["start", *own, "end"]
+    return [*zip(ends, ends[1:]), *((x, own[:p].count(x)) for p, x in enumerate(own))]
+
+
 def line_dedup(docs, every_pair=False):
-    """docs: (doc_id, text). Kept text, lines and deleted lines of each, by the operator's definition; or aligned with every earlier document."""
+    """docs: (doc_id, text). Kept text, lines and deleted lines of each, by the operator's definition; or aligned with every earlier document.
+
+    The two differ where a line is covered by an alignment of the definition only, or by one with a document that it does not try:
+    it tries every holder of a line that stays uncovered, so both delete the same lines.
+    """
     rows = {(key(d), t or ""): lines_of(t) for d, t in docs}
     known, pairs = {}, {}
     order = sorted(rows, key=lambda r: (r[0], xx(r[1])))
     for r in order:
         for x in set(rows[r]):
             known.setdefault(x, []).append(r)
-        for x in set(zip(rows[r], rows[r][1:])):
+        for x in set(around(rows[r])):
             pairs.setdefault(x, r)
     place = {r: k for k, r in enumerate(order)}
     gone = {r: set() for r in rows}
@@ -259,7 +269,9 @@ def line_dedup(docs, every_pair=False):
         align(partners)
         align({held[0] for p, held in shared if p not in gone[r]})
         left = [p for p, _ in shared if p not in gone[r]]
-        align({b for p in left for x in (p - 1, p) if 0 <= x < len(own) - 1 and place[b := pairs[own[x], own[x + 1]]] < place[r]})
+        keys = around(own)
+        align({b for p in left for x in (keys[p], keys[p + 1], keys[len(own) + 1 + p]) if place[b := pairs[x]] < place[r]})
+        align({b for p in left if p not in gone[r] for b in known[own[p]] if place[b] < place[r]})
     out = []
     for d, t in docs:
         cut, k, kept = gone[key(d), t or ""], -1, []

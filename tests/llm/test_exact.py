@@ -60,15 +60,26 @@ def test_decontaminate(spark, docs, rows, empty):
     bench = spark.createDataFrame(items, "item_id int, text string")
     want = brute.contamination([r[:2] for r in rows], items)
     same(decontaminate.digest(docs, bench), want)
-    # several blocks give what one gives
-    split = decontaminate.contamination(docs.select("doc_id", "text"), bench, block_bytes=200)
-    assert sorted((r["n_hit"], len(r["hit_items"])) for r in split.collect()) == sorted((w[2], w[3]) for w in want)
     assert decontaminate.digest(empty, bench).count() == 0
     assert decontaminate.digest(docs, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
     wide = decontaminate.contamination(docs, bench)
     assert {"score", "hit_items", "n_hit"} <= set(wide.columns) and wide.count() == len(rows)
 
 
+def test_decontaminate_scans_do_not_grow_with_the_benchmark(spark, docs, rows, monkeypatch):
+    """A larger benchmark, and sieves too small for it: the same plan, the same exact result."""
+    texts = {r[0]: r[1] for r in rows}
+    small = [(1, texts[5])]
+    large = [(k, t) for k, t in enumerate(texts.values())] * 2
+    scans = []
+    mapped = decontaminate.K.mapped
+    monkeypatch.setattr(decontaminate.K, "mapped", lambda df, run, schema: scans.append(run.__qualname__) or mapped(df, run, schema))
+    monkeypatch.setattr(decontaminate, "MAX_BITS", 6)
+    for items in (small, large):
+        same(decontaminate.digest(docs, spark.createDataFrame(items, "item_id int, text string")), brute.contamination([r[:2] for r in rows], items))
+    assert len(scans) == 10 and scans[:5] == scans[5:]
+
+
 def test_substrings(docs, rows, empty):
     for window in (50, 5):
         same(substrings.dedup(docs, window=window).select("doc_id", "n_words", "n_removed", F.sha2("text", 256)), brute.substrings([r[:2] for r in rows], window))
@@ -197,6 +208,12 @@ def test_line_dedup_in_other_orders(spark):
     assert got == {0: 0, 1: 0, 2: 2, 3: 2} and [x[3] for x in brute.line_dedup(four, True)] == [0, 0, 2, 2]
 
 
+def test_line_dedup_loses_no_aligned_line(spark):
+    """First holders of lines and of what surrounds them delete what alignment with every earlier document does."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    assert brute.line_dedup(rows) == brute.line_dedup(rows, every_pair=True)
+
+
 def test_patience_against_brute_force():
     rng = random.Random(9)
     for _ in range(3000):

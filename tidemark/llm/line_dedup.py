@@ -9,8 +9,11 @@ A shared line's rarity is the number of documents that hold it. Within every max
 consecutive shared lines the rarest line names the run's partner (ties: the earlier line), and the
 document is aligned with that partner; shared lines that the alignment leaves uncovered name their
 own first holders in a second round, so no shared line is ever skipped for being common. What is
-still uncovered stands in another order than there: in a third round the two pairs of neighbouring
-lines that it is part of name the first holders of these pairs. Alignment:
+still uncovered stands in another order or more often than there: in a third round the two pairs of
+neighbouring lines that it is part of (the document's start and end count as lines) name the first
+holders of these pairs, and an n-th occurrence the first document with as many. What even that leaves
+uncovered names the first holders in each of ``SOME`` shares of the documents, and the little that
+then remains every earlier holder, so no aligned line is lost. Alignment:
 patience diff (unique common lines, longest increasing run, recursion between them, blocks grown at
 both ends). Aligned common blocks of at least ``min_words`` = 1 words, so all of them, are deleted
 from the later document; deletions of all pairs of a document are united.
@@ -41,6 +44,7 @@ from tidemark.llm.packed import order_of
 
 U64 = np.uint64
 MIN_WORDS = 1
+SOME = 16
 NEWLINE = np.arange(256) == 10
 
 
@@ -192,9 +196,41 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], names=["ord", "uid", "open"])
 
 
-def _neighbours() -> "F.Column":
-    """A key for each line and its next."""
-    return F.zip_with(F.slice("h", 1, F.size("h") - 1), F.slice("h", 2, F.size("h") - 1), lambda a, b: F.xxhash64(a, b))
+def line_keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n + 1 keys of neighbouring lines, the document's start and end included, and for each line the key of its repeated occurrence (0: its first)."""
+    ends = np.concatenate((np.ones(1, U64), h, np.full(1, 2, U64)))
+    pairs = K.mix(ends[:-1] * U64(K.BASE_A) + K.mix(ends[1:]))
+    order = np.lexsort((np.arange(len(h)), h))
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = h[order][1:] != h[order][:-1]
+    nth = np.zeros(len(h), np.int64)
+    at = np.arange(len(h))
+    nth[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    return pairs, np.where(nth > 0, K.mix(h * U64(K.BASE_B) + nth.astype(U64)), U64(0))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different keys of whole documents, or of their open lines."""
+    for batch in batches:
+        opened = K.column(batch, "open").to_pylist() if "open" in batch.schema.names else [None] * batch.num_rows
+        found = []
+        for h, places in zip(K.column(batch, "h"), opened):
+            pairs, again = line_keys(np.asarray(h.values).view(U64))
+            if places is not None:
+                p = np.array(places)
+                pairs, again = np.concatenate((pairs[p], pairs[p + 1])), again[p]
+            found.append(np.unique(np.concatenate((pairs, again[again != 0]))))
+        row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        yield pa.RecordBatch.from_arrays([K.column(batch, "ord").take(row), K.column(batch, "uid").take(row), pa.array(np.concatenate(found or [np.zeros(0, U64)]).view(np.int64))], names=["ord", "uid", "k"])
+
+
+def _plain_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different lines of whole documents, or their open ones."""
+    for batch in batches:
+        opened = K.column(batch, "open").to_pylist() if "open" in batch.schema.names else [None] * batch.num_rows
+        found = [np.unique(np.asarray(h.values)[slice(None) if p is None else np.array(p)]) for h, p in zip(K.column(batch, "h"), opened)]
+        row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        yield pa.RecordBatch.from_arrays([K.column(batch, "ord").take(row), K.column(batch, "uid").take(row), pa.array(np.concatenate(found or [np.zeros(0, np.int64)]))], names=["ord", "uid", "k"])
 
 
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
@@ -221,16 +257,19 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     first = stored(aligned(found.withColumn("gone", none).transform(K.mapped, _links(True), pair)), "gone")
     left = found.join(first, ["ord", "uid"], "left").transform(K.mapped, _links(False), pair)
     both = stored(first.unionByName(aligned(left)).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
-    open_ = stored(found.join(both, ["ord", "uid"], "left").transform(K.mapped, _open, "ord long, uid long, open array<int>"), "open")
-    if open_.isEmpty():
-        return both
-    # neighbours of what is uncovered, and the first holders of such pairs of lines
-    at = open_.join(lines.where(F.size("h") > 1).select("ord", "uid", _neighbours().alias("k")), ["ord", "uid"]).select("ord", "uid", "k", F.explode("open").alias("p"))
-    keys = stored(at.select("ord", "uid", F.explode(F.array(F.get("k", F.col("p") - 1), F.get("k", F.col("p")))).alias("k")).where("k is not null").distinct(), "keys")
-    pairs = lines.where(F.size("h") > 1).select("ord", "uid", F.explode(_neighbours()).alias("k")).join(keys.select("k").distinct(), "k", "left_semi")
-    holders = pairs.groupBy("k").agg(F.min(F.struct("ord", "uid")).alias("first")).select("k", F.col("first.ord").alias("bo"), F.col("first.uid").alias("bu"))
-    third = aligned(keys.join(holders, "k").where("bo < ord or (bo = ord and bu < uid)").select("ord", "uid", "bo", "bu").distinct())
-    return both.unionByName(third).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    own = lines.select("ord", "uid", "h")
+    for kind in ("around", "some", "all"):
+        open_ = stored(found.join(both, ["ord", "uid"], "left").transform(K.mapped, _open, "ord long, uid long, open array<int>"), "open")
+        if open_.isEmpty():
+            break
+        make = _keys if kind == "around" else _plain_keys
+        keys = stored(open_.join(own, ["ord", "uid"]).transform(K.mapped, make, "ord long, uid long, k long"), "keys")
+        held = own.transform(K.mapped, make, "ord long, uid long, k long").join(keys.select("k").distinct(), "k", "left_semi")
+        if kind != "all":
+            held = held.groupBy("k", F.pmod("uid", F.lit(SOME if kind == "some" else 1))).agg(F.min(F.struct("ord", "uid")).alias("first")).select("k", "first.*")
+        links = keys.join(held.select("k", F.col("ord").alias("bo"), F.col("uid").alias("bu")), "k").where("bo < ord or (bo = ord and bu < uid)")
+        both = stored(both.unionByName(aligned(links.select("ord", "uid", "bo", "bu").distinct())).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
+    return both
 
 
 def dedup(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
