@@ -1,8 +1,10 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One model per language over character ``order``-grams (order 4), trained on at most ``per_lang``
-whole texts a language: those with the smallest hashes among the rows that :func:`learnable` admits.
-Characters outside the training alphabet are one class. A model's discounts are the usual
+whole texts a language: those with the smallest hashes among the rows that :func:`learnable` admits,
+as long as they have at most ``max_bytes`` together (the first always counts).
+The alphabet is the 32,765 most frequent characters of the training texts (all of them, but for a
+mixture of several scripts of ideographs); characters outside it are one class. A model's discounts are the usual
 n1 / (n1 + 2 n2) per order; lower orders use continuation counts; the lowest interpolates with the
 uniform distribution.
 
@@ -13,14 +15,16 @@ its context. Scoring a character is one binary search as a rule.
 
 A text goes to the language of lowest cross-entropy per character. Rejection is calibrated on
 training texts held out from counting: a text is rejected if its best cross-entropy exceeds the
-largest held-out one of that language by ``slack`` (for short texts widened by the standard error).
+largest held-out one of that language by ``slack`` = 0.5 nats and three standard errors, from the
+spread of a character's loss in that language's held-out texts.
 Score: the share of the chosen language in the softmax of the negative mean log losses, sharpened
 by the number of characters up to 50.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; if
 nothing can be learned every text is ``und``; repeated rows are judged alike; lang, source and
-doc_id are never inputs of a prediction; extra columns pass through unless named as an added one;
-empty table: empty result. Whole texts are scored; memory is one block of texts and the model,
+doc_id are never inputs of a prediction; a row with a null doc_id is not learned from and not held
+out; extra columns pass through unless named as an added one, and names that begin with ``_tm_`` are
+reserved; empty table: empty result. Whole texts are scored; memory is one block of texts and the model,
 whose size is bounded by ``per_lang``, the number of languages and the length of training texts.
 """
 
@@ -33,12 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from tidemark.llm import kernels as K
 
-#: Bits of a packed character class.
-BITS = 12
+#: Bits of a packed character class; four of them make a 64-bit gram.
+BITS = 15
 ORDER = 4
+#: Held-out characters from which the spread of losses is taken; with fewer it is 1.
+LEAST_CHARS = 200
 _letters: np.ndarray | None = None
 
 
@@ -93,6 +100,8 @@ def _grams(classes: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
 
 class Model:
     def __init__(self, texts: dict[str, list[bytes]], order: int = ORDER, slack: float = 0.5):
+        if BITS * order > 62:
+            raise ValueError(f"grams of {order} characters do not fit 64 bits")
         self.langs = sorted(texts)
         self.order = order
         points = [p for own in texts.values() for t in own for p in [_lower(code_points(np.frombuffer(t, np.uint8)))]]
@@ -114,8 +123,11 @@ class Model:
             data = np.frombuffer(b"".join(held[lang]), np.uint8)
             offsets = np.concatenate(([0], np.cumsum([len(t) for t in held[lang]]))).astype(np.int64)
             loss, chars, _ = self.losses(data, offsets)
-            mean = (loss[:, k] / np.maximum(chars, 1))[chars > 0]
+            loss, chars = loss[chars > 0, k], chars[chars > 0]
+            mean = loss / chars
             self.limit[k] = (mean.max() if len(mean) else 0.0) + slack
+            if chars.sum() >= LEAST_CHARS:
+                self.spread[k] = np.sqrt((chars * (mean - loss.sum() / chars.sum()) ** 2).mean())
 
     def _fit(self, counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
         """Log probabilities of all known n-grams of every order, per language."""
@@ -200,23 +212,24 @@ class Model:
         return [self.langs[b] if ok else "und" for b, ok in zip(best, has)], np.where(has, share, 0.0), accepted
 
 
-def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 400) -> Model:
-    """A model of the languages of docs, from at most per_lang texts a language."""
-    rows = docs.where(learnable(doc_id) & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return Model({})
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether the remainder is 1; false for a null id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 400, max_bytes: int = 8 << 20) -> Model:
+    """A model of the languages of docs, from at most per_lang texts and max_bytes bytes of text a language."""
     share = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    wanted = F.lit(False)
-    for x, n in counts.items():
-        wanted = wanted | ((F.col(lang) == x) & (share < min(1.0, 1.3 * per_lang / n)))
-    texts: dict[str, list[bytes]] = {}
-    chosen = rows.where(wanted).select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("t"), share.alias("share"))
-    for r in sorted(chosen.toLocalIterator(), key=lambda r: (r["share"], bytes(r["t"]))):
-        own = texts.setdefault(r["lang"], [])
-        if len(own) < per_lang:
-            own.append(bytes(r["t"]))
-    return Model(texts)
+    rows = docs.where(learnable(doc_id) & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("t"), share.alias("share"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "own")
+    few = rows.join(counts, F.col("lang") == F.col("own")).where(F.col("share") * F.col("n") < 1.3 * per_lang)
+    order = W.partitionBy("lang").orderBy("share", "t")
+    sized = few.withColumn("place", F.row_number().over(order)).withColumn("bytes", F.sum(F.length("t")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    chosen = sized.where((F.col("place") <= per_lang) & ((F.col("place") == 1) | (F.col("bytes") <= max_bytes))).select("lang", "t", "place")
+    texts: dict[str, dict[int, bytes]] = {}
+    for r in chosen.toLocalIterator():
+        texts.setdefault(r["lang"], {})[r["place"]] = bytes(r["t"])
+    return Model({x: [own[k] for k in sorted(own)] for x, own in texts.items()})
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -240,4 +253,4 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of query op9."""
     found = identify(docs.select("doc_id", F.col("text").cast("string").alias("text")), fit(docs))
-    return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

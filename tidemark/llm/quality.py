@@ -15,7 +15,8 @@ cached Cholesky factors, divided by ``temperature`` (features are not independen
 Defined cases: null and empty texts have the vector of an empty text and get a score; labels other
 than 0 and 1 and null labels are not learned from; a repeated label row counts each time; if a
 class has no rows, the score is the prior share of label 1 (0.5 without any rows); repeated
-documents are judged alike; extra columns pass through :func:`score`; empty table: empty result.
+documents are judged alike; a null doc_id has no label and is not held out; extra columns pass
+through (``features`` and ``score`` are replaced); empty table: empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import kernels as K
 from tidemark.llm.durable import stored
-from tidemark.llm.language import learnable
+from tidemark.llm.language import held_out, learnable
 
 FEATURES = ("words", "word_bytes", "word_spread", "upper", "symbols", "bangs", "digits", "marks", "lines", "wide", "entropy", "distinct", "repeats", "same_lines", "bars", "short_words")
 P = len(FEATURES)
@@ -184,4 +185,4 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The columns of query op3."""
     x = stored(featurise(docs.select("doc_id", F.col("text").cast("string").alias("text"))), "vectors")
     found = score(x, fit(x, labels))
-    return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
