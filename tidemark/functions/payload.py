@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from decimal import Decimal
 
@@ -52,30 +53,43 @@ def lenient_abstract(inverted: pd.Series) -> pd.Series:
     return inverted.map(words)
 
 
-def canonical_json(value: object) -> str:
-    """Sorted keys, ordered lists, numbers without trailing zeros or exponents; not-finite numbers are errors."""
-    match value:
-        case dict():
-            return "{" + ",".join(f"{canonical_json(k)}:{canonical_json(value[k])}" for k in sorted(value)) + "}"
-        case list():
-            return "[" + ",".join(map(canonical_json, value)) + "]"
-        case Decimal():
-            if not value.is_finite():
-                raise ValueError("number is not finite")
-            digits = format(value, "f")
-            digits = digits.rstrip("0").rstrip(".") if "." in digits else digits
-            return "0" if value == 0 else digits
-    return json.dumps(value, ensure_ascii=False, allow_nan=False, separators=(",", ":"))
+#: Marks numbers with a point or exponent while a payload is written anew; the mark cannot come from a JSON number.
+MARK = "\0number "
+MARKED = re.compile(r'"\\u0000number ([-+0-9.eE]+)"')
 
 
-def _refuse(name: str) -> None:
+def _plain(number: str) -> str:
+    digits = f"{Decimal(number):f}"
+    whole, _, rest = digits.partition(".")
+    rest = rest.rstrip("0")
+    return "0" if not whole.strip("-0") and not rest else f"{whole}.{rest}" if rest else whole
+
+
+def _refuse(name: str) -> str:
     raise ValueError(f"{name} is not finite")
 
 
+def canonical_json(text: str) -> str:
+    """The JSON text with sorted keys and no space; numbers without exponents or trailing zeros; not-finite numbers are errors."""
+    value = json.loads(text, parse_float=MARK.__add__, parse_constant=_refuse)
+    return MARKED.sub(lambda m: _plain(m[1]), json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":")))
+
+
 @F.pandas_udf(StringType())
 def canonical(payload: pd.Series) -> pd.Series:
     """Canonical text of a JSON payload; null where it is null."""
-    return payload.map(lambda t: None if t is None else canonical_json(json.loads(t, parse_float=Decimal, parse_constant=_refuse)))
+    return payload.map(lambda t: None if t is None else canonical_json(t))
+
+
+def spaced_list(texts: Column) -> Column:
+    """An array of texts as a JSON list with a space after each comma."""
+    return F.concat(F.lit("["), F.array_join(F.transform(texts, lambda x: F.regexp_extract(F.to_json(F.struct(x.alias("x"))), r'^\{"x":(.*)\}$', 1)), ", "), F.lit("]"))
+
+
+def spaced_object(parts: Column) -> Column:
+    """A map of names to JSON texts as an object with sorted names, and spaces after commas and colons."""
+    entries = F.transform(F.array_sort(F.map_entries(parts)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('": '), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
 
 def content_identity(entity: Column, canonical_text: Column, version: int = 2) -> Column:

@@ -35,7 +35,7 @@ def observed_cells(scans: DataFrame, periods: Column | None = None) -> DataFrame
 def coverage(links: DataFrame, cells: DataFrame, spine: DataFrame) -> DataFrame:
     """coverage and truncated_total per topic and cell of the spine (platform, channel, month)."""
     terms = links.select("topic_id", "term_id").distinct()
-    states = terms.crossJoin(F.broadcast(spine)).join(cells, ["platform", "channel", "term_id", "month"], "left")
+    states = terms.crossJoin(spine).join(cells, ["platform", "channel", "term_id", "month"], "left")
     known, cut = F.count("status"), F.count(F.when(F.col("status") == "truncated", 1))
     state = F.when(known == 0, "missing").when(known < F.count("*"), "partial").when(cut > 0, "truncated").otherwise("complete")
     total = F.max(F.when(F.col("status") == "truncated", F.coalesce("reported_total", F.lit(0))))
@@ -58,7 +58,7 @@ def cube(links: DataFrame, counted: DataFrame, covered: DataFrame, volumes: Data
 def plan_windows(terms: DataFrame, channels: DataFrame, scans: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Root windows from each (channel, term)'s covered boundary to end; empty ones are left out."""
     edge = scans.where(F.col("parent_id").isNull()).groupBy("channel", "term_id").agg(F.max("window_end").alias("edge"))
-    grid = terms.select("term_id").distinct().crossJoin(F.broadcast(channels.select("channel").distinct()))
+    grid = terms.select("term_id").distinct().crossJoin(channels.select("channel").distinct())
     first = F.greatest(F.coalesce("edge", F.lit(start)), F.lit(start))
     rows = grid.join(edge, ["channel", "term_id"], "left").select("channel", "term_id", first.alias("window_start"), F.lit(end).alias("window_end"))
     return rows.where("window_start < window_end")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.functions.binding import let
 
 
 def identity_defects(records: DataFrame, patterns: dict[str, str]) -> DataFrame:
@@ -42,7 +43,7 @@ def select_topics(counts: DataFrame, limit: int, explicit: list[str] | None = No
     """Known explicit ids in the order given, else the top ones by (count descending, id)."""
     if explicit:
         wanted = counts.sparkSession.createDataFrame(list(enumerate(explicit)), "position int, topic_id string")
-        return counts.join(F.broadcast(wanted), "topic_id").orderBy("position").drop("position")
+        return counts.join(wanted, "topic_id").orderBy("position").drop("position")
     return counts.orderBy(F.desc("n"), "topic_id").limit(limit)
 
 
@@ -105,13 +106,16 @@ def refresh_queue(days: DataFrame, today: dt.date, recent: int = 29) -> DataFram
     return rows.select("day", "queue", F.when(F.col("queue") == "recent", near).otherwise(old).alias("position"))
 
 
-def budget(capacity: int, recent_fraction: float, recent_waiting: int, rotating_waiting: int) -> tuple[int, int]:
-    """Units for the recent and the rotating queue; what one leaves unused the other borrows."""
-    recent = min(round(capacity * recent_fraction), recent_waiting)
-    rotating = min(capacity - round(capacity * recent_fraction), rotating_waiting)
-    recent += min(capacity - recent - rotating, recent_waiting - recent)
-    rotating += min(capacity - recent - rotating, rotating_waiting - rotating)
-    return recent, rotating
+def budget(capacity: Column, recent_fraction: float, recent_waiting: Column, rotating_waiting: Column) -> Column:
+    """struct(recent, rotating): units for the two queues; what one leaves unused the other borrows. Halves round to even."""
+    share = F.bround(capacity * F.lit(recent_fraction), 0).cast("bigint")
+    first = F.struct(F.least(share, recent_waiting).alias("a"), F.least(capacity - share, rotating_waiting).alias("b"))
+
+    def lent(x: Column) -> Column:
+        more = x["a"] + F.least(capacity - x["a"] - x["b"], recent_waiting - x["a"])
+        return F.struct(more.alias("recent"), (x["b"] + F.least(capacity - more - x["b"], rotating_waiting - x["b"])).alias("rotating"))
+
+    return let(first, lent)
 
 
 def partition_report(partitions: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tidemark.functions import dates
+from tidemark.sources.durable import stored
 
 SCORED, NEW, INSUFFICIENT = "scored", "newly_observed", "insufficient_historical_coverage"
 
@@ -59,6 +60,12 @@ def yearly_series(works: DataFrame, assignments: DataFrame, topics: DataFrame, f
     return _grid(topics.select("topic"), _spine(works, dates.complete_years(F.lit(first), F.lit(last)), "year"), corpus, counts, "year")
 
 
+def yearly_from_monthly(monthly: DataFrame, years: list[int]) -> DataFrame:
+    """What :func:`yearly_series` gives, from the months of complete years."""
+    out = monthly.withColumn("year", F.year("month")).where(F.col("year").isin(years)).groupBy("topic", "year").agg(F.sum("topic_count").alias("topic_count"), F.sum("corpus_count").alias("corpus_count"))
+    return out.withColumn("share", F.when(F.col("corpus_count") > 0, F.col("topic_count") / F.col("corpus_count")))
+
+
 def log_ratio(adjacent: Column, following: Column) -> Column:
     return F.when(adjacent & (F.col("share") > 0) & (following > 0), F.ln(following / F.col("share")))
 
@@ -90,8 +97,8 @@ def quadrants(scored: DataFrame) -> DataFrame:
 
 
 def observe(works: DataFrame, assignments: DataFrame, topics: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """One row per topic: series, monthly change, annual metrics, status and quadrant."""
-    monthly = monthly_series(works, assignments, topics, first, last)
+    """One row per topic: series, monthly change, annual metrics, status and quadrant. Works are counted once, by month."""
+    monthly = stored(monthly_series(works, assignments, topics, first, last), "monthly")
     point = F.struct(F.date_format("month", "yyyy-MM").alias("year_month"), "topic_count", "corpus_count", "share")
     series = monthly.groupBy("topic").agg(F.array_sort(F.collect_list(point)).alias("monthly_series"))
     out = series.join(monthly_share_change(monthly, first, last), "topic", "left")
@@ -100,7 +107,7 @@ def observe(works: DataFrame, assignments: DataFrame, topics: DataFrame, first:
         empty = {"complete_years": "array<int>", "mean_share": "double", "annual_growth": "double", "valid_year_pair_count": "bigint", "emergence_quadrant": "string"}
         out = out.withColumns({k: (F.array() if k == "complete_years" else F.lit(None)).cast(t) for k, t in empty.items()})
         return out.withColumn("coverage_status", F.lit(INSUFFICIENT))
-    scored = quadrants(annual_growth(yearly_series(works, assignments, topics, first, last)))
+    scored = quadrants(annual_growth(yearly_from_monthly(monthly, years)))
     return out.join(scored, "topic").withColumn("complete_years", F.array(*map(F.lit, years)))
 
 

@@ -29,7 +29,7 @@ def pivot_counts(df: DataFrame, rows: str, columns: str, names: list, value: str
 def within_top(df: DataFrame, key: str, by: str, k: int) -> DataFrame:
     """Rows of the k keys with the greatest total."""
     best = df.groupBy(key).agg(F.sum(by).alias("_total")).orderBy(F.desc("_total"), key).limit(k)
-    return df.join(F.broadcast(best.select(key)), key, "left_semi")
+    return df.join(best.select(key), key, "left_semi")
 
 
 def histogram(value: Column, low: float, high: float, bins: int) -> Column:

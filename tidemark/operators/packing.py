@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -30,27 +34,65 @@ def files_with_gaps(ranges: DataFrame, totals: DataFrame, key: str = "file") ->
     return totals.join(gaps, key, "left").agg(F.count("*").alias("files"), F.count("gap").alias("incomplete"))
 
 
+class Packer:
+    """Greedy packing in order: an item opens a new pack if the current one is full by count or would exceed max_size."""
+
+    def __init__(self, max_items: int, max_size: int):
+        self.max_items, self.max_size = max_items, max_size
+        self.pack, self.items, self.size = -1, 0, 0
+
+    def add(self, size: int) -> bool:
+        """Whether the item opens a new pack; a single oversized item is a pack of its own."""
+        fresh = self.pack < 0 or self.items == self.max_items or self.size + size > self.max_size
+        self.pack, self.items, self.size = (self.pack + 1, 1, size) if fresh else (self.pack, self.items + 1, self.size + size)
+        return fresh
+
+
 def pack(sizes: Column, max_items: int, max_size: int) -> Column:
-    """Greedy packing of an array of sizes in order: the number of the pack that each item falls into, from 0.
+    """The number of the pack, from 0, that each item of an array of sizes falls into. Linear in the array; an Arrow batch at a time."""
 
-    An item opens a new pack if the current one is full by count or would exceed max_size; a single
-    oversized item is a pack of its own. A fold, as a running sum does not reset where packs do.
-    """
-    start = F.struct(F.lit(-1).alias("pack"), F.lit(0).alias("items"), F.lit(0).cast("bigint").alias("size"), F.array().cast("array<int>").alias("out"))
+    @F.pandas_udf("array<int>")
+    def packs(lists: pd.Series) -> pd.Series:
+        def run(own) -> list[int] | None:
+            if own is None:
+                return None
+            packer = Packer(max_items, max_size)
+            return [packer.add(int(x)) * 0 + packer.pack for x in own]
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = (acc["pack"] < 0) | (acc["items"] == max_items) | (acc["size"] + x > max_size)
-        number = F.when(fresh, acc["pack"] + 1).otherwise(acc["pack"])
-        return F.struct(number.alias("pack"), F.when(fresh, 1).otherwise(acc["items"] + 1).alias("items"), F.when(fresh, x).otherwise(acc["size"] + x).cast("bigint").alias("size"), F.concat(acc["out"], F.array(number)).alias("out"))
+        return lists.map(run)
 
-    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
+    return packs(sizes)
 
 
 def bounded_chunks(records: DataFrame, key: str, order: str, size: str, max_items: int, max_size: int, max_record: int) -> DataFrame:
-    """key, chunk, first, n, size of the chunks of each file; a record above max_record raises."""
+    """key, chunk, first, n, size of the chunks of each file; a record above max_record raises.
+
+    Files are sorted within partitions and folded as they stream by, so a file of any length takes
+    the memory of one batch; what crosses the network are keys, order and sizes.
+    """
     checked = F.when(F.col(size) > max_record, F.raise_error(F.lit("expanded record exceeds limit")).cast("bigint")).otherwise(F.col(size).cast("bigint"))
     rows = records.select(key, F.col(order).alias("o"), checked.alias("s"))
-    lists = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("o", "s"))).alias("r"))
-    numbered = lists.select(key, F.explode(F.arrays_zip(F.col("r"), pack(F.transform("r", lambda x: x["s"]), max_items, max_size).alias("p"))).alias("z"))
-    flat = numbered.select(key, F.col("z.r.o").alias("o"), F.col("z.r.s").alias("s"), F.col("z.p").alias("chunk"))
-    return flat.groupBy(key, "chunk").agg(F.min("o").alias("first"), F.count("*").alias("n"), F.sum("s").alias("size"))
+    kinds = dict(rows.dtypes)
+    names = [key, "chunk", "first", "n", "size"]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, own, now = Packer(max_items, max_size), None, None
+        types: list[pa.DataType] = []
+        for batch in batches:
+            types = [batch.schema.types[0], pa.int32(), batch.schema.types[1], pa.int64(), pa.int64()]
+            done = []
+            for k, o, s in zip(*(c.to_pylist() for c in batch.columns)):
+                if now is None or k != own:
+                    packer, own = Packer(max_items, max_size), k
+                if packer.add(s):
+                    if now:
+                        done.append(now)
+                    now = (k, packer.pack, o, 1, s)
+                else:
+                    now = (*now[:3], packer.items, packer.size)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done) if done else [[]] * 5, types)], names=names)
+        if now:
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(now, types)], names=names)
+
+    sorted_ = rows.repartition(key).sortWithinPartitions(key, "o")
+    return sorted_.mapInArrow(fold, f"{key} {kinds[key]}, chunk int, first {kinds['o']}, n bigint, size bigint")

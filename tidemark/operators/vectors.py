@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tidemark.functions.binding import let
+
 FLOOR = 1e-12
 
 
@@ -18,8 +20,12 @@ def dot(a: Column, b: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """The vector over its length, the length at least FLOOR."""
-    wide = F.transform(vector, lambda x: x.cast("double"))
-    return F.transform(wide, lambda x: x / F.greatest(F.sqrt(dot(wide, wide)), F.lit(FLOOR)))
+    return let(F.transform(vector, lambda x: x.cast("double")), lambda w: scaled(w, F.sqrt(dot(w, w))))
+
+
+def scaled(vector: Column, length: Column) -> Column:
+    """The vector over a length of at least FLOOR, which is worked out once."""
+    return let(F.greatest(length, F.lit(FLOOR)), lambda n: F.transform(vector, lambda x: x / n))
 
 
 def centroids(vectors: DataFrame, group: str, vector: str) -> DataFrame:
@@ -28,7 +34,7 @@ def centroids(vectors: DataFrame, group: str, vector: str) -> DataFrame:
     mean = parts.groupBy(group, "i").agg(F.avg("x").alias("m"))
     whole = mean.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("m"))
     size = F.sqrt(dot(F.col("m"), F.col("m")))
-    return whole.select(group, F.transform("m", lambda x: x / F.greatest(size, F.lit(FLOOR))).alias("centroid"), (size <= FLOOR).alias("degenerate"))
+    return whole.select(group, scaled(F.col("m"), size).alias("centroid"), (size <= FLOOR).alias("degenerate"))
 
 
 def nearest_to_centroid(vectors: DataFrame, group: str, order: str, vector: str, k: int = 15) -> DataFrame:
@@ -40,6 +46,39 @@ def nearest_to_centroid(vectors: DataFrame, group: str, order: str, vector: str,
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(group, order, "rank", "similarity")
 
 
+def backfill(lists: DataFrame, near: DataFrame, group: str, item: str, target: int) -> DataFrame:
+    """group, items: lists shorter than target and their group's size take the nearest members instead, where these are more.
+
+    lists: group, size, items. near: group, item, rank, as :func:`nearest_to_centroid` gives them; members without a vector are not in it.
+    """
+    own = F.array_distinct(F.coalesce("items", F.array().cast(dict(lists.dtypes)["items"])))
+    want = F.least(F.lit(target), F.col("size"))
+    short = lists.select(group, own.alias("own"), want.alias("want")).where(F.size("own") < F.col("want"))
+    found = near.join(short.select(group, "want"), group).where(F.col("rank") <= F.col("want")).groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", item))), lambda x: x[item]).alias("found"))
+    both = lists.select(group, own.alias("own")).join(found, group, "left")
+    return both.select(group, F.when(F.size("found") > F.size("own"), F.col("found")).otherwise(F.col("own")).alias("items"))
+
+
+def failover(endpoints: list[Callable[[list[str]], list[list[float]]]]) -> Callable[[list[str]], list[list[float]]]:
+    """One port over several: an endpoint that raises OSError is left out from then on; ValueError concerns the text and is passed on."""
+    left = list(endpoints)
+
+    def embed(batch: list[str]) -> list[list[float]]:
+        while left:
+            try:
+                return left[0](batch)
+            except OSError:
+                left.pop(0)
+        raise RuntimeError("no embedding endpoint is left")
+
+    return embed
+
+
+def matching(table: DataFrame, first, last, column: str = "published") -> DataFrame:
+    """The rows of a vector table whose payload column lies between two values, both included; count them or select from them."""
+    return table.where(F.col(column).between(F.lit(first), F.lit(last)))
+
+
 def embed_missing(texts: DataFrame, cached: DataFrame, embed: Callable[[list[str]], list[list[float]]], key: str = "point_id", text: str = "text") -> DataFrame:
     """key, vector for all texts: stored vectors where there are, the port's for the rest (null where it fails on one)."""
     missing = texts.join(cached.select(key), key, "left_anti").dropDuplicates([key])

@@ -27,14 +27,16 @@ def reconcile(observations: DataFrame) -> DataFrame:
     observations: scope_id, entity_id, version_id, updated_date (text), is_api, observed_at.
     Rows whose parsed instant is below the entity's greatest are out; of the rest the greatest by
     (is_api, observed_at, version_id) wins. ``conflict``: more than one version seen;
-    ``uncertain``: some row has no parsable instant. Two aggregations on one key, no window.
+    ``uncertain``: some row has no parsable instant. One aggregation, so one shuffle; no window.
     """
     keys = ["scope_id", "entity_id"]
+    order = ["is_api", "observed_at", "version_id"]
     rows = observations.withColumn("_at", dates.utc_instant(F.col("updated_date")))
-    top = rows.groupBy(*keys, "_at").agg(F.max(F.struct("is_api", "observed_at", "version_id")).alias("best"), F.collect_set("version_id").alias("own"))
-    best = F.greatest(F.max_by("best", "_at"), F.max(F.when(F.col("_at").isNull(), F.col("best"))))
-    out = top.groupBy(*keys).agg(best.alias("best"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("own")))).alias("version_ids"), F.max(F.col("_at").isNull()).alias("uncertain"))
-    return out.select(*keys, F.col("best.version_id").alias("version_id"), "version_ids", (F.size("version_ids") > 1).alias("conflict"), "uncertain")
+    dated = F.max(F.when(F.col("_at").isNotNull(), F.struct("_at", *order)))
+    undated = F.max(F.when(F.col("_at").isNull(), F.struct(*order)))
+    out = rows.groupBy(*keys).agg(dated.alias("dated"), undated.alias("undated"), F.sort_array(F.collect_set("version_id")).alias("version_ids"))
+    best = F.greatest(F.when(F.col("dated").isNotNull(), F.struct(*(F.col(f"dated.{c}").alias(c) for c in order))), F.col("undated"))
+    return out.select(*keys, best["version_id"].alias("version_id"), "version_ids", (F.size("version_ids") > 1).alias("conflict"), F.col("undated").isNotNull().alias("uncertain"))
 
 
 def unique_current(current: DataFrame) -> DataFrame:

@@ -142,6 +142,13 @@ def flt12_runnable_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("streaming_daily_attention", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS mentions, round(sum(value), 4) AS engagement FROM events GROUP BY ALL")
 def streaming_daily_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream, read to its end; the windows' states are written when it ends."""
+    from tidemark.sources.durable import work_dir
     from tidemark.streaming.attention import daily_attention
 
-    return daily_attention(table(spark, sf_dir, "events")).withColumn("engagement", F.round("engagement", 4))
+    at = work_dir(spark, "stream")
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{at}/rows")
+    started = daily_attention(stream).writeStream.outputMode("complete").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    started.awaitTermination()
+    return spark.read.parquet(f"{at}/rows").select("event_type", "day", "mentions", F.round("engagement", 4).alias("engagement"))

@@ -112,9 +112,9 @@ def win01_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.latest(table(spark, sf_dir, "lineitem"), ["l_linestatus", "l_orderkey"], "l_shipdate", "l_suppkey", "l_linenumber").select("l_linestatus", "l_orderkey", "l_linenumber", "l_suppkey")
 
 
-@query("jn02_page_time", "SELECT l_orderkey, l_linenumber, coalesce((SELECT max(e.ts) FROM events e WHERE e.user_id = l.l_partkey % 200 AND e.event_id % 50 = l.l_suppkey % 50), l_shipdate) AS observed_at FROM lineitem l WHERE l_linenumber = 1")
+@query("jn02_page_time", "SELECT l_orderkey, l_linenumber, coalesce(e.t, l_shipdate) AS observed_at FROM lineitem LEFT JOIN (SELECT user_id AS u, event_id % 50 AS k, max(ts) AS t FROM events GROUP BY ALL) e ON e.u = l_partkey % 200 AND e.k = l_suppkey % 50")
 def jn02_page_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 200).alias("run_id"), (F.col("l_suppkey") % 50).alias("source_id"), F.col("l_shipdate").alias("observed_at"))
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 200).alias("run_id"), (F.col("l_suppkey") % 50).alias("source_id"), F.col("l_shipdate").alias("observed_at"))
     pages = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), (F.col("event_id") % 50).alias("source_id"), F.col("ts").alias("ended_at"))
     return V.with_page_time(line, pages).select("l_orderkey", "l_linenumber", "observed_at")
 

@@ -160,7 +160,7 @@ def jn15_inconsistent_ancestry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.inconsistent_ancestry(child, table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "n_regionkey").select("c_custkey")
 
 
-@query("src02_row_range")
+@query("src02_row_range", "SELECT l_orderkey, l_linenumber, rn AS row_number FROM (SELECT l_orderkey, l_linenumber, row_number() OVER () - 1 AS rn FROM lineitem) WHERE rn BETWEEN 1000 AND 1999")
 def src02_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.row_range(spark, f"{sf_dir}/lineitem.parquet", 1000, 2000).select("l_orderkey", "l_linenumber", "row_number")
 
@@ -170,9 +170,9 @@ def src16_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.point_lookup(spark, [f"{sf_dir}/lineitem.parquet"], "l_orderkey", 77).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("src01_size_guard", "SELECT sum(strlen(t))::BIGINT AS total, max(strlen(t))::INTEGER AS greatest, true AS ok FROM (SELECT '{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}' AS t FROM nation)")
+@query("src01_size_guard", "SELECT sum(strlen(t))::BIGINT AS total, max(strlen(t))::INTEGER AS greatest, sum(strlen(t)) <= 16777216 AND max(strlen(t)) <= 1048576 AS ok FROM (SELECT '{\"o_orderkey\":' || o_orderkey || ',\"o_custkey\":' || o_custkey || ',\"o_orderpriority\":\"' || o_orderpriority || '\"}' AS t FROM orders)")
 def src01_size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.size_guard(table(spark, sf_dir, "nation"))
+    return S.size_guard(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
 
 
 @query("src06_page_defects", """SELECT user_id AS scan_id, unnest(list_filter([CASE WHEN count(DISTINCT event_id % 2) > 1 THEN 'unstable_count' END, CASE WHEN count(event_id % 500) > count(DISTINCT event_id % 500) THEN 'repeated_cursor' END,

@@ -14,14 +14,12 @@ from tidemark.operators import attention as A
 from tidemark.operators import catalog as K
 from tidemark.operators import corpus as C
 from tidemark.operators import emergence as E
-from tidemark.operators import funding as U
 from tidemark.operators import topics as L
 from tidemark.operators import versions as V
 from tidemark.plans import attention as cells
 from tidemark.plans import emergence as topics
 from tidemark.plans.registry import query, table
 from tidemark.sources import files as S
-from tidemark.sources import sinks
 
 LISTS = C.Scope(dt.date(1990, 1, 1), dt.date(2030, 1, 1), domains=("1", "2"), not_fields=("3", "4"))
 
@@ -131,61 +129,36 @@ def str07_phrase_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", T.phrase_text(F.concat(F.lit('"'), "p_name", F.lit('"  '), "p_type")).alias("t"))
 
 
-CLEANED = [("Lab - on - a - Chip ( LoC ) test raises $ 2 . 5M | Site", "Lab-on-a-Chip (LoC) test raises $2.5M"), ("« Имя » привлек 1 , 500 руб .", "«Имя» привлек 1500 руб."), ("plain", "plain")]
-AMOUNTS = [("$2.5M", 2.5e6, "USD"), ("US$ 3 billion", 3e9, "USD"), ("€40k", 4e4, "EUR"), ("£7", 7.0, "GBP"), ("no money", None, None), ("GBP 12 mn and $5", 1.2e7, "GBP")]
-_sql = lambda v: "NULL" if v is None else repr(v) if isinstance(v, float) else "'" + v + "'"
-_table = lambda rows: ", ".join("(" + ", ".join(map(_sql, r)) + ")" for r in rows)
-
-
-@query("str08_clean_headlines", f"SELECT raw, cleaned FROM (VALUES {_table(CLEANED)}) t(raw, cleaned)")
-def str08_clean_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(r,) for r, _ in CLEANED], "raw string").select("raw", U.clean(F.col("raw")).alias("cleaned"))
-
-
-@query("str09_amounts", f"SELECT raw, amount::DOUBLE AS amount, currency FROM (VALUES {_table(AMOUNTS)}) t(raw, amount, currency)")
-def str09_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(r[0],) for r in AMOUNTS], "raw string").withColumn("m", U._amount(F.col("raw"), U.ENGLISH))
-    return rows.select("raw", F.col("m.amount").alias("amount"), F.col("m.currency").alias("currency"))
-
-
-NAMES = [("Exclusive: Bluepeak secures money", "Bluepeak"), ("«Печать» привлек", "Печать"), ("a b c d e f g raises money", None), ("nothing here", None)]
-
-
-@query("str10_companies", f"SELECT raw, company FROM (VALUES {_table(NAMES)}) t(raw, company)")
-def str10_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(r,) for r, _ in NAMES], "raw string").select("raw", U._company(F.col("raw"), U.ENGLISH).alias("company"))
-
-
 @query("dt04_months_touched", "SELECT o_orderkey, datediff('month', o_orderdate, o_orderdate + to_days(CAST(o_custkey % 100 AS INTEGER))) + 1 AS months FROM orders")
 def dt04_months_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     return table(spark, sf_dir, "orders").select("o_orderkey", F.size(D.months_touched(day, F.date_add(day, (F.col("o_custkey") % 100).cast("int")))).cast("bigint").alias("months"))
 
 
-INSTANTS = [("2026-01-02T00:00:00+02:00", "2026-01-01 22:00:00"), ("2026-01-02", "2026-01-02 00:00:00"), ("not-a-date", None), ("2026-01-02T03:04:05Z", "2026-01-02 03:04:05")]
-
-
-@query("dt07_instants", f"SELECT raw, instant FROM (VALUES {_table(INSTANTS)}) t(raw, instant)")
+@query("dt07_instants", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS instant FROM orders")
 def dt07_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(r,) for r, _ in INSTANTS], "raw string")
-    return rows.select("raw", D.utc_instant(F.col("raw")).cast("string").alias("instant"))
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    raw = F.element_at(F.array(F.concat(stamp, F.lit("+02:00")), F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(stamp, F.lit("Z")), F.lit("at noon")), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", D.utc_instant(raw).cast("string").alias("instant"))
 
 
-@query("dt09_recent_days", "SELECT DISTINCT CAST(o_orderdate AS DATE) AS today, (unnest(range(CAST(o_orderdate AS DATE) - 30, CAST(o_orderdate AS DATE), INTERVAL 1 DAY)))::DATE AS day FROM orders WHERE o_orderkey % 100 = 0")
+@query("dt09_recent_days", "SELECT DISTINCT CAST(o_orderdate AS DATE) AS today, (unnest(range(CAST(o_orderdate AS DATE) - 30, CAST(o_orderdate AS DATE), INTERVAL 1 DAY)))::DATE AS day FROM orders")
 def dt09_recent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0").select(F.col("o_orderdate").cast("date").alias("today")).distinct()
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("today")).distinct()
     return days.select("today", F.explode(D.recent_days(F.col("today"))).alias("day"))
 
 
-@query("math02_rounded_sizes", "SELECT o_orderkey, round(o_totalprice / 1024, 2) AS kib FROM orders")
+@query("math02_rounded_sizes", "SELECT o_orderkey, (c // 1024 + CASE WHEN c % 1024 > 512 OR (c % 1024 = 512 AND (c // 1024) % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE AS kib FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders)")
 def math02_rounded_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") / 1024, 2).alias("kib"))
+    """Two places, half to even, of the exact decimal."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.bround(F.round("o_totalprice", 2).cast("decimal(15,2)") / 1024, 2).cast("double").alias("kib"))
 
 
-@query("math04_budgets", "SELECT * FROM (VALUES (10, 2, 50, 2, 8), (10, 50, 1, 9, 1), (10, 3, 3, 3, 3), (0, 5, 5, 0, 0)) t(capacity, recent_waiting, rotating_waiting, recent, rotating)")
+@query("math04_budgets", """WITH q AS (SELECT o_orderkey, CAST(o_orderkey % 20 AS BIGINT) AS c, CAST(o_custkey % 9 AS BIGINT) AS a, CAST(o_custkey % 17 AS BIGINT) AS b FROM orders), s AS (SELECT *, CAST((6 * c + 5) // 10 AS BIGINT) AS r FROM q), f AS (SELECT *, least(r, a) AS x, least(c - r, b) AS y FROM s), g AS (SELECT *, x + least(c - x - y, a - x) AS recent FROM f)
+ SELECT o_orderkey, recent, y + least(c - recent - y, b - y) AS rotating FROM g""")
 def math04_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(c, a, b, *K.budget(c, 0.6, a, b)) for c, a, b in ((10, 2, 50), (10, 50, 1), (10, 3, 3), (0, 5, 5))]
-    return spark.createDataFrame(rows, "capacity int, recent_waiting int, rotating_waiting int, recent int, rotating int")
+    split = K.budget(F.col("o_orderkey") % 20, 0.6, F.col("o_custkey") % 9, F.col("o_custkey") % 17)
+    return table(spark, sf_dir, "orders").select("o_orderkey", split.alias("s")).select("o_orderkey", "s.*")
 
 
 @query("arr03_distinct_slice", "SELECT conv_id, array_to_string(list_slice(list(role ORDER BY f), 1, 2), ',') AS roles FROM (SELECT conv_id, role, min(turn) AS f FROM conversations GROUP BY ALL) GROUP BY conv_id")
@@ -207,9 +180,10 @@ def json05_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("n_regionkey", F.sha2(F.concat(F.lit("taxonomy-v1\n"), P.canonical(F.col("j"))), 256).alias("h"))
 
 
-@query("json06_request_hash", "SELECT sha256('{\"limit\": 5, \"topics\": [\"a\", \"b\"]}') AS h")
+@query("json06_request_hash", """SELECT o_orderkey, sha256('{"limit": ' || o_orderkey % 10 || ', "topics": ["' || o_orderpriority || '", "' || o_orderstatus || '"]}') AS h FROM orders""")
 def json06_request_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(P.request_hash({"topics": ["a", "b"], "limit": 5}),)], "h string")
+    request = F.create_map(F.lit("topics"), P.spaced_list(F.array("o_orderpriority", "o_orderstatus")), F.lit("limit"), (F.col("o_orderkey") % 10).cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.sha2(P.spaced_object(request), 256).alias("h"))
 
 
 @query("src03_inventory", "SELECT 'updated_date=' || strftime(d, '%Y-%m-%d') || '/part-' || k AS url, b AS bytes, n AS rows, d AS updated_date FROM (SELECT o_orderpriority[1] AS k, date_trunc('year', o_orderdate)::DATE AS d, sum(o_custkey)::BIGINT AS b, count(*) AS n FROM orders GROUP BY ALL)")
@@ -231,12 +205,6 @@ def snk04_insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.unprocessed(rows.dropDuplicates(["c_custkey"]), rows.where("c_custkey % 3 = 0"), ["c_custkey"])
 
 
-@query("snk01_fingerprint", "SELECT count(*) AS n FROM nation")
-def snk01_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = int(sinks.fingerprint(table(spark, sf_dir, "nation")).split("-")[0])
-    return spark.createDataFrame([(n,)], "n bigint")
-
-
 @query("stm04_late_baseline", "SELECT entity_id, arg_max(version_id, (t, version_id)) AS version_id FROM (SELECT o_custkey AS entity_id, o_orderkey AS version_id, o_orderdate AS t FROM orders) GROUP BY 1")
 def stm04_late_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = table(spark, sf_dir, "orders").select(F.lit("s").alias("scope_id"), F.col("o_custkey").alias("entity_id"), F.col("o_orderkey").alias("version_id"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("updated_date"), F.lit(True).alias("is_api"), F.lit(0).alias("observed_at"))
@@ -244,12 +212,14 @@ def stm04_late_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.reconcile(seen.unionByName(late)).select("entity_id", "version_id")
 
 
-@query("stm05_reverted_versions", "SELECT 0 AS unprocessed")
+@query("stm05_reverted_versions", "SELECT c_custkey FROM customer WHERE c_custkey % 3 = 2")
 def stm05_reverted_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "nation").select("n_nationkey", F.sha2("n_name", 256).alias("content_hash"))
-    b = a.withColumn("content_hash", F.sha2(F.concat("content_hash", F.lit("b")), 256))
-    done = a.unionByName(b)  # A, then B were processed; A again is not new
-    return V.unprocessed(a, done, ["n_nationkey", "content_hash"]).agg(F.count("*").cast("int").alias("unprocessed"))
+    """Versions A and B of every customer are processed. A again, or B, is not new; only the third that moves to C is."""
+    version = lambda suffix: F.sha2(F.concat("c_name", F.lit(suffix)), 256).alias("content_hash")
+    rows = table(spark, sf_dir, "customer")
+    done = rows.select("c_custkey", version("A")).unionByName(rows.select("c_custkey", version("B")))
+    now = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return V.unprocessed(rows.select("c_custkey", F.sha2(F.concat("c_name", now), 256).alias("content_hash")), done, ["c_custkey", "content_hash"]).select("c_custkey")
 
 
 @query("stm07_queue_cursor", "SELECT count(*) || ':' || min(o_orderkey) || ':' || max(o_orderkey) AS cursor FROM orders WHERE o_orderstatus = 'O'")
@@ -258,7 +228,7 @@ def stm07_queue_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return waiting.agg(F.concat_ws(":", F.count("*").cast("string"), F.min("o_orderkey").cast("string"), F.max("o_orderkey").cast("string")).alias("cursor"))
 
 
-@query("ml03_adopted_runs", "SELECT o_custkey AS request_hash, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS run_id FROM orders WHERE o_custkey = 77 AND o_orderstatus = 'F' GROUP BY 1")
+@query("ml03_adopted_runs", "SELECT o_custkey AS request_hash, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS run_id FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")
 def ml03_adopted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").cast("string").alias("request_hash"), F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("failed").alias("status"), F.col("o_orderdate").alias("finished_at"))
-    return L.adopt(runs, "77").select(F.col("request_hash").cast("bigint").alias("request_hash"), "run_id")
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("request_hash"), F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("failed").alias("status"), F.col("o_orderdate").alias("finished_at"))
+    return L.adopted(runs).select("request_hash", "run_id")

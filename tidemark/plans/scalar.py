@@ -1,4 +1,4 @@
-"""Scalar functions over documents, events, orders and pages, and headline extraction over an example table."""
+"""Scalar functions over documents, events, orders, parts and pages."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates as D
 from tidemark.functions import payload as P
 from tidemark.functions import text as T
-from tidemark.operators import funding as E
 from tidemark.plans.registry import query, table
 
 NORMAL = "trim(replace(regexp_replace(lower(text), '[^\\pL\\pN_]+', ' ', 'g'), '_', ' '))"
@@ -54,11 +53,12 @@ def str15_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.clip(F.col("text"), 80).alias("t"))
 
 
-@query("str13_locators", "SELECT page_id, url || '&page=3' AS u FROM pages WHERE contains(url, '?') AND NOT contains(url, '#') UNION ALL SELECT page_id, url AS u FROM pages WHERE NOT contains(url, '?') AND NOT contains(url, '#')")
+@query("str13_locators", """SELECT page_id, CASE WHEN contains(base, '?') THEN base || '&page=3' ELSE base END || frag AS u
+ FROM (SELECT page_id, CASE WHEN contains(url, '#') THEN substr(url, 1, instr(url, '#') - 1) ELSE url END AS base, CASE WHEN contains(url, '#') THEN substr(url, instr(url, '#')) ELSE '' END AS frag FROM pages)""")
 def str13_locators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").where(~F.contains("url", F.lit("#")))
-    secret = F.when(F.contains("url", F.lit("?")), F.concat("url", F.lit("&token=abc&page=3"))).otherwise(F.concat("url", F.lit("?api_key=xyz")))
-    return pages.select("page_id", T.without_secrets(secret).alias("u"))
+    base, fragment = F.substring_index("url", "#", 1), F.regexp_extract("url", "#.*$", 0)
+    query_ = F.when(F.contains(base, F.lit("?")), F.lit("&token=abc&page=3")).otherwise(F.lit("?api_key=xyz"))
+    return table(spark, sf_dir, "pages").select("page_id", T.without_secrets(F.concat(base, query_, fragment)).alias("u"))
 
 
 @query("dt01_month_windows", """WITH w AS (SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS ws, (date_trunc('month', o_orderdate) + to_months(CAST(o_custkey % 4 + 1 AS INTEGER)))::DATE AS we FROM orders)
@@ -79,15 +79,16 @@ def dt02_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dt05_complete_periods", """SELECT o_orderkey, len(list_filter(range(1990, 2010), lambda y: a <= make_date(y, 1, 1) AND b >= make_date(y, 12, 31))) AS years, (a <= date_trunc('month', a + 40) AND b >= last_day(a + 40)) AS full_month
  FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_custkey % 900 AS INTEGER) AS b FROM orders)""")
 def dt05_complete_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a")).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a"), "o_custkey")
     rows = rows.withColumn("b", F.date_add("a", (F.col("o_custkey") % 900).cast("int")))
     return rows.select("o_orderkey", F.size(D.complete_years(F.col("a"), F.col("b"))).cast("bigint").alias("years"), D.is_complete_month(F.trunc(F.date_add("a", 40), "MM"), F.col("a"), F.col("b")).alias("full_month"))
 
 
-@query("dt06_date_parse", """SELECT x, try_cast(CASE WHEN regexp_full_match(x, '\\d{4}-\\d{2}-\\d{2}') THEN x END AS DATE) AS d FROM (VALUES ('2026-01-31'), ('2026-1-1'), ('2026-02-30'), ('not-a-date'), (''), ('20260101'), (NULL)) t(x)""")
+@query("dt06_date_parse", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate::DATE END AS d FROM orders")
 def dt06_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("2026-01-31",), ("2026-1-1",), ("2026-02-30",), ("not-a-date",), ("",), ("20260101",), (None,)], "x string")
-    return rows.select("x", D.iso_date(F.col("x")).alias("d"))
+    day = F.col("o_orderdate").cast("date")
+    raw = F.element_at(F.array(F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy/MM/dd"), F.concat(F.year(day).cast("string"), F.lit("-02-30")), F.date_format(day, "yyyyMMdd"), F.lit("some day"), F.lit(None).cast("string")), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", D.iso_date(raw).alias("d"))
 
 
 @query("dt03_month_buckets", "SELECT date_trunc('month', o_orderdate)::DATE AS month, count(*) AS n FROM orders GROUP BY 1")
@@ -117,21 +118,28 @@ def agg27_sum_of_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", P.sum_of_values(counts).alias("total"))
 
 
-ABSTRACTS = [("object", '{"b":[1],"a":[0,2]}', "a b a"), ("tie", '{"z":[0],"y":[0]}', "y z"), ("empty", "{}", None), ("fraction", '{"a":[0.5]}', None), ("text", '{"a":["0"]}', None), ("null position", '{"a":[null,1]}', None), ("null", None, None), ("not json", "x", None), ("blank", '{"":[0]}', None)]
+def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted indexes by p_partkey % 8: of a name's words, repeated and tied words, and six broken or empty ones."""
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    words = F.transform(F.split("p_name", " "), lambda w, i: F.concat(quoted(w), F.lit(":["), i.cast("string"), F.lit("]")))
+    whole = F.concat(F.lit("{"), F.array_join(words, ","), F.lit("}"))
+    again = F.concat(F.lit("{"), quoted(F.col("p_type")), F.lit(":[1],"), quoted(F.col("p_brand")), F.lit(":[0,2]}"))
+    tied = F.concat(F.lit('{"z":[0],'), quoted(F.col("p_brand")), F.lit(":[0]}"))
+    cases = F.array(whole, again, tied, F.lit("{}"), F.lit('{"a":[0.5]}'), F.lit('{"a":[null,1]}'), F.lit('{"a":["0"],"b":[1]}'), F.lit("no index"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.element_at(cases, (F.col("p_partkey") % 8 + 1).cast("int")).alias("inverted"))
 
 
-@query("arr01_abstracts", "SELECT * FROM (VALUES " + ", ".join(f"('{n}', {'NULL' if a is None else repr(a)})" for n, _, a in ABSTRACTS) + ") t(name, abstract)")
+@query("arr01_abstracts", "SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN p_name WHEN 1 THEN p_brand || ' ' || p_type || ' ' || p_brand WHEN 2 THEN p_brand || ' z' END AS abstract FROM part")
 def arr01_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(n, i) for n, i, _ in ABSTRACTS], "name string, inverted string")
-    return rows.select("name", P.abstract(F.col("inverted")).alias("abstract"))
+    return _inverted(spark, sf_dir).select("p_partkey", P.abstract(F.col("inverted")).alias("abstract"))
 
 
-@query("arr02_lenient_abstracts")
+@query("arr02_lenient_abstracts", "SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN p_name WHEN 1 THEN p_brand || ' ' || p_type || ' ' || p_brand WHEN 2 THEN p_brand || ' z' WHEN 3 THEN '' WHEN 4 THEN '' WHEN 5 THEN 'a' WHEN 6 THEN 'b' END AS abstract FROM part")
 def arr02_lenient_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(n, i) for n, i, _ in ABSTRACTS], "name string, inverted string").select("name", P.lenient_abstract(F.col("inverted")).alias("abstract"))
+    return _inverted(spark, sf_dir).select("p_partkey", P.lenient_abstract(F.col("inverted")).alias("abstract"))
 
 
-@query("json03_canonical")
+@query("json03_canonical", "SELECT event_id, '{\"k\":' || CAST(json_extract(props, '$.k') AS BIGINT) || '}' AS canonical FROM events")
 def json03_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", P.canonical(F.col("props")).alias("canonical"))
 
@@ -142,7 +150,8 @@ def json04_work_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "i.content_hash", "i.version_id")
 
 
-@query("hash01_cache_uuid")
+@query("hash01_cache_uuid", r"""WITH n AS (SELECT doc_id, sha1('\x6B\xA7\xB8\x11\x9D\xAD\x11\xD1\x80\xB4\x00\xC0\x4F\xD4\x30\xC8'::BLOB || encode(sha256(text) || '|model|1|plain')) AS h FROM documents)
+ SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', instr('0123456789abcdef', substr(h, 17, 1)) % 4 + CASE WHEN instr('0123456789abcdef', substr(h, 17, 1)) % 4 = 0 THEN 4 ELSE 0 END, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id FROM n""")
 def hash01_cache_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", P.name_uuid(P.cache_name(F.col("text"), "model", "1", "plain")).alias("point_id"))
 
@@ -150,36 +159,3 @@ def hash01_cache_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("math01_geometric_mean", "SELECT l_returnflag, round(exp(avg(ln(l_quantity))), 6) AS g FROM lineitem GROUP BY 1")
 def math01_geometric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.round(F.exp(F.avg(F.ln("l_quantity"))), 6).alias("g"))
-
-
-#: Headline and what it must yield: type, company, stage, amount, currency, investors.
-HEADLINES = [
-    ("Northwind Labs Raises $25M in Series A Funding", "vc_round", "Northwind Labs", "series_a", 25e6, "USD", None),
-    ("Exclusive: Bluepeak secures €4.5 million seed round led by Harbor Partners", "vc_round", "Bluepeak", "seed", 4.5e6, "EUR", "Harbor Partners"),
-    ("Irongate to acquire Quiet Metals for $1.8 billion", "m_and_a", "Irongate", None, 1.8e9, "USD", None),
-    ("Company Y receives NSF grant to develop soft robots", "grant", "Company Y", None, None, None, None),
-    ("Lantern AI files for IPO on Nasdaq", "ipo", "Lantern AI", None, None, None, None),
-    ("Стартап « Гидролаб » привлек 300 млн рублей в раунде серии А", "vc_round", "Гидролаб", "series_a", 3e8, "RUB", None),
-    ("Компания «Роботех» закрыла посевной раунд на $1,5 млн при участии ВЭБ", "vc_round", "Роботех", "seed", 1.5e6, "USD", "ВЭБ"),
-    ("Фонд: компания «Геном» получила грант 5 млн руб.", "grant", "Геном", None, 5e6, "RUB", None),
-    ("Банк приобрел разработчика принтеров «Печать»", "m_and_a", "Печать", None, None, None, None),
-    ("«Дроны» разместил акции на бирже", "ipo", "Дроны", None, None, None, None),
-    ("Growth for Screening Market Size raising to USD 18 . 33 Bn by 2025", None, None, None, None, None, None),
-    ("Объем рынка печати достигнет 10 млрд рублей к 2030 году", None, None, None, None, None, None),
-    ("Новый чип для диагностики", None, None, None, None, None, None),
-]
-_sql = lambda v: "NULL" if v is None else repr(v) if isinstance(v, float) else "'" + v + "'"
-
-
-@query("str11_extract_events", "SELECT title, event_type, company, stage, amount::DOUBLE AS amount, currency, investors FROM (VALUES " + ", ".join("(" + ", ".join(map(_sql, h)) + ")" for h in HEADLINES) + ") t(title, event_type, company, stage, amount, currency, investors)")
-def str11_extract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(h[0],) for h in HEADLINES], "title string")
-    return rows.select("title", E.extract(F.col("title")).alias("e")).select("title", "e.*")
-
-
-@query("str12_reprint_groups", "SELECT 2 AS articles, 'vc_round' AS event_type, 'Northwind Labs' AS company UNION ALL SELECT 1, 'vc_round', 'Northwind Labs'")
-def str12_reprint_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("a", "Northwind Labs Raises $25M in Series A Funding", "2025-02-03 10:00:00"), ("b", "Northwind Labs raises $25 million Series A", "2025-02-20 10:00:00"), ("c", "Northwind Labs Raises $25M in Series A Funding", "2025-03-01 10:00:00")]
-    articles = spark.createDataFrame(rows, "article_id string, title string, seen_at string").withColumn("seen_at", F.col("seen_at").cast("timestamp"))
-    events, links = E.events(articles)
-    return links.groupBy("event_id").agg(F.count("*").cast("int").alias("articles")).join(events, "event_id").select("articles", "event_type", "company")

@@ -24,10 +24,16 @@ def top04_nearest_to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.nearest_to_centroid(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding").select("label", "vec_id", F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("vec03_short_lists", f"{UNIT}, s AS (SELECT label, count(*) AS n FROM u GROUP BY 1) SELECT label, least(n, 15) AS representatives FROM s")
+@query("vec03_short_lists", f"""{UNIT}, near AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY list_dot_product(v, c) DESC, vec_id) AS rank FROM u JOIN n USING (label)), s AS (SELECT label, count(*) AS size, list(vec_id ORDER BY vec_id) AS m FROM u GROUP BY 1),
+ f AS (SELECT label, list(vec_id ORDER BY rank) AS found FROM near JOIN s USING (label) WHERE rank <= least(15, size) GROUP BY label), o AS (SELECT label, CASE label % 3 WHEN 0 THEN list_slice(m, 1, 20) WHEN 1 THEN list_slice(m, 1, 4) ELSE [] END AS own, found FROM s JOIN f USING (label))
+ SELECT label, array_to_string(CASE WHEN len(own) < 15 AND len(found) > len(own) THEN found ELSE own END, ',') AS items FROM o""")
 def vec03_short_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = V.nearest_to_centroid(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
-    return near.groupBy("label").agg(F.count("*").alias("representatives"))
+    """Labels have long, short and no representatives; what is short is filled from the nearest members if these are more."""
+    points = table(spark, sf_dir, "embeddings")
+    own = points.groupBy("label").agg(F.count("*").alias("size"), F.sort_array(F.collect_list("vec_id")).alias("m"))
+    lists = own.select("label", "size", F.when(F.col("label") % 3 == 0, F.slice("m", 1, 20)).when(F.col("label") % 3 == 1, F.slice("m", 1, 4)).alias("items"))
+    near = V.nearest_to_centroid(points, "label", "vec_id", "embedding")
+    return V.backfill(lists, near, "label", "vec_id", 15).select("label", F.array_join("items", ",").alias("items"))
 
 
 @query("vec04_cached_embedding", "SELECT vec_id AS point_id, 64 AS n FROM embeddings WHERE vec_id % 2 = 0 AND vec_id IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 2 FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings WHERE vec_id % 2 = 0)")
@@ -83,7 +89,8 @@ def ml01_topic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.KMeansFitter(10).fit(rows)
 
 
-@query("llm01_labels")
+@query("llm01_labels", """WITH t AS (SELECT lang AS topic, unnest(string_split(lower(text), ' ')) AS term FROM documents), c AS (SELECT topic, term, count(*) AS n FROM t WHERE term <> '' GROUP BY ALL)
+ SELECT topic, upper(trim(term)) AS headline, 'succeeded' AS status FROM c QUALIFY row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) = 1""")
 def llm01_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = arr04_keyword_line(spark, sf_dir).select("topic", F.col("keywords").alias("prompt"))
-    return T.label(prompts, lambda prompt: prompt.split(", ")[0].title())
+    return T.label(prompts, lambda prompt: prompt.split(", ")[0].upper())

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -14,25 +16,37 @@ def _exists(df: DataFrame, path: str) -> bool:
 
 
 def fingerprint(df: DataFrame) -> str:
-    """An order-free digest of rows: their count and the sum of their hashes."""
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias("s")).first()
-    return f"{row['n']}-{row['s']}"
+    """An order-free digest of rows: their count and the sums of two 64-bit hashes."""
+    sums = [F.coalesce(F.sum(F.xxhash64(*seed, *df.columns).cast("decimal(38,0)")), F.lit(0)).alias(f"s{k}") for k, seed in enumerate(((), (F.lit("second"),)))]
+    row = df.agg(F.count("*").alias("n"), *sums).first()
+    return f"{row['n']}-{row['s0']}-{row['s1']}"
 
 
 def publish(df: DataFrame, folder: str) -> str:
-    """Writes zstd Parquet under a name made of its content, checks the count, and returns the path.
+    """Writes zstd Parquet under a name made of its content, checks the rows, and returns the path.
 
-    The same rows published again are found in place; a path is never overwritten.
+    The rows are written aside, read back and checked, and only then renamed, so a crash leaves no half
+    output under the name. The same rows published again are found in place; a path is never overwritten.
     """
-    path = f"{folder}/part-{fingerprint(df)}"
+    spark, mark = df.sparkSession, fingerprint(df)
+    path = f"{folder}/part-{mark}"
     if not _exists(df, path):
-        df.write.option("compression", "zstd").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    if fingerprint(stored.select(*df.columns)) != path.rpartition("part-")[2]:
-        raise ValueError("immutable output conflict")
+        aside = f"{folder}/.aside-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(aside)
+        _checked(spark.read.parquet(aside), df.columns, mark)
+        files = spark._jvm.org.apache.hadoop.fs
+        system = files.Path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.rename(files.Path(aside), files.Path(path)):
+            system.delete(files.Path(aside), True)  # somebody else has published it
+    _checked(spark.read.parquet(path), df.columns, mark)
     return path
 
 
+def _checked(stored: DataFrame, columns: list[str], mark: str) -> None:
+    if fingerprint(stored.select(*columns)) != mark:
+        raise ValueError("immutable output conflict")
+
+
 def append_new(df: DataFrame, path: str, keys: list[str]) -> None:
     """Insert or ignore: rows whose key is stored are left out, repeated keys keep one row."""
     fresh = df.dropDuplicates(keys)
@@ -63,3 +77,9 @@ def publish_run(tables: dict[str, DataFrame], folder: str, run_id: str, status:
     for name, df in tables.items():
         df.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{folder}/{name}")
     status.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{folder}/runs")
+
+
+def committed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table's rows of those runs that have a status row."""
+    done = spark.read.parquet(f"{folder}/runs").select("run_id").distinct()
+    return spark.read.parquet(f"{folder}/{name}").join(done, "run_id", "left_semi")

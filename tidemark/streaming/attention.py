@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def daily_attention(events: DataFrame, lateness: str = "2 days", window: str = "1 day") -> DataFrame:
-    """event_type, day, mentions, authors (approximate), engagement per window; late rows beyond the watermark are dropped.
+    """event_type, day, mentions, engagement per window; late rows beyond the watermark are dropped.
 
     Works on a stream and, without the watermark's effect, on a batch.
     """
@@ -23,21 +23,51 @@ def sessions(events: DataFrame, gap: str = "30 minutes", lateness: str = "2 days
     return out.select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
 
 
-def upsert_batches(path: str, keys: list[str], version: str):
+def _pointers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches whose pointer is complete."""
+    files = spark._jvm.org.apache.hadoop.fs
+    root = files.Path(f"{path}/pointers")
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    return sorted(int(x.getPath().getName()) for x in system.listStatus(root) if system.exists(files.Path(x.getPath(), "_SUCCESS")))
+
+
+def _versions(spark: SparkSession, path: str, number: int) -> dict[int, int]:
+    """The version of each bucket; as many rows as there are buckets."""
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{path}/pointers/{number:012d}").collect()}
+
+
+def _state(spark: SparkSession, path: str, versions: dict[int, int], schema) -> DataFrame:
+    paths = [f"{path}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def current(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows that the last complete batch left."""
+    done = _pointers(spark, path)
+    return _state(spark, path, _versions(spark, path, done[-1]) if done else {}, schema)
+
+
+def upsert_batches(path: str, keys: list[str], version: str, buckets: int = 64):
     """A foreachBatch function that keeps one current row per key; replaying a batch changes nothing.
 
-    Each batch writes a new snapshot folder and then moves the pointer, so a reader or a lost
-    executor never sees half a snapshot.
+    Keys are dealt to buckets. A batch rewrites the buckets it touches into a version folder of its own and
+    then writes a pointer of its own, which says which version of each bucket holds. Nothing that a complete
+    pointer names is ever overwritten, so :func:`current` always finds a whole state.
     """
-    from tidemark.sources.sinks import _exists, merged
+    from tidemark.sources.sinks import merged
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        pointer = f"{path}/current"
-        now = spark.read.text(pointer).first()[0] if _exists(batch, pointer) else None
-        rows = merged(spark.read.parquet(now), batch, keys, version) if now else merged(batch.limit(0), batch, keys, version)
-        target = f"{path}/snapshot-{number}"
-        rows.write.mode("overwrite").parquet(f"{target}-next" if now == target else target)
-        spark.createDataFrame([(f"{target}-next" if now == target else target,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+        before = [n for n in _pointers(spark, path) if n < number]
+        versions = _versions(spark, path, before[-1]) if before else {}
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+        touched = [r["bucket"] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` rows
+        old = _state(spark, path, {b: v for b, v in versions.items() if b in touched}, batch.schema)
+        rows = merged(old, batch, keys, version).select("*", bucket)
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number}")
+        held = sorted((versions | dict.fromkeys(touched, number)).items())
+        spark.createDataFrame(held, "bucket int, version bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/pointers/{number:012d}")
 
     return write
