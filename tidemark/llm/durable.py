@@ -1,24 +1,5 @@
-"""Lineage cuts that survive lost executors."""
+"""Lineage cuts that survive lost executors: those of the core."""
 
-from __future__ import annotations
+from tidemark.sources.durable import remove_stored, shared_dir, stored
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where that is unset, a local one (single-machine tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read back."""
-    at = f"{shared_dir(df.sparkSession)}/tidemark-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+__all__ = ["remove_stored", "shared_dir", "stored"]

@@ -236,7 +236,7 @@ def _plain_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """ord, uid and ``gone`` (pieces of line positions) of the documents that lose a line."""
     keyed = docs.select(order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
-    lines = stored(keyed.transform(K.mapped, _lines, "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines")
+    lines = stored(keyed.transform(K.mapped, _lines, "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines", wide=True)
     # one row per (document, distinct line), then what is known of each line that has several holders
     held = lines.select("ord", "uid", F.explode(F.array_distinct("h")).alias("h"))
     shared = held.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("ord", "uid")).alias("first"), F.max(F.struct("ord", "uid")).alias("final"))

@@ -201,9 +201,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: float = LEAST) ->
     """doc_id, uid (a hash of the text), node and root (of the component), one row per document."""
     kind = dict(docs.dtypes)["doc_id"]
     keyed = docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
-    signed = stored(keyed.transform(K.mapped, _sign(shingle), f"doc_id {kind}, uid long, node long, fp long, keys array<long>"), "signatures")
+    signed = stored(keyed.transform(K.mapped, _sign(shingle), f"doc_id {kind}, uid long, node long, fp long, keys array<long>"), "signatures", wide=True)
     # one text stands for each node
-    nodes = stored(signed.where(F.size("keys") > 0).groupBy("node").agg(F.min("uid").alias("uid"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
+    nodes = stored(signed.where(F.size("keys") > 0).groupBy("node").agg(F.min("uid").alias("uid"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes", wide=True)
     # balls of fingerprints: nodes of one fingerprint, and the least nodes of linked fingerprints
     prints = stored(nodes.groupBy("fp").agg(F.min("node").alias("least")), "prints")
     same = nodes.join(prints, "fp").select(F.col("node").alias("u"), F.col("least").alias("v"))
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: float = LEAST) ->
     compared = members.select(F.col("u").alias("node")).union(tried.select("u")).union(tried.select("v")).distinct()
     known = stored(nodes.select("node", "uid").join(compared, "node", "left_semi"), "known")
     texts = _sieved(keyed.select("uid", "text"), known).join(known, "uid").dropDuplicates(["node"]).select("node", "text")
-    sets = stored(texts.transform(K.mapped, _sets(shingle), "node long, own binary"), "sets")
+    sets = stored(texts.transform(K.mapped, _sets(shingle), "node long, own binary"), "sets", wide=True)
 
     def links(pairs: DataFrame) -> DataFrame:
         left = pairs.join(sets.withColumnRenamed("node", "u"), "u")

@@ -102,7 +102,7 @@ def build(texts: DataFrame, anchors: Anchors, gap: float) -> tuple[DataFrame, in
     schema = "slice int, cells binary"
     part = texts.transform(K.mapped, _partials(anchors, slices), schema)
     part = part.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("slice", "salt").sortWithinPartitions("slice").select("slice", "cells").transform(K.mapped, _merge(False), schema)
-    return stored(part.repartition("slice").sortWithinPartitions("slice").transform(K.mapped, _merge(True), schema), "sketch"), slices
+    return stored(part.repartition("slice").sortWithinPartitions("slice").transform(K.mapped, _merge(True), schema), "sketch", wide=True), slices
 
 
 ASKED = "slice int, docs binary, hashes binary, which binary"
