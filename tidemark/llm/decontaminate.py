@@ -42,9 +42,11 @@ from tidemark.llm.durable import stored
 
 U64 = np.uint64
 #: Words in the shingles that are counted and joined; shorter windows use their whole length.
-SHINGLE = 3
+SHINGLE = 5
 #: Logarithm of the most bits in a sieve: 4 MB.
 MAX_BITS = 25
+#: Bytes of findings up to which they are sent to the documents; beyond, both are shuffled.
+SENT_BYTES = 4 << 20
 #: Different shingles that a task adds up before it sends their counts.
 FLUSH = 1 << 19
 
@@ -228,6 +230,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     spans = found.groupBy("uid").agg(F.collect_set(F.struct("first", "size")).alias("_tm_found"))
     named = found.select("uid", "w").distinct().join(parts.where("item is not null").select("w", "item").distinct(), "w").groupBy("uid").agg(F.collect_set("item").alias("_tm_items"))
     hits = stored(spans.join(named, "uid", "left").withColumnRenamed("uid", "_tm_uid"), "hits")
+    size = hits.agg(F.sum(64 + 16 * F.size("_tm_found") + F.coalesce(F.octet_length(F.array_join("_tm_items", ",")), F.lit(0)))).first()[0] or 0
+    hits = F.broadcast(hits) if size <= SENT_BYTES else hits.hint("shuffle_hash")
     joined = out.withColumn("_tm_uid", F.xxhash64(plain)).join(hits, "_tm_uid", "left").drop("_tm_uid")
     done = T.StructType([*out.schema.fields, T.StructField("_tm_n_words", T.LongType()), T.StructField("_tm_n_hit", T.LongType()), T.StructField("_tm_hit_spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("_tm_hit_items", T.ArrayType(T.StringType()))])
     result = joined.transform(K.mapped, _finish(text), done)
