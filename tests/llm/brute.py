@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -146,12 +147,13 @@ def outliers(rows, floor, grid=32, distance_grid=16, h=0.75, own=50.0, chi2_medi
         starts += [estimate(some) for r in (0, 1) if (some := box.sum(axis=1) % 2 == r).any()]
         found = []
         for k, (m, v) in enumerate(starts):
-            for _ in range(30):
+            def step(m, v):
                 at = np.floor(np.log(distances(mean, m, v)) * distance_grid)
-                old = np.linalg.slogdet(v)[1]
-                m, v = estimate(at <= quantile(at, n, h))
-                if abs(np.linalg.slogdet(v)[1] - old) <= 1e-12:
-                    break
+                return estimate(at <= quantile(at, n, h))
+
+            m, v = step(m, v)
+            while np.linalg.slogdet((after := step(m, v))[1])[1] < np.linalg.slogdet(v)[1] - 1e-9:
+                m, v = after
             found.append((round(np.linalg.slogdet(v)[1], 9), k, m, v))
         _, _, m, v = min(found, key=lambda f: f[:2])
         half = quantile(np.floor(np.log(distances(mean, m, v)) * distance_grid), n, 0.5)
@@ -286,3 +288,76 @@ def line_dedup(docs, every_pair=False):
 def xx(t):
     h = xxhash.xxh64_intdigest(t.encode(), 42)
     return h - (1 << 64) if h >> 63 else h
+
+
+def quality_features(t):
+    """The sixteen statistics, one plain count after another."""
+    b = (t or "").encode()
+    w = [x.encode() for x in SPACE.findall(t or "")]
+    lines = [x for x in b.split(b"\n") if x]
+    grams = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+    count = lambda own: sum(b.count(bytes([c])) for c in own)
+    part = lambda x, of, scale: math.log1p(scale * x / max(of, 1))
+    upper, ink = count(range(65, 91)), max(len(b) - count(b" \t\n\x0b\f\r"), 1)
+    sizes = [len(x) for x in w]
+    mean = sum(sizes) / max(len(w), 1)
+    entropy = -sum(n / len(b) * math.log(n / len(b)) for n in Counter(b).values()) if b else 0.0
+    return [
+        math.log1p(len(w)), math.log1p(mean), math.log1p(math.sqrt(max(sum(x * x for x in sizes) / max(len(w), 1) - mean**2, 0))),
+        part(upper, upper + count(range(97, 123)) + count(range(192, 256)), 20), part(count(b"#*$%&<>@~^=+_\\/"), ink, 50), part(count(b"!"), ink, 50),
+        part(count(b"0123456789"), ink, 50), part(count(b".,;:?'\"()-"), ink, 20), part(count(b"\n"), max(len(w), 1), 50), part(count(range(128, 192)), ink, 10), entropy,
+        math.log1p(len(set(w))) / math.log1p(max(len(w), 1)), part(len(grams) - len(set(grams)), len(grams), 20), part(len(lines) - len(set(lines)), len(lines), 20),
+        part(count(b"|"), ink, 50), part(sum(x <= 2 for x in sizes), max(len(w), 1), 5),
+    ]
+
+
+def discriminant(rows, shrink=0.5, diagonal=0.02, ridge=1e-3, temperature=2.0):
+    """rows: (features, label or None). The score of each from the labelled ones, by densities with inverse matrices."""
+    x = np.array([r[0] for r in rows])
+    own = {k: x[[r[1] == k for r in rows]] for k in (0, 1)}
+    total = sum(map(len, own.values()))
+    cov = {k: np.cov(v.T, bias=True) for k, v in own.items()}
+    pooled = sum(len(own[k]) * cov[k] for k in own) / total
+    logs = []
+    for k, v in own.items():
+        a = shrink + (1 - shrink) / (1 + len(v) / x.shape[1])
+        s = (1 - a) * cov[k] + a * pooled
+        s = (1 - diagonal) * s + np.diag(diagonal * np.diag(s) + ridge)
+        off = x - v.mean(axis=0)
+        logs.append(math.log(len(v) / total) - 0.5 * ((off @ np.linalg.inv(s) * off).sum(axis=1) + np.linalg.slogdet(s)[1]))
+    return 1 / (1 + np.exp((logs[0] - logs[1]) / temperature))
+
+
+class KneserNey:
+    """An interpolated model of one language in dictionaries; characters are padded at the start by None."""
+
+    def __init__(self, texts, order, size):
+        self.order, self.size = order, size
+        grams = Counter()
+        for t in texts:
+            c = [None] * (order - 1) + list(lower(t))
+            grams.update(tuple(c[k : k + order]) for k in range(len(t)))
+        self.counts = {order: grams}
+        for o in range(order - 1, 0, -1):
+            self.counts[o] = Counter(g[1:] for g in self.counts[o + 1])
+        self.totals, self.kinds, self.discount = {}, {}, {}
+        for o, own in self.counts.items():
+            n = Counter(own.values())
+            self.discount[o] = min(max(n[1] / max(n[1] + 2 * n[2], 1), 0.1), 0.95)
+            self.totals[o], self.kinds[o] = Counter(), Counter()
+            for g, k in own.items():
+                self.totals[o][g[:-1]] += k
+                self.kinds[o][g[:-1]] += 1
+
+    def prob(self, gram):
+        o = len(gram)
+        if o == 0:
+            return 1 / self.size
+        below, d, total = self.prob(gram[1:]), self.discount[o], self.totals[o][gram[:-1]]
+        if not total:
+            return below
+        return max(self.counts[o][gram] - d, 0) / total + d * self.kinds[o][gram[:-1]] / total * below
+
+    def loss(self, t):
+        c = [None] * (self.order - 1) + list(lower(t))
+        return -sum(math.log(self.prob(tuple(c[k : k + self.order]))) for k in range(len(t)))

@@ -45,6 +45,45 @@ def test_language_probabilities_sum_to_one():
         assert (total <= 1 + 1e-5).all() and (total > 1 - 2 / size).all()
 
 
+def test_language_models_against_dictionaries(docs):
+    import numpy as np
+
+    texts = {}
+    for r in docs.where("doc_id < 300 and lang is not null and length(text) between 30 and 3000").select("lang", "text").collect():
+        texts.setdefault(r["lang"], []).append(r["text"])
+    train = {x: own[:9] for x, own in texts.items()}
+    model = language.Model({x: [t.encode() for t in own] for x, own in train.items()})
+    counted = {x: own[: max(1, len(own) - max(1, len(own) // 5))] for x, own in train.items()}
+    plain = {x: brute.KneserNey(own, language.ORDER, len(model.alphabet) + 2) for x, own in counted.items()}
+    known = {chr(c) for c in model.alphabet}
+    rest = [t for own in texts.values() for t in own[9:14]] + ["a", "Ünknown ☃ signs 世界"]
+    raw = [t.encode() for t in rest]
+    loss, chars, has = model.losses(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(b) for b in raw]))))
+    for k, t in enumerate(rest):
+        same = "".join(c if brute.lower(c) in known else "\0" for c in t)  # one class for all unknown characters
+        want = [plain[x].loss(same) for x in model.langs]
+        assert chars[k] == len(t) and has[k] and np.allclose(loss[k], want, rtol=1e-4, atol=1e-3)
+
+
+def test_language_learns_from_a_bounded_sample(spark, docs):
+    few = language.fit(docs, per_lang=3)
+    less = language.fit(docs, per_lang=3, max_bytes=1)
+    assert few.langs == less.langs and len(few.keys[4]) > len(less.keys[4]) > 0
+    with pytest.raises(ValueError):
+        language.Model({"a": [b"abc"]}, order=5)
+
+
+def test_quality_against_densities(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    own = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    odd = spark.createDataFrame(ODD, KIND)
+    rows = docs.unionByName(odd).select("doc_id", "text").collect()
+    want = brute.discriminant([(brute.quality_features(r["text"]), own.get(r["doc_id"]) if r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 else None) for r in rows])
+    got = {(r["doc_id"]): (r["score"], r["held_out"]) for r in quality.digest(docs.unionByName(odd), labels).collect()}
+    assert all(abs(got[r["doc_id"]][0] - s) < 1e-6 for r, s in zip(rows, want))
+    assert got[None][1] is False and all(h == (zlib.crc32(str(d).encode()) % 3 == 1) for d, (_, h) in got.items() if d is not None)
+
+
 def test_quality_held_out(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = quality.digest(docs, labels)

@@ -40,10 +40,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tidemark.llm import kernels as K
+from tidemark.llm.durable import stored
 
 #: Bits of a packed character class; four of them make a 64-bit gram.
 BITS = 15
 ORDER = 4
+#: Languages up to which their counts are sent to the texts.
+LANGS = 100_000
 #: Held-out characters from which the spread of losses is taken; with fewer it is 1.
 LEAST_CHARS = 200
 _letters: np.ndarray | None = None
@@ -221,7 +224,8 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
     """A model of the languages of docs, from at most per_lang texts and max_bytes bytes of text a language."""
     share = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.where(learnable(doc_id) & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("t"), share.alias("share"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "own")
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "own"), "langs")
+    counts = F.broadcast(counts) if counts.count() <= LANGS else counts
     few = rows.join(counts, F.col("lang") == F.col("own")).where(F.col("share") * F.col("n") < 1.3 * per_lang)
     order = W.partitionBy("lang").orderBy("share", "t")
     sized = few.withColumn("place", F.row_number().over(order)).withColumn("bytes", F.sum(F.length("t")).over(order.rowsBetween(W.unboundedPreceding, 0)))

@@ -6,7 +6,7 @@ determinant estimate is taken. Its ``STARTS`` starts are the coordinate medians
 deviations, the mean and covariance of all rows, and those of two halves of the cells (below; by the
 parity of their indices' sum). Each
 is concentrated - the ``h`` share of rows nearest by Mahalanobis distance gives the next mean and
-covariance - until no determinant changes; the least determinant wins, and its covariance is scaled
+covariance - until its determinant no longer falls; the least determinant wins, and its covariance is scaled
 so that the median distance is at most that of a chi-square with four degrees.
 
 A group's estimate is shrunk towards that of its language, and that towards all rows', with the
@@ -177,17 +177,22 @@ def robust(table: DataFrame, *, h: float = 0.75, steps: int = 30, floor: tuple[f
     keys = ["g", "start"]
     now = _factor(medians.unionByName(others), keys)
     files = 1 + table.select("g").distinct().count() * STARTS // 100_000
-    now = stored(now.coalesce(files), "starts")
     point = F.floor(F.log("d2") * DISTANCE_GRID)
+
+    def concentrated(params: DataFrame) -> DataFrame:
+        near = _far(table.join(params, "g"), means).withColumn("at", point)
+        kept = near.select(*keys, *SUMS, "at").join(_quantile(near, keys, F.col("at"), h), keys).where("at <= bin")
+        return stored(_factor(_estimated(kept, keys, floor), keys).coalesce(files), "estimates")
+
+    now, done = concentrated(stored(now.coalesce(files), "starts")), []
     for _ in range(steps):
-        near = _far(table.join(now, "g"), means).withColumn("at", point)
-        bound = _quantile(near, keys, F.col("at"), h)
-        kept = near.select(*keys, *SUMS, "at").join(bound, keys).where("at <= bin")
-        after = stored(_factor(_estimated(kept, keys, floor), keys).coalesce(files), "estimates")
-        moved = after.join(now.select(*keys, F.col("det").alias("old")), keys).where(F.abs(F.col("det") - F.col("old")) > 1e-9)
-        settled, now = moved.isEmpty(), after
-        if settled:
+        after = concentrated(now)
+        lower = after.join(now.select(*keys, F.col("det").alias("old")), keys).where(F.col("det") < F.col("old") - 1e-9).select(*after.columns)
+        done.append(now.join(lower.select(*keys), keys, "left_anti"))
+        now = stored(lower.coalesce(files), "lower")
+        if now.isEmpty():
             break
+    now = stored(reduce(DataFrame.unionByName, done, now).coalesce(files), "settled")
     best = now.groupBy("g").agg(F.min(F.struct("det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
     best = stored(now.join(best, keys).coalesce(files), "least")
     half_way = _quantile(_far(table.join(best, "g"), means), ["g"], point, 0.5)
