@@ -135,8 +135,10 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
-    """The columns of query op1: what the mix takes of each document."""
+    """The columns of query op1: what the mix takes of each document, and in how many slots, from which to which."""
     laid, schedule = mix(docs, **options)
-    taken = schedule.groupBy(F.col("s").alias("_s"), F.col("start").alias("_start")).agg(F.sum("words").alias("taken"))
+    slots = [F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count("*").alias("n_slots")]
+    taken = schedule.groupBy(F.col("s").alias("_s"), F.col("start").alias("_start")).agg(F.sum("words").alias("taken"), *slots)
     sums = laid.join(taken, (F.col("s") == F.col("_s")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0), "left")
-    return sums.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    none = F.lit(0).cast("long")
+    return sums.select("doc_id", "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), "first_slot", "last_slot", F.coalesce("n_slots", none).alias("n_slots"))

@@ -1,6 +1,6 @@
 """DuckDB SQL of the operators that SQL can express, for tables named as in the test data."""
 
-#: op1: targets by one water level, documents laid end to end in hash order, whole passes plus a prefix of the blocks.
+#: op1: targets by one water level, slots of the golden-ratio rotation ranked per source, documents laid end to end in hash order.
 MIXING = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -8,10 +8,20 @@ w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source IS NULL, source) -
 o AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
        coalesce(sum(stop) OVER (ORDER BY stop / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_, coalesce(sum(w) OVER (ORDER BY stop / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_w FROM w),
 l AS (SELECT max(CASE WHEN (total::DOUBLE - full_) / (all_w - full_w) <= stop::DOUBLE / w THEN (total::DOUBLE - full_) / (all_w - full_w) END) AS level FROM o),
-t AS (SELECT source, source_size, least(stop::DOUBLE, level * w) AS target, least(round(least(stop::DOUBLE, level * w))::BIGINT, stop) AS need FROM o, l),
-p AS (SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN need // t.source_size ELSE 0 END AS epochs, CASE WHEN t.source_size > 0 THEN need % t.source_size ELSE 0 END AS rest,
-       coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(start + size, rest) - start) AS BIGINT) AS taken FROM p
+t AS (SELECT source, source_size, least(stop::DOUBLE, level * w) AS target, least(round(least(stop::DOUBLE, level * w))::BIGINT, stop) AS need, row_number() OVER (ORDER BY source IS NULL, source) AS s FROM o, l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN need // source_size ELSE 0 END AS epochs, CASE WHEN source_size > 0 THEN need % source_size ELSE 0 END AS rest, (source_size + 1023) // 1024 AS blocks FROM t),
+q AS (SELECT *, epochs * blocks + (rest + 1023) // 1024 AS slots, sum(need) OVER (ORDER BY s) AS hi, sum(need) OVER (ORDER BY s) - need AS lo FROM e),
+n AS (SELECT sum(slots)::BIGINT AS n_slots, greatest(sum(need), 1)::DOUBLE / 2147483648 AS scale FROM q),
+points AS (SELECT range AS slot, (range % 2147483648 * 1327217885 % 2147483648) * scale AS place FROM n, range((SELECT n_slots FROM n))),
+given AS (SELECT slot, s, row_number() OVER (PARTITION BY s ORDER BY slot) - 1 AS rank FROM points JOIN q ON place >= lo AND place < hi AND need > 0),
+have AS (SELECT q.s, slots, count(given.slot) AS have FROM q LEFT JOIN given USING (s) WHERE need > 0 GROUP BY ALL),
+late AS (SELECT s, unnest(range(have, slots)) AS rank FROM have WHERE have < slots),
+used AS (SELECT slot, s, rank FROM given UNION ALL SELECT n_slots + row_number() OVER (ORDER BY rank, s) - 1, s, rank FROM late, n),
+taking AS (SELECT slot, s, rank % blocks AS block, CASE WHEN rank // blocks < epochs THEN 1024 ELSE least(1024, rest - rank % blocks * 1024) END AS take FROM used JOIN q USING (s) WHERE rank < slots),
+p AS (SELECT d.*, q.s, q.source_size, q.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+x AS (SELECT p.s, p.start, slot, least(start + size, block * 1024 + take) - greatest(start, block * 1024) AS words FROM p JOIN taking ON taking.s = p.s AND size > 0 AND block BETWEEN start // 1024 AND (start + size - 1) // 1024),
+g AS (SELECT s, start, sum(words)::BIGINT AS taken, min(slot) AS first_slot, max(slot) AS last_slot, count(*) AS n_slots FROM x WHERE words > 0 GROUP BY ALL)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot, last_slot, coalesce(n_slots, 0)::BIGINT AS n_slots FROM p LEFT JOIN g ON g.s = p.s AND g.start = p.start AND size > 0
 """
 
 #: op2: every item window compared with every document window of its length.
@@ -38,4 +48,18 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FRO
 SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS}
+#: op7: every 400-byte string grouped; each letter stands for a byte, in hexadecimal.
+SUFFIXES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT r, i, md5(substr(x, 2 * i + 1, 800)) AS h FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 399)) AS i FROM d WHERE len(x) >= 800)),
+twice AS (SELECT r, i FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+edges AS (SELECT r, i, i > lag(i) OVER w + 400 OR lag(i) OVER w IS NULL AS fresh FROM twice WINDOW w AS (PARTITION BY r ORDER BY i)),
+spans AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM edges) GROUP BY r, k),
+gaps AS (SELECT r, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY r ORDER BY a) UNION ALL SELECT r, max(b), 1099511627776 FROM spans GROUP BY r),
+kept AS (SELECT r, string_agg(substr(x, 2 * a + 1, 2 * (least(b, len(x) // 2) - a)), '' ORDER BY a) AS x FROM gaps JOIN d USING (r) WHERE least(b, len(x) // 2) > a GROUP BY r),
+sums AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(CASE WHEN n_spans IS NULL THEN d.x ELSE coalesce(kept.x, '') END)) AS kept_sha256
+FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
+"""
+
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES}
