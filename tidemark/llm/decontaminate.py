@@ -154,10 +154,11 @@ def _met(sizes: list[int], sieve: Broadcast, window: int):
                 for size in sizes:
                     place, grams = _grams(h, at, size)
                     hit = _passes(sieve.value, grams)
+                    more = window - 1 if size == SHINGLE else 0  # a shorter shingle is a whole window
                     doc = np.searchsorted(at, place[hit], "right") - 1
                     for p, g, x in zip(place[hit].tolist(), grams[hit].view(np.int64).tolist(), doc.tolist()):
                         if lead[i + x]:
-                            lo, hi = max(int(at[x]), p - window + 1), min(int(at[x + 1]), p + size + window - 1)
+                            lo, hi = max(int(at[x]), p - more), min(int(at[x + 1]), p + size + more)
                             rows.append((g, uid[i + x], p - int(at[x]), p - lo, b" ".join(d[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist()))))
                 for k in range(0, len(rows), 5000):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 5000]), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["gram", "uid", "pos", "before", "around"])
