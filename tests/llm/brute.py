@@ -189,7 +189,7 @@ def mixing(docs, weights=(1, 2, 3), epochs=3):
     taken = Counter()
     for s in order:
         need = min(round(target[s]), epochs * size[s])
-        own = sorted(((hashlib.md5(str("null" if d is None else d).encode()).hexdigest(), d, len(SPACE.findall(t or ""))) for d, t, x in docs if x == s), key=lambda r: (r[0], r[2]))
+        own = sorted(((hashlib.md5(("null" + (t or "") if d is None else str(d)).encode()).hexdigest(), d, len(SPACE.findall(t or ""))) for d, t, x in docs if x == s), key=lambda r: (r[0], r[2]))
         rounds, rest = divmod(need, size[s]) if size[s] else (0, 0)
         at = 0
         for _, d, n in own:
@@ -361,3 +361,20 @@ class KneserNey:
     def loss(self, t):
         c = [None] * (self.order - 1) + list(lower(t))
         return -sum(math.log(self.prob(tuple(c[k : k + self.order]))) for k in range(len(t)))
+
+
+def similar(texts, shingle=5):
+    """The component of each text, by Jaccard similarity of 0.8 or more of its sets of shingles."""
+    own = [{tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))} if (w := SPACE.findall(lower(t))) else set() for t in texts]
+    up = list(range(len(own)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(own):
+        for j, b in enumerate(own[:i]):
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                up[find(i)] = find(j)
+    return [find(i) for i in range(len(own))]

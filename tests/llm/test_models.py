@@ -237,7 +237,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     two = steps["line_dedup"](spark, one, SMALL)
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in two.collect()) == sorted((d, t, len(t)) for d, t, _, _ in lines)
     rows = [(d, t) for d, t, _, _ in lines]
-    _, group = brute.simhash(rows, 5)
+    group = brute.similar([t for _, t in rows])
     least = {}
     for (d, t), g in zip(rows, group):
         least[g] = min(least.get(g, (d, t)), (d, t), key=lambda x: x[0])

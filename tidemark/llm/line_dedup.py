@@ -23,8 +23,9 @@ What crosses the network are line hashes, never texts, until the final join of d
 Defined cases: null and empty texts have no lines and are returned as they are; a null doc_id is
 later than any other; rows that repeat both doc_id and text count as one document and get equal
 results; rows that repeat a doc_id with another text are ordered by text hash; kept lines are
-joined by one newline exactly as they stood; extra columns pass through; names that begin with
-``_tm_`` are reserved; empty table: empty result.
+joined by one newline exactly as they stood; a doc_id of another than an integer type is refused
+with a TypeError; extra columns pass through, ``n_lines`` and ``n_removed`` are replaced; names that
+begin with ``_tm_`` are reserved; empty table: empty result.
 """
 
 from __future__ import annotations
@@ -236,7 +237,7 @@ def _plain_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """ord, uid and ``gone`` (pieces of line positions) of the documents that lose a line."""
     keyed = docs.select(order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
-    lines = stored(keyed.transform(K.mapped, _lines, "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines", wide=True)
+    lines = stored(keyed.transform(K.mapped, _lines, "ord long, uid long, h array<long>, n array<int>").where(F.size("h") > 0).dropDuplicates(["ord", "uid"]), "lines")
     # one row per (document, distinct line), then what is known of each line that has several holders
     held = lines.select("ord", "uid", F.explode(F.array_distinct("h")).alias("h"))
     shared = held.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("ord", "uid")).alias("first"), F.max(F.struct("ord", "uid")).alias("final"))

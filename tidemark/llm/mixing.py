@@ -16,7 +16,7 @@ No step orders or sums a whole source in one task: running positions (of documen
 are taken in two levels, over about the square root of the number of rows.
 
 Defined cases: null text has size 0; documents of size 0 take nothing; null doc_ids are shuffled
-like the text 'null'; repeated doc_ids and rows are separate documents; a source of size 0 has
+by a hash of their text; repeated doc_ids and rows are separate documents; a source of size 0 has
 target 0; an empty table gives an empty mix; extra columns are ignored.
 """
 
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     words, also where rows repeat. schedule: slot, s, rank, epoch, block, start, doc_id, first, words
     - the pieces of documents that each slot takes, where first is the first word within the document.
     """
-    keyed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    keyed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), F.coalesce(F.col("text").cast("string"), F.lit("")))))
     sized = stored(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("size"), keyed.alias("k")), "sizes")
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = source_targets(per.select("source", "source_size"), weights, max_epochs, share)

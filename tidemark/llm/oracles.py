@@ -2,7 +2,7 @@
 
 #: op1: targets by one water level, slots of the golden-ratio rotation ranked per source, documents laid end to end in hash order.
 MIXING = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size, md5(coalesce(doc_id::VARCHAR, 'null' || coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w, 3 * source_size AS stop FROM s),
 o AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,

@@ -18,7 +18,8 @@ as many edges as it has members. Components are settled by :mod:`tidemark.llm.co
 Defined cases: null and empty texts have fingerprint zero and link with each other; repeated rows
 and equal doc_ids share a component; a null doc_id belongs to its fingerprint's component but never
 names it (a component of null ids only has a null id); extra columns are ignored by
-:func:`classes` and kept by :func:`keep_one`; empty table: empty result.
+:func:`classes` and kept by :func:`keep_one`, where names that begin with ``_tm_`` are reserved;
+empty table: empty result.
 """
 
 from __future__ import annotations
