@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, payload, text
 from tidemark.operators import attention, catalog, corpus, emergence, funding, packing, runs, topics, vectors, versions
-from tidemark.sources import files, sinks
+from tidemark.sources import files, paged, sinks
 
 D = dt.date
 
@@ -291,7 +291,38 @@ def test_sources(spark, tmp_path):
     assert [r["url"][-1] for r in files.inventory(manifest).collect()] == ["b", "a"]
     with pytest.raises(ValueError):
         files.inventory(manifest.withColumn("total_rows", F.lit(4)))
-    spark.dataSource.register(files.paged_source("pages_test", "n int", lambda term, page: ([(page * 10 + k,) for k in range(2)], page < 2)))
-    assert spark.read.format("pages_test").option("terms", "a|b").load().count() == 12
+    spark.dataSource.register(paged.api_source("pages_test", paged.generated(len, 2, False), paged.CURSORS))
+    assert rows(spark.read.format("pages_test").option("terms", "a|bbb").load().select("term", "page", "n", "last")) == [("a", 0, 1, True), ("bbb", 0, 2, False), ("bbb", 1, 1, True)]
+    made = []
+    for _ in range(2):
+        assert files.read_or(spark, str(tmp_path / "cached"), lambda: made.append(1) or spark.range(3)).count() == 3
+    assert made == [1]
     bodies = spark.createDataFrame([(1, '{"hits":[{"id":7},{"id":8}]}')], "page int, body string")
     assert rows(files.pages(bodies, "hits", "id:int")) == [(1, 7), (1, 8)]
+
+
+def test_page_rules():
+    ask = lambda pages, rules, **o: list(paged.scan(lambda r: pages[r.cursor if not r.only_total else "total"], rules, "t", o.get("first", ""), o.get("last", ""), ""))
+    page = paged.Page
+    assert [r[4] for r in ask({None: page("a", 2, "x", 3), "x": page("b", 1, None, 3)}, paged.PAGE_NUMBERS)] == [2, 1]
+    for pages, said in (
+        ({None: page("a", 2, "x", 3), "x": page("b", 1, None, 4)}, "changed"),
+        ({None: page("a", 2, "x", 3), "x": page("b", 1, "x", 3)}, "repeated"),
+        ({None: page("a", 2, "x", 3), "x": page("b", 0, "y", 3)}, "empty"),
+    ):
+        with pytest.raises(paged.PageError, match=said):
+            ask(pages, paged.PAGE_NUMBERS)
+    assert ask({"total": page("", 0, None, 0)}, paged.TOTAL_FIRST) == []
+    assert len(ask({None: page("a", 250, "x"), "x": page("b", 1)}, paged.ONE_PAGE)) == 1
+    asked = []
+    list(paged.scan(lambda r: asked.append(r) or page("", 1, None, 1), paged.TOTAL_FIRST, "t", "2024-02-01", "2024-03-01", "k"))
+    assert [(r.only_total, r.first, r.last, r.predicate) for r in asked] == [(True, "2024-02-01", "2024-02-29", "k"), (False, "2024-02-01", "2024-02-29", "k")]
+
+
+def test_terms_are_pruned_at_the_source():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    reader = paged._PruningReader(lambda r: paged.Page("", 0), paged.CURSORS, {"terms": "a|b|c"})
+    rest = list(reader.pushFilters([In(("term",), ("a", "c")), GreaterThan(("n",), 3)]))
+    assert [p.term for p in reader.partitions()] == ["a", "c"] and rest == [GreaterThan(("n",), 3)]
+    assert list(reader.pushFilters([EqualTo(("term",), "c")])) == [] and [p.term for p in reader.partitions()] == ["c"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import attention, corpus, emergence, headlines, ingest, metrics, more, scalar, storage, vectors  # noqa: F401 - they register their queries
+from tidemark.plans import apis, attention, corpus, emergence, headlines, ingest, metrics, more, scalar, storage, vectors  # noqa: F401 - they register their queries
 from tidemark.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -1,12 +1,11 @@
-"""File sources: guarded records, row ranges, manifests, validation, retained pages, a paged API source."""
+"""File sources: guarded records, row ranges, manifests, validation, retained pages, cached reads."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 MAX_RECORD, MAX_TOTAL = 1 << 20, 16 << 20
 
@@ -67,41 +66,10 @@ def page_defects(receipts: DataFrame) -> DataFrame:
     return rows.select("scan_id", F.explode(F.array_compact(F.array(*(F.when(F.col(n), n) for n in names)))).alias("defect"))
 
 
-class _Slice(InputPartition):
-    def __init__(self, term: str):
-        self.term = term
+def read_or(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The Parquet table at a path; where there is none, what ``make`` gives, which is written there first."""
+    from tidemark.sources.sinks import _exists
 
-
-class _PagedReader(DataSourceReader):
-    def __init__(self, fetch: Callable[[str, int], tuple[list[tuple], bool]], terms: list[str], cap: int):
-        self.fetch, self.terms, self.cap = fetch, terms, cap
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Slice(t) for t in self.terms]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        number, got, more = 0, 0, True
-        while more and got < self.cap:
-            rows, more = self.fetch(partition.term, number)
-            yield from ((partition.term, number, *r) for r in rows)
-            number, got = number + 1, got + len(rows)
-
-
-def paged_source(name: str, schema: str, fetch: Callable[[str, int], tuple[list[tuple], bool]], cap: int = 1000) -> type[DataSource]:
-    """A Python data source over a page port: fetch(term, page) -> (rows, has more). One task per term.
-
-    Register it with ``spark.dataSource.register`` and read with ``option("terms", "a|b")``.
-    """
-
-    class Paged(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return name
-
-        def schema(self) -> str:
-            return f"term string, page int, {schema}"
-
-        def reader(self, schema) -> DataSourceReader:
-            return _PagedReader(fetch, self.options["terms"].split("|"), cap)
-
-    return Paged
+    if not _exists(spark.range(0), f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
