@@ -46,3 +46,35 @@ def test_entry_and_registry(spark):
 
     assert entry.entry(spark).count() == 25
     assert set(core.oracle_sql()) <= set(core.queries()) <= set(entry.queries())
+
+
+def test_all_references_are_decoded(spark):
+    import hashlib
+    import html
+    import re
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in core.queries()["str02_plain_all_references"](spark, SF).collect():
+        plain_text = " ".join(html.unescape(re.sub("<[^>]+>", " ", pages[r["page_id"]] or "")).split())
+        assert r["h"] == hashlib.md5(plain_text.encode()).hexdigest()
+
+
+def test_topic_fit_finds_planted_groups(spark):
+    from tidemark.operators.topics import KMeansFitter
+
+    rows = [(k, [1.0 + k % 7 * 0.01, 0.0, 0.0] if k % 2 else [0.0, 1.0, k % 5 * 0.01]) for k in range(200)]
+    found = KMeansFitter(2, outlier_share=0.1).fit(spark.createDataFrame(rows, "idx int, vector array<double>")).collect()
+    groups = {t: {r["idx"] % 2 for r in found if r["topic"] == t} for t in {r["topic"] for r in found}}
+    assert len(found) == 200 and sorted(map(len, (groups[t] for t in groups if t >= 0))) == [1, 1]
+    assert sum(r["topic"] == -1 for r in found) <= 30
+
+
+def test_tokenizer_file_counts():
+    import glob
+
+    from tidemark.operators.topics import tokenizer_file
+
+    files = sorted(glob.glob("/opt/tokenizers/*.json"))
+    if not files:
+        pytest.skip("no tokenizer file here")
+    assert tokenizer_file(files[0])("two words") >= 2

@@ -114,6 +114,30 @@ def tried(generate: Callable[[str], str], prompt: str, attempts: int) -> str | N
     return None
 
 
+def token_counts(text: Column, count_tokens: Callable[[str], int]) -> Column:
+    """Tokens of a text by the tokenizer port; null stays null."""
+
+    @F.pandas_udf("long")
+    def counted(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else count_tokens(t) for t in texts], dtype="Int64")
+
+    return counted(text)
+
+
+def tokenizer_file(path: str) -> Callable[[str], int]:
+    """A counting port over a public tokenizer's vocabulary file (tokenizer.json); each worker loads it once."""
+    held: dict[str, object] = {}
+
+    def count(text: str) -> int:
+        if path not in held:
+            from tokenizers import Tokenizer
+
+            held[path] = Tokenizer.from_file(path)
+        return len(held[path].encode(text).ids)
+
+    return count
+
+
 def windows(texts: list[str], count_tokens: Callable[[str], int], limit: int, joint: str = "\n\n") -> list[str]:
     """Texts joined in order into windows of at most limit tokens; a longer text is a window of its own."""
     out: list[str] = []

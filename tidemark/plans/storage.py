@@ -178,3 +178,9 @@ def llm01_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("topic"), F.col("turn").alias("position"), F.concat_ws(" ", "role", F.lit("said")).alias("summary"))
     out = T.headlines(rows, lambda prompt: f"head of {len(prompt.split())}", lambda text: len(text.split()), "{summaries}", 6)
     return out.select(F.col("topic").alias("conv_id"), "chunk_count", "status")
+
+
+@query("llm03_token_counts", "SELECT conv_id, turn, len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> ''))::BIGINT AS tokens FROM conversations")
+def llm03_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The port here counts words; topics.tokenizer_file makes one of a tokenizer's file."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.token_counts(F.col("text"), lambda text: len(text.split())).alias("tokens"))
