@@ -110,6 +110,22 @@ def test_ids_are_numbers(spark):
             refuse(named)
 
 
+def test_suffixes_of_a_hot_passage(spark, monkeypatch):
+    """Hundreds of texts share 300 bytes and nothing around them; a few share 420. Nothing short goes, all that is long does."""
+    monkeypatch.setattr(suffixes, "MANY", 8)
+    monkeypatch.setattr(suffixes, "TWIN_BITS", 16)
+    rng = random.Random(8)
+    own = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    hot, wide = own(300), own(60)
+    texts = [own(300) + hot + own(300) for _ in range(300)]
+    texts += [own(200) + wide + hot + wide + own(rng.randint(150, 250)) for _ in range(5)]
+    rows = list(enumerate(texts))
+    found = suffixes.dedup(spark.createDataFrame(rows, "doc_id int, text string")).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256))
+    want = brute.suffixes(rows, 400)
+    same(found, want)
+    assert [w[2] >= 420 for w in want] == [False] * 300 + [True] * 5 and not any(w[2] for w in want[:300])
+
+
 def test_suffix_sort():
     from tidemark.llm.suffix_sort import common_prefixes, suffix_array
 

@@ -12,7 +12,9 @@
    the anchor; where their agreement with any other ends, to the left or right, a symbol ends. The
    short symbol strings are suffix-sorted by linear grouping (:mod:`tidemark.llm.suffix_sort`), and
    neighbours in the suffix array give for every place at which an agreement can begin the longest
-   one in bytes. A string repeats exactly if such an agreement covers it.
+   one in bytes. A string repeats exactly if such an agreement covers it. Where an anchor has many
+   different pieces, those none of whose strings has a twin (by a table of hashes) are sifted out
+   before, so a shared passage that is just too short costs no alignment.
 
 The suffix array is built over symbols of agreeing bytes, not over all bytes of the corpus: the
 order of Lyndon groups is a sequential computation that Python takes some 4 microseconds a symbol
@@ -42,6 +44,8 @@ from tidemark.llm.suffix_sort import common_prefixes, suffix_array
 U64 = np.uint64
 #: Bytes of the grams from which anchors are chosen.
 GRAM = 128
+#: Different pieces of one anchor from which on those without a twin are sifted out first, by a table of so many bits.
+MANY, TWIN_BITS = 64, 24
 #: Bytes of pieces that a task gathers before it settles what it has.
 FLUSH = 6 << 20
 
@@ -254,6 +258,28 @@ def repeats(pieces: list[tuple[bytes, int]], length: int) -> list[list[tuple[int
     return found
 
 
+def _with_twins(raw: bytes, at: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Which of many pieces may hold a string that occurs twice among them: by two passes over all strings' hashes and a table of fixed size."""
+    once, twice = np.zeros(1 << TWIN_BITS, bool), np.zeros(1 << TWIN_BITS, bool)
+
+    def cells() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for i in range(0, len(at), 2000):
+            offsets = np.concatenate(([0], np.cumsum(size[i : i + 2000])))
+            data = np.frombuffer(b"".join([raw[x : x + n] for x, n in zip(at[i : i + 2000].tolist(), size[i : i + 2000].tolist())]), np.uint8)
+            h = K.mix(K.rolling_hash(data.astype(U64) + U64(1), length, K.BASE_B)) >> U64(64 - TWIN_BITS)
+            where = np.flatnonzero(K.whole(offsets, len(data), length))
+            yield i, np.searchsorted(offsets, where, "right") - 1, h[where].astype(np.int64)
+
+    for _, _, c in cells():
+        own, n = np.unique(c, return_counts=True)
+        twice[own[once[own] | (n > 1)]] = True
+        once[own] = True
+    may = np.zeros(len(at), bool)
+    for i, piece, c in cells():
+        may[i + piece[twice[c]]] = True
+    return may
+
+
 def _resolve(length: int, buckets: int):
     """Settles the pieces of each bucket; what was settled before passes through."""
 
@@ -297,10 +323,13 @@ def _bucket(rows: pa.Table, length: int, homes: int) -> list[tuple[int, bytes, b
     open_ = np.logical_or.reduceat(once, cut) & (several > 1)
     hits: list[tuple[int, int, int]] = []
     for a, n in zip(cut[open_].tolist(), several[open_].tolist()):
-        own = reps[a : a + n]
+        own, single = reps[a : a + n], once[a : a + n]
+        if n > MANY:
+            may = _with_twins(raw, at[own], size[own], length)
+            own, single = own[may], single[may]
         pieces = [(raw[at[x] : at[x] + size[x]], int(meta[x, 0])) for x in own]
         for k, ranges in enumerate(repeats(pieces, length)):
-            if once[a + k]:
+            if single[k]:
                 x = int(own[k])
                 hits += [(x, max(lo, 0), min(hi, int(meta[x, 1]))) for lo, hi in ranges if min(hi, int(meta[x, 1])) > max(lo, 0)]
     if hits:
