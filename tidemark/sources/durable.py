@@ -14,7 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir. Only on one machine may it be unset: then a folder that goes with the process."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
