@@ -27,19 +27,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
-#: Files of a thin table for each core that the cluster offers.
-FILES_PER_CORE = 4
+#: Files of a thin table: for each core that the cluster offers, and at least one for so many shuffle partitions.
+FILES_PER_CORE, PARTITIONS_PER_FILE = 4, 8
 
 
 def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """df written as Parquet in the shared folder and read back.
 
-    Thin tables (keys, counts, hashes: some ten bytes a row) go to at most FILES_PER_CORE files a core, however
-    many partitions they come in, as a store is not served by many small files; wide ones keep their partitions.
+    Thin tables (keys, counts, hashes: some ten bytes a row, a fraction of the texts) go to few files, as a store is
+    not served by many small ones: FILES_PER_CORE a core or an eighth of the session's shuffle partitions, which are
+    set for the data's size, whichever is more. Wide tables keep their partitions.
     """
     spark = df.sparkSession
     at = work_dir(spark, name)
-    out = df if wide else df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
+    files = max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+    out = df if wide else df.coalesce(files)
     out.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
