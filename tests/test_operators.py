@@ -264,12 +264,24 @@ def test_unit_vectors(spark):
 def test_crash_leaves_no_half_output(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     folder = tmp_path / "out"
-    (folder / ".aside-dead").mkdir(parents=True)  # what a crash leaves
+
+    def broken(stage):
+        if stage == "written":
+            raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        sinks.publish(df, str(folder), broken)
+    assert [p.name[:7] for p in folder.iterdir()] == [".aside-"]
     at = sinks.publish(df, str(folder))
     assert rows(spark.read.parquet(at)) == [(1, "a"), (2, "b")] and len([p for p in folder.iterdir() if p.name.startswith("part-")]) == 1
     spark.createDataFrame([(9, "z")], "k int, v string").write.mode("overwrite").parquet(at)
     with pytest.raises(ValueError, match="immutable output conflict"):
         sinks.publish(df, str(folder))
+    scope = str(tmp_path / "scope")
+    sinks.write_once(spark, scope, '{"from":"2024"}')
+    sinks.write_once(spark, scope, '{"from":"2024"}')
+    with pytest.raises(ValueError, match="cannot be changed"):
+        sinks.write_once(spark, scope, '{"from":"2023"}')
 
 
 def test_sinks(spark, tmp_path):

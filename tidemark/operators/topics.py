@@ -192,8 +192,3 @@ def adopted(runs: DataFrame) -> DataFrame:
     """The latest succeeded run of every request; runs: run_id, request_hash, status, finished_at."""
     done = runs.where("status = 'succeeded'").groupBy("request_hash").agg(F.max(F.struct("finished_at", "run_id")).alias("run"))
     return done.select("request_hash", F.col("run.run_id").alias("run_id"), F.col("run.finished_at").alias("finished_at"))
-
-
-def adopt(runs: DataFrame, request_hash: str) -> DataFrame:
-    """The latest succeeded run of a request, if any."""
-    return runs.where((F.col("request_hash") == request_hash) & (F.col("status") == "succeeded")).orderBy(F.desc("finished_at"), F.desc("run_id")).limit(1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,12 @@ def fingerprint(df: DataFrame) -> str:
     return f"{row['n']}-{row['s0']}-{row['s1']}"
 
 
-def publish(df: DataFrame, folder: str) -> str:
+def publish(df: DataFrame, folder: str, failure: Callable[[str], None] = lambda stage: None) -> str:
     """Writes zstd Parquet under a name made of its content, checks the rows, and returns the path.
 
     The rows are written aside, read back and checked, and only then renamed, so a crash leaves no half
     output under the name. The same rows published again are found in place; a path is never overwritten.
+    failure is called after the stages ``written`` and ``renamed``; tests break off there.
     """
     spark, mark = df.sparkSession, fingerprint(df)
     path = f"{folder}/part-{mark}"
@@ -34,10 +36,12 @@ def publish(df: DataFrame, folder: str) -> str:
         aside = f"{folder}/.aside-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(aside)
         _checked(spark.read.parquet(aside), df.columns, mark)
+        failure("written")
         files = spark._jvm.org.apache.hadoop.fs
         system = files.Path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
         if not system.rename(files.Path(aside), files.Path(path)):
             system.delete(files.Path(aside), True)  # somebody else has published it
+        failure("renamed")
     _checked(spark.read.parquet(path), df.columns, mark)
     return path
 
@@ -47,6 +51,15 @@ def _checked(stored: DataFrame, columns: list[str], mark: str) -> None:
         raise ValueError("immutable output conflict")
 
 
+def write_once(spark: SparkSession, path: str, definition: str) -> None:
+    """Keeps a definition, such as a scope's, under a path; the same one again changes nothing, another one raises."""
+    one = spark.createDataFrame([(definition,)], "definition string").coalesce(1)
+    if not _exists(one, f"{path}/_SUCCESS"):
+        one.write.mode("overwrite").parquet(path)
+    if [r[0] for r in spark.read.parquet(path).collect()] != [definition]:  # one row
+        raise ValueError(f"{path} cannot be changed")
+
+
 def append_new(df: DataFrame, path: str, keys: list[str]) -> None:
     """Insert or ignore: rows whose key is stored are left out, repeated keys keep one row."""
     fresh = df.dropDuplicates(keys)
