@@ -103,6 +103,21 @@ def test_sketch_of_many_slices(docs, rows, monkeypatch):
     same(suffixes.dedup(docs, length=30).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)), brute.suffixes([r[:2] for r in rows], 30))
 
 
+def test_batches_are_bounded(spark):
+    from tidemark.llm import kernels
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for given, kept in (("64m", str(kernels.BATCH_BYTES)), ("1MB", "1MB"), ("4194304b", "4194304b"), ("9000000", str(kernels.BATCH_BYTES))):
+        spark.conf.set(name, given)
+        kernels.mapped(spark.range(1), lambda batches: batches, "id long")
+        assert spark.conf.get(name) == kept
+    keys = [[1, 1, 2], [2, 2], [], [3]]
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(k, pa.int32())], names=["k"]) for k in keys]
+    assert [(k, t.num_rows) for k, t in kernels.by_key(iter(batches), "k")] == [(1, 2), (2, 3), (3, 1)]
+
+
 def test_ids_are_numbers(spark):
     named = spark.createDataFrame([("a", "b")], "doc_id string, text string")
     for refuse in (substrings.dedup, suffixes.dedup, line_dedup.dedup):

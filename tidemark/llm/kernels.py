@@ -8,6 +8,7 @@ for a word, a line or a window. A block holds whole documents only; a document l
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,7 +50,8 @@ def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.Str
     Spark takes the bound from the session when the plan is run, so a larger one is lowered there and stays so.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if (have := df.sparkSession.conf.get(name, None)) is not None and int(have.rstrip("b")) > BATCH_BYTES:
+    have = re.fullmatch(r"(\d+) *([kmgtp]?)i?b?", (df.sparkSession.conf.get(name, None) or "").strip().lower())
+    if not have or int(have[1]) << 10 * " kmgtp".index(have[2] or " ") > BATCH_BYTES:
         df.sparkSession.conf.set(name, str(BATCH_BYTES))
     return df.mapInArrow(tidy(run), schema)
 
