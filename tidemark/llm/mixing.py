@@ -12,8 +12,8 @@ into blocks of ``block`` words; the slot of rank r takes block r mod (number of
 source's last slot only what its target still lacks. Where the rotation gives a source a few slots
 more than its target needs these stay unused; where it gives fewer, the rest follow at the end.
 
-No step orders or sums a whole source in one task: running positions (of documents and of slots)
-are taken in two levels, over about the square root of the number of rows.
+No step orders or sums a whole source, or all sources, in one task: running positions (of documents,
+of slots and of sources) are taken in two levels.
 
 Defined cases: null text has size 0; documents of size 0 take nothing; null doc_ids are shuffled
 by a hash of their text; repeated doc_ids and rows are separate documents; a source of size 0 has
@@ -31,7 +31,7 @@ from tidemark.llm.durable import stored
 #: The golden ratio's fraction over 2**31, made odd, so the rotation visits every point.
 GOLDEN = 1327217885
 PERIOD = 1 << 31
-#: Cells in which points look up their source.
+#: Least number of cells in which points look up their source; many sources get four cells each.
 CELLS = 4096
 
 
@@ -41,24 +41,35 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.size(F.filter(F.split(plain, " "), lambda w: w != "")), F.lit(0)).cast("long")
 
 
+def _before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """df with, per name, the sum of a value over the rows that stand before in the order, in two levels.
+
+    Rows are dealt out by ranges of the order, so only one row a range meets the others in one task.
+    """
+    named = df.withColumns({f"_o{k}": c for k, c in enumerate(order)} | {f"_v_{n}": v for n, v in sums.items()})
+    keys = [f"_o{k}" for k in range(len(order))]
+    dealt = stored(named.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "ranges")
+    whole = dealt.groupBy(F.col("_range").alias("_r")).agg(*(F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums))
+    earlier = W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
+    base = whole.select("_r", *(F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums))
+    inner = W.partitionBy("_range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    own = dealt.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(inner), F.lit(0)) for n in sums})
+    return own.join(base, F.col("_range") == F.col("_r")).select(*df.columns, *((F.col(f"_b_{n}") + F.col(f"_i_{n}")).cast("long").alias(n) for n in sums))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int, share: float) -> DataFrame:
-    """source, source_size, target; sizes: source and source_size, one row per source."""
-    ordered = W.orderBy(F.col("source").isNull(), "source")
-    weighed = sizes.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(ordered) - 1) % len(weights) + 1).cast("int")).cast("long"))
+    """source, source_size, target, s (the source's number from 1); sizes: source and source_size, one row per source."""
+    by_name = [F.col("source").isNull(), F.col("source")]
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("s") - 1) % len(weights) + 1).cast("int")).cast("long")
     stop = F.col("source_size") * max_epochs
-    by_stop = W.orderBy(stop / F.col("w"), F.col("source").isNull(), "source")
-    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    before = by_stop.rowsBetween(W.unboundedPreceding, -1)
-    level = weighed.select(
-        "source", "source_size", "w", stop.alias("stop"),
-        F.sum("source_size").over(everything).alias("total"), F.sum("w").over(everything).alias("all_w"),
-        F.coalesce(F.sum(stop).over(before), F.lit(0)).alias("full"), F.coalesce(F.sum("w").over(before), F.lit(0)).alias("full_w"),
-    )
-    own = (F.col("total") * F.lit(float(share)) - F.col("full")) / (F.col("all_w") - F.col("full_w"))
-    fits = level.withColumn("level", F.when(own <= F.col("stop") / F.col("w"), own))
-    water = F.max("level").over(everything)
-    target = F.when(water.isNull(), F.col("stop").cast("double")).otherwise(F.least(F.col("stop").cast("double"), water * F.col("w")))
-    return fits.select("source", "source_size", target.alias("target"))
+    weighed = _before(sizes, by_name, {"s": F.lit(1)}).withColumn("s", F.col("s") + 1).withColumn("w", weight).withColumn("stop", stop)
+    level = stored(_before(weighed, [F.col("stop") / F.col("w"), *by_name], {"full": F.col("stop"), "full_w": F.col("w")}), "levels")
+    total, all_w = level.agg(F.sum("source_size"), F.sum("w")).first()
+    own = (F.lit(total).cast("long") * F.lit(float(share)) - F.col("full")) / (F.lit(all_w).cast("long") - F.col("full_w"))
+    water = level.select(F.max(F.when(own <= F.col("stop") / F.col("w"), own))).first()[0]
+    full = F.col("stop").cast("double")
+    target = full if water is None else F.least(full, F.lit(water) * F.col("w"))
+    return level.select("source", "source_size", target.alias("target"), "s")
 
 
 def _root(n: int) -> int:
@@ -87,9 +98,8 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     sized = stored(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("size"), keyed.alias("k")), "sizes")
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = source_targets(per.select("source", "source_size"), weights, max_epochs, share)
-    number = F.row_number().over(W.orderBy(F.col("source").isNull(), "source"))
     need = F.round("target").cast("long")
-    plan = plan.withColumn("s", number).withColumn("need", F.least(need, F.col("source_size") * max_epochs))
+    plan = plan.withColumn("need", F.least(need, F.col("source_size") * max_epochs))
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     plan = plan.withColumn("blocks", blocks).withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("need div source_size")).otherwise(F.lit(0)))
     plan = plan.withColumn("rest", F.col("need") - F.col("epochs") * F.col("source_size"))
@@ -110,11 +120,12 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     # slots: points of the rotation looked up in cumulative targets
     spark = docs.sparkSession
     n_slots, total = int(totals["slots"] or 0), int(totals["need"] or 0)
-    edge = F.sum("need").over(W.orderBy("s").rowsBetween(W.unboundedPreceding, 0))
-    ranges = plan.where("need > 0").select("s", "blocks", "epochs", "rest", "slots", (edge - F.col("need")).alias("lo"), edge.alias("hi"))
+    ranges = _before(plan.where("need > 0").select("s", "need", "blocks", "epochs", "rest", "slots"), [F.col("s")], {"lo": F.col("need")})
+    ranges = stored(ranges.withColumn("hi", F.col("lo") + F.col("need")).drop("need"), "shares")
+    n_cells = max(CELLS, 4 * ranges.count())
     scale = F.lit(max(total, 1) / PERIOD)
-    width = F.lit(max(total, 1) / CELLS)
-    cells = ranges.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width).cast("long"), F.least(F.floor(F.col("hi") / width).cast("long"), F.lit(CELLS)))))
+    width = F.lit(max(total, 1) / n_cells)
+    cells = ranges.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width).cast("long"), F.least(F.floor(F.col("hi") / width).cast("long"), F.lit(n_cells)))))
     chunk_bits = _root(n_slots).bit_length() - 1
     points = spark.range(n_slots).select(F.col("id").alias("slot"), (((F.col("id") % PERIOD) * GOLDEN % PERIOD) * scale).alias("at"))
     points = points.withColumn("cell", F.floor(F.col("at") / width).cast("long"))
@@ -124,7 +135,7 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     have = given.groupBy("s").agg(F.count("*").alias("have"))
     late = ranges.join(have, "s", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < slots")
     late = late.select("s", F.explode(F.sequence("have", F.col("slots") - 1)).alias("rank"))
-    late = late.select((F.lit(n_slots) + F.row_number().over(W.orderBy("rank", "s")) - 1).alias("slot"), "s", "rank")
+    late = _before(late, [F.col("rank"), F.col("s")], {"slot": F.lit(1)}).select((F.col("slot") + n_slots).alias("slot"), "s", "rank")
     used = given.unionByName(late).join(ranges.drop("lo", "hi"), "s").where("rank < slots")
     used = used.select("slot", "s", "rank", F.expr("rank div blocks").alias("epoch"), F.expr("rank % blocks").alias("block"), F.when(F.expr("rank div blocks") < F.col("epochs"), F.lit(block)).otherwise(F.least(F.lit(block), F.col("rest") - F.expr("rank % blocks") * block)).alias("take"))
 
