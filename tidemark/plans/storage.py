@@ -32,6 +32,21 @@ def src04_validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.validate_files(spark, at, wrong.unionByName(absent))
 
 
+@query("src05_acquired_files", """SELECT p_partkey::VARCHAR AS name, CASE WHEN p_partkey % 5 IN (0, 1, 4) THEN strlen(p_partkey::VARCHAR) + CASE WHEN p_partkey % 5 = 1 THEN 1 ELSE 0 END WHEN p_partkey % 5 = 2 THEN strlen(p_partkey::VARCHAR) END::BIGINT AS size, p_partkey % 5 = 0 AS adopted,
+ CASE p_partkey % 5 WHEN 1 THEN 'size' WHEN 2 THEN 'checksum' WHEN 3 THEN 'unreachable' END AS defect FROM part""")
+def src05_acquired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts are files whose content is their name: a fifth has a receipt, others come long, wrong, not at all, or well."""
+    name, kind = F.col("p_partkey").cast("string"), F.col("p_partkey") % 5
+    files = table(spark, sf_dir, "part").select(name.alias("name"), F.length(name).alias("bytes"), F.sha2(F.when(kind == 2, F.concat(name, F.lit("?"))).otherwise(name), 256).alias("sha256"), kind.alias("kind"))
+
+    def fetch(name: str) -> bytes:
+        if int(name) % 5 == 3:
+            raise OSError("no answer")
+        return (name + "+" * (int(name) % 5 == 1)).encode()
+
+    return S.acquire(files.drop("kind"), files.where("kind = 0").select("name", "sha256"), fetch).drop("content")
+
+
 @query("snk01_published_output", "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1")
 def snk01_published_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as derived Parquet under a name of their content, published twice, read back and counted."""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,38 @@ def validate_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataF
     return manifest.join(files, "name", "left").select("name", F.coalesce(F.col("size") == F.col("bytes"), F.lit(False)).alias("size_ok"), F.coalesce(F.col("found") == F.col("sha256"), F.lit(False)).alias("checksum_ok"))
 
 
+def acquire(manifest: DataFrame, receipts: DataFrame, fetch: Callable[[str], bytes], attempts: int = 3, most: int = 1 << 30) -> DataFrame:
+    """name, content, size, adopted, defect of a manifest's files, fetched by a port, which raises OSError to be tried again.
+
+    manifest: name, bytes, sha256. receipts: name, sha256 of what is already kept. A file whose receipt has the manifest's
+    checksum is adopted and not fetched (its content is null). defect: ``unreachable``, ``size`` (also above ``most`` bytes,
+    which are not asked for) or ``checksum``; null for a good file. A task holds one file at a time.
+    """
+    kept = receipts.select("name", "sha256").distinct().withColumn("adopted", F.lit(True))
+    rows = manifest.select("name", "bytes", "sha256").join(kept, ["name", "sha256"], "left")
+    fresh = rows.where("adopted is null and bytes <= %d" % most)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for name, size, sha in zip(part["name"], part["bytes"], part["sha256"]):
+                content = None
+                for _ in range(attempts):
+                    try:
+                        content = fetch(name)
+                        break
+                    except OSError:
+                        continue
+                good = content is not None and len(content) == size
+                defect = "unreachable" if content is None else "size" if not good else None if hashlib.sha256(content).hexdigest() == sha else "checksum"
+                yield pd.DataFrame({"name": [name], "content": [content], "size": [None if content is None else len(content)], "adopted": [False], "defect": [defect]}).astype({"size": "Int64"})
+
+    schema = "name string, content binary, size bigint, adopted boolean, defect string"
+    none = F.lit(None).cast("binary").alias("content")
+    old = rows.where("adopted").select("name", none, F.col("bytes").cast("bigint").alias("size"), "adopted", F.lit(None).cast("string").alias("defect"))
+    large = rows.where("adopted is null and bytes > %d" % most).select("name", none, F.lit(None).cast("bigint").alias("size"), F.lit(False).alias("adopted"), F.lit("size").alias("defect"))
+    return old.unionByName(large).unionByName(fresh.mapInPandas(run, schema))
+
+
 def pages(bodies: DataFrame, items: str, schema: str) -> DataFrame:
     """Items of retained JSON pages; bodies: page, body. Works for any page layout whose items lie at one path."""
     parsed = F.from_json(F.get_json_object("body", f"$.{items}"), f"array<struct<{schema}>>")
