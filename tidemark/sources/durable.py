@@ -36,7 +36,8 @@ def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
 
     Thin tables (keys, counts, hashes: some ten bytes a row, a fraction of the texts) go to few files, as a store is
     not served by many small ones: FILES_PER_CORE a core or an eighth of the session's shuffle partitions, which are
-    set for the data's size, whichever is more. Wide tables keep their partitions.
+    set for the data's size, whichever is more. Wide tables, and those whose rows cost much to make, keep their
+    partitions, so tasks do not grow with the input.
     """
     spark = df.sparkSession
     at = work_dir(spark, name)
