@@ -95,7 +95,7 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs: in
     - the pieces of documents that each slot takes, where first is the first word within the document.
     """
     keyed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), F.coalesce(F.col("text").cast("string"), F.lit("")))))
-    sized = stored(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("size"), keyed.alias("k")), "sizes")
+    sized = stored(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("size"), keyed.alias("k")), "sizes", wide=True)
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = source_targets(per.select("source", "source_size"), weights, max_epochs, share)
     need = F.round("target").cast("long")

@@ -210,7 +210,7 @@ def _shrunk(fine: DataFrame, coarse: DataFrame, up: str, own: float) -> DataFram
 
 def judge(docs: DataFrame, *, own: float = 50.0, cut: float = CUT, h: float = 0.75, steps: int = 30, floor: tuple[float, ...] = FLOOR) -> DataFrame:
     """The rows of :func:`statistics` with ``distance`` (squared, robust; null without a verdict) and ``kept``."""
-    stats = stored(statistics(docs), "statistics")
+    stats = stored(statistics(docs), "statistics", wide=True)
     x = stats.select("*", *(v.alias(f"x{k}") for k, v in enumerate(transformed())))
     judged = x.where("not base_failed")
     found = stored(robust(stored(cells(judged), "cells"), h=h, steps=steps, floor=floor), "robust")

@@ -183,6 +183,6 @@ def score(vectors_: DataFrame, model: Discriminant) -> DataFrame:
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The columns of query op3."""
-    x = stored(featurise(docs.select("doc_id", F.col("text").cast("string").alias("text"))), "vectors")
+    x = stored(featurise(docs.select("doc_id", F.col("text").cast("string").alias("text"))), "vectors", wide=True)
     found = score(x, fit(x, labels))
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -202,7 +202,7 @@ def classes(prints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id, uid, fp, root and component_id, one row per document."""
-    prints = stored(fingerprints(docs, shingle), "fingerprints")
+    prints = stored(fingerprints(docs, shingle), "fingerprints", wide=True)
     return prints.join(classes(prints), "fp", "left")
 
 
