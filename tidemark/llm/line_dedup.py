@@ -244,7 +244,7 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     shared = stored(shared.where("first <> final").select("h", "df", F.col("first.ord").alias("o"), F.col("first.uid").alias("u")), "shared")
     flat = lines.select("ord", "uid", F.posexplode("h").alias("p", "h"))
     met = flat.join(shared, "h").where("o < ord or (o = ord and u < uid)")
-    found = stored(met.groupBy("ord", "uid").agg(F.collect_set(F.struct("p", "df", "o", "u")).alias("found")), "found")
+    found = stored(met.groupBy("ord", "uid").agg(F.collect_set(F.struct("p", "df", "o", "u")).alias("found")), "found", wide=True)
     pair = "ord long, uid long, bo long, bu long"
 
     def aligned(links: DataFrame) -> DataFrame:

@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: float = LEAST) ->
     # keys
     flat = nodes.select("node", F.explode("keys").alias("key"))
     shared = flat.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w").select("key", "v")
-    members = stored(flat.join(shared, "key").select("key", F.col("node").alias("u"), "v"), "members")
+    members = stored(flat.join(shared, "key").select("key", F.col("node").alias("u"), "v"), "members", wide=True)
     compared = members.select(F.col("u").alias("node")).union(tried.select("u")).union(tried.select("v")).distinct()
     known = stored(nodes.select("node", "uid").join(compared, "node", "left_semi"), "known")
     texts = _sieved(keyed.select("uid", "text"), known).join(known, "uid").dropDuplicates(["node"]).select("node", "text")
