@@ -43,8 +43,8 @@ from tidemark.llm.durable import stored
 U64 = np.uint64
 #: Words in the shingles that are counted and joined; shorter windows use their whole length.
 SHINGLE = 5
-#: Logarithm of the most bits in a sieve: 4 MB.
-MAX_BITS = 25
+#: Logarithm of the most bits in a sieve, 4 MB; below that so many bits a shingle, one of which lets a thousandth of other shingles pass.
+MAX_BITS, SPARSE = 25, 1000
 #: Bytes of findings up to which they are sent to the documents; beyond, both are shuffled.
 SENT_BYTES = 4 << 20
 #: Different shingles that a task adds up before it sends their counts.
@@ -93,7 +93,7 @@ def _windows(window: int):
 
 def _sieve(grams: DataFrame) -> Broadcast:
     """A bitmap of the values of the only column, of bounded size."""
-    bits = min(MAX_BITS, max(16, (grams.count() * 16).bit_length()))
+    bits = min(MAX_BITS, max(16, (grams.count() * SPARSE).bit_length()))
     name = F.col(grams.columns[0])
     low = name.bitwiseAND((1 << bits) - 1)
     marks = grams.groupBy(F.shiftright(low, 3).cast("int").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1, cast({grams.columns[0]} & 7 as int))")).alias("mark")).toArrow()
