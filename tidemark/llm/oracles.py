@@ -62,6 +62,26 @@ SELECT doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 """
 
+#: op12: plain rounds; squared distances as |c|^2 - 2 x.c (+ |x|^2 for errors), exact in doubles at this size.
+def _codes() -> str:
+    rounds = []
+    for k in range(5):
+        rounds.append(f"""
+a{k} AS (SELECT r, p, x, arg_min(e, (d, e)) AS e FROM (SELECT parts.r, parts.p, x, e, list_inner_product(c, c) - 2 * list_inner_product(x, c) AS d FROM parts JOIN b{k} USING (p)) GROUP BY ALL)""")
+        rounds.append(f"""
+b{k + 1} AS (SELECT p, e, coalesce(m, c) AS c FROM b{k} LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS m FROM
+  (SELECT p, e, i, floor(sum(v) / count(*)) AS m FROM (SELECT p, e, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY ALL) GROUP BY ALL) USING (p, e))""")
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, range(4) t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 256),{','.join(f"{x.replace(' AS (', ' AS MATERIALIZED (', 1)}" for x in rounds[:-1])},
+coded AS (SELECT r, string_agg(printf('%02x', a4.e), '' ORDER BY p) AS code, sum(list_inner_product(x, x) + list_inner_product(c, c) - 2 * list_inner_product(x, c))::BIGINT AS error FROM a4 JOIN b4 USING (p, e) GROUP BY r),
+hashed AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: y::BIGINT), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b4)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (r), hashed
+"""
+
+
 #: op13: trees by recursion level by level, then every leaf folded up; crc32 by its table of 256 entries, made by the rule.
 MERKLE = r"""
 WITH RECURSIVE field AS (SELECT row_number() OVER () AS r, *, concat(
@@ -93,4 +113,4 @@ SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, f.d AS folded_
 FROM placed JOIN sub ON sub.source IS NOT DISTINCT FROM placed.source JOIN (SELECT r, d, seen FROM outer_fold WHERE n = 1) f USING (r), (SELECT d AS root FROM over WHERE n = 1)
 """
 
-SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES, "op13_merkle_manifest": MERKLE}
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES, "op12_vector_codes": _codes(), "op13_merkle_manifest": MERKLE}
