@@ -62,6 +62,17 @@ SELECT doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 """
 
+#: op11: all pairs of documents that share a shingle, and what their links reach.
+NGRAM_JOIN = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, md5(array_to_string(w[i : i + 2], ' ')) AS h FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS MATERIALIZED (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS hits FROM s x JOIN s y USING (h) WHERE x.r <> y.r GROUP BY ALL) JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * hits >= 90 * (na.n + nb.n - hits)),
+reach AS (SELECT r, r AS other FROM w UNION SELECT reach.r, b FROM reach JOIN links ON a = other)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM w LEFT JOIN n USING (r) JOIN (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN w ON w.r = other GROUP BY reach.r) USING (r)
+"""
+
+
 #: op12: plain rounds; squared distances as |c|^2 - 2 x.c (+ |x|^2 for errors), exact in doubles at this size.
 def _codes() -> str:
     rounds = []
@@ -113,4 +124,4 @@ SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, f.d AS folded_
 FROM placed JOIN sub ON sub.source IS NOT DISTINCT FROM placed.source JOIN (SELECT r, d, seen FROM outer_fold WHERE n = 1) f USING (r), (SELECT d AS root FROM over WHERE n = 1)
 """
 
-SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES, "op12_vector_codes": _codes(), "op13_merkle_manifest": MERKLE}
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op2_decontaminate": DECONTAMINATE, "op6_substring_dedup": SUBSTRINGS, "op7_suffix_dedup": SUFFIXES, "op11_ngram_join": NGRAM_JOIN, "op12_vector_codes": _codes(), "op13_merkle_manifest": MERKLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, language, line_dedup, merkle, mixing, oracles, outliers, quality, simhash, substrings, suffixes, vector_codes
+from tidemark.llm import decontaminate, html_text, language, line_dedup, merkle, mixing, ngram_join, oracles, outliers, quality, simhash, substrings, suffixes, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,7 @@ def queries() -> dict[str, Query]:
         "op8_simhash": _documents(simhash.digest),
         "op9_language": _documents(language.digest),
         "op10_html_text": lambda spark, sf_dir: html_text.digest(table(spark, sf_dir, "pages")),
+        "op11_ngram_join": _documents(ngram_join.digest),
         "op12_vector_codes": lambda spark, sf_dir: vector_codes.digest(table(spark, sf_dir, "embeddings")),
         "op13_merkle_manifest": _documents(merkle.digest),
     }
