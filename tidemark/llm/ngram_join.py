@@ -16,10 +16,11 @@ pruned if their sizes are too far apart, if all below them is one component alre
 the common bits, is less than the smallest sizes below need. Pairs of leaves are decided by their exact overlap. A task
 sends a spanning forest of what it found.
 
-1. Each node is compared in the trees of two of its shared keys, the first and the last by hash; components are settled.
-2. Only keys that still hold several components are compared whole, equal groups once. Keys of more nodes than a tree
-   takes (``BLOCK`` nodes, ``TOKENS`` shingles) are cut into blocks, in the second round by component, and all pairs of blocks
-   are compared that are not of one component alone. No row is made of a pair of documents.
+1. A key's least node leads it; each node is compared in the tree of the least of its leaders, and components are settled.
+2. Only keys that still hold several components are compared whole, all keys of one leader in one tree, so a set is sent
+   once a leader. Where there are more nodes than a tree takes (``BLOCK`` nodes, ``TOKENS`` shingles) they are cut into blocks,
+   in the second round by component, and all pairs of blocks are compared that are not of one component alone. No row
+   is made of a pair of documents.
 
 The work of the second round grows with the square of a group of texts that agree on a whole part, hence are alike to
 some 70 percent or more, and still do not link; groups of linked texts cost as many rows as they have members.
@@ -52,6 +53,8 @@ BLOCK, TOKENS, FANOUT = 512, 1 << 21, 8
 STEP = 1 << 20
 #: Longs of the bitmaps that sieve keys and texts before they are shuffled.
 WORDS = 1 << 20
+#: Sets that share their first hash with another: none is expected below a billion sets.
+ALIKE = 1000
 #: Dealings of shingles to parts that are tried for empty parts.
 DEALINGS = 3
 
@@ -150,17 +153,32 @@ def keys_of(h: np.ndarray, at: np.ndarray, percent: int) -> list[np.ndarray]:
     return [np.unique(np.concatenate(x)) if x else np.zeros(0, U64) for x in out]
 
 
-def _sign(shingle: int, percent: int):
+def _sign(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = K.buffers(K.column(batch, "text"))
             for i, j, d, o in K.blocks(data, offsets):
                 h, at = token_sets(d, o, shingle)
                 ha, hb = set_hashes(h, at)
+                yield pa.RecordBatch.from_arrays([K.column(batch, "doc_id").slice(i, j - i), K.column(batch, "who").slice(i, j - i), pa.array(np.diff(at)), pa.array(ha.view(np.int64)), pa.array(hb.view(np.int64))], names=["doc_id", "who", "n", "ha", "hb"])
+
+    return run
+
+
+def _keys(shingle: int, percent: int, renamed: dict[tuple[int, int], int]):
+    """Each text's node, its number of shingles and its keys; renamed: nodes of sets that share their first hash with another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets, _ = K.buffers(K.column(batch, "text"))
+            for _, _, d, o in K.blocks(data, offsets):
+                h, at = token_sets(d, o, shingle)
+                ha, hb = (x.view(np.int64) for x in set_hashes(h, at))
+                node = [renamed.get(x, x[0]) for x in zip(ha.tolist(), hb.tolist())] if renamed else ha
                 keys = keys_of(h, at, percent)
                 cut = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(keys).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([K.column(batch, "doc_id").slice(i, j - i), K.column(batch, "who").slice(i, j - i), pa.array(np.diff(at)), pa.array(ha.view(np.int64)), pa.array(hb.view(np.int64)), flat], names=["doc_id", "who", "n", "ha", "hb", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.diff(at)), flat], names=["node", "n", "keys"])
 
     return run
 
@@ -285,37 +303,36 @@ def _room(n: Column) -> Column:
 
 
 def _home_groups(members: DataFrame) -> DataFrame:
-    """gid, node, side and root: each node in the blocks of two of its keys, each block with its key's least node."""
-    ranked = F.struct(F.xxhash64("key").alias("h"), "key", "least", "count", "room")
-    homes = members.groupBy("node").agg(F.min(ranked).alias("a"), F.max(ranked).alias("b"))
-    each = homes.select("node", F.explode(F.array_distinct(F.array("a", "b"))).alias("k")).select("node", "k.*")
-    block = F.when(F.col("count") > F.col("room"), F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / F.col("room")))).otherwise(F.lit(0))
-    each = each.select(F.xxhash64("key", block).alias("gid"), "node", "least")
-    both = each.select("gid", "node").unionByName(each.select("gid", F.col("least").alias("node")).distinct()).distinct()
+    """gid, node, side and root: each node with the least of the nodes that lead its keys, in blocks that all hold that one."""
+    homes = members.groupBy("node").agg(F.min("least").alias("least"), F.first("n").alias("n"))
+    sizes = homes.groupBy("least").agg(F.count("*").alias("count"), _room(F.max("n")).alias("room"))
+    blocks = F.ceil(F.col("count") / F.col("room"))
+    each = homes.join(sizes, "least").select(F.xxhash64("least", F.pmod(F.xxhash64("node"), blocks)).alias("gid"), "node", "least")
+    both = each.select("gid", "node").unionByName(each.select("gid", F.col("least").alias("node"))).distinct()
     return both.withColumn("side", F.lit(0)).withColumn("root", F.col("node"))
 
 
 def _mixed_groups(placed: DataFrame) -> DataFrame:
-    """gid, node, side and root of all keys' nodes, equal groups once; large keys as pairs of blocks, cut by component."""
-    light = placed.where("count <= room").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("node", "root"))).alias("all"))
-    light = light.groupBy(F.xxhash64("all").alias("gid")).agg(F.first("all").alias("all")).select("gid", F.explode("all").alias("x"))
-    light = light.select("gid", "x.node", F.lit(0).alias("side"), "x.root")
-    heavy = placed.where("count > room")
+    """gid, node, side and root of all keys that one node leads; large groups as pairs of blocks, cut by component."""
+    sizes = placed.groupBy("least").agg(F.count("*").alias("count"), _room(F.max("n")).alias("room"))
+    rows = placed.join(sizes, "least")
+    light = rows.where("count <= room").select(F.col("least").alias("gid"), "node", F.lit(0).alias("side"), "root")
+    heavy = rows.where("count > room")
     if heavy.isEmpty():
         return light
-    sizes = heavy.groupBy("key", "root").agg(F.count("*").alias("own"))
+    own = heavy.groupBy("least", "root").agg(F.count("*").alias("own"))
     big = F.col("own") >= F.col("room")
     cuts = F.when(big, F.ceil(F.col("own") / F.col("room"))).otherwise(F.ceil(F.col("count") / F.col("room")))
     block = F.when(big, F.xxhash64("root", F.pmod(F.xxhash64("node"), cuts))).otherwise(F.xxhash64(F.pmod(F.xxhash64("root"), cuts)))
-    cut = stored(heavy.join(sizes, ["key", "root"]).select("key", "node", "root", block.alias("block")), "blocks", wide=True)
-    kinds = cut.groupBy("key", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    cut = stored(heavy.join(own, ["least", "root"]).select("least", "node", "root", block.alias("block")), "blocks", wide=True)
+    kinds = cut.groupBy("least", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     a, b = kinds.alias("a"), kinds.alias("b")
     apart = (F.col("a.lo") != F.col("a.hi")) | (F.col("b.lo") != F.col("b.hi")) | (F.col("a.lo") != F.col("b.lo"))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") <= F.col("b.block")) & apart)
-    pairs = pairs.select("a.key", F.col("a.block").alias("x"), F.col("b.block").alias("y"))
-    sides = pairs.select("key", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    dealt = sides.join(cut, ["key", "block"])
-    return light.unionByName(dealt.select(F.xxhash64("key", "x", "y").alias("gid"), "node", (F.col("block") != F.col("x")).cast("int").alias("side"), "root"))
+    pairs = a.join(b, (F.col("a.least") == F.col("b.least")) & (F.col("a.block") <= F.col("b.block")) & apart)
+    pairs = pairs.select("a.least", F.col("a.block").alias("x"), F.col("b.block").alias("y"))
+    sides = pairs.select("least", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    dealt = sides.join(cut, ["least", "block"])
+    return light.unionByName(dealt.select(F.xxhash64("least", "x", "y").alias("gid"), "node", (F.col("block") != F.col("x")).cast("int").alias("side"), "root"))
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -323,16 +340,25 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     kind = dict(docs.dtypes)["doc_id"]
     who = F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     keyed = docs.select("doc_id", who.alias("who"), F.col("text").cast("string").alias("text"))
-    signed = stored(keyed.transform(K.mapped, _sign(shingle, percent), f"doc_id {kind}, who long, n long, ha long, hb long, keys array<long>"), "signed", wide=True)
-    # one node for each set, one document for each node
-    grouped = signed.where("n > 0").groupBy("ha", "hb").agg(F.min("who").alias("who"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("doc_id").alias("least_id"))
-    nodes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes", wide=True)
-    flat = nodes.select("node", "n", F.explode("keys").alias("key"))
-    shared = stored(flat.groupBy("key").agg(F.count("*").alias("count"), F.min("node").alias("least"), F.max("n").alias("n")).where("count > 1").select("key", "count", "least", _room(F.col("n")).alias("room")), "shared")
-    members = stored(_sieved(flat.drop("n"), shared, "key").join(shared, "key"), "members", wide=True)
+    signed = stored(keyed.transform(K.mapped, _sign(shingle), f"doc_id {kind}, who long, n long, ha long, hb long"), "signed", wide=True)
+    # one node for each set, one document for each node; a node is named by its first hash unless two sets share that
+    sets_of = stored(signed.where("n > 0").groupBy("ha", "hb").agg(F.min("who").alias("who"), F.min("doc_id").alias("least_id")), "sets")
+    alike = sets_of.join(sets_of.groupBy("ha").count().where("count > 1"), "ha").select("ha", "hb", F.xxhash64("ha", "hb").alias("node"))
+    renamed = {(r["ha"], r["hb"]): r["node"] for r in alike.limit(ALIKE + 1).collect()}
+    if len(renamed) > ALIKE:
+        raise RuntimeError("set hashes collide")
+    own = F.col("ha")
+    for (a, b), node in renamed.items():
+        own = F.when((F.col("ha") == a) & (F.col("hb") == b), F.lit(node)).otherwise(own)
+    nodes = sets_of.withColumn("node", own)
+    # keys are made anew for each use, which is less than writing them
+    texts = _sieved(keyed.select("who", "text"), nodes.select("who"), "who")
+    flat = texts.select("text").transform(K.mapped, _keys(shingle, percent, renamed), "node long, n long, keys array<long>").select("node", "n", F.explode("keys").alias("key"))
+    shared = stored(flat.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least"), "shared", wide=True)
+    members = stored(_sieved(flat, shared, "key").join(shared, "key").dropDuplicates(["key", "node"]).select("key", "node", "n", "least"), "members", wide=True)
     known = stored(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "who", "ha", "hb"), "known")
-    texts = _sieved(keyed.select("who", "text"), known, "who").join(known, "who").select("node", "ha", "hb", "text")
-    sets = stored(texts.transform(K.mapped, _sets(shingle), "node long, own binary").dropDuplicates(["node"]), "sets", wide=True)
+    wanted = _sieved(keyed.select("who", "text"), known, "who").join(known, "who").select("node", "ha", "hb", "text")
+    sets = stored(wanted.transform(K.mapped, _sets(shingle), "node long, own binary").dropDuplicates(["node"]), "sets", wide=True)
 
     def links(groups: DataFrame) -> DataFrame:
         rows = groups.join(sets, "node").select("gid", "node", "root", "side", "own")
@@ -342,7 +368,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     roots = stored(components(edges), "roots")
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    found = links(_mixed_groups(stored(placed.join(mixed, "key", "left_semi"), "mixed", wide=True)))
+    found = links(_mixed_groups(stored(placed.join(mixed, "key", "left_semi").select("least", "node", "n", "root").distinct(), "mixed", wide=True)))
     if not found.isEmpty():
         roots = stored(components(edges.unionByName(found)), "roots")
     named = nodes.select("ha", "hb", "node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
