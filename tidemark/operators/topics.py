@@ -1,4 +1,4 @@
-"""Topics: fit port with a Spark substitute, keywords by class-based tf-idf, composition hashes, sizes, labels."""
+"""Topics: fit port with fitters by density and by k-means, keywords by class-based tf-idf, composition hashes, sizes, labels."""
 
 from __future__ import annotations
 
@@ -20,10 +20,7 @@ class TopicFitter(Protocol):
 
 
 class KMeansFitter:
-    """A stand-in fitter: k-means on unit vectors, the farthest share of each cluster becoming outliers.
-
-    It is not equivalent to manifold reduction with density clustering, for which Spark has no operator.
-    """
+    """A plainer fitter for a known number of topics: k-means on unit vectors, the farthest share of each cluster becoming outliers."""
 
     def __init__(self, k: int, outlier_share: float = 0.05, seed: int = 42):
         self.k, self.outlier_share, self.seed = k, outlier_share, seed
@@ -43,6 +40,30 @@ class KMeansFitter:
         return near.join(F.broadcast(cut), "topic").select("idx", F.when(F.col("d") > F.col("cut"), -1).otherwise(F.col("topic")).alias("topic"))
 
 
+class DensityFitter:
+    """The fitter of the topic stage: neighbour graph by cosine, two-dimensional layout, density clusters of the laid out points.
+
+    Lists that the clusters are found by are twice min_cluster_size long, as a small component's least edge may lie beyond its
+    points' first min_samples neighbours.
+    """
+
+    def __init__(self, n_neighbors: int = 15, min_cluster_size: int = 15, min_samples: int | None = None, metric: str = "cosine", seed: int = 42):
+        self.n_neighbors, self.min_cluster_size, self.min_samples, self.metric, self.seed = n_neighbors, min_cluster_size, min_samples, metric, seed
+
+    def fit(self, vectors: DataFrame) -> DataFrame:
+        from tidemark.operators import density, layout, neighbours
+        from tidemark.operators.vectors import unit
+
+        x = F.col("vector").cast("array<double>")
+        points = vectors.where("vector is not null").select(F.col("idx").cast("long").alias("id"), (unit(x) if self.metric == "cosine" else x).alias("x"))
+        lists = neighbours.neighbours(vectors, self.n_neighbors, metric=self.metric, seed=self.seed)
+        flat = layout.layout(lists, points, seed=self.seed)
+        near = neighbours.neighbours(flat, 2 * self.min_cluster_size, "id", "y", "euclidean", seed=self.seed)
+        found = density.clusters(near, flat.withColumnRenamed("y", "x"), self.min_cluster_size, self.min_samples)
+        out = vectors.select("idx").join(found.withColumnRenamed("id", "idx"), "idx", "left")
+        return out.select("idx", F.coalesce("topic", F.lit(-1)).alias("topic"))
+
+
 def keywords(tokens: DataFrame, k: int = 10) -> DataFrame:
     """topic, term, weight, rank by class-based tf-idf: tf in the topic x ln(1 + A / f), A the mean words per topic; tokens: topic, term.
 

@@ -85,10 +85,26 @@ def flt14_skip_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ml01_topic_fit")
 def ml01_topic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vector"))
+    return T.DensityFitter().fit(rows)
+
+
+@query("ml01_kmeans_fit")
+def ml01_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vector"))
     return T.KMeansFitter(10).fit(rows)
 
 
+@query("ml01_neighbours", """WITH u AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / greatest(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 1e-12)) AS v FROM embeddings)
+ SELECT a.vec_id AS id, b.vec_id AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(1 - list_dot_product(a.v, b.v), 12), b.vec_id) AS rank, round(1 - list_dot_product(a.v, b.v), 6) AS distance FROM u a JOIN u b ON a.vec_id <> b.vec_id QUALIFY rank <= 15""")
+def ml01_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists are exact up to a block of points; the SQL compares all pairs."""
+    from tidemark.operators.neighbours import neighbours
+
+    found = neighbours(table(spark, sf_dir, "embeddings"), 15, "vec_id", "embedding")
+    return found.select("id", "other", F.col("rank").cast("bigint").alias("rank"), F.round("distance", 6).alias("distance"))
+
+
 @query("llm01_labels", """WITH t AS (SELECT lang AS topic, unnest(string_split(lower(text), ' ')) AS term FROM documents), c AS (SELECT topic, term, count(*) AS n FROM t WHERE term <> '' GROUP BY ALL)
  SELECT topic, upper(trim(term)) AS headline, 'succeeded' AS status FROM c QUALIFY row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) = 1""")
 def llm01_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
