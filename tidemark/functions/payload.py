@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import uuid
 from decimal import Decimal
 
@@ -53,26 +52,44 @@ def lenient_abstract(inverted: pd.Series) -> pd.Series:
     return inverted.map(words)
 
 
-#: Marks numbers with a point or exponent while a payload is written anew; the mark cannot come from a JSON number.
-MARK = "\0number "
-MARKED = re.compile(r'"\\u0000number ([-+0-9.eE]+)"')
+#: Digits that a number of a payload may have once it is written without an exponent.
+MOST_DIGITS = 10_000
 
 
 def _plain(number: str) -> str:
-    digits = f"{Decimal(number):f}"
+    value = Decimal(number)
+    if abs(value.adjusted()) > MOST_DIGITS:
+        raise ValueError(f"a number of more than {MOST_DIGITS} digits")
+    digits = f"{value:f}"
     whole, _, rest = digits.partition(".")
     rest = rest.rstrip("0")
     return "0" if not whole.strip("-0") and not rest else f"{whole}.{rest}" if rest else whole
 
 
+class _Number(str):
+    """A number with a point or exponent as it stood; a type of its own, so no string of a payload can be taken for one."""
+
+
 def _refuse(name: str) -> str:
     raise ValueError(f"{name} is not finite")
 
 
+def _written(value: object) -> str:
+    if isinstance(value, _Number):
+        return _plain(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_written(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
 def canonical_json(text: str) -> str:
-    """The JSON text with sorted keys and no space; numbers without exponents or trailing zeros; not-finite numbers are errors."""
-    value = json.loads(text, parse_float=MARK.__add__, parse_constant=_refuse)
-    return MARKED.sub(lambda m: _plain(m[1]), json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":")))
+    """The JSON text with sorted keys and no space; numbers without exponents or trailing zeros.
+
+    Numbers that are not finite, or would have more than MOST_DIGITS digits, are errors.
+    """
+    return _written(json.loads(text, parse_float=_Number, parse_constant=_refuse))
 
 
 @F.pandas_udf(StringType())
@@ -81,23 +98,26 @@ def canonical(payload: pd.Series) -> pd.Series:
     return payload.map(lambda t: None if t is None else canonical_json(t))
 
 
+def quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    return F.regexp_extract(F.to_json(F.struct(text.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+
+
 def spaced_list(texts: Column) -> Column:
     """An array of texts as a JSON list with a space after each comma."""
-    return F.concat(F.lit("["), F.array_join(F.transform(texts, lambda x: F.regexp_extract(F.to_json(F.struct(x.alias("x"))), r'^\{"x":(.*)\}$', 1)), ", "), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(texts, quoted), ", "), F.lit("]"))
 
 
 def spaced_object(parts: Column) -> Column:
     """A map of names to JSON texts as an object with sorted names, and spaces after commas and colons."""
-    entries = F.transform(F.array_sort(F.map_entries(parts)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('": '), e["value"]))
+    entries = F.transform(F.array_sort(F.map_entries(parts)), lambda e: F.concat(quoted(e["key"]), F.lit(": "), e["value"]))
     return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
 
 def content_identity(entity: Column, canonical_text: Column, version: int = 2) -> Column:
     """struct(content_hash, version_id): the payload's hash and that of (kind, entity, canonicalisation version, hash)."""
     content = F.sha2(canonical_text, 256)
-    quoted = F.to_json(F.struct(entity.alias("e")))
-    entity_json = F.substring_index(F.substring_index(quoted, '{"e":', -1), "}", 1)
-    return F.struct(content.alias("content_hash"), F.sha2(F.concat(F.lit('["works",'), entity_json, F.lit(f',{version},"'), content, F.lit('"]')), 256).alias("version_id"))
+    return F.struct(content.alias("content_hash"), F.sha2(F.concat(F.lit('["works",'), quoted(entity), F.lit(f',{version},"'), content, F.lit('"]')), 256).alias("version_id"))
 
 
 NAMESPACE = uuid.NAMESPACE_URL

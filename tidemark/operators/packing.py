@@ -6,8 +6,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 from pyspark.sql.window import Window as W
 
 
@@ -56,8 +58,11 @@ def pack(sizes: Column, max_items: int, max_size: int) -> Column:
         def run(own) -> list[int] | None:
             if own is None:
                 return None
-            packer = Packer(max_items, max_size)
-            return [packer.add(int(x)) * 0 + packer.pack for x in own]
+            packer, numbers = Packer(max_items, max_size), []
+            for x in own:
+                packer.add(int(x))
+                numbers.append(packer.pack)
+            return numbers
 
         return lists.map(run)
 
@@ -96,3 +101,42 @@ def bounded_chunks(records: DataFrame, key: str, order: str, size: str, max_item
 
     sorted_ = rows.repartition(key).sortWithinPartitions(key, "o")
     return sorted_.mapInArrow(fold, f"{key} {kinds[key]}, chunk int, first {kinds['o']}, n bigint, size bigint")
+
+
+class ChunkTable:
+    """The table function of :func:`bounded_chunks`: the chunks of one partition's rows as they come in order.
+
+    rows: a table whose first column names the file, with the columns ``position`` and ``size``, PARTITION BY the file and ORDER BY
+    the position. eval sees one row at a time.
+    """
+
+    def __init__(self) -> None:
+        self.packer: Packer | None = None
+        self.now: tuple | None = None
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument, max_items: AnalyzeArgument, max_size: AnalyzeArgument) -> AnalyzeResult:
+        if not rows.isTable or not {"position", "size"} <= {f.name for f in rows.dataType}:
+            raise ValueError("the first argument is a table with the columns position and size")
+        first, position = rows.dataType[0], rows.dataType["position"]
+        return AnalyzeResult(T.StructType([T.StructField(first.name, first.dataType), T.StructField("chunk", T.IntegerType()), T.StructField("first", position.dataType), T.StructField("n", T.LongType()), T.StructField("size", T.LongType())]))
+
+    def eval(self, rows: Row, max_items: int, max_size: int) -> Iterator[tuple]:
+        if self.packer is None:
+            self.packer = Packer(max_items, max_size)
+        if self.packer.add(rows["size"]):
+            if self.now:
+                yield self.now
+            self.now = (rows[0], self.packer.pack, rows["position"], 1, rows["size"])
+        else:
+            self.now = (*self.now[:3], self.packer.items, self.packer.size)
+
+    def terminate(self) -> Iterator[tuple]:
+        if self.now:
+            yield self.now
+
+
+def register_chunks(spark: SparkSession, name: str = "bounded_chunks") -> None:
+    """Makes :class:`ChunkTable` callable from SQL: SELECT * FROM name(max_items => 20, max_size => 1000,
+    rows => TABLE(t) PARTITION BY file ORDER BY position)."""
+    spark.udtf.register(name, F.udtf(ChunkTable))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from threading import BoundedSemaphore, Condition, Lock
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -74,6 +77,61 @@ def failover(endpoints: list[Callable[[list[str]], list[list[float]]]]) -> Calla
     return embed
 
 
+def pooled(endpoints: list[Callable[[list[str]], list[list[float]]]], concurrency: int, batch: int = 32) -> Callable[[list[str]], list[list[float] | None]]:
+    """One port over several endpoints that answer at the same time: all waiting batches stand in one queue, from which the endpoints that
+    are left take the next one, at most ``concurrency`` requests at once.
+
+    An endpoint that raises OSError is dropped for all; its batch goes back to the queue. ValueError concerns a text: the batch is
+    tried text by text, and a text that fails alone gets None. Texts that no endpoint is left for raise a RuntimeError.
+    """
+    left = list(range(len(endpoints)))
+
+    def embed(texts: list[str]) -> list[list[float] | None]:
+        found: list[list[float] | None] = [None] * len(texts)
+        waiting, lock = deque((k, min(k + batch, len(texts))) for k in range(0, len(texts), batch)), Lock()
+        seats, busy = BoundedSemaphore(concurrency), Condition(lock)
+        open_ = [0]
+
+        def asked(n: int, a: int, b: int) -> None:
+            with seats:
+                try:
+                    found[a:b] = endpoints[n](texts[a:b])
+                except ValueError:
+                    if b - a > 1:
+                        with lock:
+                            waiting.extend((k, k + 1) for k in range(a, b))
+
+        def work(n: int) -> None:
+            while True:
+                with lock:
+                    while not waiting and open_[0] and n in left:
+                        busy.wait()  # another endpoint's batch may come back
+                    if n not in left or not waiting:
+                        return
+                    a, b = waiting.popleft()
+                    open_[0] += 1
+                try:
+                    asked(n, a, b)
+                except OSError:
+                    with lock:
+                        waiting.appendleft((a, b))
+                        left.remove(n)
+                finally:
+                    with lock:
+                        open_[0] -= 1
+                        busy.notify_all()
+
+        if left and texts:
+            with ThreadPoolExecutor(len(left)) as pool:
+                for done in [pool.submit(work, n) for n in list(left)]:
+                    done.result()
+        if waiting:
+            raise RuntimeError("no embedding endpoint is left")
+        return found
+
+    return embed
+
+
 def matching(table: DataFrame, first, last, column: str = "published") -> DataFrame:
     """The rows of a vector table whose payload column lies between two values, both included; count them or select from them."""
     return table.where(F.col(column).between(F.lit(first), F.lit(last)))

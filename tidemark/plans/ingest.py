@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import catalog as K
 from tidemark.operators import packing as P
 from tidemark.plans.registry import query, table
+from tidemark.sources import file_index, row_groups, sinks
 from tidemark.sources import files as S
-from tidemark.sources import sinks
+from tidemark.sources.durable import work_dir
 
 
 def _ranges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -50,6 +51,14 @@ def win05_bounded_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.bounded_chunks(rows, "file", "o_orderkey", "s", 4, 700000, 1 << 40)
 
 
+@query("win05_chunks_by_sql", PACKED.format(key="o_custkey", order="o_orderkey", size="CAST(floor(o_totalprice) AS BIGINT)", table="orders", items=4, most=700000))
+def win05_chunks_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chunks by the table function, from a SQL text."""
+    P.register_chunks(spark, "tidemark_chunks")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file"), F.col("o_orderkey").alias("position"), F.floor("o_totalprice").alias("size"))
+    return spark.sql("SELECT * FROM tidemark_chunks(max_items => 4, max_size => 700000, rows => TABLE({rows}) PARTITION BY file ORDER BY position)", rows=rows)
+
+
 @query("win06_token_windows", PACKED.format(key="conv_id", order="turn", size="CAST(length(text) AS BIGINT)", table="conversations", items=1000, most=1500))
 def win06_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file"), "turn", F.length("text").alias("s"))
@@ -162,7 +171,8 @@ def jn15_inconsistent_ancestry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src02_row_range", "SELECT l_orderkey, l_linenumber, rn AS row_number FROM (SELECT l_orderkey, l_linenumber, row_number() OVER () - 1 AS rn FROM lineitem) WHERE rn BETWEEN 1000 AND 1999")
 def src02_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.row_range(spark, f"{sf_dir}/lineitem.parquet", 1000, 2000).select("l_orderkey", "l_linenumber", "row_number")
+    """The footer names the row groups that overlap; a task reads each of these and no other is opened."""
+    return row_groups.row_range(spark, f"{sf_dir}/lineitem.parquet", 1000, 2000, ["l_orderkey", "l_linenumber"])
 
 
 @query("src16_point_lookup", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey = 77")
@@ -170,6 +180,17 @@ def src16_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.point_lookup(spark, [f"{sf_dir}/lineitem.parquet"], "l_orderkey", 77).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query("src16_indexed_lookup", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey = 77")
+def src16_indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines lie in fifty files by hash, so ranges tell nothing; the index's filters pick the one or two to open."""
+    at, index = work_dir(spark, "files"), work_dir(spark, "index")
+    table(spark, sf_dir, "lineitem").repartition(50, "l_orderkey").write.parquet(at)
+    file_index.build(spark, [at], "l_orderkey", index)
+    if len(file_index.candidates(spark, index, 77)) > 2:
+        raise ValueError("the index opens more than two files")
+    return file_index.lookup(spark, index, [at], "l_orderkey", 77).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 @query("src01_size_guard", "SELECT sum(strlen(t))::BIGINT AS total, max(strlen(t))::INTEGER AS greatest, sum(strlen(t)) <= 16777216 AND max(strlen(t)) <= 1048576 AS ok FROM (SELECT '{\"o_orderkey\":' || o_orderkey || ',\"o_custkey\":' || o_custkey || ',\"o_orderpriority\":\"' || o_orderpriority || '\"}' AS t FROM orders)")
 def src01_size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.size_guard(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))

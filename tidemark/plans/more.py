@@ -20,6 +20,7 @@ from tidemark.plans import attention as cells
 from tidemark.plans import emergence as topics
 from tidemark.plans.registry import query, table
 from tidemark.sources import files as S
+from tidemark.sources.durable import work_dir
 
 LISTS = C.Scope(dt.date(1990, 1, 1), dt.date(2030, 1, 1), domains=("1", "2"), not_fields=("3", "4"))
 
@@ -212,6 +213,26 @@ def stm04_late_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.reconcile(seen.unionByName(late)).select("entity_id", "version_id")
 
 
+@query("stm04_streamed_versions", """WITH o AS (SELECT o_custkey AS entity_id, o_orderkey AS version_id, CAST(o_orderdate AS DATE) AS t FROM orders)
+ SELECT entity_id, arg_max(version_id, (t, version_id)) AS version_id, count(DISTINCT version_id) + 1 AS versions FROM o GROUP BY 1""")
+def stm04_streamed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a stream of observations, newest first, then an old baseline and all of them once more: state per customer settles as the batch does."""
+    from tidemark.streaming import versions as stream
+
+    at = work_dir(spark, "observations")
+    seen = table(spark, sf_dir, "orders").select(F.lit("s").alias("scope_id"), F.col("o_custkey").alias("entity_id"), F.col("o_orderkey").alias("version_id"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("updated_date"), F.lit(True).alias("is_api"), F.lit(0).alias("observed_at"))
+    late = seen.withColumns({"is_api": F.lit(False), "updated_date": F.lit("1990-01-01"), "version_id": F.lit(-1).cast("bigint"), "observed_at": F.lit(9)}).distinct()
+    for k, part in enumerate((seen.where("updated_date >= '1995-01-01'"), seen.where("updated_date < '1995-01-01'"), late.unionByName(seen))):
+        part.write.mode("append").parquet(f"{at}/in-{k}")
+        own = spark.newSession()  # its state store is RocksDB, the caller's settings stay
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKSDB)
+        source = own.readStream.schema(seen.schema).option("maxFilesPerTrigger", 1000).parquet(f"{at}/in-*")
+        write = lambda df, n: df.write.mode("append").parquet(f"{at}/out")
+        stream.reconciled(source).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/check").trigger(availableNow=True).start().awaitTermination()
+    rows = stream.last_rows(spark.read.parquet(f"{at}/out"))
+    return rows.select("entity_id", "version_id", F.size("version_ids").cast("bigint").alias("versions"))
+
+
 @query("stm05_reverted_versions", "SELECT c_custkey FROM customer WHERE c_custkey % 3 = 2")
 def stm05_reverted_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions A and B of every customer are processed. A again, or B, is not new; only the third that moves to C is."""

@@ -12,7 +12,7 @@ from tidemark.operators import topics as T
 from tidemark.operators import vectors as V
 from tidemark.plans.registry import query, table
 from tidemark.sources import files as S
-from tidemark.sources import sinks
+from tidemark.sources import points, sinks, snapshots
 from tidemark.sources.durable import work_dir
 
 
@@ -32,6 +32,16 @@ def src04_validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.validate_files(spark, at, wrong.unionByName(absent))
 
 
+@query("src04_counted_files", "SELECT 'customer.parquet' AS name, true AS size_ok, true AS checksum_ok, (SELECT count(*) FROM customer) > 0 AS rows_ok UNION ALL SELECT 'supplier.parquet', true, true, (SELECT count(*) FROM supplier) < 0")
+def src04_counted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD5 sums and row counts: right for one file; of the other one row more is asked for."""
+    at = f"{sf_dir}/{{customer,supplier}}.parquet"
+    files = spark.read.format("binaryFile").load(at).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+    counts = {t: table(spark, sf_dir, t).count() for t in ("customer", "supplier")}
+    rows = F.when(F.col("name") == "customer.parquet", counts["customer"]).otherwise(counts["supplier"] + 1)
+    return S.validate_files(spark, at, files.withColumn("rows", rows))
+
+
 @query("src05_acquired_files", """SELECT p_partkey::VARCHAR AS name, CASE WHEN p_partkey % 5 IN (0, 1, 4) THEN strlen(p_partkey::VARCHAR) + CASE WHEN p_partkey % 5 = 1 THEN 1 ELSE 0 END WHEN p_partkey % 5 = 2 THEN strlen(p_partkey::VARCHAR) END::BIGINT AS size, p_partkey % 5 = 0 AS adopted,
  CASE p_partkey % 5 WHEN 1 THEN 'size' WHEN 2 THEN 'checksum' WHEN 3 THEN 'unreachable' END AS defect FROM part""")
 def src05_acquired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +86,27 @@ def snk06_rebuilt_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at).select("o_orderstatus", "o_orderkey", "v")
 
 
-@query("snk10_committed_runs", "SELECT 'run-' || l AS run_id, count(*) AS topics FROM (SELECT DISTINCT o_orderpriority, l FROM orders, (VALUES (1), (3)) t(l)) GROUP BY 1")
+@query("snk10_committed_runs", "SELECT 'run-' || l AS run_id, count(DISTINCT o_orderpriority) AS topics, count(*) AS works FROM orders, (VALUES (1), (3)) t(l) GROUP BY 1")
 def snk10_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs persist topics and works; the second broke off before its status row, so readers do not see it."""
+    """Three runs persist topics and works together; the second breaks off before its manifest, the third after it and is tried again."""
     at = work_dir(spark, "runs")
     topics = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("topic")).agg(F.count("*").alias("size"))
     works = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("work_id"), F.col("o_orderpriority").alias("topic"))
-    for k in (1, 2, 3):
-        status = spark.range(1).select(F.lit("succeeded").alias("status"))
-        sinks.publish_run({"topics": topics, "works": works}, at, f"run-{k}", status if k != 2 else status.limit(0))
-    return sinks.committed(spark, at, "topics").groupBy("run_id").agg(F.count("*").alias("topics"))
+
+    def broken(stage: str):
+        def fail(now: str) -> None:
+            if now == stage:
+                raise OSError(stage)
+
+        return fail
+
+    for k, stage in ((1, ""), (2, "written"), (3, "committed"), (3, "")):
+        try:
+            snapshots.commit({"topics": topics, "works": works}, at, f"run-{k}", broken(stage))
+        except OSError:
+            continue
+    counts = [snapshots.read(spark, at, t).groupBy("run_id").agg(F.count("*").alias(t)) for t in ("topics", "works")]
+    return counts[0].join(counts[1], "run_id")
 
 
 @query("snk11_replaced_labels", "SELECT o_custkey AS topic, max(o_orderkey) AS headline FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
@@ -106,10 +127,15 @@ def snk12_insert_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk08_vector_upserts", "SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 2 ELSE 1 END AS version, round(embedding[1]::DOUBLE * CASE WHEN vec_id % 4 = 0 THEN 2 ELSE 1 END, 6) AS x FROM embeddings")
 def snk08_vector_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A vector table takes batches of points; a later batch replaces the points that it holds."""
+    """Batches of 256 points are staged by tasks and published together; a later write of a point replaces it for readers."""
+    at = work_dir(spark, "points")
+    spark.dataSource.register(points.point_sink("tidemark_points", points.FolderStore(at)))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.lit(1).alias("version"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
     later = rows.where("vec_id % 4 = 0").select("vec_id", F.lit(2).alias("version"), F.transform("vector", lambda x: x * 2).alias("vector"))
-    return sinks.merged(rows, later, ["vec_id"], "version").select("vec_id", "version", F.round(F.element_at("vector", 1), 6).alias("x"))
+    for df in (rows, later):
+        df.write.format("tidemark_points").mode("append").save()
+    both = points.published(spark, at)
+    return sinks.merged(both.limit(0), both, ["vec_id"], "version").select("vec_id", "version", F.round(F.element_at("vector", 1), 6).alias("x"))
 
 
 @query("src13_vectors_by_payload", "SELECT label, count(*) AS n, min(vec_id) AS first FROM embeddings WHERE vec_id % 365 BETWEEN 100 AND 200 GROUP BY 1")

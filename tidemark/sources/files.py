@@ -1,4 +1,4 @@
-"""File sources: guarded records, row ranges, manifests, validation, retained pages, cached reads."""
+"""File sources: guarded records, lookups, manifests, validation, retained pages, cached reads."""
 
 from __future__ import annotations
 
@@ -26,11 +26,6 @@ def size_guard(df: DataFrame, max_record: int = MAX_RECORD, max_total: int = MAX
     return out.withColumn("ok", (F.col("total") <= max_total) & (F.col("greatest") <= max_record))
 
 
-def row_range(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
-    """Rows [start, end) of one file by their stored position; row groups outside are skipped."""
-    return spark.read.parquet(path).select("*", F.col("_metadata.row_index").alias("row_number")).where(F.col("row_number").between(start, end - 1))
-
-
 def point_lookup(spark: SparkSession, paths: list[str], key: str, value) -> DataFrame:
     """Rows of many files with one key value, with the file each comes from; statistics prune files and row groups."""
     return spark.read.parquet(*paths).select("*", F.col("_metadata.file_path").alias("filename")).where(F.col(key) == value)
@@ -50,9 +45,21 @@ def inventory(manifest: DataFrame) -> DataFrame:
 
 
 def validate_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
-    """name, size_ok, checksum_ok for files against manifest rows (name, bytes, sha256)."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("found"))
-    return manifest.join(files, "name", "left").select("name", F.coalesce(F.col("size") == F.col("bytes"), F.lit(False)).alias("size_ok"), F.coalesce(F.col("found") == F.col("sha256"), F.lit(False)).alias("checksum_ok"))
+    """name, size_ok, checksum_ok (and rows_ok) for files against manifest rows: name, bytes, sha256 or md5, and rows of Parquet files if asked for.
+
+    Counts come from the footers. A file that is missing is wrong in everything.
+    """
+    name = lambda c: F.element_at(F.split(c, "/"), -1).alias("name")
+    kind = "md5" if "md5" in manifest.columns else "sha256"
+    content = F.md5("content") if kind == "md5" else F.sha2("content", 256)
+    files = spark.read.format("binaryFile").load(path).select(name(F.col("path")), F.col("length").alias("size"), content.alias("found"))
+    same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    out = manifest.join(files, "name", "left")
+    checks = ["name", same("size", "bytes").alias("size_ok"), same("found", kind).alias("checksum_ok")]
+    if "rows" in manifest.columns:
+        counts = spark.read.parquet(path).groupBy(name(F.col("_metadata.file_path"))).agg(F.count("*").alias("have"))
+        out, checks = out.join(counts, "name", "left"), [*checks, same("have", "rows").alias("rows_ok")]
+    return out.select(*checks)
 
 
 def acquire(manifest: DataFrame, receipts: DataFrame, fetch: Callable[[str], bytes], attempts: int = 3, most: int = 1 << 30) -> DataFrame:

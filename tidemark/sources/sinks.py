@@ -1,4 +1,4 @@
-"""Sinks over plain Parquet: publish once, append new, upsert, rebuild a slice."""
+"""Sinks over plain Parquet: publish once, append new, upsert, rebuild a slice. Several tables at once: :mod:`tidemark.sources.snapshots`."""
 
 from __future__ import annotations
 
@@ -83,16 +83,3 @@ def rebuild(df: DataFrame, path: str, partition: str) -> None:
 def raw_receipts(bodies: DataFrame) -> DataFrame:
     """Bronze rows with the checksum and size of each raw body."""
     return bodies.withColumns({"sha256": F.sha2("body", 256), "size": F.octet_length("body")})
-
-
-def publish_run(tables: dict[str, DataFrame], folder: str, run_id: str, status: DataFrame) -> None:
-    """Appends a run's tables and, last, its status row, which readers take as the commit."""
-    for name, df in tables.items():
-        df.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{folder}/{name}")
-    status.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{folder}/runs")
-
-
-def committed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's rows of those runs that have a status row."""
-    done = spark.read.parquet(f"{folder}/runs").select("run_id").distinct()
-    return spark.read.parquet(f"{folder}/{name}").join(done, "run_id", "left_semi")
