@@ -12,8 +12,11 @@ own first holders in a second round, so no shared line is ever skipped for being
 still uncovered stands in another order or more often than there: in a third round the two pairs of
 neighbouring lines that it is part of (the document's start and end count as lines) name the first
 holders of these pairs, and an n-th occurrence the first document with as many. What even that leaves
-uncovered names the first holders in each of ``SOME`` shares of the documents, and the little that
-then remains every earlier holder, so no aligned line is lost. Alignment:
+uncovered names the first holders in each of ``SOME`` shares of the documents, and what then remains
+the first holder of each layout: a document's lines that others hold too, in order, with a mark wherever lines of
+its own stand between them. Documents of one layout align alike with any other one, so no aligned line is lost, and
+a template that changed its order makes as many pairs as documents times layouts. Only texts that each arrange their
+shared lines in another way make more. Alignment:
 patience diff (unique common lines, longest increasing run, recursion between them, blocks grown at
 both ends). Aligned common blocks of at least ``min_words`` = 1 words, so all of them, are deleted
 from the later document; deletions of all pairs of a document are united.
@@ -234,6 +237,14 @@ def _plain_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([K.column(batch, "ord").take(row), K.column(batch, "uid").take(row), pa.array(np.concatenate(found or [np.zeros(0, np.int64)]))], names=["ord", "uid", "k"])
 
 
+def _layouts(own: DataFrame, shared: DataFrame) -> DataFrame:
+    """ord, uid, layout: a hash of each document's shared lines in order, runs of other lines as one mark."""
+    marks = own.select("ord", "uid", F.posexplode("h").alias("p", "h")).join(shared.select("h", F.col("h").alias("line")), "h", "left")
+    rows = marks.groupBy("ord", "uid").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "line"))), lambda x: x["line"]).alias("all"))
+    kept = F.filter("all", lambda x, i: x.isNotNull() | (i == 0) | F.get("all", i - 1).isNotNull())
+    return rows.select("ord", "uid", F.xxhash64(F.transform(kept, lambda x: F.struct(x.isNull(), x))).alias("layout"))
+
+
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """ord, uid and ``gone`` (pieces of line positions) of the documents that lose a line."""
     keyed = docs.select(order_of(docs).alias("ord"), F.xxhash64("text").alias("uid"), F.col("text").cast("string").alias("text"))
@@ -259,14 +270,18 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     left = found.join(first, ["ord", "uid"], "left").transform(K.mapped, _links(False), pair)
     both = stored(first.unionByName(aligned(left)).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
     own = lines.select("ord", "uid", "h")
-    for kind in ("around", "some", "all"):
+    for kind in ("around", "some", "layouts"):
         open_ = stored(found.join(both, ["ord", "uid"], "left").transform(K.mapped, _open, "ord long, uid long, open array<int>"), "open")
         if open_.isEmpty():
             break
         make = _keys if kind == "around" else _plain_keys
         keys = stored(open_.join(own, ["ord", "uid"]).transform(K.mapped, make, "ord long, uid long, k long"), "keys")
         held = own.transform(K.mapped, make, "ord long, uid long, k long").join(keys.select("k").distinct(), "k", "left_semi")
-        if kind != "all":
+        if kind == "layouts":
+            several = own.join(held.select("ord", "uid").distinct(), ["ord", "uid"], "left_semi")
+            held = held.join(_layouts(several, shared), ["ord", "uid"])
+            held = held.groupBy("k", "layout").agg(F.min(F.struct("ord", "uid")).alias("first")).select("k", "first.*")
+        else:
             held = held.groupBy("k", F.pmod("uid", F.lit(SOME if kind == "some" else 1))).agg(F.min(F.struct("ord", "uid")).alias("first")).select("k", "first.*")
         links = keys.join(held.select("k", F.col("ord").alias("bo"), F.col("uid").alias("bu")), "k").where("bo < ord or (bo = ord and bu < uid)")
         both = stored(both.unionByName(aligned(links.select("ord", "uid", "bo", "bu").distinct())).groupBy("ord", "uid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
