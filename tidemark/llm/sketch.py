@@ -26,6 +26,8 @@ from tidemark.llm.packed import SENT, gathered, numbered, planes, sent_home, unp
 
 U64 = np.uint64
 ROWS, ROW_BITS = 2, 19
+#: Tasks among which a slice's questions are dealt.
+SALTS = 8
 SLICE = ROWS << ROW_BITS
 #: Anchors that a task holds before it sends them.
 FLUSH = 1 << 19
@@ -35,6 +37,7 @@ Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.nd
 
 def place(h: np.ndarray, slices: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The slice of each anchor, and its cell in each row of the slice."""
+    h = K.mix(h)  # an anchor is the least hash of many, so its own high bits are nearly always low
     low = U64((1 << ROW_BITS) - 1)
     at = ((h >> U64(40)) * U64(slices)) >> U64(24)
     return at.astype(np.int64), [((h >> U64(r * ROW_BITS)) & low).astype(np.int64) + (r << ROW_BITS) for r in range(ROWS)]
@@ -178,8 +181,11 @@ def repeated(texts: DataFrame, sketch: tuple[DataFrame, int], anchors: Anchors,
     bits, slices = sketch
     asked = texts.select("ord", "uid", "text").transform(K.mapped, _asked(anchors, slices), ASKED)
     none = F.lit(None).cast("binary")
-    both = bits.select("slice", "cells", *(none.alias(c) for c in ("docs", "hashes", "which")), F.lit(0).alias("kind")).unionByName(asked.select("slice", none.alias("cells"), "docs", "hashes", "which", F.lit(1).alias("kind")))
-    found = both.repartition("slice").sortWithinPartitions("slice", "kind").drop("kind").transform(K.mapped, _estimate(slices, homes), "home int, docs binary, runs binary")
+    # a slice that many documents ask for is held by several tasks: its bits are repeated over a salt
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    held = bits.select("slice", "cells", *(none.alias(c) for c in ("docs", "hashes", "which")), F.lit(0).alias("kind"), salts)
+    asking = asked.select("slice", none.alias("cells"), "docs", "hashes", "which", F.lit(1).alias("kind"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
+    found = held.unionByName(asking).repartition("slice", "salt").sortWithinPartitions("slice", "salt", "kind").drop("kind", "salt").transform(K.mapped, _estimate(slices, homes), "home int, docs binary, runs binary")
     return gathered(found).withColumnRenamed("runs", "hits")
 
 
