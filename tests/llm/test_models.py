@@ -174,6 +174,14 @@ def test_html_without_an_article_keeps_its_tail():
         assert html_text.main_text(page) == "\n".join([said] * 12 + ["The last part, also said, in a div."])
 
 
+def test_html_keeps_cells_and_short_sections_and_leaves_sidebars():
+    said = "A long paragraph of the article, with commas, and several sentences. It goes on for a while, so that it counts."
+    assert html_text.main_text(f"<div><p>{said}</p><table><tr><td>cell one</td><td>cell two</td></tr></table></div>").split("\n") == [said, "cell one", "cell two"]
+    assert html_text.main_text(f"<div id=c><div><p>{said}</p></div><div><p>{said}</p></div><div><p>Short end.</p></div></div>").split("\n") == [said, said, "Short end."]
+    assert html_text.main_text(f"<body><div><p>{said}</p><ul><li>one item</li></ul></div><div class=sidebar><p>Read this, too.</p></div></body>").split("\n") == [said, "one item"]
+    assert html_text.main_text(f"<article><header><h1>Title</h1></header><p>{said}</p></article>") == said
+
+
 def test_html_threshold_decides():
     """Without any telling tag or name: paths of text stay, short ones and links go; no threshold keeps all, a large one nothing."""
     part = "<p>A paragraph of the text, with commas, that goes on for a while, as they do.</p>"

@@ -8,13 +8,15 @@ times a prior: 0 inside elements that by their tag are menus, headers, footers,
 by their name are comments or lists of other articles, 0.005 inside elements that by their class or
 id words may be notices, adverts and the like (a wrapper around everything may be called so; an
 article or main element inside is free of it), else 1. Paths whose fused ratio reaches ``THRESHOLD``
-times the page's mean, weighted by text, are content; nothing else starts a text.
+times the page's mean, weighted by text, are content; nothing else starts a text. Blocks of doubtful elements on such paths
+count only where plain blocks hold less than half of the content.
 
 The content node is the article (or else main) element that holds at least ``STATED_SHARE`` of the
 text on content paths, as the page itself states where its article ends; all its blocks outside
 marked elements are kept. Without one it is the smallest container that holds all blocks on content
-paths; these are kept, and headings, list items and the like that stand in the same container as
-one of them and are not mostly links.
+paths; these are kept, and headings, cells, list items and the like that are not mostly links and stand in a container of
+one of them, at any depth, or in one of the same path beside it (so a short last section stays). A header element
+is left out with all that it holds, a heading in the article's own header too.
 
 Inside a block white space is one space, ``br`` included; blocks are joined by one newline.
 Character references are decoded as HTML does, also unfinished ones that HTML accepts.
@@ -222,6 +224,10 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     chosen = [page.path[x] in content and (PRIOR[page.mark[x]] > 0 or not threshold) for x, _, _ in blocks]
     if not any(chosen):
         return ""
+    # a doubtful name is believed where plain blocks hold most of the content: a sidebar's paragraphs may share the article's path
+    sizes = [len(s) * c for (_, s, _), c in zip(blocks, chosen)]
+    if threshold and 2 * sum(n for (x, _, _), n in zip(blocks, sizes) if page.mark[x] == 0) >= sum(sizes):
+        chosen = [c and page.mark[x] == 0 for (x, _, _), c in zip(blocks, chosen)]
     held = [0] * len(page.tag)
     near = list(range(len(page.tag)))  # the nearest container of each element
     for x in range(1, len(near)):
@@ -241,9 +247,16 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     for x in range(root + 1, len(inside)):
         inside[x] = inside[page.up[x]]
 
+    # containers of content, whatever lies in them, and containers of the same path beside them
+    parents, paths = {near[page.up[x]] for x in homes if x}, {page.path[x] for x in homes}
+    with_content = [False] * len(near)
+    for x in range(root, len(near)):
+        alike = page.tag[x] in CONTAINER and page.path[x] in paths and near[page.up[x]] in parents
+        with_content[x] = x in homes or inside[x] and (x != root and with_content[page.up[x]] or alike)
+
     def kept(x: int, free: float, c: bool) -> bool:
-        """On a content path; or unmarked, and part of the stated article or a heading, list or the like beside content."""
-        return c or page.mark[x] == 0 and (stated or free > 0.5 and page.tag[x] in BESIDE and near[x] in homes)
+        """On a content path; or unmarked, and part of the stated article or a heading, cell, list or the like beside content."""
+        return c or page.mark[x] == 0 and (stated or free > 0.5 and page.tag[x] in BESIDE and with_content[near[x]])
 
     return "\n".join(s for (x, s, free), c in zip(blocks, chosen) if inside[x] and kept(x, free, c))
 
