@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import json
+from bisect import bisect_right
+
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query, table
 from tidemark.sources import paged as P
+from tidemark.sources.cursors import cursor_stream
+from tidemark.sources.durable import work_dir
 from tidemark.sources.files import page_defects
 
 
@@ -55,3 +63,61 @@ def src07_stable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     receipts = bodies.select(F.col("term").alias("scan_id"), "page", "total", "cursor", "n", "last")
     whole = bodies.groupBy("term").agg(F.max("total").alias("total"), F.sum("n").alias("n")).where("total = n")
     return whole.join(page_defects(receipts).select(F.col("scan_id").alias("term")), "term", "left_anti").select("term", "total")
+
+
+@functools.lru_cache(4)
+def _keys(path: str, term: str, key: str) -> dict[str, list[int]]:
+    """Keys of a table by term, ascending; a process reads them once."""
+    system, at = fs.FileSystem.from_uri(path)
+    rows = pq.read_table(at, columns=[term, key], filesystem=system).to_pydict()
+    out: dict[str, list[int]] = {}
+    for t, k in sorted(zip(rows[term], rows[key])):
+        out.setdefault(t, []).append(k)
+    return out
+
+
+def over_table(path: str, term: str, key: str, per_page: int) -> P.Fetch:
+    """A given table behind a cursor API: the cursor is the last key that came."""
+
+    def fetch(r: P.Request) -> P.Page:
+        own = _keys(path, term, key).get(r.term, [])
+        at = bisect_right(own, int(r.cursor)) if r.cursor else 0
+        ids = own[at : at + per_page]
+        return P.Page(json.dumps({"hits": [{"id": k} for k in ids]}), len(ids), str(ids[-1]) if at + len(ids) < len(own) else None, len(own))
+
+    return fetch
+
+
+PAGED = "SELECT o_orderpriority AS term, CAST(ceil(count(*) / 500.0) AS BIGINT) AS pages, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1"
+
+
+def _counted(bodies: DataFrame) -> DataFrame:
+    pages = bodies.groupBy("term").agg(F.count("*").alias("pages"))
+    items = P.projected(bodies, "hits", {"id": ("id", "bigint")}).groupBy("term").agg(F.count("*").alias("n"), F.sum("id").alias("keys"))
+    return pages.join(items, "term")
+
+
+@query("src10_paged_orders", PAGED)
+def src10_paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders by priority behind a cursor API: a task a priority, cursors checked, items read from the kept bodies."""
+    spark.dataSource.register(P.api_source("api_orders", over_table(f"{sf_dir}/orders.parquet", "o_orderpriority", "o_orderkey", 500), P.Rules(has_total=True)))
+    terms = [r[0] for r in table(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect()]  # the priorities, five
+    return _counted(spark.read.format("api_orders").option("terms", "|".join(terms)).load())
+
+
+@query("src06_resumed_stream", PAGED)
+def src06_resumed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same API as a stream that stops after its first batch and goes on from the checkpoint: no page is lost or repeated."""
+    at = work_dir(spark, "cursors")
+    spark.dataSource.register(cursor_stream("api_orders_stream", over_table(f"{sf_dir}/orders.parquet", "o_orderpriority", "o_orderkey", 500)))
+    terms = [r[0] for r in table(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect()]
+    for once in (True, False):
+        rows = spark.readStream.format("api_orders_stream").options(terms="|".join(terms), pages=4).load()
+        out = rows.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/check")
+        q = (out.trigger(once=True) if once else out).start()
+        if once:
+            q.awaitTermination()
+        else:
+            q.processAllAvailable()
+            q.stop()
+    return _counted(spark.read.schema(P.SCHEMA).parquet(f"{at}/out"))

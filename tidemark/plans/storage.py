@@ -76,6 +76,17 @@ def snk02_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at)
 
 
+@query("snk07_enqueued_claims", "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS run FROM orders o WHERE o_orderstatus = 'F' AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')")
+def snk07_enqueued_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unprocessed orders are put in a queue table: a first run half of them, a second all, of which it appends what is not queued."""
+    at = work_dir(spark, "queue")
+    done = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    claims = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey").join(done, "o_orderkey", "left_anti")
+    sinks.append_new(claims.where("o_orderkey % 2 = 0").withColumn("run", F.lit(1)), at, ["o_orderkey"])
+    sinks.append_new(claims.withColumn("run", F.lit(2)), at, ["o_orderkey"])
+    return spark.read.parquet(at)
+
+
 @query("snk06_rebuilt_slice", "SELECT o_orderstatus, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN -o_custkey ELSE o_custkey END AS v FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0")
 def snk06_rebuilt_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All slices are written; then one is rebuilt from fewer rows, and the others stay."""

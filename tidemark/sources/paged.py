@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.window import Window as W
 
 
 @dataclass(frozen=True)
@@ -151,10 +152,9 @@ def projected(bodies: DataFrame, items: str, columns: dict[str, tuple[str, str]]
     parsed = F.from_json(F.get_json_object("body", f"$.{items}"), "array<string>")
     rows = bodies.select("term", "page", F.posexplode(parsed).alias("position", "item"))
     if cap is not None:
-        before = bodies.select("term", "page", "n").groupBy("term").agg(F.collect_list(F.struct("page", "n")).alias("p"))
-        rows = rows.join(before, "term")
-        start = F.aggregate(F.filter("p", lambda x: x["page"] < F.col("page")), F.lit(0), lambda a, x: a + x["n"])
-        rows = rows.where(start + F.col("position") < cap)
+        before = F.sum("n").over(W.partitionBy("term").orderBy("page").rowsBetween(W.unboundedPreceding, -1))
+        starts = bodies.select("term", "page", F.coalesce(before, F.lit(0)).alias("start"))
+        rows = rows.join(starts, ["term", "page"]).where(F.col("start") + F.col("position") < cap)
     return rows.select("term", "page", "position", *(_typed(path, kind).alias(name) for name, (path, kind) in columns.items()))
 
 
