@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from tidemark.streaming.attention import current, daily_attention, sessions, upsert_batches
+from tidemark.streaming.attention import current, daily_attention, remove_old, sessions, upsert_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,3 +31,10 @@ def test_current_rows_and_replay(spark, tmp_path):
     assert sorted(r["v"] for r in before.collect()) == [1, 5]
     write(make([(1, 3, "c"), (2, 4, "late")]), 1)
     assert sorted(r["v"] for r in current(spark, str(tmp_path / "current"), now.schema).collect()) == [3, 5]
+    # old versions go, those that the kept pointers name stay
+    for number in (2, 3, 4):
+        write(make([(1, 10 + number, "d")]), number)
+    want = sorted(tuple(r) for r in current(spark, str(tmp_path / "current"), now.schema).select("k", "v", "x").collect())
+    assert remove_old(spark, str(tmp_path / "current"), 1) > 0 and remove_old(spark, str(tmp_path / "current"), 1) == 0
+    assert sorted(tuple(r) for r in current(spark, str(tmp_path / "current"), now.schema).select("k", "v", "x").collect()) == want == [(1, 14, "d"), (2, 5, "b")]
+    assert len(list((tmp_path / "current" / "pointers").glob("0*"))) == 1

@@ -51,9 +51,10 @@ def src10_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src11_one_page", "SELECT r_regionkey::VARCHAR AS term, least(100, r_regionkey * 411)::INTEGER AS n FROM region WHERE r_regionkey IN (1, 3)")
 def src11_one_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page a term; the condition on the term reaches the source, for which the session must let Python sources take filters."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return _bodies(spark, sf_dir, "api_one_page", P.ONE_PAGE, False, True).where(F.col("term").isin("1", "3")).select("term", "n")
+    """One page a term; the condition on the term reaches the source, for which a session of its own lets Python sources take filters."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return _bodies(own, sf_dir, "api_one_page", P.ONE_PAGE, False, True).where(F.col("term").isin("1", "3")).select("term", "n")
 
 
 @query("src07_stable_counts", "SELECT r_regionkey::VARCHAR AS term, r_regionkey * 411::BIGINT AS total FROM region")

@@ -71,3 +71,24 @@ def upsert_batches(path: str, keys: list[str], version: str, buckets: int = 64):
         spark.createDataFrame(held, "bucket int, version bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/pointers/{number:012d}")
 
     return write
+
+
+def remove_old(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Deletes pointers before the last ``keep`` complete ones and versions that none of the kept names; returns the number of folders.
+
+    Only call it between batches; readers of a kept pointer find all that it names.
+    """
+    done = _pointers(spark, path)
+    kept = done[-keep:]
+    if not kept:
+        return 0
+    named = {v for n in kept for v in _versions(spark, path, n).values()}
+    files = spark._jvm.org.apache.hadoop.fs
+    root = files.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = [int(x.getPath().getName().partition("=")[2]) for x in system.listStatus(root) if x.getPath().getName().startswith("version=")]
+    # a version after the last pointer may be that of a batch that is still to be completed
+    lost = [f"{path}/version={v}" for v in held if v not in named and v <= kept[-1]] + [f"{path}/pointers/{n:012d}" for n in done if n < kept[0]]
+    for at in lost:
+        system.delete(files.Path(at), True)
+    return len(lost)
