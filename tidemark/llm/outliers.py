@@ -6,7 +6,7 @@ determinant estimate is taken. Its ``STARTS`` starts are the coordinate medians
 deviations, the mean and covariance of all rows, and those of two halves of the cells (below; by the
 parity of their indices' sum). Each
 is concentrated - the ``h`` share of rows nearest by Mahalanobis distance gives the next mean and
-covariance - until its determinant no longer falls; the least determinant wins, and its covariance is scaled
+covariance - until its determinant no longer falls, ``steps`` = 30 times at most; the least determinant wins, and its covariance is scaled
 so that the median distance is at most that of a chi-square with four degrees.
 
 A group's estimate is shrunk towards that of its language, and that towards all rows', with the
