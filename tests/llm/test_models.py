@@ -216,7 +216,7 @@ def test_html_of_test_data(spark):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_oracles(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df = queries()[name](spark, SMALL)
     found = c.sql(oracle_sql()[name])
