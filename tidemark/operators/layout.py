@@ -6,8 +6,9 @@ principal components and are moved by the gradient of the fuzzy cross entropy, w
 
 Each of ``rounds`` rounds deals the points to blocks of about ``BLOCK`` by hash, other ones each time; a task moves its block's points
 for ``epochs`` epochs while neighbours outside keep their places. So a round is one join of the edges with the positions, and
-seeds depend on round and block only: reruns agree. On eight planted clusters in 16 dimensions the trustworthiness at 15 is 0.99 (0.97
-for the principal components); the vectors of the test data are noise without neighbourhoods to keep (0.60).
+seeds depend on round and block only: reruns agree. A NumPy version of these steps has a trustworthiness at 15
+of 0.99 on eight planted clusters in 16 dimensions (0.97 for the principal components), and of 0.60 on the test data's vectors,
+which are noise without neighbourhoods to keep; a test holds this operator above 0.95 on planted clusters.
 
 Defined cases: a point without neighbours stays where it starts; copies share a start and are moved apart by their samples; empty
 table: empty result.
