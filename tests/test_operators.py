@@ -8,6 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tests.ports import generated
 from tidemark.functions import dates, payload, text
 from tidemark.operators import attention, catalog, corpus, emergence, funding, packing, runs, topics, vectors, versions
 from tidemark.sources import files, paged, row_groups, sinks
@@ -303,7 +304,7 @@ def test_sources(spark, tmp_path):
     assert [r["url"][-1] for r in files.inventory(manifest).collect()] == ["b", "a"]
     with pytest.raises(ValueError):
         files.inventory(manifest.withColumn("total_rows", F.lit(4)))
-    spark.dataSource.register(paged.api_source("pages_test", paged.generated(len, 2, False), paged.CURSORS))
+    spark.dataSource.register(paged.api_source("pages_test", generated(len, 2, False), paged.CURSORS))
     assert rows(spark.read.format("pages_test").option("terms", "a|bbb").load().select("term", "page", "n", "last")) == [("a", 0, 1, True), ("bbb", 0, 2, False), ("bbb", 1, 1, True)]
     made = []
     for _ in range(2):
@@ -338,3 +339,24 @@ def test_terms_are_pruned_at_the_source():
     rest = list(reader.pushFilters([In(("term",), ("a", "c")), GreaterThan(("n",), 3)]))
     assert [p.term for p in reader.partitions()] == ["a", "c"] and rest == [GreaterThan(("n",), 3)]
     assert list(reader.pushFilters([EqualTo(("term",), "c")])) == [] and [p.term for p in reader.partitions()] == ["c"]
+
+
+def test_the_predicate_reaches_the_source():
+    from pyspark.sql.datasource import EqualTo
+
+    asked = []
+    reader = paged._PruningReader(lambda r: asked.append(r.predicate) or paged.Page("b", 1), paged.CURSORS, {"terms": "a|b"})
+    wanted = EqualTo(("predicate",), "x|y")
+    assert list(reader.pushFilters([wanted])) == [wanted]
+    assert [row[-1] for p in reader.partitions() for row in reader.read(p)] == ["x|y"] * 2 and asked == ["x|y"] * 2
+
+
+def test_volumes_and_single_items(spark):
+    counts = {("a", "2024-01-01", "2024-01-31"): 3, ("a", "2024-02-01", "2024-02-29"): 0}
+    windows = [("a", "2024-01-01", "2024-02-01", 7), ("a", "2024-02-01", "2024-03-01", 8), (None, "2024-02-01", "2024-03-01", 9), ("a", None, "2024-03-01", None)]
+    frame = spark.createDataFrame(windows, "term string, first string, last string, mark int")
+    found = paged.volumes(frame, lambda r: paged.Page("", 0, None, counts[r.term, r.first, r.last] if r.only_total else -1))
+    assert sorted((r["mark"] or 0, r["total"]) for r in found.collect()) == [(0, None), (7, 3), (8, 0), (9, None)]
+    assert paged.volumes(frame.limit(0), lambda r: paged.Page("", 0)).count() == 0
+    ids = spark.createDataFrame([("1",), ("2",), ("1",), (None,)], "id string")
+    assert rows(paged.items(ids, {"1": "body"}.get)) == [("1", "body"), ("2", None)]

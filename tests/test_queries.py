@@ -13,7 +13,7 @@ from tidemark import queries as core
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Every query of a few seconds would take minutes together; the driver runs all, these cover each module.
-CHOSEN = ["emergence_quadrants", "emergence_observe", "attention_cube", "agg04_coverage_ledger", "win02_reconciliation", "win04_coverage_gaps", "win05_bounded_chunks", "agg18_progress", "flt01_disposition", "flt09_profile_terms", "str01_normalize", "str11_extract_events", "top04_nearest_to_centroid", "ml02_topic_keywords", "agg25_pivot_countries", "top07_refresh_queue", "snk05_upsert", "json04_work_identity"]
+CHOSEN = ["emergence_quadrants", "emergence_observe", "attention_cube", "agg04_coverage_ledger", "win02_reconciliation", "win04_coverage_gaps", "win05_bounded_chunks", "agg18_progress", "flt01_disposition", "flt09_profile_terms", "str01_normalize", "str11_extract_events", "top04_nearest_to_centroid", "ml02_topic_keywords", "agg25_pivot_countries", "top07_refresh_queue", "snk05_upsert", "json04_work_identity", "src08_page_numbers", "src08_volumes", "src08_single_items", "src11_one_page", "stm01_plan_windows", "vec02_representatives", "src15_cached_read"]
 
 
 def plain(v):

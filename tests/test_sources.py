@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import payload
 from tidemark.operators import packing, vectors, versions
+from tests.ports import generated
 from tidemark.sources import cursors, file_index, paged, points, row_groups, snapshots
 
 SF = "/root/testdata/sf0.001"
@@ -106,7 +107,7 @@ def test_a_failed_task_leaves_no_point(spark, tmp_path):
 
 def test_a_stopped_cursor_stream_goes_on(spark, tmp_path):
     sizes = {"a": 23, "bb": 0, "c": 7}
-    spark.dataSource.register(cursors.cursor_stream("cursor_test", paged.generated(sizes.get, 5, False)))
+    spark.dataSource.register(cursors.cursor_stream("cursor_test", generated(sizes.get, 5, False)))
 
     def some(batches):
         stream = spark.readStream.format("cursor_test").option("terms", "a|bb|c").load()

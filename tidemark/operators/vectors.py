@@ -41,7 +41,11 @@ def centroids(vectors: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def nearest_to_centroid(vectors: DataFrame, group: str, order: str, vector: str, k: int = 15) -> DataFrame:
-    """The k members of each group nearest to its centroid by cosine; ties keep the earlier row; a degenerate centroid takes the first k."""
+    """The k members of each group nearest to its centroid by cosine; ties keep the earlier row; a degenerate centroid takes the first k.
+
+    Members without a vector (null or empty) are skipped; a group of such members alone has no row.
+    """
+    vectors = vectors.where(F.size(vector) > 0)
     rows = vectors.join(centroids(vectors, group, vector), group)
     sim = F.when(F.col("degenerate"), F.lit(0.0)).otherwise(dot(unit(F.col(vector)), F.col("centroid")))
     rows = rows.withColumn("similarity", sim)

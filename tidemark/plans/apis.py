@@ -1,11 +1,13 @@
-"""Scans of paged APIs behind ports: what each kind of API yields, checked against generated series."""
+"""Scans of paged APIs behind ports: each kind of API serves a given table, page by page."""
 
 from __future__ import annotations
 
 import functools
 import json
 from bisect import bisect_right
+from dataclasses import dataclass
 
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -18,77 +20,147 @@ from tidemark.sources.durable import work_dir
 from tidemark.sources.files import page_defects
 
 
-def _items(term: str) -> int:
-    """Items of a term, which is a region's key: as many hundreds as the term says in its number."""
-    return int(term) * 411
+@dataclass(frozen=True)
+class TableApi:
+    """A given table behind a paged API: items of a term ascend by key.
 
+    numbers: cursors are page numbers, else the last key that came. day: bounds of a request hold for this column, the upper
+    one included. word: an item answers a predicate "a|b" if this column holds one of its words.
+    """
 
-def _bodies(spark: SparkSession, sf_dir: str, name: str, rules: P.Rules, numbers: bool, pushdown: bool = False, **options: str) -> DataFrame:
-    spark.dataSource.register(P.api_source(name, P.generated(_items, 100, numbers), rules, pushdown))
-    terms = "|".join(str(r[0]) for r in table(spark, sf_dir, "region").select("r_regionkey").orderBy("r_regionkey").collect())  # five regions
+    path: str
+    term: str
+    key: str
+    per_page: int
+    numbers: bool = False
+    day: str | None = None
+    word: str | None = None
+
+    def __call__(self, r: P.Request) -> P.Page:
+        keys, days = _found(self, r.term, r.first, r.last, r.predicate)
+        if r.only_total:
+            return P.Page("", 0, None, len(keys))
+        at = 0 if not r.cursor else int(r.cursor) * self.per_page if self.numbers else bisect_right(keys, int(r.cursor))
+        end = min(at + self.per_page, len(keys))
+        body = json.dumps({"hits": [{"id": k, "at": {"day": d}} for k, d in zip(keys[at:end], days[at:end])]})
+        after = None if end == len(keys) else end // self.per_page if self.numbers else keys[end - 1]
+        return P.Page(body, end - at, None if after is None else str(after), len(keys))
+
+
+@functools.lru_cache(8)
+def _served(api: TableApi, term: str):
+    """The rows of a term, by key; a process reads them once."""
+    system, at = fs.FileSystem.from_uri(api.path)
+    columns = dict.fromkeys(c for c in (api.key, api.day, api.word) if c)
+    return pq.read_table(at, columns=list(columns), filters=[(api.term, "==", term)], filesystem=system).sort_by(api.key)
+
+
+@functools.lru_cache(8)
+def _found(api: TableApi, term: str, first: str, last: str, predicate: str) -> tuple[list[int], list[str | None]]:
+    """Keys and days that answer a request."""
+    rows = _served(api, term)
+    if predicate:
+        words = (pc.match_substring(rows[api.word], w) for w in predicate.split("|"))
+        rows = rows.filter(functools.reduce(pc.or_, words))
+    keys = rows[api.key].to_pylist()
+    days = pc.strftime(rows[api.day], "%Y-%m-%d").to_pylist() if api.day else [None] * len(keys)
+    if first or last:
+        inside = [k for k, d in enumerate(days) if first <= d and (not last or d <= last)]
+        keys, days = [keys[k] for k in inside], [days[k] for k in inside]
+    return keys, days
+
+
+def _terms(spark: SparkSession, sf_dir: str, name: str, column: str) -> str:
+    """The option ``terms``: few kinds, as a scan names each."""
+    return "|".join(sorted(r[0] for r in table(spark, sf_dir, name).select(column).distinct().collect()))
+
+
+def _orders(sf_dir: str, **kind) -> TableApi:
+    return TableApi(f"{sf_dir}/orders.parquet", "o_orderpriority", "o_orderkey", 500, day="o_orderdate", **kind)
+
+
+def _scanned(spark: SparkSession, name: str, api: TableApi, rules: P.Rules, terms: str, **options: str) -> DataFrame:
+    spark.dataSource.register(P.api_source(name, api, rules))
     return spark.read.format(name).options(terms=terms, **options).load()
 
 
-@query("src08_page_numbers", "SELECT r_regionkey::VARCHAR AS term, least(r_regionkey * 411, 1000)::BIGINT AS n, coalesce(max(id), -1)::BIGINT AS greatest FROM region LEFT JOIN (SELECT r_regionkey AS r, unnest(range(least(r_regionkey * 411, 1000))) AS id FROM region) ON r = r_regionkey WHERE r_regionkey > 0 GROUP BY ALL")
+ITEM = {"id": ("id", "bigint"), "day": ("at.day", "string")}
+
+
+@query("src08_page_numbers", """SELECT term, count(*) AS n, max(id) AS greatest, max(day) AS newest FROM (SELECT o_orderpriority AS term, o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS k FROM orders)
+ WHERE k <= 1000 GROUP BY 1""")
 def src08_page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages by number; a term's hits end at a thousand."""
-    bodies = _bodies(spark, sf_dir, "api_numbers", P.PAGE_NUMBERS, True)
-    items = P.projected(bodies, "hits", {"id": ("id", "bigint"), "who": ("who.name", "string")}, cap=P.PAGE_NUMBERS.cap)
-    return items.groupBy("term").agg(F.count("*").alias("n"), F.max("id").alias("greatest"))
+    """Orders by priority, pages by number; the API ends a term's hits at a thousand."""
+    bodies = _scanned(spark, "api_numbers", _orders(sf_dir, numbers=True), P.PAGE_NUMBERS, _terms(spark, sf_dir, "orders", "o_orderpriority"))
+    return P.projected(bodies, "hits", ITEM, cap=P.PAGE_NUMBERS.cap).groupBy("term").agg(F.count("*").alias("n"), F.max("id").alias("greatest"), F.max("day").alias("newest"))
+
+
+@query("src08_volumes", """WITH t AS (SELECT DISTINCT o_orderpriority AS term FROM orders), m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS first FROM orders)
+ SELECT term, strftime(first, '%Y-%m-%d') AS first, count(o_orderkey) AS total FROM t CROSS JOIN m LEFT JOIN orders ON o_orderpriority = term AND date_trunc('month', o_orderdate) = first GROUP BY ALL""")
+def src08_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many orders each priority has each month, by one request for the total; the exclusive end goes out as an inclusive bound."""
+    orders = table(spark, sf_dir, "orders")
+    months = orders.select(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("month")).distinct()
+    windows = orders.select(F.col("o_orderpriority").alias("term")).distinct().crossJoin(months)  # the grid that is asked for: priorities by months
+    asked = windows.select("term", F.col("month").cast("string").alias("first"), F.add_months("month", 1).cast("string").alias("last"))
+    return P.volumes(asked.repartition("term"), _orders(sf_dir)).drop("last")
 
 
-@query("src09_total_then_bodies", "SELECT r_regionkey::VARCHAR AS term, id, r_regionkey || '-' || id AS who, '2024-01-31' AS until FROM (SELECT r_regionkey, unnest(range(r_regionkey * 411))::BIGINT AS id FROM region)")
+@functools.lru_cache(1)
+def _names(path: str) -> dict[int, str]:
+    """Nations by key, as a service has them."""
+    system, at = fs.FileSystem.from_uri(path)
+    rows = pq.read_table(at, columns=["n_nationkey", "n_name"], filesystem=system).to_pydict()
+    return dict(zip(rows["n_nationkey"], rows["n_name"]))
+
+
+@query("src08_single_items", "SELECT DISTINCT s_nationkey + k AS nation, n_name FROM supplier CROSS JOIN (VALUES (0), (20)) t(k) LEFT JOIN nation ON n_nationkey = s_nationkey + k")
+def src08_single_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' nations, and keys beyond them of which some do not exist, each asked for once by its id."""
+    path = f"{sf_dir}/nation.parquet"
+
+    def fetch(key: str) -> str | None:
+        name = _names(path).get(int(key))
+        return None if name is None else json.dumps({"name": name})
+
+    ids = table(spark, sf_dir, "supplier").select(F.explode(F.array("s_nationkey", F.col("s_nationkey") + 20)).alias("id"))
+    return P.items(ids, fetch).select(F.col("id").cast("int").alias("nation"), F.get_json_object("body", "$.name").alias("n_name"))
+
+
+@query("src09_total_then_bodies", "SELECT o_orderpriority AS term, o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-02-01'")
 def src09_total_then_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The total comes first, and none is read where it is zero; the exclusive end goes out as an inclusive bound."""
-    bodies = _bodies(spark, sf_dir, "api_totals", P.TOTAL_FIRST, True, first="2024-01-01", last="2024-02-01")
-    return P.projected(bodies, "hits", {"id": ("id", "bigint"), "who": ("who.name", "string"), "until": ("until", "string")}).drop("page", "position")
+    """The total comes first, and no body is read where it is zero; the exclusive end goes out as an inclusive bound."""
+    terms = _terms(spark, sf_dir, "orders", "o_orderpriority") + "|0-NONE"
+    bodies = _scanned(spark, "api_totals", _orders(sf_dir, numbers=True), P.TOTAL_FIRST, terms, first="1996-01-01", last="1998-02-01")
+    return P.projected(bodies, "hits", ITEM).drop("page", "position")
 
 
-@query("src10_cursors", "SELECT r_regionkey::VARCHAR AS term, greatest(1, (r_regionkey * 411 + 99) // 100) AS pages, r_regionkey * 411::BIGINT AS n FROM region")
+@query("src10_cursors", "SELECT event_type AS term, CAST(ceil(count(*) / 250.0) AS BIGINT) AS pages, count(*) AS n FROM events GROUP BY 1")
 def src10_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bodies(spark, sf_dir, "api_cursors", P.CURSORS, False).groupBy("term").agg(F.count("*").alias("pages"), F.sum("n").alias("n"))
+    api = TableApi(f"{sf_dir}/events.parquet", "event_type", "event_id", 250)
+    return _scanned(spark, "api_cursors", api, P.CURSORS, _terms(spark, sf_dir, "events", "event_type")).groupBy("term").agg(F.count("*").alias("pages"), F.sum("n").alias("n"))
 
 
-@query("src11_one_page", "SELECT r_regionkey::VARCHAR AS term, least(100, r_regionkey * 411)::INTEGER AS n FROM region WHERE r_regionkey IN (1, 3)")
+@query("src11_one_page", "SELECT p_brand AS term, 'red|blue' AS predicate, least(250, count(*))::INTEGER AS n FROM part WHERE p_brand IN ('Brand#7', 'Brand#12', 'Brand#21') AND (contains(p_name, 'red') OR contains(p_name, 'blue')) GROUP BY 1")
 def src11_one_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page a term; the condition on the term reaches the source, for which a session of its own lets Python sources take filters."""
+    """One page a term of what answers the keywords; conditions on the term and on the keywords both reach the source, for which
+    a session of its own lets Python sources take filters."""
     own = spark.newSession()
     own.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return _bodies(own, sf_dir, "api_one_page", P.ONE_PAGE, False, True).where(F.col("term").isin("1", "3")).select("term", "n")
+    own.dataSource.register(P.api_source("api_one_page", TableApi(f"{sf_dir}/part.parquet", "p_brand", "p_partkey", 250, word="p_name"), P.ONE_PAGE, True))
+    bodies = own.read.format("api_one_page").option("terms", _terms(spark, sf_dir, "part", "p_brand")).load()
+    return bodies.where(F.col("term").isin("Brand#7", "Brand#12", "Brand#21") & (F.col("predicate") == "red|blue")).select("term", "predicate", "n")
 
 
-@query("src07_stable_counts", "SELECT r_regionkey::VARCHAR AS term, r_regionkey * 411::BIGINT AS total FROM region")
+@query("src07_stable_counts", "SELECT p_type AS term, count(*) AS total FROM part GROUP BY 1")
 def src07_stable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scans whose pages are without defects: one total, cursors that differ, no empty page before the last; and all items there."""
-    bodies = _bodies(spark, sf_dir, "api_stable", P.Rules(has_total=True), False)
+    """Scans of the parts by type whose pages are without defects: one total, cursors that differ, no empty page before the last; and all items there."""
+    bodies = _scanned(spark, "api_stable", TableApi(f"{sf_dir}/part.parquet", "p_type", "p_partkey", 100), P.Rules(has_total=True), _terms(spark, sf_dir, "part", "p_type"))
     receipts = bodies.select(F.col("term").alias("scan_id"), "page", "total", "cursor", "n", "last")
     whole = bodies.groupBy("term").agg(F.max("total").alias("total"), F.sum("n").alias("n")).where("total = n")
     return whole.join(page_defects(receipts).select(F.col("scan_id").alias("term")), "term", "left_anti").select("term", "total")
 
 
-@functools.lru_cache(4)
-def _keys(path: str, term: str, key: str) -> dict[str, list[int]]:
-    """Keys of a table by term, ascending; a process reads them once."""
-    system, at = fs.FileSystem.from_uri(path)
-    rows = pq.read_table(at, columns=[term, key], filesystem=system).to_pydict()
-    out: dict[str, list[int]] = {}
-    for t, k in sorted(zip(rows[term], rows[key])):
-        out.setdefault(t, []).append(k)
-    return out
-
-
-def over_table(path: str, term: str, key: str, per_page: int) -> P.Fetch:
-    """A given table behind a cursor API: the cursor is the last key that came."""
-
-    def fetch(r: P.Request) -> P.Page:
-        own = _keys(path, term, key).get(r.term, [])
-        at = bisect_right(own, int(r.cursor)) if r.cursor else 0
-        ids = own[at : at + per_page]
-        return P.Page(json.dumps({"hits": [{"id": k} for k in ids]}), len(ids), str(ids[-1]) if at + len(ids) < len(own) else None, len(own))
-
-    return fetch
-
-
 PAGED = "SELECT o_orderpriority AS term, CAST(ceil(count(*) / 500.0) AS BIGINT) AS pages, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1"
 
 
@@ -101,19 +173,17 @@ def _counted(bodies: DataFrame) -> DataFrame:
 @query("src10_paged_orders", PAGED)
 def src10_paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders by priority behind a cursor API: a task a priority, cursors checked, items read from the kept bodies."""
-    spark.dataSource.register(P.api_source("api_orders", over_table(f"{sf_dir}/orders.parquet", "o_orderpriority", "o_orderkey", 500), P.Rules(has_total=True)))
-    terms = [r[0] for r in table(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect()]  # the priorities, five
-    return _counted(spark.read.format("api_orders").option("terms", "|".join(terms)).load())
+    return _counted(_scanned(spark, "api_orders", _orders(sf_dir), P.Rules(has_total=True), _terms(spark, sf_dir, "orders", "o_orderpriority")))
 
 
 @query("src06_resumed_stream", PAGED)
 def src06_resumed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same API as a stream that stops after its first batch and goes on from the checkpoint: no page is lost or repeated."""
     at = work_dir(spark, "cursors")
-    spark.dataSource.register(cursor_stream("api_orders_stream", over_table(f"{sf_dir}/orders.parquet", "o_orderpriority", "o_orderkey", 500)))
-    terms = [r[0] for r in table(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect()]
+    spark.dataSource.register(cursor_stream("api_orders_stream", _orders(sf_dir)))
+    terms = _terms(spark, sf_dir, "orders", "o_orderpriority")
     for once in (True, False):
-        rows = spark.readStream.format("api_orders_stream").options(terms="|".join(terms), pages=4).load()
+        rows = spark.readStream.format("api_orders_stream").options(terms=terms, pages=4).load()
         out = rows.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/check")
         q = (out.trigger(once=True) if once else out).start()
         if once:

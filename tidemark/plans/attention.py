@@ -91,13 +91,19 @@ def jn09_topic_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.topic_mentions(r["links"], r["matched"]).join(inside, "mention_id", "left_semi").groupBy("topic_id").agg(F.count("*").alias("mentions"))
 
 
-@query("stm01_plan_windows", f"""{ROLES}, edge AS (SELECT channel, term_id, max(we::DATE) AS e FROM scans WHERE scan_id <> 7 GROUP BY ALL)
- SELECT 'main' AS channel, term_id, greatest(coalesce(e, DATE '{START}'), DATE '{START}') AS window_start, DATE '{END}' AS window_end
- FROM (SELECT DISTINCT term_id FROM links) LEFT JOIN edge USING (term_id) WHERE greatest(coalesce(e, DATE '{START}'), DATE '{START}') < DATE '{END}'""")
+@query("stm01_plan_windows", """WITH scans AS (SELECT n_name AS channel, c_mktsegment AS term_id, max(date_trunc('month', o_orderdate)::DATE) AS edge FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'F' AND o_totalprice > 100000 GROUP BY ALL),
+ terms AS (SELECT DISTINCT c_mktsegment AS term_id FROM customer), channels AS (SELECT DISTINCT n_name AS channel FROM nation),
+ grid AS (SELECT channel, term_id, greatest(coalesce(edge, DATE '1996-01-01'), DATE '1996-01-01') AS window_start FROM channels CROSS JOIN terms LEFT JOIN scans USING (channel, term_id))
+ SELECT channel, term_id, window_start, DATE '2001-07-01' AS window_end FROM grid WHERE window_start < DATE '2001-07-01'""")
 def stm01_plan_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = roles(spark, sf_dir)
-    scans = r["scans"].withColumn("parent_id", F.when(F.col("scan_id") == 7, F.lit(1)))
-    return A.plan_windows(r["links"], r["spine"], scans, START, END)
+    """Nations are channels, market segments terms, orders scans up to their month; those not filled came from a split scan."""
+    nations, customers = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 100000").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    scans = orders.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("channel"), F.col("c_mktsegment").alias("term_id"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("parent_id"),
+        F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("window_end"),
+    )
+    return A.plan_windows(customers.select(F.col("c_mktsegment").alias("term_id")), nations.select(F.col("n_name").alias("channel")), scans, dt.date(1996, 1, 1), dt.date(2001, 7, 1))
 
 
 @query("stm02_scan_status", """SELECT o_orderkey, CASE WHEN total > 150 AND span > 1 THEN 'split' WHEN (fetched >= 150 AND o_orderstatus = 'O' OR total > fetched) THEN CASE WHEN span > 1 THEN 'split' ELSE 'truncated' END ELSE 'complete' END AS status

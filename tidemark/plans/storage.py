@@ -42,6 +42,15 @@ def src04_counted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.validate_files(spark, at, files.withColumn("rows", rows))
 
 
+@query("src15_cached_read", "SELECT o_custkey, count(*) AS n, sum(o_totalprice > 200000)::BIGINT AS large FROM orders GROUP BY 1")
+def src15_cached_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first read finds no table and keeps what the fallback gives; the second, whose fallback gives no row, reads what is kept."""
+    at = f"{work_dir(spark, 'cached')}/orders"
+    orders = table(spark, sf_dir, "orders")
+    S.read_or(spark, at, lambda: orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("o_totalprice") > 200000).alias("large")))
+    return S.read_or(spark, at, lambda: orders.limit(0))
+
+
 @query("src05_acquired_files", """SELECT p_partkey::VARCHAR AS name, CASE WHEN p_partkey % 5 IN (0, 1, 4) THEN strlen(p_partkey::VARCHAR) + CASE WHEN p_partkey % 5 = 1 THEN 1 ELSE 0 END WHEN p_partkey % 5 = 2 THEN strlen(p_partkey::VARCHAR) END::BIGINT AS size, p_partkey % 5 = 0 AS adopted,
  CASE p_partkey % 5 WHEN 1 THEN 'size' WHEN 2 THEN 'checksum' WHEN 3 THEN 'unreachable' END AS defect FROM part""")
 def src05_acquired_files(spark: SparkSession, sf_dir: str) -> DataFrame:

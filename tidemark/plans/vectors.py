@@ -24,6 +24,13 @@ def top04_nearest_to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.nearest_to_centroid(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding").select("label", "vec_id", F.col("rank").cast("bigint").alias("rank"))
 
 
+@query("vec02_representatives", UNIT.replace("FROM embeddings", "FROM embeddings WHERE vec_id % 3 <> 0") + " SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY list_dot_product(v, c) DESC, vec_id) AS rank FROM u JOIN n USING (label) QUALIFY rank <= 1000")
+def vec02_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the members has no vector: they are skipped, also where the list is not full."""
+    points = table(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 3 != 0, F.col("embedding")))
+    return V.nearest_to_centroid(points, "label", "vec_id", "embedding", 1000).select("label", "vec_id", F.col("rank").cast("bigint").alias("rank"))
+
+
 @query("vec03_short_lists", f"""{UNIT}, near AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY list_dot_product(v, c) DESC, vec_id) AS rank FROM u JOIN n USING (label)), s AS (SELECT label, count(*) AS size, list(vec_id ORDER BY vec_id) AS m FROM u GROUP BY 1),
  f AS (SELECT label, list(vec_id ORDER BY rank) AS found FROM near JOIN s USING (label) WHERE rank <= least(15, size) GROUP BY label), o AS (SELECT label, CASE label % 3 WHEN 0 THEN list_slice(m, 1, 20) WHEN 1 THEN list_slice(m, 1, 4) ELSE [] END AS own, found FROM s JOIN f USING (label))
  SELECT label, array_to_string(CASE WHEN len(own) < 15 AND len(found) > len(own) THEN found ELSE own END, ',') AS items FROM o""")

@@ -7,12 +7,13 @@ they came, one row a page, so that they can be kept. Items are read out of the b
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.window import Window as W
 
@@ -66,9 +67,14 @@ class PageError(ValueError):
     """A page breaks the API's rules: a changed total, a repeated cursor, or an empty page before the last."""
 
 
+def _end(last: str, rules: Rules) -> str:
+    """The upper bound as the API takes it."""
+    return (dt.date.fromisoformat(last) - dt.timedelta(days=1)).isoformat() if last and rules.inclusive else last
+
+
 def scan(fetch: Fetch, rules: Rules, term: str, first: str, last: str, predicate: str) -> Iterator[tuple]:
     """The rows of SCHEMA for one term; [first, last) are ISO days or empty."""
-    end = (dt.date.fromisoformat(last) - dt.timedelta(days=1)).isoformat() if last and rules.inclusive else last
+    end = _end(last, rules)
     ask = lambda cursor, only_total=False: fetch(Request(term, first, end, cursor, predicate, only_total))
     total = ask(None, True).total if rules.total_first else None
     if rules.total_first and not total:
@@ -113,21 +119,30 @@ class _Reader(DataSourceReader):
 
 
 class _PruningReader(_Reader):
-    """Takes conditions on the term, so other terms are not asked for; needs spark.sql.python.filterPushdown.enabled."""
+    """Takes conditions on the term, so other terms are not asked for, and one on the predicate, which goes out with each request;
+    needs spark.sql.python.filterPushdown.enabled."""
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802 - a name of the interface
+        asked = [f.value for f in filters if isinstance(f, EqualTo) and f.attribute == ("predicate",)]
+        if asked and not self.options.get("predicate"):
+            self.options = self.options | {"predicate": asked[0]}
         for f in filters:
             if isinstance(f, (EqualTo, In)) and f.attribute == ("term",):
                 wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 self.terms = [t for t in self.terms if t in wanted]
             else:
-                yield f
+                yield f  # also the predicate: rows carry the one they were asked with, so a second one leaves none
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        predicate = self.options.get("predicate", "")
+        yield from ((*row, predicate) for row in super().read(partition))
 
 
 def api_source(name: str, fetch: Fetch, rules: Rules, pushdown: bool = False) -> type[DataSource]:
     """A data source of page bodies; options: terms ("a|b"), first, last (ISO days, the end excluded), predicate.
 
-    Register it with ``spark.dataSource.register``. pushdown: conditions on the term reach the source.
+    Register it with ``spark.dataSource.register``. pushdown: conditions on the term reach the source, and rows have a further
+    column ``predicate``, whose wanted value reaches the source too.
     """
 
     class Api(DataSource):
@@ -136,7 +151,7 @@ def api_source(name: str, fetch: Fetch, rules: Rules, pushdown: bool = False) ->
             return name
 
         def schema(self) -> str:
-            return SCHEMA
+            return f"{SCHEMA}, predicate string" if pushdown else SCHEMA
 
         def reader(self, schema) -> DataSourceReader:
             return (_PruningReader if pushdown else _Reader)(fetch, rules, dict(self.options))
@@ -162,17 +177,32 @@ def _typed(path: str, kind: str) -> Column:
     return F.get_json_object("item", f"$.{path}").try_cast(kind)
 
 
-def generated(sizes: Callable[[str], int], per_page: int, numbers: bool) -> Fetch:
-    """A port for tests and examples: term t has sizes(t) items {"id": k}; pages by number or by cursor, totals with both."""
+def volumes(windows: DataFrame, fetch: Fetch, rules: Rules = TOTAL_FIRST) -> DataFrame:
+    """windows with ``total``: what the API counts for each term in [first, last); no body is asked for.
+
+    windows: term, first, last (ISO days, the end excluded) and any further columns. A null term or bound has a null total.
+    """
+    names = windows.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            asked = [_total(fetch, rules, *row) for row in zip(part["term"], part["first"], part["last"])]
+            yield part.assign(total=pd.array(asked, "Int64"))[[*names, "total"]]
+
+    return windows.mapInPandas(run, T.StructType([*windows.schema.fields, T.StructField("total", T.LongType())]))
+
+
+def _total(fetch: Fetch, rules: Rules, term: str | None, first: str | None, last: str | None) -> int | None:
+    if term is None or first is None or last is None:
+        return None
+    return fetch(Request(term, first, _end(last, rules), None, "", True)).total
+
+
+def items(ids: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
+    """id, body of every distinct id (text); the body is null where the API has no such item. Nulls are not asked for."""
 
-    def fetch(r: Request) -> Page:
-        size = sizes(r.term)
-        if r.only_total:
-            return Page("", 0, None, size)
-        at = int(r.cursor or 0) * (per_page if numbers else 1)
-        ids = range(at, min(at + per_page, size))
-        after = at + len(ids)
-        body = json.dumps({"hits": [{"id": k, "who": {"name": f"{r.term}-{k}"}, "until": r.last} for k in ids]})
-        return Page(body, len(ids), (str(after // per_page) if numbers else str(after)) if after < size else None, size)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            yield part.assign(body=[fetch(k) for k in part["id"]])
 
-    return fetch
+    return ids.select(F.col("id").cast("string").alias("id")).where("id is not null").distinct().mapInPandas(run, "id string, body string")
