@@ -45,6 +45,30 @@ def test_language_probabilities_sum_to_one():
         assert (total <= 1 + 1e-5).all() and (total > 1 - 2 / size).all()
 
 
+def test_many_languages_share_what_the_driver_holds(spark, monkeypatch):
+    import numpy as np
+
+    names = [f"x{k:02d}" for k in range(30)]
+    words = {x: [f"{x[1]}{c}{x[2]}" for c in "abcdefgh"] for x in names}
+    rows = [(30 * j + k, " ".join(words[x][(j * i) % 8] for i in range(40)), x) for k, x in enumerate(names) for j in range(12)]
+    frame = spark.createDataFrame([*rows, (9002, "one text of a rare language", "rare"), (9008, "word " * 900, "rarer"), (9009, "words " * 900, "rarer")], "doc_id bigint, text string, lang string")
+    sizes = []
+    kept = language.Model.__init__
+    monkeypatch.setattr(language.Model, "__init__", lambda self, texts, **o: (sizes.append({x: sum(map(len, t)) for x, t in texts.items()}), kept(self, texts, **o))[1])
+    model = language.fit(frame, most=31, all_bytes=31 * 500)
+    assert len(sizes[0]) == 31 and set(names) < set(sizes[0]) and all(0 < n <= 500 for x, n in sizes[0].items() if x in names)
+    assert [p.width for p in model.parts] == [8, 8, 8, 7]
+    texts = [t.encode() for _, t, _ in rows[::7]] + [b"", b"12 ?", "世界 new".encode()]
+    data, offsets = language._joined(texts)
+    apart = model.losses(data, offsets)[0]
+    monkeypatch.setattr(language, "WIDTH", 64)
+    whole = language.fit(frame, most=31, all_bytes=31 * 500)
+    assert len(whole.parts) == 1 and np.allclose(apart, whole.losses(data, offsets)[0], rtol=1e-5, atol=1e-4)
+    assert np.allclose(model.limit, whole.limit, rtol=1e-5) and model.judge(data, offsets)[0] == whole.judge(data, offsets)[0]
+    language.fit(frame.where("lang = 'rarer'"), all_bytes=100)
+    assert sizes[-1] == {"rarer": 4500}
+
+
 def test_language_models_against_dictionaries(docs):
     import numpy as np
 
@@ -68,7 +92,7 @@ def test_language_models_against_dictionaries(docs):
 def test_language_learns_from_a_bounded_sample(spark, docs):
     few = language.fit(docs, per_lang=3)
     less = language.fit(docs, per_lang=3, max_bytes=1)
-    assert few.langs == less.langs and len(few.keys[4]) > len(less.keys[4]) > 0
+    assert few.langs == less.langs and len(few.parts[0].keys[4]) > len(less.parts[0].keys[4]) > 0
     with pytest.raises(ValueError):
         language.Model({"a": [b"abc"]}, order=5)
 
