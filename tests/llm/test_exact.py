@@ -66,6 +66,16 @@ def test_decontaminate(spark, docs, rows, empty):
     assert {"score", "hit_items", "n_hit"} <= set(wide.columns) and wide.count() == len(rows)
 
 
+def test_texts_with_one_key_keep_their_own_findings(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "text_key", lambda text: F.length(text) % 2)
+    items = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
+    items = [(x["item_id"], x["text"]) for x in items] + [(f"own-{r[0]}", " ".join((r[1] or "").split()[:20])) for r in rows[:6]]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = brute.contamination([r[:2] for r in rows], items)
+    assert sum(x[2] > 0 for x in want) >= 4
+    same(decontaminate.digest(docs, bench), want)
+
+
 def test_decontaminate_scans_do_not_grow_with_the_benchmark(spark, docs, rows, monkeypatch):
     """A larger benchmark, and sieves too small for it: the same plan, the same exact result."""
     texts = {r[0]: r[1] for r in rows}
