@@ -67,7 +67,7 @@ def test_decontaminate(spark, docs, rows, empty):
 
 
 def test_texts_with_one_key_keep_their_own_findings(spark, docs, rows, monkeypatch):
-    monkeypatch.setattr(decontaminate, "text_key", lambda text: F.length(text) % 2)
+    monkeypatch.setattr(decontaminate, "text_keys", lambda text: (F.length(text) % 2, F.xxhash64(F.lit(2), text)))
     items = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
     items = [(x["item_id"], x["text"]) for x in items] + [(f"own-{r[0]}", " ".join((r[1] or "").split()[:20])) for r in rows[:6]]
     bench = spark.createDataFrame(items, "item_id string, text string")

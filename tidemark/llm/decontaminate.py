@@ -12,8 +12,7 @@ none, is one window). A window is contained in a document when its words occur t
    window gives the only possible start (positional bound); the window must fit in the document
    (length bound).
 4. Survivors are verified byte for byte over the window, from the words around the shingle that come
-   with it. What is found meets the documents by the hash of their text, and each window is looked up once more where it
-   should stand, so texts with the same hash keep their own findings.
+   with it. What is found meets the documents by two independent 64-bit hashes of their text.
 
 The benchmark is never collected: documents are scanned as often for a large one as for a small
 one. Before a shuffle, bitmaps of at most ``1 << MAX_BITS`` bits sieve document shingles; where they
@@ -33,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,7 +136,8 @@ def _count(sizes: list[int], sieve: Broadcast):
     return run
 
 
-MET = "gram long, uid long, pos int, before int, around binary"
+KEYS = ("_tm_uid", "_tm_uid2")
+MET = "gram long, uid long, uid2 long, pos int, before int, around binary"
 
 
 def _met(sizes: list[int], sieve: Broadcast, window: int):
@@ -147,9 +146,9 @@ def _met(sizes: list[int], sieve: Broadcast, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = K.buffers(K.column(batch, "t"))
-            uid = np.asarray(K.column(batch, "uid"))
+            uid, uid2 = (np.asarray(K.column(batch, c)) for c in ("uid", "uid2"))
             lead = np.zeros(len(uid), bool)
-            lead[np.unique(np.asarray(K.column(batch, "t").dictionary_encode().indices.fill_null(-1)), return_index=True)[1]] = True
+            lead[np.unique(np.stack((uid, uid2), axis=1), axis=0, return_index=True)[1]] = True
             for i, _, d, o in K.blocks(K.LOWER[data], offsets):
                 starts, ends, at, h = _words(d, o)
                 rows = []
@@ -161,9 +160,9 @@ def _met(sizes: list[int], sieve: Broadcast, window: int):
                     for p, g, x in zip(place[hit].tolist(), grams[hit].view(np.int64).tolist(), doc.tolist()):
                         if lead[i + x]:
                             lo, hi = max(int(at[x]), p - more), min(int(at[x + 1]), p + size + more)
-                            rows.append((g, uid[i + x], p - int(at[x]), p - lo, b" ".join(d[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist()))))
+                            rows.append((g, uid[i + x], uid2[i + x], p - int(at[x]), p - lo, b" ".join(d[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist()))))
                 for k in range(0, len(rows), 5000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 5000]), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["gram", "uid", "pos", "before", "around"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 5000]), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["gram", "uid", "uid2", "pos", "before", "around"])
 
     return run
 
@@ -177,17 +176,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first.append(pos - offset)
             ok.append(at >= 0 and b" ".join(around.split(b" ")[at : at + size]) == words)
         some = pa.array(ok, pa.bool_())
-        columns = [K.column(batch, "uid"), pa.array(first, pa.int32()), K.column(batch, "size"), K.column(batch, "w")]
-        yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], names=["uid", "first", "size", "w"])
-
-
-def _standing(found: list, words: list[bytes]) -> list:
-    """Those of the windows (first, size, w) that stand in these words."""
-    return [x for x in found if xxhash.xxh64_intdigest(b" ".join(words[x["first"] : x["first"] + x["size"]]), 42) == x["w"] % (1 << 64)]
+        columns = [K.column(batch, "uid"), K.column(batch, "uid2"), pa.array(first, pa.int32()), K.column(batch, "size"), K.column(batch, "w")]
+        yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], names=["uid", "uid2", "first", "size", "w"])
 
 
 def _finish(text: str):
-    """Counts words and united spans of each document; ``_tm_found`` has the windows of the texts with its text's hash."""
+    """Counts words and united spans of each document; ``_tm_found`` has its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,30 +189,23 @@ def _finish(text: str):
             found = arrays.pop("_tm_found").to_pylist()
             items = arrays.pop("_tm_items").to_pylist()
             data, offsets, _ = K.buffers(arrays[text])
-            counts, hits, spans, names = [], [], [], []
-            for i, _, d, o in K.blocks(K.LOWER[data], offsets):
-                starts, ends, at = K.words(d, o, K.ALNUM)
-                for x, n in enumerate(np.diff(at).tolist()):
-                    mask, own = np.zeros(n, bool), found[i + x] or []
-                    if own:
-                        lo, hi = int(at[x]), int(at[x + 1])
-                        own = _standing(own, [d[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())])
-                    if own:
-                        first, size = (np.array([y[c] for y in own], np.int64) for c in ("first", "size"))
-                        mask = K.cover(first, first + size, n)
-                    kinds = {y["w"] for y in own}
-                    counts.append(n)
-                    hits.append(int(mask.sum()))
-                    spans.append(np.stack(K.runs(mask)).T.tolist())
-                    names.append(sorted({y["item"] for y in items[i + x] or [] if y["w"] in kinds}))
-            arrays |= {"_tm_n_words": pa.array(counts, pa.int64()), "_tm_n_hit": pa.array(hits, pa.int64()), "_tm_hit_spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "_tm_hit_items": pa.array(names, pa.list_(pa.string()))}
+            counts = [int(n) for _, _, d, o in K.blocks(K.LOWER[data], offsets) for n in np.diff(K.words(d, o, K.ALNUM)[2])]
+            hits, spans = [], []
+            for n, own in zip(counts, found):
+                mask = np.zeros(n, bool)
+                if own:
+                    first, size = (np.array([x[c] for x in own], np.int64) for c in ("first", "size"))
+                    mask = K.cover(first, first + size, n)
+                hits.append(int(mask.sum()))
+                spans.append(np.stack(K.runs(mask)).T.tolist())
+            arrays |= {"_tm_n_words": pa.array(counts, pa.int64()), "_tm_n_hit": pa.array(hits, pa.int64()), "_tm_hit_spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "_tm_hit_items": pa.array([sorted(x or []) for x in items], pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
     return run
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """(uid, first, size, w) for every window that stands in a document; docs: uid, t; windows: w, size, words, grams."""
+    """(uid, uid2, first, size, w) for every window that stands in a document; docs: uid, uid2, t; windows: w, size, words, grams."""
     flat = windows.select("w", "size", F.posexplode("grams").alias("offset", "gram"))
     grams = stored(flat.select("gram").distinct(), "grams")
     sizes = sorted({min(r["size"], SHINGLE) for r in windows.select("size").distinct().collect()})  # at most ``window`` rows
@@ -228,13 +215,13 @@ def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     prefixes = rated.where("least > 0").select("w", F.col("p.gram").alias("gram"), F.col("p.offset").alias("offset"))
     prefixes = stored(prefixes.join(windows.select("w", "size", "words"), "w"), "prefixes")
     met = docs.transform(K.mapped, _met(sizes, _sieve(prefixes.select("gram").distinct()), window), MET)
-    both = met.join(prefixes, "gram").select("uid", "pos", "before", "around", "offset", "size", "words", "w")
-    return both.transform(K.mapped, _verify, "uid long, first int, size int, w long")
+    both = met.join(prefixes, "gram").select("uid", "uid2", "pos", "before", "around", "offset", "size", "words", "w")
+    return both.transform(K.mapped, _verify, "uid long, uid2 long, first int, size int, w long")
 
 
-def text_key(text: Column) -> Column:
-    """By what a text's findings come back to it; texts may share one."""
-    return F.xxhash64(text)
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """By what a text's findings come back to it: two hashes with different seeds."""
+    return F.xxhash64(text), F.xxhash64(F.lit(2), text)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13) -> DataFrame:
@@ -246,13 +233,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     parts = stored(parts.withColumn("w", F.xxhash64("words")).distinct(), "windows")
     windows = stored(parts.select("w", "size", "words", "grams").dropDuplicates(["words"]), "distinct")
     plain = F.col(text).cast("string")
-    found = stored(occurrences(docs.select(text_key(plain).alias("uid"), plain.alias("t")), windows, window).distinct(), "occurrences")
-    spans = found.groupBy("uid").agg(F.collect_set(F.struct("first", "size", "w")).alias("_tm_found"))
-    named = found.select("uid", "w").distinct().join(parts.where("item is not null").select("w", "item").distinct(), "w").groupBy("uid").agg(F.collect_set(F.struct("w", "item")).alias("_tm_items"))
-    hits = stored(spans.join(named, "uid", "left").withColumnRenamed("uid", "_tm_uid"), "hits")
-    size = hits.agg(F.sum(64 + 24 * F.size("_tm_found") + F.coalesce(F.octet_length(F.array_join("_tm_items.item", ",")) + 24 * F.size("_tm_items"), F.lit(0)))).first()[0] or 0
+    found = stored(occurrences(docs.select(*(k.alias(c) for k, c in zip(text_keys(plain), ("uid", "uid2"))), plain.alias("t")), windows, window).distinct(), "occurrences")
+    spans = found.groupBy("uid", "uid2").agg(F.collect_set(F.struct("first", "size")).alias("_tm_found"))
+    named = found.select("uid", "uid2", "w").distinct().join(parts.where("item is not null").select("w", "item").distinct(), "w").groupBy("uid", "uid2").agg(F.collect_set("item").alias("_tm_items"))
+    hits = stored(spans.join(named, ["uid", "uid2"], "left").withColumnsRenamed({"uid": "_tm_uid", "uid2": "_tm_uid2"}), "hits")
+    size = hits.agg(F.sum(72 + 16 * F.size("_tm_found") + F.coalesce(F.octet_length(F.array_join("_tm_items", ",")), F.lit(0)))).first()[0] or 0
     hits = F.broadcast(hits) if size <= SENT_BYTES else hits.hint("shuffle_hash")
-    joined = out.withColumn("_tm_uid", text_key(plain)).join(hits, "_tm_uid", "left").drop("_tm_uid")
+    joined = out.withColumns(dict(zip(KEYS, text_keys(plain)))).join(hits, list(KEYS), "left").drop(*KEYS)
     done = T.StructType([*out.schema.fields, T.StructField("_tm_n_words", T.LongType()), T.StructField("_tm_n_hit", T.LongType()), T.StructField("_tm_hit_spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("_tm_hit_items", T.ArrayType(T.StringType()))])
     result = joined.transform(K.mapped, _finish(text), done)
     return result.withColumnsRenamed({f"_tm_{c}": c for c in added})
