@@ -5,10 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.durable import spread
+
+#: Bytes of fetched files that a task holds before it hands them on.
+HELD = 16 << 20
 MAX_RECORD, MAX_TOTAL = 1 << 20, 16 << 20
 
 
@@ -66,32 +70,48 @@ def acquire(manifest: DataFrame, receipts: DataFrame, fetch: Callable[[str], byt
     """name, content, size, adopted, defect of a manifest's files, fetched by a port, which raises OSError to be tried again.
 
     manifest: name, bytes, sha256. receipts: name, sha256 of what is already kept. A file whose receipt has the manifest's
-    checksum is adopted and not fetched (its content is null). defect: ``unreachable``, ``size`` (also above ``most`` bytes,
-    which are not asked for) or ``checksum``; null for a good file. A task holds one file at a time.
+    checksum is adopted and not fetched (its content is null). defect: ``unreachable``, ``size`` (also above ``most`` bytes
+    or of no stated size, which are not asked for) or ``checksum``; null for a good file. Files are dealt to tasks evenly; a
+    task holds files of HELD bytes together, or one that is larger.
     """
     kept = receipts.select("name", "sha256").distinct().withColumn("adopted", F.lit(True))
     rows = manifest.select("name", "bytes", "sha256").join(kept, ["name", "sha256"], "left")
-    fresh = rows.where("adopted is null and bytes <= %d" % most)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def got(name: str, size: int | None, sha: str | None, adopted: bool | None) -> tuple:
+        if adopted:
+            return name, None, size, True, None
+        if size is None or size > most:
+            return name, None, None, False, "size"
+        content = None
+        for _ in range(attempts):
+            try:
+                content = fetch(name)
+                break
+            except OSError:
+                continue
+        good = content is not None and len(content) == size
+        defect = "unreachable" if content is None else "size" if not good else None if hashlib.sha256(content).hexdigest() == sha else "checksum"
+        return name, content, None if content is None else len(content), False, defect
+
+    schema = pa.schema([("name", pa.string()), ("content", pa.binary()), ("size", pa.int64()), ("adopted", pa.bool_()), ("defect", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            for name, size, sha in zip(part["name"], part["bytes"], part["sha256"]):
-                content = None
-                for _ in range(attempts):
-                    try:
-                        content = fetch(name)
-                        break
-                    except OSError:
-                        continue
-                good = content is not None and len(content) == size
-                defect = "unreachable" if content is None else "size" if not good else None if hashlib.sha256(content).hexdigest() == sha else "checksum"
-                yield pd.DataFrame({"name": [name], "content": [content], "size": [None if content is None else len(content)], "adopted": [False], "defect": [defect]}).astype({"size": "Int64"})
-
-    schema = "name string, content binary, size bigint, adopted boolean, defect string"
-    none = F.lit(None).cast("binary").alias("content")
-    old = rows.where("adopted").select("name", none, F.col("bytes").cast("bigint").alias("size"), "adopted", F.lit(None).cast("string").alias("defect"))
-    large = rows.where("adopted is null and bytes > %d" % most).select("name", none, F.lit(None).cast("bigint").alias("size"), F.lit(False).alias("adopted"), F.lit("size").alias("defect"))
-    return old.unionByName(large).unionByName(fresh.mapInPandas(run, schema))
+            found, held = [], 0
+            for asked in zip(*(part.column(c).to_pylist() for c in ("name", "bytes", "sha256", "adopted"))):
+                found.append(got(*asked))
+                held += len(found[-1][1] or b"")
+                if held >= HELD:
+                    yield _batch(schema, found)
+                    found, held = [], 0
+            if found:
+                yield _batch(schema, found)
+
+    return spread(rows).mapInArrow(run, "name string, content binary, size bigint, adopted boolean, defect string")
+
+
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def pages(bodies: DataFrame, items: str, schema: str) -> DataFrame:
