@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tidemark.sources import files
+from tidemark.plans import apis
+from tidemark.sources import files, paged
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_acquired_files_are_dealt_to_many_tasks_and_none_is_lost(spark, monkeypatch):
@@ -19,3 +24,25 @@ def test_acquired_files_are_dealt_to_many_tasks_and_none_is_lost(spark, monkeypa
     assert len(got) == 42 and got["n7"] == (b"n7", 2, False, None) and got["n17"] == (b"n17", 3, False, None)
     assert got["unsized"] == (None, None, False, "size") and got["kept"] == (None, 4, True, None)
     assert found.select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_a_served_table_is_paged_from_small_files(spark, monkeypatch):
+    monkeypatch.setattr(apis, "SEGMENT", 100)
+    orders = {r["o_orderkey"]: (r["o_orderpriority"], str(r["d"])) for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("d")).collect()}
+    for numbers in (True, False):
+        api = apis._served(spark, SF, "orders", "o_orderpriority", "o_orderkey", 37, day="o_orderdate", word="o_orderstatus", numbers=numbers)
+        assert max(pq.read_metadata(p).num_rows for p, _, _ in apis._paths(api.path)) <= 100
+        for first, last in (("", ""), ("1995-01-01", "1996-12-31"), ("1995-01-01", ""), ("1999-01-01", "1999-01-01")):
+            want = sorted(k for k, (p, d) in orders.items() if p == "1-URGENT" and first <= d <= (last or "9"))
+            found = [tuple(r) for r in paged.scan(api, paged.Rules(has_total=True), "1-URGENT", first, last, "")]
+            items = [x for r in found for x in json.loads(r[6])["hits"]]
+            assert [x["id"] for x in items] == want and all(x["at"]["day"] == orders[x["id"]][1] for x in items)
+            assert found[-1][3] == len(want) == api(paged.Request("1-URGENT", first, last, None, "", True)).total
+    f_or_o = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderpriority = '5-LOW' and o_orderstatus in ('F', 'O')").count()
+    assert api(paged.Request("5-LOW", "", "", None, "F|O", True)).total == f_or_o and api(paged.Request("none", "", "", None, "")).items == 0
+
+
+def test_bodies_go_on_in_batches_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(paged, "BATCH_BYTES", 1000)
+    rows = [("t", k, None, None, 1, k == 9, "x" * 400) for k in range(10)]
+    assert [b.num_rows for b in paged.batches(iter(rows))] == [3, 3, 3, 1]

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,7 @@ CURSORS = Rules()
 ONE_PAGE = Rules(cap=250, pages=1)
 
 SCHEMA = "term string, page int, cursor string, total bigint, n int, last boolean, body string"
+PAGES = pa.schema([("term", pa.string()), ("page", pa.int32()), ("cursor", pa.string()), ("total", pa.int64()), ("n", pa.int32()), ("last", pa.bool_()), ("body", pa.string())])
 Fetch = Callable[[Request], Page]
 
 
@@ -98,6 +100,28 @@ def scan(fetch: Fetch, rules: Rules, term: str, first: str, last: str, predicate
         cursor, number, got = page.after, number + 1, got + page.items
 
 
+#: Bytes of bodies in a batch that goes to Spark.
+BATCH_BYTES = 4 << 20
+
+
+def batches(rows: Iterator[tuple], *more: pa.Field) -> Iterator[pa.RecordBatch]:
+    """Rows of SCHEMA (and more columns) in Arrow batches by bytes, as pages may be large and Spark's own batches go by rows."""
+    schema = pa.schema([*PAGES, *more])
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[6] or "")
+        if size >= BATCH_BYTES:
+            yield _batch(schema, held)
+            held, size = [], 0
+    if held:
+        yield _batch(schema, held)
+
+
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 class _Term(InputPartition):
     def __init__(self, term: str):
         self.term = term
@@ -113,9 +137,12 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_Term(t) for t in self.terms]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def rows(self, term: str) -> Iterator[tuple]:
         o = self.options
-        yield from scan(self.fetch, self.rules, partition.term, o.get("first", ""), o.get("last", ""), o.get("predicate", ""))
+        return scan(self.fetch, self.rules, term, o.get("first", ""), o.get("last", ""), o.get("predicate", ""))
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        yield from batches(self.rows(partition.term))
 
 
 class _PruningReader(_Reader):
@@ -133,9 +160,9 @@ class _PruningReader(_Reader):
             else:
                 yield f  # also the predicate: rows carry the one they were asked with, so a second one leaves none
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         predicate = self.options.get("predicate", "")
-        yield from ((*row, predicate) for row in super().read(partition))
+        yield from batches(((*row, predicate) for row in self.rows(partition.term)), pa.field("predicate", pa.string()))
 
 
 def api_source(name: str, fetch: Fetch, rules: Rules, pushdown: bool = False) -> type[DataSource]:
