@@ -8,6 +8,8 @@ import json
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tidemark import queries
+from tidemark.operators import funding
 from tidemark.plans import apis
 from tidemark.sources import files, paged
 
@@ -46,3 +48,13 @@ def test_bodies_go_on_in_batches_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(paged, "BATCH_BYTES", 1000)
     rows = [("t", k, None, None, 1, k == 9, "x" * 400) for k in range(10)]
     assert [b.num_rows for b in paged.batches(iter(rows))] == [3, 3, 3, 1]
+
+
+def test_a_headline_is_read_once_by_evenly_dealt_tasks(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    titles = spark.createDataFrame([("Oakmere bags $3 million seed round",)], "title string")
+    assert plan(titles.select(funding.extract(F.col("title")).alias("e"))).count("regexp_extract(") < 60  # 190 where groups are made anew for each unit
+    articles = spark.range(200).select(F.col("id").alias("article_id"), F.concat(F.lit("House "), "id", F.lit(" raises $100k in a seed round")).alias("title"), F.lit("2024-01-05").cast("timestamp").alias("seen_at")).coalesce(1)
+    events, links = funding.events(articles)
+    assert "regexp_extract" not in plan(events) + plan(links) and events.count() == links.count() == 200
+    assert queries.queries()["str11_extract_events"](spark, SF).select(F.spark_partition_id()).distinct().count() > 4

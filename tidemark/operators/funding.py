@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.binding import let
 from tidemark.functions.text import normalize
+from tidemark.sources.durable import spread, stored
 
 EXTRACTOR = "headline-v2"
 FLAG = "(?iuU)"
@@ -79,16 +80,19 @@ def _has(text: Column, pattern: str) -> Column:
 
 def _group(text: Column, pattern: str, group: int) -> Column:
     """A group of the first match; null where there is no match or the group is empty."""
-    found = F.regexp_extract(text, FLAG + pattern, group)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(text, FLAG + pattern, group), F.lit(""))
 
 
 def _by_prefix(token: Column, table: dict) -> Column:
-    """The value of the first key, in the table's order, with which the token begins."""
-    out = F.when(F.lit(False), F.lit(None))
-    for key, value in table.items():
-        out = out.when(F.startswith(F.lower(token), F.lit(key)), F.lit(value))
-    return out
+    """The value of the first key, in the table's order, with which the token begins; the token is made once."""
+
+    def first(low: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(None))
+        for key, value in table.items():
+            out = out.when(F.startswith(low, F.lit(key)), F.lit(value))
+        return out
+
+    return let(F.lower(token), first)
 
 
 def _amount(text: Column, rules: dict) -> Column:
@@ -102,10 +106,10 @@ def _amount(text: Column, rules: dict) -> Column:
 
 
 def _company(text: Column, rules: dict) -> Column:
-    quoted = F.regexp_extract(text, "«([^»]{2,60})»", 1)
     subject = F.substring_index(F.regexp_extract(text, FLAG + rules["subject"], 1), ":", -1)
-    name = F.regexp_replace(subject, "^[ '\"]+|[ '\"]+$", "")
-    return F.when(quoted != "", F.trim(quoted)).when((name != "") & (F.size(F.split(name, r"\s+")) <= 6), name)
+    own = F.regexp_replace(subject, "^[ '\"]+|[ '\"]+$", "")
+    named = let(own, lambda name: F.when((name != "") & (F.size(F.split(name, r"\s+")) <= 6), name))
+    return let(F.regexp_extract(text, "«([^»]{2,60})»", 1), lambda quoted: F.when(quoted != "", F.trim(quoted)).otherwise(named))
 
 
 def _stage(text: Column, rules: dict) -> Column:
@@ -128,7 +132,8 @@ def _named(text: Column, rules: dict, money: Column) -> Column:
     round_ = _has(text, rules["round_verb"]) & (_has(text, rules["round_noun"]) | money["amount"].isNotNull())
     kind = F.when(_has(text, rules["market_report"]), F.lit(None)).when(_has(text, rules["m_and_a"]), "m_and_a").when(_has(text, rules["ipo"]), "ipo").when(_has(text, rules["grant"]), "grant").when(round_, "vc_round")
     investors = F.trim(_group(text, *rules["investors"]))
-    return F.when(kind.isNotNull(), F.struct(kind.alias("event_type"), _company(text, rules).alias("company"), F.when(kind == "vc_round", _stage(text, rules)).alias("stage"), money["amount"].alias("amount"), money["currency"].alias("currency"), investors.alias("investors")))
+    event = lambda k: F.when(k.isNotNull(), F.struct(k.alias("event_type"), _company(text, rules).alias("company"), F.when(k == "vc_round", _stage(text, rules)).alias("stage"), money["amount"].alias("amount"), money["currency"].alias("currency"), investors.alias("investors")))
+    return let(kind, event)
 
 
 def extract(title: Column) -> Column:
@@ -152,10 +157,11 @@ def event_id(event: Column, month: Column, fallback: Column) -> Column:
 def events(articles) -> tuple:
     """(events, event_articles): one event per identity, the first seen article deciding its fields.
 
-    articles: article_id, title, seen_at.
+    articles: article_id, title, seen_at. Titles are read once, by tasks to which the articles are dealt evenly.
     """
     month = F.trunc(F.col("seen_at").cast("date"), "MM")
     named = let(extract(F.col("title")), lambda e: F.when(e.isNotNull(), F.struct(e.alias("event"), event_id(e, month, F.col("article_id").cast("string")).alias("event_id"))))
-    rows = articles.select("article_id", "seen_at", month.alias("month"), F.explode(F.array_compact(F.array(named))).alias("n")).select("article_id", "seen_at", "month", "n.event", "n.event_id")
+    rows = spread(articles.select("article_id", "title", "seen_at")).select("article_id", "seen_at", month.alias("month"), F.explode(F.array_compact(F.array(named))).alias("n")).select("article_id", "seen_at", "month", "n.event", "n.event_id")
+    rows = stored(rows, "events", wide=True)
     first = rows.groupBy("event_id").agg(F.min_by(F.struct("event.*", "month"), F.struct("seen_at", "article_id")).alias("e"))
     return first.select("event_id", "e.*"), rows.select("event_id", "article_id").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import funding as U
 from tidemark.plans.registry import query, table
+from tidemark.sources.durable import spread
 
 #: One template for each c_custkey % 8; {name} is the customer, {n} a number from 10 to 99.
 TEMPLATES = (
@@ -36,7 +37,7 @@ def _headline(name: Column, n: Column, k: Column) -> Column:
  (n * CASE k WHEN 0 THEN 1e6 WHEN 1 THEN 1e9 WHEN 2 THEN 1e3 WHEN 5 THEN 1e3 END)::DOUBLE AS amount, CASE k WHEN 0 THEN 'GBP' WHEN 1 THEN 'JPY' WHEN 2 THEN 'INR' WHEN 5 THEN 'USD' END AS currency, CASE k WHEN 0 THEN 'Fern Capital' END AS investors
  FROM (SELECT c_custkey, c_name, c_custkey % 8 AS k, c_custkey % 90 + 10 AS n FROM customer)""")
 def str11_extract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").select("c_custkey", _headline(F.col("c_name"), F.col("c_custkey") % 90 + 10, (F.col("c_custkey") % 8).cast("int")).alias("title"))
+    rows = spread(table(spark, sf_dir, "customer")).select("c_custkey", _headline(F.col("c_name"), F.col("c_custkey") % 90 + 10, (F.col("c_custkey") % 8).cast("int")).alias("title"))
     return rows.select("c_custkey", U.extract(F.col("title")).alias("e")).select("c_custkey", "e.*")
 
 
