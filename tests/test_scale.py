@@ -58,3 +58,16 @@ def test_a_headline_is_read_once_by_evenly_dealt_tasks(spark):
     events, links = funding.events(articles)
     assert "regexp_extract" not in plan(events) + plan(links) and events.count() == links.count() == 200
     assert queries.queries()["str11_extract_events"](spark, SF).select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_state_per_entity_takes_no_python_worker(spark, tmp_path):
+    from tidemark.streaming.versions import last_rows, reconciled
+
+    seen = spark.range(4000).select(F.lit("s").alias("scope_id"), (F.col("id") % 1000).alias("entity_id"), F.col("id").alias("version_id"), F.lit("2024-01-01").alias("updated_date"), F.lit(True).alias("is_api"), F.lit(0).alias("observed_at"))
+    seen.write.parquet(str(tmp_path / "in"))
+    stream = reconciled(spark.readStream.schema(seen.schema).parquet(str(tmp_path / "in")))
+    assert "Python" not in stream._jdf.queryExecution().analyzed().toString() and "InPandas" not in stream._jdf.queryExecution().analyzed().toString()
+    q = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("append").parquet(str(tmp_path / "out")))
+    q.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination(120)
+    got = last_rows(spark.read.parquet(str(tmp_path / "out"))).collect()
+    assert len(got) == 1000 and all(r["version_ids"] == [r["entity_id"] + 1000 * k for k in range(4)] and r["version_id"] == r["entity_id"] + 3000 for r in got)

@@ -1,73 +1,37 @@
 """Current versions as a stream with state per entity: late, equal and undated observations in any order, without recomputing keys.
 
 State is what :func:`tidemark.operators.versions.reconcile` keeps of an entity: its greatest dated observation, its greatest undated
-one and the versions seen. An observation changes the state by maximum and union, which do not depend on order, so a late old
-baseline never displaces a newer row, and A, B, A again changes nothing that A, B had settled but what reconcile changes too.
-An entity gives a row whenever its current row changes; the last row of each entity is the batch result.
+one and the versions seen, as a streaming aggregate. An observation changes the state by maximum and union, which do not depend on
+order, so a late old baseline never displaces a newer row, and A, B, A again changes nothing that A, B had settled but what reconcile
+changes too. An entity gives a row in each batch that observes it; its last row is the batch result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import dates
 
-OUT = "scope_id string, entity_id long, version_id long, version_ids array<long>, conflict boolean, uncertain boolean, step long"
-RANK = "is_api boolean, observed_at long, version_id long"
-
-
-class Reconciler(StatefulProcessor):
-    """One entity's state: dated (with its instant) and undated best, versions, and how often its row has changed."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.dated = handle.getValueState("dated", f"at long, {RANK}")
-        self.undated = handle.getValueState("undated", RANK)
-        self.versions = handle.getMapState("versions", "version_id long", "seen boolean")
-        self.steps = handle.getValueState("steps", "n long, version_id long, versions long, uncertain boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - names of the interface
-        dated, undated, fresh = self.dated.get(), self.undated.get(), set()
-        for part in rows:
-            for at, api, seen, version in zip(part["at"], part["is_api"], part["observed_at"], part["version_id"]):
-                rank = (bool(api), int(seen), int(version))
-                fresh.add(int(version))
-                if pd.isna(at):
-                    undated = max(tuple(undated), rank) if undated is not None else rank
-                else:
-                    dated = max(tuple(dated), (int(at), *rank)) if dated is not None else (int(at), *rank)
-        for version in fresh:
-            self.versions.updateValue((version,), (True,))
-        for state, value in ((self.dated, dated), (self.undated, undated)):
-            if value is not None:
-                state.update(tuple(value))
-        best = max([tuple(x) for x in ((tuple(dated)[1:] if dated is not None else None), undated) if x is not None])
-        ids = sorted(int(k[0]) for k in self.versions.keys())
-        now, before = (best[2], len(ids), undated is not None), self.steps.get()
-        if before is None or tuple(before)[1:] != now:
-            step = 1 if before is None else int(before[0]) + 1
-            self.steps.update((step, *now))
-            yield pd.DataFrame({"scope_id": [key[0]], "entity_id": [key[1]], "version_id": [best[2]], "version_ids": [ids], "conflict": [len(ids) > 1], "uncertain": [now[2]], "step": [step]})
-
-    def close(self) -> None:
-        pass
-
 
 def reconciled(observations: DataFrame) -> DataFrame:
-    """A stream of changed current rows with a ``step`` that counts an entity's changes; observations as for reconcile, ids whole numbers.
+    """A stream of current rows (scope_id, entity_id, version_id, version_ids, conflict, uncertain) with a ``step`` that counts an entity's
+    observations so far; observations as for reconcile, ids whole numbers.
 
-    Needs the RocksDB state store: spark.sql.streaming.stateStore.providerClass. Null ranks count as false or the least number.
+    Large states want the RocksDB state store: spark.sql.streaming.stateStore.providerClass. Null ranks count as false or the least number.
     """
     at = F.unix_micros(dates.utc_instant(F.col("updated_date")).cast("timestamp"))
     rows = observations.select(
         F.col("scope_id").cast("string").alias("scope_id"), F.col("entity_id").cast("long").alias("entity_id"), F.col("version_id").cast("long").alias("version_id"),
         at.alias("at"), F.coalesce("is_api", F.lit(False)).alias("is_api"), F.coalesce(F.col("observed_at").cast("long"), F.lit(-(1 << 62))).alias("observed_at"),
     )
-    return rows.groupBy("scope_id", "entity_id").transformWithStateInPandas(Reconciler(), OUT, "Update", "None")
+    rank = F.struct("is_api", "observed_at", "version_id")
+    state = rows.groupBy("scope_id", "entity_id").agg(
+        F.max(F.when(F.col("at").isNotNull(), F.struct("at", rank.alias("rank")))).alias("dated"), F.max(F.when(F.col("at").isNull(), rank)).alias("undated"),
+        F.sort_array(F.collect_set("version_id")).alias("version_ids"), F.count("*").alias("step"),
+    )
+    best = F.greatest("dated.rank", "undated")
+    return state.select("scope_id", "entity_id", best["version_id"].alias("version_id"), "version_ids", (F.size("version_ids") > 1).alias("conflict"), F.col("undated").isNotNull().alias("uncertain"), "step")
 
 
 def last_rows(changes: DataFrame) -> DataFrame:
