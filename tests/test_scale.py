@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import queries
 from tidemark.operators import funding
 from tidemark.plans import apis
-from tidemark.sources import files, paged
+from tests.ports import generated
+from tidemark.sources import cursors, files, paged
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +72,22 @@ def test_state_per_entity_takes_no_python_worker(spark, tmp_path):
     q.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination(120)
     got = last_rows(spark.read.parquet(str(tmp_path / "out"))).collect()
     assert len(got) == 1000 and all(r["version_ids"] == [r["entity_id"] + 1000 * k for k in range(4)] and r["version_id"] == r["entity_id"] + 3000 for r in got)
+
+
+def test_a_stream_of_many_pages_has_few_batches_on_executors(spark, tmp_path):
+    sizes = {"a": 23, "bb": 0, "c": 997}
+    spark.dataSource.register(cursors.cursor_stream("cursor_spread", generated(sizes.get, 5, False)))
+    for once in (True, False):  # stopped after its first batch, the query goes on
+        stream = spark.readStream.format("cursor_spread").options(terms="a|bb|c", cursors=str(tmp_path / "cursors")).load()
+        out = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check"))
+        q = (out.trigger(once=True) if once else out).start()
+        if once:
+            q.awaitTermination(60)
+            assert spark.read.schema(paged.SCHEMA).parquet(str(tmp_path / "out")).count() == 3
+        else:
+            q.processAllAvailable()
+            q.stop()
+    rows = spark.read.schema(paged.SCHEMA).parquet(str(tmp_path / "out")).orderBy("term", "page").collect()
+    assert [(r["term"], r["page"]) for r in rows] == [("a", k) for k in range(5)] + [("bb", 0)] + [("c", k) for k in range(200)]
+    assert [x["id"] for r in rows if r["term"] == "c" for x in json.loads(r["body"])["hits"]] == list(range(997))
+    assert len(list((tmp_path / "check" / "commits").glob("[0-9]*"))) < 15

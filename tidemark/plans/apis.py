@@ -257,7 +257,7 @@ def src06_resumed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.dataSource.register(cursor_stream("api_orders_stream", _orders(spark, sf_dir)))
     terms = _terms(spark, sf_dir, "orders", "o_orderpriority")
     for once in (True, False):
-        rows = spark.readStream.format("api_orders_stream").options(terms=terms, pages=4).load()
+        rows = spark.readStream.format("api_orders_stream").options(terms=terms, pages=4, cursors=f"{at}/cursors").load()
         out = rows.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/check")
         q = (out.trigger(once=True) if once else out).start()
         if once:
