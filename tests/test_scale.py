@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tidemark import queries
-from tidemark.operators import funding
+from tidemark.operators import arrow, funding, neighbours
 from tidemark.plans import apis
 from tests.ports import generated
 from tidemark.sources import cursors, files, paged
@@ -91,3 +92,17 @@ def test_a_stream_of_many_pages_has_few_batches_on_executors(spark, tmp_path):
     assert [(r["term"], r["page"]) for r in rows] == [("a", k) for k in range(5)] + [("bb", 0)] + [("c", k) for k in range(200)]
     assert [x["id"] for r in rows if r["term"] == "c" for x in json.loads(r["body"])["hits"]] == list(range(997))
     assert len(list((tmp_path / "check" / "commits").glob("[0-9]*"))) < 15
+
+
+def test_vectors_of_floats_are_shuffled_as_floats(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    shuffled, keyed = [], arrow.keyed
+    monkeypatch.setattr(arrow, "keyed", lambda df, *more: shuffled.append(dict(df.dtypes)["x"]) or keyed(df, *more))
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (300, 8)).astype(np.float32) * 3
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "idx long, vector array<float>").repartition(3)
+    got = {(r["id"], r["rank"]): r["distance"] for r in neighbours.neighbours(df, 5).collect()}
+    assert set(shuffled) == {"array<float>"}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    d = np.sort(1 - u @ u.T + np.where(np.eye(300) > 0, 9, 0), axis=1)[:, :5]
+    assert np.mean([got[i, k + 1] <= d[i, k] + 1e-9 for i in range(300) for k in range(5)]) > 0.9 and min(got[i, 1] - d[i, 0] for i in range(300)) > -1e-9
