@@ -104,18 +104,17 @@ def scan(fetch: Fetch, rules: Rules, term: str, first: str, last: str, predicate
 BATCH_BYTES = 4 << 20
 
 
-def batches(rows: Iterator[tuple], *more: pa.Field) -> Iterator[pa.RecordBatch]:
-    """Rows of SCHEMA (and more columns) in Arrow batches by bytes, as pages may be large and Spark's own batches go by rows."""
-    schema = pa.schema([*PAGES, *more])
+def batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of SCHEMA in Arrow batches by bytes, as pages may be large and Spark's own batches go by rows."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[6] or "")
         if size >= BATCH_BYTES:
-            yield _batch(schema, held)
+            yield _batch(PAGES, held)
             held, size = [], 0
     if held:
-        yield _batch(schema, held)
+        yield _batch(PAGES, held)
 
 
 def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -160,9 +159,9 @@ class _PruningReader(_Reader):
             else:
                 yield f  # also the predicate: rows carry the one they were asked with, so a second one leaves none
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
         predicate = self.options.get("predicate", "")
-        yield from batches(((*row, predicate) for row in self.rows(partition.term)), pa.field("predicate", pa.string()))
+        yield from ((*row, predicate) for row in self.rows(partition.term))
 
 
 def api_source(name: str, fetch: Fetch, rules: Rules, pushdown: bool = False) -> type[DataSource]:
