@@ -155,3 +155,51 @@ def test_fit_finds_planted_topics(spark):
 def test_too_few_points_are_outliers(spark):
     assert {r["topic"] for r in DensityFitter().fit(frame(spark, np.eye(4))).collect()} == {-1}
     assert DensityFitter().fit(frame(spark, np.eye(4)).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("case", [0, 1])
+def test_blocks_leave_a_spanning_forest_of_their_parts(case):
+    """A block of points of many parts leaves at most an edge a part, and what Kruskal takes of all pairs, ties among them."""
+    rng = np.random.default_rng(case)
+    u, v = np.sort(rng.permutation(200)[:120].reshape(2, 60), axis=1)
+    v = u if case else v
+    part = rng.integers(0, 30, 200)
+    w = np.round(rng.random((60, 60)), 1) + 0.1
+    w = np.maximum(w, w.T) if case else w
+    got = density.between_parts(w.copy(), u, v, part[u], part[v])
+    pairs = [(int(part[a]), int(part[b]), (float(w[i, j]), int(min(a, b)), int(max(a, b)))) for i, a in enumerate(u) for j, b in enumerate(v) if part[a] != part[b]]
+    assert sorted(zip(*(x.tolist() for x in got[2:]))) == sorted(density.kruskal(pairs)) and len(got[0]) < 30
+    assert all({int(part[a]), int(part[b])} == {p, q} for p, q, a, b in zip(*(x.tolist() for x in (got[0], got[1], got[3], got[4]))))
+
+
+def test_edges_that_close_cycles_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(density, "FEW", 100)
+    rng = np.random.default_rng(4)
+    rows = [(a, b, (float(rng.integers(1, 9)), a, b), a // 10) for a in range(60) for b in range(a + 1, 60) if rng.random() < 0.5]
+    kept = density.thinned(spark.createDataFrame(rows, "a long, b long, e struct<w:double,u:long,v:long>, near int"), "near").collect()
+    assert len(kept) < len(rows) * 0.7 and density.kruskal([(r["a"], r["b"], tuple(r["e"])) for r in kept]) == density.kruskal([r[:3] for r in rows])
+
+
+def test_cells_of_flat_points_do_not_grow(spark):
+    """Hyperplanes through the mean cut a plane into few wedges; so lists of flat points had to be mended over many rounds."""
+    x = np.random.default_rng(1).normal(0, 1, (6000, 2))
+    points = frame(spark, x).select(F.col("idx").alias("id"), F.col("vector").alias("x"))
+    cells = neighbours._cells(points, 1, len(x), 42, "euclidean").groupBy("cell").agg(F.count("*").alias("n"), F.stddev(F.col("x")[0]).alias("s"), F.stddev(F.col("x")[1]).alias("t")).collect()
+    assert sum(r["n"] for r in cells) == len(x) and max(r["n"] for r in cells) < 700
+    assert np.mean([r["s"] * r["t"] for r in cells]) < 0.15
+
+
+def test_lists_of_less_than_a_block_are_exact(spark):
+    x = np.random.default_rng(2).normal(0, 1, (700, 8))
+    got = {}
+    for r in neighbours.neighbours(frame(spark, x), 5, metric="euclidean").collect():
+        got.setdefault(r["id"], []).append(r["other"])
+    d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1)) + np.where(np.eye(len(x)) > 0, np.inf, 0)
+    assert all(set(got[i]) == set(np.argsort(d[i])[:5].tolist()) for i in range(len(x)))
+
+
+def test_memberships_of_a_list_sum_to_its_target():
+    d = np.random.default_rng(3).random((50, 15))
+    d[0], d[1, :14] = 0.0, 0.0
+    w = layout._memberships(np.sort(d, axis=1))
+    assert np.allclose(w[2:].sum(axis=1), np.log2(15), atol=1e-5) and (w[0] == 1).all()
